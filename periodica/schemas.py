@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql.types import StructType
 
-_DDL = {
+TABLES = {
     "data_providers": "id string, name string, type string, base_url string, rate_limit decimal(10,2), is_active boolean",
     "exchanges": "id string, code string, name string, country string, timezone string, currency string, is_active boolean",
     "companies": (
@@ -63,7 +65,12 @@ _DDL = {
     ),
 }
 
-TABLES: dict[str, StructType] = {name: StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
+
+@cache
+def schema(name: str) -> StructType:
+    """Declared schema of a table (Spark parses it, so a session must run)."""
+    return StructType.fromDDL(TABLES[name])
+
 
 # Natural keys behind the insert-if-absent writes.
 NATURAL_KEYS = {
