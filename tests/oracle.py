@@ -62,7 +62,8 @@ def main() -> int:
     from periodica.workload.registry import load
 
     folder = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
-    spark = build_session("oracle", "local[8]", spark_sql_shuffle_partitions="8", spark_ui_enabled="false")
+    spark = build_session("oracle", "local[8]", spark_sql_shuffle_partitions="8", spark_ui_enabled="false",
+                          spark_ui_showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     bad = 0
