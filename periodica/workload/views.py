@@ -98,7 +98,7 @@ VIEWS = {
                CAST((CASE currency WHEN 'EUR' THEN 100 ELSE 120 END + k % 40) / 100.0 AS DECIMAL(24,10)) AS usd_per_unit
         FROM (SELECT explode(array('EUR', 'GBP')) AS currency, rate_date, k
               FROM (SELECT CAST(o_orderdate AS DATE) AS rate_date, min(o_orderkey) AS k FROM {orders} GROUP BY 1) d) e
-        WHERE datediff(rate_date, DATE '1994-01-01') % 7 > 1""",
+        WHERE extract(DAYOFWEEK_ISO FROM rate_date) <= 5""",
     # Units per euro of several currencies, some quotes zero or missing.
     "per_eur": """
         SELECT currency, rate_date,
@@ -108,7 +108,7 @@ VIEWS = {
                END AS per_eur
         FROM (SELECT explode(array('USD', 'GBP', 'JPY', 'AED')) AS currency, rate_date, k
               FROM (SELECT CAST(o_orderdate AS DATE) AS rate_date, min(o_orderkey) AS k FROM {orders} GROUP BY 1) d) e
-        WHERE NOT (currency = 'USD' AND k % 13 = 0)""",
+        WHERE NOT (currency = 'USD' AND day(rate_date) = 13)""",
     "prices": """
         SELECT user_id AS listing_id, CAST(ts AS DATE) AS price_date, '2' AS provider_id,
                min_by(value, ts) AS open, max(value) AS high, min(value) AS low, max_by(value, ts) AS close,
@@ -147,7 +147,7 @@ VIEWS = {
 
 # The few spots where the two dialects differ.
 _DUCK = (
-    (r"datediff\((\w+), (DATE '[^']*')\)", r"(\1 - \2)"),
+    ("DAYOFWEEK_ISO", "isodow"),
     (r"date_add\(CAST\(ts AS DATE\), ", "(CAST(ts AS DATE) + "),
     (r"explode\(array\(([^)]*)\)\)", r"unnest([\1])"),
     (r"sha2\((\w+), 256\)", r"sha256(\1)"),
