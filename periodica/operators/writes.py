@@ -22,6 +22,7 @@ from pyspark.sql.types import MapType, StructType, VariantType
 from periodica.functions.money import is_currency
 from periodica.operators.aggregates import observe_counts
 from periodica.operators.joins import absent_keys
+from periodica.session import scratch_dir
 
 
 @dataclass(frozen=True)
@@ -137,10 +138,13 @@ def insert_new(
     repeated tasks count once.
     """
     target = table.read()
-    if prune:
-        touched = batch.select(*prune).distinct()
-        target = target.join(touched, list(prune), "left_semi")
-    flagged = flag_existing(first_per_key(batch, keys, order), target, keys)
+    folded = first_per_key(batch, keys, order)
+    if prune and table.version():
+        # The batch is read for its partitions and for its rows, so its work is kept once.
+        scratch_dir(table.spark)
+        folded = folded.checkpoint()
+        target = target.join(folded.select(*prune).distinct(), list(prune), "left_semi")
+    flagged = flag_existing(folded, target, keys)
     new = ~F.col("_exists")
     counted, seen = observe_counts(
         flagged, "insert_new", processed=F.sum("_copies"), inserted=F.count_if(new)

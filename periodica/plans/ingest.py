@@ -380,9 +380,10 @@ def sync(
     stats = dict(ingest_universe(catalog, universe, provider_id))
     stats["filings"] = ingest_filings(catalog, submissions, provider_id)
     stats["facts"], _ = ingest_facts(catalog, values, provider_id)
-    mark_synced(
-        catalog, company_ids(catalog.table("company_identifiers")).join(values.select(keys.cik(F.col("cik")).alias("cik")), "cik", "left_semi"), now
+    synced = company_ids(catalog.table("company_identifiers")).join(
+        parse_companies(universe).select("cik"), "cik", "left_semi"
     )
+    mark_synced(catalog, synced, now)
     return stats
 
 

@@ -35,12 +35,10 @@ def scratch_dir(spark: SparkSession) -> str:
     A cluster names it in ``spark.checkpoint.dir``. Only where that is unset, as
     in local tests, a new folder on this machine is made and set.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="periodica-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    spark.sparkContext.setCheckpointDir(made)
-    return made
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="periodica-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")

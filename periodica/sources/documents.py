@@ -72,9 +72,13 @@ def parse_submissions(documents: DataFrame, column: str = "value") -> DataFrame:
         "accessionNumber", "filingDate", "reportDate", "form",
         "primaryDocument", "primaryDocDescription", "fy", "fp",
     )
+    # A missing array must not void the others, so it is zipped as an empty one.
+    arrays = [
+        F.coalesce(f"{recent}.{n}", F.array().cast("array<int>" if n == "fy" else "array<string>")).alias(n) for n in names
+    ]
     rows = (
         documents.select(F.from_json(column, schemas.SUBMISSIONS).alias("doc"))
-        .select("doc.cik", F.explode(F.arrays_zip(*[F.col(f"{recent}.{n}").alias(n) for n in names])).alias("f"))
+        .select("doc.cik", F.explode(F.arrays_zip(*arrays)).alias("f"))
         .select(keys.cik(F.col("cik")).alias("cik"), *[F.col(f"f.{n}").alias(n) for n in names])
         .where("accessionNumber IS NOT NULL")
     )
