@@ -96,12 +96,16 @@ def first_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str] =
     The earliest row in ``order`` stays (NULLs last), settled by the remaining
     columns so that retries agree. Copies are folded before the shuffle.
     """
-    ranked = [*order, *[c for c in _orderable(batch, keys) if c not in order]]
-    place = F.struct(F.lit(0), *[x for c in ranked for x in (F.col(c).isNull(), F.col(c))])
     rest = [c for c in batch.columns if c not in keys]
-    folded = batch.groupBy(*keys).agg(
-        F.min_by(F.struct(F.lit(0).alias("_"), *rest), place).alias("_row"), F.count("*").alias("_copies")
-    )
+    first = [x for c in order for x in (F.col(c).isNull(), F.col(c))]
+    plain = _orderable(batch, keys)
+    row = F.struct(F.lit(0).alias("_"), *rest)
+    if len(plain) == len(rest):
+        # The row itself settles ties, so it is part of what is compared.
+        best = F.min(F.struct(*[f.alias(f"_o{i}") for i, f in enumerate(first)], row.alias("row")))["row"]
+    else:
+        best = F.min_by(row, F.struct(F.lit(0), *first, *plain))
+    folded = batch.groupBy(*keys).agg(best.alias("_row"), F.count("*").alias("_copies"))
     return folded.select(*[F.col(f"_row.{c}") if c in rest else F.col(c) for c in batch.columns], "_copies")
 
 

@@ -19,6 +19,7 @@ from periodica.operators.windows import latest_by, preferred
 from periodica.operators.writes import WriteStats, insert_guarded, insert_new, patch, patch_rows, upsert
 from periodica.plans.core import core_financials
 from periodica.schemas import NATURAL_KEYS
+from periodica.session import scratch_dir
 from periodica.sources.tables import Catalog
 
 
@@ -76,7 +77,9 @@ def with_company_ids(parsed: DataFrame, identifiers: DataFrame) -> DataFrame:
 
 def ingest_universe(catalog: Catalog, universe: DataFrame, provider_id: str) -> dict[str, WriteStats]:
     """Insert new companies, patch known ones, add identifiers and listings."""
-    parsed = with_company_ids(parse_companies(universe), catalog.table("company_identifiers"))
+    scratch_dir(catalog.spark)
+    # Four tables are written from these rows; they keep the ids found now.
+    parsed = with_company_ids(parse_companies(universe), catalog.table("company_identifiers")).checkpoint()
     one_each = preferred(parsed, ["company_id"], [F.col("legal_name").asc_nulls_last(), "country"])
     details = ["legal_name", "country", "currency"]
     known = catalog.table("companies")
@@ -89,7 +92,6 @@ def ingest_universe(catalog: Catalog, universe: DataFrame, provider_id: str) ->
         stats["updated"] = WriteStats(processed=updated, updated=updated)
     stats["companies"] = insert_new(catalog.store("companies"), fresh, ["id"])
 
-    # From here on the stored identifiers still decide the ids, so read before writing them.
     listed = map_exchange(parsed.where("ticker IS NOT NULL AND exchange IS NOT NULL")).where("exchange_code IS NOT NULL")
     places = listed.select(
         F.col("exchange_code").alias("code"), F.col("exchange_name").alias("name"),
