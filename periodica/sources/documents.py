@@ -38,7 +38,7 @@ def parse_universe(documents: DataFrame, column: str = "value") -> DataFrame:
 
     from_list = (
         both.where("_is_list")
-        .select(F.explode("_list").alias("_item"))
+        .select(F.explode_outer("_list").alias("_item"))
         .where((F.size("_item") >= 3) & cell(0).rlike(r"^\d+$"))
         .select(
             keys.cik(cell(0)).alias("cik"), cell(1).alias("name"), _filled(cell(2)).alias("ticker"),
@@ -49,7 +49,7 @@ def parse_universe(documents: DataFrame, column: str = "value") -> DataFrame:
     entry = F.from_json("value", "struct<cik_str:string,ticker:string,title:string>")
     from_map = (
         both.where(~F.col("_is_list"))
-        .select(F.explode("_map"))
+        .select(F.explode_outer("_map"))
         .where(F.col("key").rlike(r"^\d+$"))
         .select(entry.alias("e"))
         .where("e.cik_str RLIKE '^[0-9]+$' AND e.ticker IS NOT NULL AND e.title IS NOT NULL")
@@ -78,7 +78,7 @@ def parse_submissions(documents: DataFrame, column: str = "value") -> DataFrame:
     ]
     rows = (
         documents.select(F.from_json(column, schemas.SUBMISSIONS).alias("doc"))
-        .select("doc.cik", F.explode(F.arrays_zip(*arrays)).alias("f"))
+        .select("doc.cik", F.explode_outer(F.arrays_zip(*arrays)).alias("f"))
         .select(keys.cik(F.col("cik")).alias("cik"), *[F.col(f"f.{n}").alias(n) for n in names])
         .where("accessionNumber IS NOT NULL")
     )
@@ -112,33 +112,35 @@ def parse_company_facts(documents: DataFrame, column: str = "value") -> DataFram
     may follow each other in one file, separated by a line break, which JSON
     strings cannot contain.
     """
-    parts = F.explode(F.split(column, r"(?<=\})\s*\n\s*(?=\{)"))
+    text = F.col(column)
+    several = F.split(text, r"(?<=\})\s*\n\s*(?=\{)")
+    parts = F.explode(F.when(F.contains(text, F.lit("\n")), several).otherwise(F.array(text)))
     quoted = F.regexp_replace("part", r'"val"\s*:\s*(-?[0-9][0-9.eE+-]*)', '"val":"$1"')
+
+    def typed(v: Column) -> Column:
+        # Evaluated once per value, below the explode, where no later filter repeats it.
+        return F.struct(
+            F.coalesce(v["val"], F.lit("0")).alias("val"),
+            rules.date(v["start"]).alias("start"), rules.date(v["end"]).alias("end"), v["accn"].alias("accn"),
+            v["fy"].alias("fy"), v["fp"].alias("fp"), v["form"].alias("form"),
+            rules.date(v["filed"]).alias("filed"), v["frame"].alias("frame"),
+        )
+
+    # The outer explode keeps Catalyst from testing the parsed document in a filter
+    # of its own, which would parse it again.
     return (
         documents.select(parts.alias("part"))
         .select(F.from_json(quoted, schemas.COMPANY_FACTS).alias("doc"))
-        .select("doc.cik", "doc.entityName", F.explode("doc.facts").alias("namespace", "concepts"))
-        .select("cik", "entityName", "namespace", F.explode("concepts").alias("concept", "fact"))
-        .select("cik", "entityName", "namespace", "concept", F.col("fact.unit").alias("fact_unit"),
+        .select(keys.cik(F.col("doc.cik")).alias("cik"), F.col("doc.entityName").alias("entity_name"),
+                F.explode_outer("doc.facts").alias("namespace", "concepts"))
+        .where("namespace IS NOT NULL")
+        .select("cik", "entity_name", "namespace", F.explode("concepts").alias("concept", "fact"))
+        .select("cik", "entity_name", "namespace", "concept", F.col("fact.unit").alias("fact_unit"),
                 F.explode("fact.units").alias("unit", "values"))
-        .select("cik", "entityName", "namespace", "concept", "fact_unit", "unit", F.explode("values").alias("v"))
-        .select(
-            keys.cik(F.col("cik")).alias("cik"),
-            F.col("entityName").alias("entity_name"),
-            "namespace",
-            "concept",
-            "fact_unit",
-            "unit",
-            F.coalesce("v.val", F.lit("0")).alias("val"),
-            rules.date(F.col("v.start")).alias("start"),
-            rules.date(F.col("v.end")).alias("end"),
-            F.col("v.accn").alias("accn"),
-            F.col("v.fy").alias("fy"),
-            F.col("v.fp").alias("fp"),
-            F.col("v.form").alias("form"),
-            rules.date(F.col("v.filed")).alias("filed"),
-            F.col("v.frame").alias("frame"),
-        )
+        .select("cik", "entity_name", "namespace", "concept", "fact_unit", "unit",
+                F.explode_outer(F.transform("values", typed)).alias("v"))
+        .where("v IS NOT NULL")
+        .select("cik", "entity_name", "namespace", "concept", "fact_unit", "unit", "v.*")
     )
 
 
