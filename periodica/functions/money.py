@@ -19,6 +19,18 @@ def currency_from_unit(unit: Column) -> Column:
     return F.when(is_currency(code), code)
 
 
+def packed(code: Column) -> Column:
+    """A three-letter code as a number of the same order.
+
+    Spark aggregates numbers in hash tables, but sorts for the maximum of a text.
+    """
+    return F.conv(F.hex(code), 16, 10).cast("int")
+
+
+def unpacked(number: Column) -> Column:
+    return F.decode(F.unhex(F.hex(number.cast("bigint"))), "UTF-8")
+
+
 def unit_is_currency(unit: Column) -> Column:
     """Three capitals, optionally per share."""
     return unit.rlike("^[A-Z]{3}(/shares)?$")

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from periodica.functions.money import is_currency, unit_is_currency
+from periodica.functions.money import is_currency, packed, unit_is_currency, unpacked
 
 
 def alias_pivot(
@@ -80,10 +80,8 @@ def latest_period(df: DataFrame, keys: Sequence[str], date: str) -> DataFrame:
 
 def row_currency(revenue_unit: Column, assets_unit: Column) -> Column:
     """Currency of a yearly row: greatest money unit of revenue, else of total assets."""
-    return F.coalesce(
-        F.max(F.when(is_currency(revenue_unit), revenue_unit)),
-        F.max(F.when(is_currency(assets_unit), assets_unit)),
-    )
+    best = [F.max(F.when(is_currency(unit), packed(unit))) for unit in (revenue_unit, assets_unit)]
+    return unpacked(F.coalesce(*best))
 
 
 def unit_distribution(facts: DataFrame) -> DataFrame:

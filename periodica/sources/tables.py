@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from periodica.operators.writes import ParquetTable
 from periodica.schemas import TABLES, schema
@@ -35,5 +38,12 @@ class Catalog:
 
 
 def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A relation of constants."""
-    return spark.createDataFrame(list(rows), schema)
+    """A relation of constants.
+
+    It is handed over as Arrow, so that Spark knows its exact size when it picks
+    a join strategy.
+    """
+    declared = StructType.fromDDL(schema)
+    columns = to_arrow_schema(declared)
+    cells = [pa.array([row[i] for row in rows], field.type) for i, field in enumerate(columns)]
+    return spark.createDataFrame(pa.Table.from_arrays(cells, schema=columns), declared)
