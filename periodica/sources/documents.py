@@ -13,7 +13,7 @@ FILE_URL = "https://www.sec.gov/Archives/edgar/data/"
 
 
 def _whole_files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    return spark.read.text(path, wholetext=True, recursiveFileLookup=True)
 
 
 def _filled(value: Column) -> Column:
