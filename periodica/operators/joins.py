@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,11 +47,20 @@ def semi(df: DataFrame, other: DataFrame, on: Sequence[str] | str) -> DataFrame:
     return df.join(other, on, "left_semi")
 
 
+def null_safe_key(keys: Sequence[str]) -> Column:
+    """The key columns as one value in which NULL equals NULL.
+
+    Fields of a struct compare that way under plain equality. Grouping and joining
+    on the same struct therefore share one shuffle, which ``<=>`` on the single
+    columns would not.
+    """
+    return F.struct(*keys)
+
+
 def absent_keys(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Batch rows whose key is not in the target; NULL key parts equal each other."""
-    b, t = batch.alias("b"), target.select(*keys).alias("t")
-    same = reduce(Column.__and__, [F.col(f"b.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys])
-    return b.join(t, same, "left_anti")
+    known = target.select(null_safe_key(keys).alias("_key"))
+    return batch.withColumn("_key", null_safe_key(keys)).join(known, "_key", "left_anti").drop("_key")
 
 
 def prev_year_join(df: DataFrame, by: Sequence[str], year: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql.types import MapType, StructType, VariantType
 
 from periodica.functions.money import is_currency
 from periodica.operators.aggregates import observe_counts
-from periodica.operators.joins import absent_keys
+from periodica.operators.joins import absent_keys, null_safe_key
 from periodica.session import scratch_dir
 
 
@@ -91,7 +91,7 @@ def _orderable(df: DataFrame, skip: Sequence[str]) -> list[str]:
 
 
 def first_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """One row per key with ``_copies``, the number of batch rows it stands for.
+    """One row per key, with the key as ``_key`` and its number of batch rows as ``_copies``.
 
     The earliest row in ``order`` stays (NULLs last), settled by the remaining
     columns so that retries agree. Copies are folded before the shuffle.
@@ -105,25 +105,27 @@ def first_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str] =
         best = F.min(F.struct(*[f.alias(f"_o{i}") for i, f in enumerate(first)], row.alias("row")))["row"]
     else:
         best = F.min_by(row, F.struct(F.lit(0), *first, *plain))
-    folded = batch.groupBy(*keys).agg(best.alias("_row"), F.count("*").alias("_copies"))
-    return folded.select(*[F.col(f"_row.{c}") if c in rest else F.col(c) for c in batch.columns], "_copies")
+    folded = batch.groupBy(null_safe_key(keys).alias("_key")).agg(best.alias("_row"), F.count("*").alias("_copies"))
+    return folded.select(
+        "_key", *[F.col(f"_row.{c}" if c in rest else f"_key.{c}").alias(c) for c in batch.columns], "_copies"
+    )
 
 
 def insert_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Batch rows whose natural key is new, one per key; NULL key parts are equal."""
-    return absent_keys(first_per_key(batch, keys, order), target, keys).drop("_copies")
+    known = target.select(null_safe_key(keys).alias("_key"))
+    return first_per_key(batch, keys, order).join(known, "_key", "left_anti").select(*batch.columns)
 
 
-def flag_existing(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Batch rows with ``_exists``: whether the target holds their key.
+def flag_existing(folded: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``first_per_key`` with ``_exists``: whether the target holds their key.
 
     EXISTS in a projection is planned as an existence join, which never
     multiplies rows, whatever the target holds.
     """
-    same = " AND ".join(f"t.`{k}` <=> b.`{k}`" for k in keys)
-    return batch.sparkSession.sql(
-        f"SELECT b.*, EXISTS (SELECT 1 FROM {{target}} t WHERE {same}) AS _exists FROM {{batch}} b",
-        target=target.select(*keys), batch=batch,
+    return folded.sparkSession.sql(
+        "SELECT f.*, EXISTS (SELECT 1 FROM {known} t WHERE t._key = f._key) AS _exists FROM {folded} f",
+        known=target.select(null_safe_key(keys).alias("_key")), folded=folded,
     )
 
 
@@ -153,7 +155,7 @@ def insert_new(
     counted, seen = observe_counts(
         flagged, "insert_new", processed=F.sum("_copies"), inserted=F.count_if(new)
     )
-    table.append(counted.where(new).drop("_exists", "_copies"))
+    table.append(counted.where(new))
     processed, inserted = seen.get["processed"] or 0, seen.get["inserted"]
     return WriteStats(processed=processed, inserted=inserted, skipped=processed - inserted)
 

@@ -71,10 +71,15 @@ def dangling_filings(facts: DataFrame, filings: DataFrame) -> DataFrame:
     return orphans(facts.where("filing_id IS NOT NULL"), filings, "filing_id")
 
 
+def _dangling_count(facts: DataFrame, filings: DataFrame) -> DataFrame:
+    """Number of dangling facts, counted per filing before anything is joined."""
+    per_filing = facts.where("filing_id IS NOT NULL").groupBy("filing_id").agg(F.count("*").alias("_n"))
+    return orphans(per_filing, filings, "filing_id").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n"))
+
+
 def provenance_gaps(facts: DataFrame, filings: DataFrame) -> DataFrame:
     """Counts of facts without provider, filing or source, and with an unknown filing."""
-    dangling = dangling_filings(facts, filings).agg(F.count("*").alias("n")).scalar()
-    return provenance_counters(facts).withColumn("dangling_filing_id", dangling)
+    return provenance_counters(facts).withColumn("dangling_filing_id", _dangling_count(facts, filings).scalar())
 
 
 def _count(check: str, severity: str, rows: DataFrame) -> DataFrame:
@@ -91,15 +96,25 @@ def _unstack(counts: DataFrame, severity: str) -> DataFrame:
     )
 
 
-def _company_links(child: DataFrame, companies: DataFrame, name: str) -> DataFrame:
-    """Orphaned child rows and companies without child, from one aggregate and one join."""
-    per_company = child.groupBy("company_id").agg(F.count("*").alias("_n"))
+def _company_links(
+    child: DataFrame, companies: DataFrame, name: str, counters: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Orphaned child rows and companies without child, and further counts of child rows.
+
+    One aggregate per company serves all of them, so the child is read once.
+    """
+    counters = counters or {}
+    per_company = child.groupBy("company_id").agg(
+        F.count("*").alias("_n"), *[F.count_if(c).alias(k) for k, c in counters.items()]
+    )
     both = per_company.join(
         companies.select(F.col("id").alias("company_id"), F.lit(True).alias("_known")), "company_id", "full"
     )
+    zero = F.lit(0)
     return both.agg(
-        F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_n"))), F.lit(0)).alias(f"orphan_{name}"),
+        F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_n"))), zero).alias(f"orphan_{name}"),
         F.count_if(F.col("_n").isNull()).alias(f"companies_without_{name}"),
+        *[F.coalesce(F.sum(k), zero).alias(k) for k in counters],
     )
 
 
@@ -107,12 +122,12 @@ def integrity_audit(t: Tables) -> DataFrame:
     """All integrity checks as (check, severity, n), zero rows included."""
     facts, filings, companies = t["financial_facts"], t["filings"], t["companies"]
     identifiers, listings = t["company_identifiers"], t["company_listings"]
-    single_scan = facts.agg(
-        F.count_if(F.col("value").isNull()).alias("null_values"),
-        F.count_if(F.col("provider_id").isNull()).alias("missing_provider_id"),
-        F.count_if(F.col("filing_id").isNull()).alias("missing_filing_id"),
-        F.count_if(F.col("source_id").isNull()).alias("missing_source_id"),
-    )
+    missing = {
+        "null_values": F.col("value").isNull(),
+        "missing_provider_id": F.col("provider_id").isNull(),
+        "missing_filing_id": F.col("filing_id").isNull(),
+        "missing_source_id": F.col("source_id").isNull(),
+    }
     parts = [
         _count("dup_companies", "error", dup_companies(companies)),
         _count("shared_cik", "error", shared_cik(identifiers)),
@@ -120,12 +135,11 @@ def integrity_audit(t: Tables) -> DataFrame:
         _count("dup_listings", "error", dup_listings(listings)),
         _count("dup_filings", "error", dup_filings(filings)),
         _count("dup_facts", "error", dup_facts(facts)),
-        _unstack(_company_links(facts, companies, "facts"), "error"),
+        _unstack(_company_links(facts, companies, "facts", missing), "error"),
         _unstack(_company_links(filings, companies, "filings"), "error"),
         _count("orphan_listings", "error", orphan_listings(listings, companies, t["exchanges"])),
         _count("companies_without_identifiers", "error", childless(companies, identifiers)),
-        _unstack(single_scan, "error"),
-        _count("dangling_filings", "error", dangling_filings(facts, filings)),
+        _unstack(_dangling_count(facts, filings).toDF("dangling_filings"), "error"),
     ]
     expected = ("companies_without_facts", "companies_without_filings")
     return reduce(DataFrame.unionByName, parts).withColumn(

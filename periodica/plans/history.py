@@ -43,6 +43,15 @@ def version_intervals(facts: DataFrame, key: Sequence[str] = FACT_KEY) -> DataFr
     return winners.select(*key, *[F.col(f"_now._row.{c}").alias(c) for c in rest], "known_from", "known_to")
 
 
+def _calendar(dates: DataFrame) -> DataFrame:
+    """Distinct days of a relation.
+
+    They number at most 36,525 per century whatever the input, a few hundred
+    kilobytes, so they are safe to broadcast and the other side stays in place.
+    """
+    return F.broadcast(dates.select(F.col("as_of").cast("date")).distinct())
+
+
 def facts_as_of(facts: DataFrame, as_of, key: Sequence[str] = FACT_KEY) -> DataFrame:
     """Facts as they were public on one day, or on every day of a relation.
 
@@ -50,8 +59,7 @@ def facts_as_of(facts: DataFrame, as_of, key: Sequence[str] = FACT_KEY) -> DataF
     validity intervals once, and each day only meets the versions valid then.
     """
     if isinstance(as_of, DataFrame):
-        days = as_of.select(F.col("as_of").cast("date")).distinct()
-        return interval_join(days, version_intervals(facts, key), "as_of", "known_from", "known_to").drop(
+        return interval_join(_calendar(as_of), version_intervals(facts, key), "as_of", "known_from", "known_to").drop(
             "known_from", "known_to"
         )
     return latest_known(facts, as_of, key).withColumn("as_of", F.lit(as_of).cast("date"))
@@ -59,7 +67,7 @@ def facts_as_of(facts: DataFrame, as_of, key: Sequence[str] = FACT_KEY) -> DataF
 
 def members_at(intervals: DataFrame, dates: DataFrame) -> DataFrame:
     """Members on each day of a relation (column ``as_of``), one row per day and ticker."""
-    days = dates.select(F.col("as_of").cast("date")).distinct()
+    days = _calendar(dates)
     kept = [c for c in intervals.columns if c not in ("ticker", "start_date", "end_date")]
     found = interval_join(days, intervals, "as_of").groupBy("as_of", "ticker")
     # Overlapping intervals of one ticker count once.
@@ -73,7 +81,7 @@ def membership_sanity(
     years = intervals.select(F.year("start_date").alias("y")).distinct()
     if extra_years:
         years = years.union(intervals.sparkSession.createDataFrame([(y,) for y in extra_years], "y int")).distinct()
-    days = years.select(F.make_date("y", F.lit(12), F.lit(31)).alias("as_of"))
+    days = _calendar(years.select(F.make_date("y", F.lit(12), F.lit(31)).alias("as_of")))
     found = interval_join(days, intervals.select("ticker", "start_date", "end_date"), "as_of")
     counted = found.groupBy("as_of").agg(F.count_distinct("ticker").alias("members"))
     members = F.coalesce("members", F.lit(0))

@@ -7,11 +7,19 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "periodica", master: str | None = None, **conf: str) -> SparkSession:
+def shuffle_partitions(input_bytes: int, target_bytes: int = 512 << 20) -> int:
+    """Partitions that keep a shuffle of the whole input near the target size each."""
+    return max(200, -(-input_bytes // target_bytes))
+
+
+def build_session(
+    app: str = "periodica", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
     """A session with adaptive execution, UTC and skew handling switched on.
 
-    Shuffle partitions are left to the cluster (adaptive execution merges small
-    ones); pass ``spark_sql_shuffle_partitions="8"`` for a local run.
+    ``input_bytes`` sizes shuffles for the largest table: a job over 100 TB starts
+    with some 200,000 partitions, which adaptive execution merges where a stage
+    turns out smaller. Pass ``spark_sql_shuffle_partitions="8"`` for a local run.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -23,6 +31,8 @@ def build_session(app: str = "periodica", master: str | None = None, **conf: str
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
     }
+    if input_bytes:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))
     settings.update({k.replace("_", "."): v for k, v in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)

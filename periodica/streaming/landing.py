@@ -87,7 +87,7 @@ def dedup_versions(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     Late rows are welcome at any time, so there is no watermark and no state.
     """
-    return first_per_key(batch, keys).drop("_copies")
+    return first_per_key(batch, keys).select(*batch.columns)
 
 
 def relink_filings(facts: DataFrame, filings: DataFrame) -> DataFrame:

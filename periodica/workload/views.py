@@ -52,7 +52,8 @@ VIEWS = {
                CASE WHEN r_regionkey = 1 THEN 'filings' ELSE 'prices' END AS type
         FROM {region}""",
     "filings": """
-        SELECT o_orderkey AS id, o_custkey AS company_id, '1' AS provider_id,
+        SELECT o_orderkey AS id, o_custkey AS company_id,
+               CASE o_orderstatus WHEN 'X' THEN '2' ELSE '1' END AS provider_id,
                CASE o_orderpriority WHEN '1-URGENT' THEN '10-K' WHEN '2-HIGH' THEN '10-Q'
                     WHEN '3-MEDIUM' THEN '20-F' WHEN '4-NOT SPECIFIED' THEN '10-K/A' ELSE 'DEF 14A' END AS form,
                lpad(CASE o_custkey % 10 WHEN 1 THEN CAST(o_custkey + 1 AS STRING) WHEN 2 THEN '90000001'
@@ -63,7 +64,8 @@ VIEWS = {
                o_orderkey AS raw_document_id, CAST(o_orderdate AS TIMESTAMP) AS created_at
         FROM {orders}""",
     "financial_facts": """
-        SELECT o_custkey AS company_id, o_orderkey AS filing_id, '1' AS provider_id,
+        SELECT o_custkey AS company_id, o_orderkey AS filing_id,
+               CASE o_orderstatus WHEN 'X' THEN '2' ELSE '1' END AS provider_id,
                CASE l_suppkey % 5 WHEN 0 THEN 'ifrs-full' WHEN 1 THEN 'dei' ELSE 'us-gaap' END AS namespace,
                CASE CAST(l_linenumber AS STRING) || l_returnflag
                     WHEN '1A' THEN 'Revenues' WHEN '1N' THEN 'SalesRevenueNet' WHEN '1R' THEN 'OtherRevenue'
