@@ -12,6 +12,7 @@ from periodica import constants
 from periodica.operators.aggregates import coverage, distinct_list, duplicates, provenance_counters
 from periodica.operators.filters import is_stale
 from periodica.schemas import NATURAL_KEYS
+from periodica.session import scratch_dir
 
 Tables = Mapping[str, DataFrame]
 
@@ -160,7 +161,11 @@ def stub_companies(t: Tables, agent_min: int = 4) -> DataFrame:
     core = t["filings"].where(F.col("form").isin(*constants.CORE_FORMS)).select(
         F.col("id").alias("filing_id"), "company_id", F.left("accession_number", F.lit(10)).alias("prefix")
     )
-    prefixes = core.join(per_filing, "filing_id").groupBy("company_id", "prefix").agg(F.sum("facts").alias("facts"))
+    # All steps below work on this small aggregate; kept once, the facts are read once.
+    scratch_dir(core.sparkSession)
+    prefixes = (
+        core.join(per_filing, "filing_id").groupBy("company_id", "prefix").agg(F.sum("facts").alias("facts")).checkpoint()
+    )
     agents = prefixes.groupBy("prefix").agg(F.count("*").alias("n")).where(F.col("n") >= agent_min).select("prefix")
     ciks = t["company_identifiers"].where("identifier_type = 'CIK'").select(
         "company_id", F.col("identifier_value").alias("company_cik")
