@@ -377,6 +377,44 @@ def lookup_recent_filings(v: Views) -> DataFrame:
     return lookups.recent_filings(v, 3).select("id", "company_id", "form", "accession_number", "filing_date")
 
 
+@query(
+    """SELECT id, company_id, ticker, exchange_id FROM {company_listings} l
+    WHERE EXISTS (SELECT 1 FROM {prices} p JOIN {company_listings} k ON k.id = p.listing_id WHERE k.ticker = l.ticker)"""
+)
+def lookup_listings(v: Views) -> DataFrame:
+    """Listings by ticker: every listing that shares its ticker with a priced one."""
+    priced = v["prices"].select(F.col("listing_id").alias("id"))
+    wanted = v["company_listings"].join(priced, "id", "left_semi").select("ticker").distinct()
+    return lookups.lookup(v, "listing", wanted).select("id", "company_id", "ticker", "exchange_id")
+
+
+@query(
+    """SELECT f.id, f.form, f.accession_number FROM {filings} f JOIN {orders} o ON o.o_orderkey = f.id
+    WHERE o.o_orderstatus = 'P'"""
+)
+def lookup_filings(v: Views) -> DataFrame:
+    """Filings by provider and accession number."""
+    pending = v["orders"].where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("id"))
+    wanted = v["filings"].join(pending, "id", "left_semi").select("provider_id", "accession_number")
+    return lookups.lookup(v, "filing", wanted).select("id", "form", "accession_number")
+
+
+@query(
+    """SELECT e.id, e.code, e.name FROM {exchanges} e WHERE e.code IN (SELECT exchange_id FROM {company_listings} WHERE is_primary)"""
+)
+def lookup_exchanges(v: Views) -> DataFrame:
+    wanted = v["company_listings"].where("is_primary").select(F.col("exchange_id").alias("code")).distinct()
+    return lookups.lookup(v, "exchange", wanted).select("id", "code", "name")
+
+
+@query(
+    """SELECT id, name, type FROM {data_providers} WHERE name IN (SELECT 'Provider ' || r_name FROM {region} WHERE r_name LIKE 'A%')"""
+)
+def lookup_providers(v: Views) -> DataFrame:
+    wanted = v["region"].where("r_name LIKE 'A%'").select(F.concat(F.lit("Provider "), "r_name").alias("name"))
+    return lookups.lookup(v, "provider", wanted)
+
+
 @query("SELECT id, legal_name, country FROM {companies} WHERE is_active ORDER BY legal_name, id LIMIT 100 OFFSET 200")
 def company_page(v: Views) -> DataFrame:
     """Active companies by name: the third page of one hundred."""

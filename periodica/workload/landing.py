@@ -217,7 +217,7 @@ _SOURCE = """'9' || CAST(f.filing_id AS VARCHAR) || '|' || namespace || ':' || c
 
 
 @query(
-    f"""SELECT f.company_id, f.concept, f.value, f.unit, f.period_start, f.period_end, year(f.period_end) AS fiscal_year,
+    f"""SELECT f.company_id, f.concept, f.value, f.unit, f.period_start, f.period_end, CAST(year(f.period_end) AS INT) AS fiscal_year,
            f.fiscal_period, f.filing_date, o.o_orderkey AS filing_id, {_SOURCE} AS source_id
     FROM {{financial_facts}} f LEFT JOIN {{orders}} o ON o.o_orderkey = f.filing_id AND o.o_orderstatus <> 'F'
     WHERE f.concept NOT IN ('GrossProfit', 'InterestIncomeOperating')""",

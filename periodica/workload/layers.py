@@ -267,7 +267,7 @@ def field_coverage(v: Views) -> DataFrame:
 @query(
     """WITH ours AS (SELECT company_id, fiscal_year, concept, max(value) AS value FROM {financial_facts}
                      WHERE concept IN ('Revenues', 'SalesRevenueNet') GROUP BY 1, 2, 3),
-    theirs AS (SELECT o_custkey AS company_id, year(o_orderdate) AS fiscal_year, max(o_totalprice) AS total,
+    theirs AS (SELECT o_custkey AS company_id, CAST(year(o_orderdate) AS INT) AS fiscal_year, max(o_totalprice) AS total,
                       avg(o_totalprice) AS operating FROM {orders} GROUP BY 1, 2),
     chosen AS (SELECT company_id, fiscal_year, concept, CAST(value AS DOUBLE) AS value,
                       CASE concept WHEN 'SalesRevenueNet' THEN operating ELSE total END AS other_value

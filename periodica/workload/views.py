@@ -59,7 +59,7 @@ VIEWS = {
                lpad(CASE o_custkey % 10 WHEN 1 THEN CAST(o_custkey + 1 AS STRING) WHEN 2 THEN '90000001'
                          WHEN 3 THEN '90000002' ELSE CAST(o_custkey AS STRING) END, 10, '0')
                  || '-' || CAST(o_orderkey AS STRING) AS accession_number,
-               CAST(o_orderdate AS DATE) AS filing_date, year(o_orderdate) AS fiscal_year,
+               CAST(o_orderdate AS DATE) AS filing_date, CAST(year(o_orderdate) AS INT) AS fiscal_year,
                'FY' AS fiscal_period, make_date(year(o_orderdate) - 1, 12, 31) AS period_end,
                o_orderkey AS raw_document_id, CAST(o_orderdate AS TIMESTAMP) AS created_at
         FROM {orders}""",
@@ -86,7 +86,7 @@ VIEWS = {
                CASE l_suppkey % 4 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' WHEN 2 THEN 'GBP'
                     ELSE CASE WHEN l_linenumber = 7 THEN 'EUR/shares' ELSE 'XXX' END END AS unit,
                CASE WHEN l_linenumber IN (1, 2, 6) THEN make_date(year(l_shipdate), 1, 1) END AS period_start,
-               make_date(year(l_shipdate), 12, 31) AS period_end, year(l_shipdate) AS fiscal_year,
+               make_date(year(l_shipdate), 12, 31) AS period_end, CAST(year(l_shipdate) AS INT) AS fiscal_year,
                CASE WHEN l_linestatus = 'F' THEN 'FY' ELSE 'Q3' END AS fiscal_period,
                CAST(l_orderkey AS STRING) || '|' || CAST(l_linenumber AS STRING) || '|' || CAST(l_partkey AS STRING)
                  || '|' || CAST(l_suppkey AS STRING) || '|' || CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING)
