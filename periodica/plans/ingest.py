@@ -205,8 +205,8 @@ def normalize_facts(values: DataFrame) -> DataFrame:
 def validate_facts(facts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Valid rows, and rejected rows with the messages of the rules they break."""
     instant = F.col("is_instant") if "is_instant" in facts.columns else None
-    checked = facts.withColumn("errors", rules.errors(instant))
-    return checked.where("size(errors) = 0").drop("errors"), checked.where("size(errors) > 0")
+    fine = rules.is_valid(instant)
+    return facts.where(fine), facts.where(~fine).withColumn("errors", rules.errors(instant))
 
 
 def fact_rows(values: DataFrame, identifiers: DataFrame, filings: DataFrame, provider_id: str) -> DataFrame:
