@@ -41,11 +41,19 @@ class WriteStats:
 
 
 class ParquetTable:
-    """A versioned Parquet folder with a declared schema."""
+    """A versioned Parquet folder with a declared schema.
 
-    def __init__(self, spark: SparkSession, path: str, schema: StructType, partition_by: Sequence[str] = ()) -> None:
+    Partitioned tables are written through a rebalancing shuffle on the partition
+    columns, so that a partition gets few files of even size however many tasks
+    produce it, each sorted by ``sort_by`` for row-group skipping.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, schema: StructType, partition_by: Sequence[str] = (),
+        sort_by: Sequence[str] = (),
+    ) -> None:
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.partition_by = list(partition_by)
+        self.partition_by, self.sort_by = list(partition_by), list(sort_by)
 
     def version(self) -> int:
         """Number of the newest committed version, 0 when there is none."""
@@ -63,27 +71,31 @@ class ParquetTable:
         version = self.version()
         if not version:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.folder(version))
+        stored = self.spark.read.schema(self.schema).parquet(self.folder(version))
+        return stored.select(*self.schema.names)
 
-    def _save(self, df: DataFrame, mode: str, folder: str) -> None:
+    def _save(self, df: DataFrame, mode: str, folder: str) -> int:
         aligned = df.select(
             *[
                 (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
                 for f in self.schema
             ]
         )
-        aligned.write.mode(mode).partitionBy(*self.partition_by).parquet(folder)
-
-    def replace(self, df: DataFrame) -> None:
+        if self.partition_by:
+            aligned = aligned.hint("rebalance", *[F.col(c) for c in self.partition_by])
+            aligned = aligned.sortWithinPartitions(*self.partition_by, *self.sort_by)
+        counted, seen = observe_counts(aligned, "written")
+        counted.write.mode(mode).partitionBy(*self.partition_by).parquet(folder)
+        return seen.get["rows"]
+
+    def replace(self, df: DataFrame) -> int:
         """Write the next version; the one being read from stays untouched."""
-        self._save(df, "overwrite", self.folder(self.version() + 1))
+        return self._save(df, "overwrite", self.folder(self.version() + 1))
 
-    def append(self, df: DataFrame) -> None:
+    def append(self, df: DataFrame) -> int:
+        """Add rows to the current version and return their number."""
         version = self.version()
-        if version:
-            self._save(df, "append", self.folder(version))
-        else:
-            self.replace(df)
+        return self._save(df, "append", self.folder(version)) if version else self.replace(df)
 
 
 def _orderable(df: DataFrame, skip: Sequence[str]) -> list[str]:
@@ -145,18 +157,20 @@ def insert_new(
     """
     target = table.read()
     folded = first_per_key(batch, keys, order)
-    if prune and table.version():
-        # The batch is read for its partitions and for its rows, so its work is kept once.
+    if not table.partition_by:
+        flagged = flag_existing(folded, target, keys)
+        counted, seen = observe_counts(flagged, "insert_new", processed=F.sum("_copies"))
+        inserted = table.append(counted.where(~F.col("_exists")))
+        processed = seen.get["processed"] or 0
+    else:
+        # Writing rearranges the rows, so the batch is kept: it is counted, read for
+        # its partitions and read for its rows.
         scratch_dir(table.spark)
         folded = folded.checkpoint()
-        target = target.join(folded.select(*prune).distinct(), list(prune), "left_semi")
-    flagged = flag_existing(folded, target, keys)
-    new = ~F.col("_exists")
-    counted, seen = observe_counts(
-        flagged, "insert_new", processed=F.sum("_copies"), inserted=F.count_if(new)
-    )
-    table.append(counted.where(new))
-    processed, inserted = seen.get["processed"] or 0, seen.get["inserted"]
+        processed = folded.agg(F.sum("_copies").alias("n")).first()["n"] or 0
+        if prune:
+            target = target.join(folded.select(*prune).distinct(), list(prune), "left_semi")
+        inserted = table.append(flag_existing(folded, target, keys).where(~F.col("_exists")))
     return WriteStats(processed=processed, inserted=inserted, skipped=processed - inserted)
 
 

@@ -29,7 +29,7 @@ def build_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.parquet.filterPushdown": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if input_bytes:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))

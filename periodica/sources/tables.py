@@ -14,6 +14,7 @@ from periodica.schemas import TABLES, schema
 
 # Facts are stored by fiscal year, so year filters skip whole folders.
 PARTITIONS = {"financial_facts": ["fiscal_year"]}
+SORTED = {"financial_facts": ["company_id", "concept"]}
 
 
 class Catalog:
@@ -23,7 +24,7 @@ class Catalog:
         self.spark, self.root = spark, root.rstrip("/")
 
     def store(self, name: str) -> ParquetTable:
-        return ParquetTable(self.spark, f"{self.root}/{name}", schema(name), PARTITIONS.get(name, ()))
+        return ParquetTable(self.spark, f"{self.root}/{name}", schema(name), PARTITIONS.get(name, ()), SORTED.get(name, ()))
 
     def table(self, name: str, *columns: str) -> DataFrame:
         """Current rows of a table, optionally only some columns."""

@@ -69,7 +69,9 @@ def test_partitioned_insert_reads_touched_partitions(spark, tmp_path):
 def test_failed_batch_counts_as_skipped(spark, tmp_path):
     t = table(spark, tmp_path)
     insert_new(t, literal_table(spark, [("a", 1, "x")], ROW), ["k"])
-    broken = literal_table(spark, [("b", 1, "x"), ("c", 2, "y")], ROW).withColumn("n", F.col("v").cast("int"))
+    broken = spark.range(2).select(F.col("id").cast("string").alias("k"), F.concat(F.lit("x"), "id").alias("v")).withColumn(
+        "n", F.col("v").cast("int")
+    )
     stats = insert_guarded(t, broken, ["k"])
     assert (stats.inserted, stats.skipped) == (0, 2) and stats.error
     assert content(t) == [("a", 1, "x")]
