@@ -45,12 +45,12 @@ _SERIES = ("revenue", "net_income", "total_assets", "stockholders_equity", "tota
 
 @query(
     f"""WITH {_CIKS}
-    SELECT ci.cik, c.legal_name, c.sector, c.industry, c.country,
-           min(f.fiscal_year) AS earliest_fiscal_year, max(f.fiscal_year) AS latest_fiscal_year,
-           count(DISTINCT f.source_id) AS total_facts, count(DISTINCT fi.id) AS total_filings
-    FROM {{companies}} c JOIN ciks ci ON c.id = ci.company_id
-    LEFT JOIN {{financial_facts}} f ON c.id = f.company_id LEFT JOIN {{filings}} fi ON c.id = fi.company_id
-    GROUP BY 1, 2, 3, 4, 5""",
+    SELECT ci.cik, c.legal_name, c.sector, c.industry, c.country, f.earliest_fiscal_year, f.latest_fiscal_year,
+           coalesce(f.n, 0) AS total_facts, coalesce(n.n, 0) AS total_filings
+    FROM ciks ci JOIN {{companies}} c ON c.id = ci.company_id
+    LEFT JOIN (SELECT company_id, min(fiscal_year) AS earliest_fiscal_year, max(fiscal_year) AS latest_fiscal_year,
+                      count(*) AS n FROM {{financial_facts}} GROUP BY 1) f ON f.company_id = c.id
+    LEFT JOIN (SELECT company_id, count(*) AS n FROM {{filings}} GROUP BY 1) n ON n.company_id = c.id""",
     longs="total_facts total_filings",
 )
 def company_overview(v: Views) -> DataFrame:
@@ -89,8 +89,7 @@ _OPTIONAL = ("current_assets", "current_liabilities", "shares_outstanding")
     f"""WITH {_CIKS},
     years AS (SELECT f.company_id, f.fiscal_year, {_pivot((*_SHOWN, *_OPTIONAL), _SHOWN)}
               FROM {{financial_facts}} f WHERE f.fiscal_year > 0 GROUP BY 1, 2),
-    newest AS (SELECT p.listing_id, p.close FROM {{prices}} p
-               WHERE p.price_date = (SELECT max(q.price_date) FROM {{prices}} q WHERE q.listing_id = p.listing_id)),
+    newest AS (SELECT listing_id, arg_max(close, price_date) AS close FROM {{prices}} GROUP BY 1),
     quoted AS (SELECT cl.company_id, n.close AS price FROM {{company_listings}} cl LEFT JOIN newest n ON n.listing_id = cl.id
                WHERE cl.is_active AND cl.is_primary)
     SELECT ci.cik, y.fiscal_year, {", ".join(_SHOWN)},
@@ -118,7 +117,7 @@ _COMPARED = ("revenue", "net_income", "stockholders_equity", "total_liabilities"
     years AS (SELECT ci.cik, f.fiscal_year, {_pivot(_COMPARED, _COMPARED)}
               FROM {{financial_facts}} f JOIN ciks ci ON f.company_id = ci.company_id
               WHERE f.fiscal_year > 0 GROUP BY 1, 2),
-    latest AS (SELECT * FROM years WHERE (cik, fiscal_year) IN (SELECT (cik, max(fiscal_year)) FROM years GROUP BY cik))
+    latest AS (SELECT * FROM years QUALIFY row_number() OVER (PARTITION BY cik ORDER BY fiscal_year DESC) = 1)
     SELECT l.cik, l.fiscal_year AS latest_fiscal_year, l.revenue, l.net_income,
            {_pct("l.net_income", "l.stockholders_equity")} AS roe_pct, {_pct("l.net_income", "l.revenue")} AS net_margin_pct,
            {_div("l.total_liabilities", "l.stockholders_equity")} AS debt_to_equity,

@@ -235,15 +235,13 @@ _CORE_FORMS = "('10-K', '10-K/A', '10-Q', '10-Q/A', '20-F', '20-F/A', '40-F', '4
     f"""WITH prefixes AS (
       SELECT f.company_id, left(f.accession_number, 10) AS prefix, count(*) AS facts
       FROM {{filings}} f JOIN {{financial_facts}} ff ON ff.filing_id = f.id WHERE f.form IN {_CORE_FORMS} GROUP BY 1, 2),
-    agents AS (SELECT prefix FROM prefixes GROUP BY 1 HAVING count(DISTINCT company_id) > 3),
-    ciks AS (SELECT company_id, identifier_value AS cik FROM {{company_identifiers}} WHERE identifier_type = 'CIK')
-    SELECT c.legal_name, k.cik AS company_cik, l.ticker, sum(m.facts) AS n_core_facts,
-           string_agg(DISTINCT m.prefix, ', ' ORDER BY m.prefix) AS filing_prefixes
-    FROM {{companies}} c JOIN ciks k ON k.company_id = c.id
-    JOIN {{company_listings}} l ON l.company_id = c.id AND l.is_active JOIN prefixes m ON m.company_id = c.id
-    WHERE NOT EXISTS (SELECT 1 FROM prefixes p WHERE p.company_id = c.id AND p.prefix = k.cik)
-      AND NOT EXISTS (SELECT 1 FROM prefixes p JOIN agents a ON a.prefix = p.prefix WHERE p.company_id = c.id)
-    GROUP BY 1, 2, 3""",
+    marked AS (SELECT *, count(*) OVER (PARTITION BY prefix) > 3 AS by_agent FROM prefixes)
+    SELECT c.legal_name, i.identifier_value AS company_cik, l.ticker, sum(m.facts) AS n_core_facts,
+           string_agg(m.prefix, ', ' ORDER BY m.prefix) AS filing_prefixes
+    FROM marked m JOIN {{companies}} c ON c.id = m.company_id JOIN {{company_listings}} l USING (company_id)
+    JOIN {{company_identifiers}} i USING (company_id)
+    WHERE l.is_active AND i.identifier_type = 'CIK' GROUP BY 1, 2, 3
+    HAVING NOT bool_or(m.by_agent) AND NOT bool_or(m.prefix = i.identifier_value)""",
     longs="n_core_facts",
 )
 def stub_companies(v: Views) -> DataFrame:
@@ -251,12 +249,13 @@ def stub_companies(v: Views) -> DataFrame:
 
 
 @query(
-    """SELECT l.ticker, count(DISTINCT i.identifier_value) AS n_ciks,
-           string_agg(DISTINCT i.identifier_value, ', ' ORDER BY i.identifier_value) AS ciks,
-           string_agg(DISTINCT c.legal_name, ' | ' ORDER BY c.legal_name) AS companies
-    FROM {company_listings} l JOIN {companies} c ON c.id = l.company_id
-    JOIN {company_identifiers} i ON i.company_id = c.id AND i.identifier_type = 'CIK'
-    WHERE l.is_active GROUP BY 1 HAVING count(DISTINCT i.identifier_value) > 1""",
+    """WITH pairs AS (SELECT l.ticker, i.identifier_value AS cik, c.legal_name FROM {company_listings} l
+      JOIN {companies} c ON c.id = l.company_id JOIN {company_identifiers} i ON i.company_id = c.id
+      WHERE l.is_active AND i.identifier_type = 'CIK')
+    SELECT ticker, len(list_distinct(list(cik))) AS n_ciks,
+           array_to_string(list_sort(list_distinct(list(cik))), ', ') AS ciks,
+           array_to_string(list_sort(list_distinct(list(legal_name))), ' | ') AS companies
+    FROM pairs GROUP BY 1 HAVING min(cik) <> max(cik)""",
     longs="n_ciks",
 )
 def multi_cik_tickers(v: Views) -> DataFrame:
@@ -278,11 +277,12 @@ def tickers_without_facts(v: Views) -> DataFrame:
 
 @query(
     f"""WITH {_BAD_SQL}, wanted AS (SELECT lower(ticker) AS ticker FROM {{company_listings}} UNION SELECT c_mktsegment FROM {{customer}})
-    SELECT w.ticker, CASE WHEN NOT EXISTS (SELECT 1 FROM bad_company_listings l WHERE upper(l.ticker) = upper(w.ticker))
-                          THEN 'no company_listings row' ELSE 'no CIK identifier' END AS failure
-    FROM wanted w WHERE NOT EXISTS (
-      SELECT 1 FROM bad_company_listings l JOIN bad_company_identifiers i
-        ON i.company_id = l.company_id AND i.identifier_type = 'CIK' WHERE upper(l.ticker) = upper(w.ticker))"""
+    SELECT w.ticker, CASE WHEN k.tick IS NULL THEN 'no company_listings row' ELSE 'no CIK identifier' END AS failure
+    FROM wanted w LEFT JOIN (
+      SELECT upper(l.ticker) AS tick, bool_or(i.company_id IS NOT NULL) AS numbered FROM bad_company_listings l
+      LEFT JOIN (SELECT DISTINCT company_id FROM bad_company_identifiers WHERE identifier_type = 'CIK') i USING (company_id)
+      GROUP BY 1) k ON k.tick = upper(w.ticker)
+    WHERE NOT coalesce(k.numbered, false)"""
 )
 def unresolved_universe(v: Views) -> DataFrame:
     wanted = v["company_listings"].select(F.lower("ticker").alias("ticker")).union(

@@ -23,60 +23,41 @@ MAPPING = f"cn(namespace, concept, field, normalized_concept, combine) AS (VALUE
 CODES = f"codes(code) AS (VALUES {_values('currencies', 1)})"
 MATCH = "cn.concept = ff.concept AND (cn.namespace = '*' OR cn.namespace = ff.namespace)"
 
-_OTHER = ", ".join(
-    f"max(ff.value) FILTER (WHERE cn.field = '{field}') AS {name}" for name, field in constants.CORE_FIELDS.items()
+_FIELDS = ", ".join(f"'{f}'" for f in ("revenue", *constants.CORE_FIELDS.values()))
+_BEST = ", ".join(
+    f"max(CASE field WHEN '{field}' THEN value END) AS {name}" for name, field in constants.CORE_FIELDS.items()
 )
-_FIELDS = ", ".join(f"'{f}'" for f in constants.CORE_FIELDS.values())
 _USD = ",\n".join(
     f"c.{m}, CASE WHEN c.currency = 'USD' THEN CAST(c.{m} AS DOUBLE) "
-    f"WHEN fx.rate IS NOT NULL THEN CAST(c.{m} AS DOUBLE) * CAST(fx.rate AS DOUBLE) END AS {m}_usd"
+    f"ELSE CAST(c.{m} AS DOUBLE) * CAST(r.usd_per_unit AS DOUBLE) END AS {m}_usd"
     for m in constants.CORE_METRICS
 )
 
 
-def _core_sql(parts: str) -> str:
-    """Two grouped halves joined fully, then the latest rate per row."""
+def _core_sql(versions: str) -> str:
+    """Tagged facts to yearly rows; ``versions`` picks the component rows to add up."""
     return f"""
         {MAPPING}, {CODES},
-        components AS ({parts}),
-        revenue_parts AS (
-          SELECT ff.company_id, ff.fiscal_year, ff.period_end,
-                 max(ff.value) FILTER (WHERE cn.combine IS NULL) AS total_rev,
-                 max(ff.unit) FILTER (WHERE cn.combine IS NULL AND ff.unit IN (SELECT code FROM codes)) AS currency
-          FROM {{financial_facts}} ff JOIN cn ON {MATCH}
-          WHERE cn.field = 'revenue' AND ff.fiscal_period = 'FY' GROUP BY 1, 2, 3),
-        other_fields AS (
-          SELECT ff.company_id, ff.fiscal_year, ff.period_end, {_OTHER},
-                 max(ff.unit) FILTER (WHERE cn.field = 'total_assets' AND ff.unit IN (SELECT code FROM codes)) AS currency
-          FROM {{financial_facts}} ff JOIN cn ON {MATCH}
-          WHERE cn.field IN ({_FIELDS}) AND ff.fiscal_period = 'FY' GROUP BY 1, 2, 3),
-        core AS (
-          SELECT coalesce(r.company_id, o.company_id) AS company_id, coalesce(r.fiscal_year, o.fiscal_year) AS fiscal_year,
-                 coalesce(r.period_end, o.period_end) AS period_end, coalesce(r.total_rev, p.components_rev) AS revenue,
-                 {", ".join(f"o.{name}" for name in constants.CORE_FIELDS)}, coalesce(r.currency, o.currency) AS currency
-          FROM revenue_parts r
-          FULL OUTER JOIN other_fields o ON r.company_id = o.company_id AND r.fiscal_year = o.fiscal_year
-                                         AND r.period_end = o.period_end
-          LEFT JOIN components p ON r.company_id = p.company_id AND r.fiscal_year = p.fiscal_year
-                                 AND r.period_end = p.period_end)"""
-
-
-_ALL_PARTS = f"""SELECT ff.company_id, ff.fiscal_year, ff.period_end, sum(ff.value) AS components_rev
-          FROM {{financial_facts}} ff JOIN cn ON {MATCH}
-          WHERE cn.field = 'revenue' AND cn.combine = 'sum' AND ff.fiscal_period = 'FY' GROUP BY 1, 2, 3"""
-_LATEST_PARTS = f"""SELECT company_id, fiscal_year, period_end, sum(value) AS components_rev FROM (
-            SELECT ff.company_id, ff.fiscal_year, ff.period_end, ff.value,
-                   row_number() OVER (PARTITION BY ff.company_id, ff.fiscal_year, ff.period_end, ff.concept, ff.namespace,
-                                      ff.unit, ff.period_start
-                                      ORDER BY ff.filing_date DESC, ff.source_id DESC, ff.value DESC) AS rn
-            FROM {{financial_facts}} ff JOIN cn ON {MATCH}
-            WHERE cn.field = 'revenue' AND cn.combine = 'sum' AND ff.fiscal_period = 'FY') v
-          WHERE rn = 1 GROUP BY 1, 2, 3"""
+        tagged AS (SELECT ff.*, cn.field, cn.combine, codes.code AS money FROM {{financial_facts}} ff JOIN cn ON {MATCH}
+                   LEFT JOIN codes ON codes.code = ff.unit WHERE ff.fiscal_period = 'FY' AND cn.field IN ({_FIELDS})),
+        summed AS (SELECT company_id, fiscal_year, period_end, sum(value) AS parts FROM ({versions}) x GROUP BY ALL),
+        yearly AS (SELECT company_id, fiscal_year, period_end, {_BEST},
+                          max(CASE WHEN field = 'revenue' AND combine IS NULL THEN value END) AS reported,
+                          max(CASE WHEN field = 'revenue' AND combine IS NULL THEN money END) AS revenue_money,
+                          max(CASE WHEN field = 'total_assets' THEN money END) AS assets_money
+                   FROM tagged GROUP BY ALL),
+        core AS (SELECT company_id, fiscal_year, period_end, coalesce(reported, parts) AS revenue,
+                        {", ".join(constants.CORE_FIELDS)}, coalesce(revenue_money, assets_money) AS currency
+                 FROM yearly LEFT JOIN summed USING (company_id, fiscal_year, period_end))"""
+
+
+_ALL_PARTS = "SELECT * FROM tagged WHERE combine = 'sum'"
+_LATEST_PARTS = """SELECT * FROM tagged WHERE combine = 'sum' QUALIFY row_number() OVER (
+            PARTITION BY company_id, fiscal_year, period_end, concept, namespace, unit, period_start
+            ORDER BY filing_date DESC, source_id DESC, value DESC) = 1"""
 CORE = _core_sql(_ALL_PARTS)
 WITH_USD = f"""SELECT c.company_id, c.fiscal_year, c.period_end, {_USD}, c.currency
-        FROM core c LEFT JOIN LATERAL (
-          SELECT r.usd_per_unit AS rate FROM {{fx_rates}} r
-          WHERE r.currency = c.currency AND r.rate_date <= c.period_end ORDER BY r.rate_date DESC LIMIT 1) fx ON true"""
+        FROM core c ASOF LEFT JOIN {{fx_rates}} r ON r.currency = c.currency AND c.period_end >= r.rate_date"""
 AMOUNTS = " ".join(x for m in constants.CORE_METRICS for x in (m, f"{m}_usd"))
 METRICS = " ".join(constants.CORE_METRICS)
 
@@ -216,26 +197,25 @@ def fx_choice(v: Views) -> DataFrame:
 
 
 _LATEST = f"""WITH {CORE},
-    latest AS (SELECT c.* FROM core c JOIN (
-        SELECT company_id, fiscal_year, max(period_end) AS period_end FROM core WHERE fiscal_year >= 1996
-        GROUP BY company_id, fiscal_year) l USING (company_id, fiscal_year, period_end)),
-    effective AS (SELECT *, coalesce(total_liabilities, total_assets - stockholders_equity) AS liabilities FROM latest),
-    gaps AS (SELECT company_id, fiscal_year,
-                    CAST(abs(total_assets - (liabilities + stockholders_equity)) AS DOUBLE)
-                      / nullif(CAST(total_assets AS DOUBLE), 0) AS diff FROM effective)"""
+    latest AS (SELECT *, CAST(abs(total_assets - (coalesce(total_liabilities, total_assets - stockholders_equity)
+                                                  + stockholders_equity)) AS DOUBLE)
+                         / nullif(CAST(total_assets AS DOUBLE), 0) AS gap
+               FROM core WHERE fiscal_year >= 1996
+               QUALIFY row_number() OVER (PARTITION BY company_id, fiscal_year ORDER BY period_end DESC) = 1)"""
+def _issue(name: str, field: str, severity: str, value: str, condition: str) -> str:
+    return (
+        f"SELECT company_id, fiscal_year, '{field}' AS field, '{name}' AS issue_type, '{severity}' AS severity, "
+        f"CAST({value} AS DOUBLE) AS value FROM latest WHERE {condition}"
+    )
+
+
+_MARGIN = "revenue > 0 AND CAST(gross_profit AS DECIMAL(38,10)) > CAST(revenue AS DECIMAL(28,10)) * 1.01"
 _ISSUES = {
-    "negative_revenue": "SELECT company_id, fiscal_year, 'revenue' AS field, 'negative_revenue' AS issue_type, "
-    "'error' AS severity, CAST(min(revenue) AS DOUBLE) AS value FROM latest WHERE revenue < 0 GROUP BY 1, 2",
-    "unbalanced": "SELECT company_id, fiscal_year, 'balance' AS field, 'unbalanced' AS issue_type, 'error' AS severity, "
-    "min(diff) AS value FROM gaps WHERE diff > 0.01 GROUP BY 1, 2",
-    "absurd_margin": "SELECT company_id, fiscal_year, 'gross_margin' AS field, 'absurd_margin' AS issue_type, "
-    "'error' AS severity, CAST(min(gross_profit) AS DOUBLE) AS value FROM latest "
-    "WHERE revenue > 0 AND CAST(gross_profit AS DECIMAL(38,10)) > CAST(revenue AS DECIMAL(28,10)) * 1.01 GROUP BY 1, 2",
-    "future_date": "SELECT company_id, fiscal_year, 'period_end' AS field, 'future_date' AS issue_type, "
-    "'warning' AS severity, CAST(min(year(period_end)) AS DOUBLE) AS value FROM latest "
-    "WHERE period_end > DATE '1998-06-30' + INTERVAL 2 YEAR GROUP BY 1, 2",
-    "zero_revenue": "SELECT company_id, fiscal_year, 'revenue' AS field, 'zero_revenue' AS issue_type, "
-    "'warning' AS severity, CAST(0 AS DOUBLE) AS value FROM latest WHERE revenue = 0 GROUP BY 1, 2",
+    "negative_revenue": _issue("negative_revenue", "revenue", "error", "revenue", "revenue < 0"),
+    "unbalanced": _issue("unbalanced", "balance", "error", "gap", "gap > 0.01"),
+    "absurd_margin": _issue("absurd_margin", "gross_margin", "error", "gross_profit", _MARGIN),
+    "future_date": _issue("future_date", "period_end", "warning", "year(period_end)", "period_end > DATE '2000-06-30'"),
+    "zero_revenue": _issue("zero_revenue", "revenue", "warning", "0", "revenue = 0"),
 }
 
 
