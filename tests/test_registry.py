@@ -25,7 +25,7 @@ def test_query_equals_oracle(spark, con, name):
 
 def test_contract(spark):
     assert contract.entry(spark).count() > 0
-    assert set(contract.queries()) == set(contract.oracle_sql()) == set(load())
+    assert set(load()) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def plan(df):
