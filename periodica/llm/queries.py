@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodica.llm import line_dedup, secrets, token_counts, warc
+from periodica.llm import (
+    decontaminate, fingerprints, kneser_ney, line_dedup, minhash, packing, secrets, token_counts, warc,
+)
 from periodica.llm.common import new_folder, table
 from periodica.llm.oracles import ORACLES
 
@@ -36,6 +38,19 @@ def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents scored by the model of nine tenths of them."""
+    return kneser_ney.train_and_score(table(spark, folder, "documents"))
+
+
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark windows found in all documents."""
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated")
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """The length curve of all documents under a byte-level vocabulary."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -48,8 +63,28 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    blocks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return fingerprints.edited_fingerprints(table(spark, folder, "documents"), min(blocks, 1 << 16))
+
+
+def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of all documents linked by their word pairs."""
+    return minhash.near_duplicates(table(spark, folder, "documents"), words=2, percent=80)
+
+
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences of 4096 ids."""
+    return packing.pack_documents(
+        table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op2_secrets, op6_token_counts, op7_line_dedup)
+    f.__name__: f for f in (
+        op1_warc, op2_secrets, op3_lm_score, op4_decontaminate, op6_token_counts, op7_line_dedup, op8_fingerprints,
+        op9_near_dedup, op10_packing,
+    )
 }
 
 __all__ = ["ORACLES", "QUERIES"]
