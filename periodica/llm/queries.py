@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from periodica.llm import (
-    decontaminate, fingerprints, kneser_ney, line_dedup, minhash, packing, secrets, token_counts, warc,
+    decontaminate, fingerprints, kneser_ney, line_dedup, minhash, packing, secrets, token_counts,
+    toxicity, warc,
 )
-from periodica.llm.common import new_folder, table
+from periodica.llm.common import crc_remainder_column, new_folder, table
 from periodica.llm.oracles import ORACLES
 
 
@@ -51,6 +52,14 @@ def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         "contaminated")
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents scored by a classifier learned from two thirds of them."""
+    docs = table(spark, folder, "documents")
+    held_out = crc_remainder_column(F.col("doc_id"), 3) == 1
+    classifier = toxicity.train(docs, table(spark, folder, "labels"), ~held_out)
+    return toxicity.score(docs, classifier, held_out)
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """The length curve of all documents under a byte-level vocabulary."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -82,8 +91,8 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_warc, op2_secrets, op3_lm_score, op4_decontaminate, op6_token_counts, op7_line_dedup, op8_fingerprints,
-        op9_near_dedup, op10_packing,
+        op1_warc, op2_secrets, op3_lm_score, op4_decontaminate, op5_toxicity, op6_token_counts, op7_line_dedup,
+        op8_fingerprints, op9_near_dedup, op10_packing,
     )
 }
 
