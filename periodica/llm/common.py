@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 import zlib
 
@@ -41,6 +42,18 @@ def text_of(column: Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))
 
 
+def text_key(text: str | None) -> bytes | None:
+    """The MD5 of a text, which with the id tells rows apart."""
+    return None if text is None else hashlib.md5(text.encode("utf-8", "surrogatepass")).digest()
+
+
+def without(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without the rows whose id and text (by ``text_key``) are in ``found``; nulls equal nulls."""
+    gone = found.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
+    same = F.col(doc_id).eqNullSafe(F.col("gone_id")) & F.unhex(F.md5(F.col(text))).eqNullSafe(F.col("gone_key"))
+    return docs.join(staged(gone, "gone"), same, "left_anti")
+
+
 def space_words(text: str | None) -> list[bytes]:
     """Words between ASCII white space, A-Z lower-cased, as UTF-8."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from periodica.llm.common import alnum_words, staged
+from periodica.llm.common import alnum_words, staged, text_key
 
 WINDOW = 13
 #: Words per shingle; windows of fewer words are one shingle.
@@ -129,9 +129,10 @@ def candidates(docs: DataFrame, shared, sizes: list[int], doc_id: str, text: str
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
-            counts, offsets, shingles, places, lows, around = [], [0], [], [], [], []
-            for text_value in batch.column(2):
-                words = alnum_words(text_value.as_py())
+            keys, counts, offsets, shingles, places, lows, around = [], [], [0], [], [], [], []
+            for text_value in batch.column(2).to_pylist():
+                words = alnum_words(text_value)
+                keys.append(text_key(text_value))
                 counts.append(len(words))
                 hashed = word_hashes(words)
                 for size in sizes:
@@ -150,9 +151,9 @@ def candidates(docs: DataFrame, shared, sizes: list[int], doc_id: str, text: str
                 names=["shingle", "place", "low", "around"],
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(counts, pa.int64()),
+                [batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), struct)],
-                names=["doc_id", "row", "n_words", "hits"],
+                names=["doc_id", "row", "text_key", "n_words", "hits"],
             )
 
     rows = docs.select(
@@ -160,7 +161,7 @@ def candidates(docs: DataFrame, shared, sizes: list[int], doc_id: str, text: str
         F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(
         find,
-        f"doc_id {kind.simpleString()}, row long, n_words long, "
+        f"doc_id {kind.simpleString()}, row long, text_key binary, n_words long, "
         "hits array<struct<shingle:long,place:int,low:int,around:string>>",
     )
 
@@ -169,7 +170,7 @@ def find_windows(
     docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
     item_text: str = "text",
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Documents (row, doc_id, n_words), occurrences (row, start, stop, window) and items (window, item_id)."""
+    """Documents (row, doc_id, text_key, n_words), occurrences (row, start, stop, window) and items (window, item_id)."""
     context = docs.sparkSession.sparkContext
     every = staged(item_windows(benchmark, item_id, item_text), "item-windows")
     windows = staged(
@@ -201,7 +202,7 @@ def find_windows(
         .where(F.array_join(inside, " ") == F.col("body"))
         .select("row", start.alias("start"), (start + F.col("n")).alias("stop"), "window")
     )
-    return found.select("row", "doc_id", "n_words"), staged(occurrences, "occurrences"), items
+    return found.select("row", "doc_id", "text_key", "n_words"), staged(occurrences, "occurrences"), items
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, share: int = 20, **columns: str) -> DataFrame:
@@ -225,6 +226,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, share: int = 20, **colu
     hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     listed = F.coalesce("items", F.array().cast("array<string>"))
     return documents.join(covered, "row", "left").join(ids, "row", "left").select(
-        "row", "doc_id", "n_words", hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"),
+        "row", "doc_id", "text_key", "n_words", hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"),
         listed.alias("items"), ((hit > 0) & (share * hit >= F.col("n_words"))).alias("contaminated"),
     )

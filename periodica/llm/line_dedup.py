@@ -75,10 +75,11 @@ def remove_shared_lines(
     """
     keys = staged(line_keys(docs, doc_id, text, site), "line-keys")
     shared = staged(shared_lines(keys, min_sites), "shared-lines")
-    per_text = (
+    per_text = staged(
         keys.select("text_key", "line").distinct().join(shared, "line")
         .groupBy("text_key").agg(F.map_from_entries(F.collect_list(F.struct("line", F.struct("first_id")))).alias("shared"))
-        .withColumnRenamed("text_key", "shared_key")
+        .withColumnRenamed("text_key", "shared_key"),
+        "shared-per-text",
     )
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     rows = rows.withColumn("text_key", _text_key(F.col("row")[text]))

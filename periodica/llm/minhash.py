@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from periodica.llm.common import space_words, staged
+from periodica.llm.common import space_words, staged, text_key
 
 UNIVERSE, BANDS, ROWS = 1 << 20, 32, 5
 #: Shingles that one block of a large group holds about.
@@ -94,27 +94,27 @@ def band_hashes(coordinates: np.ndarray) -> np.ndarray:
 
 
 def features(docs: DataFrame, words: int, doc_id: str, text: str) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``set_key`` (of the whole set, null if empty) and the ``bands``."""
+    """``doc_id``, ``n_shingles``, ``set_key`` (of the whole set, null if empty), ``bands`` and ``text_key``."""
     kind = docs.schema[doc_id].dataType
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 1000):
                 part = batch.slice(low, 1000)
-                sizes, keys, bands = [], [], []
-                for value in part.column(1):
-                    shingles = shingle_set(value.as_py(), words)
+                sizes, keys, bands, texts = [], [], [], part.column(1).to_pylist()
+                for value in texts:
+                    shingles = shingle_set(value, words)
                     sizes.append(len(shingles))
                     keys.append(xxhash.xxh3_128_digest(shingles) if len(shingles) else None)
                     bands.append(band_hashes(signature(shingles)) if len(shingles) else None)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-                     pa.array(bands, pa.list_(pa.int64()))],
-                    names=["doc_id", "n_shingles", "set_key", "bands"])
+                     pa.array(bands, pa.list_(pa.int64())), pa.array(map(text_key, texts), pa.binary())],
+                    names=["doc_id", "n_shingles", "set_key", "bands", "text_key"])
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(
-        describe, f"doc_id {kind.simpleString()}, n_shingles long, set_key binary, bands array<long>")
+        describe, f"doc_id {kind.simpleString()}, n_shingles long, set_key binary, bands array<long>, text_key binary")
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -227,7 +227,7 @@ def verified_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, words
 def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``.
+    """One row per row of ``docs``: ``doc_id``, ``text_key``, ``n_shingles``, ``component_id`` and ``kept``.
 
     Documents are linked if 100 * intersection >= percent * union of their sets;
     ``component_id`` is the smallest id that links reach.
@@ -253,6 +253,6 @@ def near_duplicates(
     by_set = label.join(smallest, "root").select(F.col("set_key").alias("key"), "component_id")
     component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.drop("bands").join(by_set, F.col("set_key") == F.col("key"), "left").select(
-        "doc_id", "n_shingles", component.alias("component_id"),
+        "doc_id", "text_key", "n_shingles", component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
     )

@@ -80,7 +80,7 @@ def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Components of all documents linked by their word pairs."""
-    return minhash.near_duplicates(table(spark, folder, "documents"), words=2, percent=80)
+    return minhash.near_duplicates(table(spark, folder, "documents"), words=2, percent=80).drop("text_key")
 
 
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:

@@ -329,3 +329,16 @@ def score(docs: DataFrame, classifier: Classifier, held_out: Column, threshold:
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), held_out.alias("held_out"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int")
+
+
+def without_toxic(docs: DataFrame, classifier: Classifier, threshold: float = 0.7, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score is below ``threshold``."""
+    shared = docs.sparkSession.sparkContext.broadcast(classifier)
+    place = docs.columns.index(text)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            yield batch.filter(pa.array([model.score(t.as_py()) < threshold for t in batch.column(place)], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
