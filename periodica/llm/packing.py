@@ -14,11 +14,13 @@ read.
 
 from __future__ import annotations
 
+import itertools
 import os
 import struct
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,71 +28,101 @@ from pyspark.sql import functions as F
 
 from periodica.llm.common import staged, text_of
 
-#: Chunks of text whose ids a worker remembers, and the longest that it does.
-CACHED, CACHED_CHARS = 300_000, 64
+#: Chunks of text whose ids a worker remembers (some 200 MB), and the longest that it does.
+CACHED, CACHED_BYTES = 1_000_000, 64
 #: Chunks encoded in one call.
 CALL = 20_000
+#: Code points below which a letter is one in every version of Unicode, and no combining mark follows from it.
+PLAIN = "\u0250"
 
 _ENCODERS: dict = {}
+_BLANKS = bytes.maketrans(b"\n\t\r", b"   ")
 
 
 class ChunkEncoder:
-    """Ids of texts under a tokenizer that drops white space, remembered per chunk between it.
+    """Ids of texts under a tokenizer that lower-cases and drops white space, remembered per chunk between it.
 
-    No token of such a tokenizer spans white space, so the ids of a text are those of
-    its chunks in turn. New chunks are encoded together, with a special token between
-    them that marks where each one ends; should a chunk hold that token itself, it is
-    encoded alone.
+    No token of such a tokenizer spans white space, nor a letter and a comma or full
+    stop, so the ids of a text are those of its chunks in turn, and those of a word
+    with a stop are the word's and the stop's. New words of plain letters are encoded
+    together and told apart by the ids that end a word; all other new chunks with a
+    special token between them, or alone if they hold that token themselves.
     """
 
-    def __init__(self, path: str, mark: str = "<|startoftext|>"):
+    def __init__(self, path: str, mark: str = "<|startoftext|>", end: str = "</w>"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.mark, self.mark_id = mark, self.tokenizer.token_to_id(mark)
-        self.known: dict[str, bytes] = {"": b""}
-
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-
-    @staticmethod
-    def _packed(ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(end)]] = True
+        self.stops = {stop: self._ids(stop.decode()).tobytes() for stop in (b".", b",")}
+        self.known: dict[bytes, bytes] = {b"": b""}
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """The ids of each word of plain letters."""
+        out: list[bytes] = []
+        for i in range(0, len(words), CALL):
+            part = words[i : i + CALL]
+            ids = self._ids(" ".join(part))
+            ends = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+            if len(ends) != len(part) or ends[-1] != 4 * len(ids):
+                raise ValueError("the tokenizer does not end every word by a token of its own")
+            whole = ids.tobytes()
+            out.extend(whole[a:b] for a, b in itertools.pairwise([0, *ends.tolist()]))
+        return out
 
-    def _encode_new(self, chunks: list[str]) -> dict[str, bytes]:
-        out = {c: self._packed(self._ids(c)) for c in chunks if self.mark in c}
-        plain = [c for c in chunks if c not in out]
-        for i in range(0, len(plain), CALL):
-            part, ids, at = plain[i : i + CALL], [], 0
+    def _encode_others(self, chunks: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for i in range(0, len(chunks), CALL):
+            part = chunks[i : i + CALL]
             ids = self._ids(self.mark.join(part))
-            whole = self._packed(ids)
-            ends = [k for k, x in enumerate(ids) if x == self.mark_id] + [len(ids)]
-            if len(ends) != len(part):
-                raise ValueError("the tokenizer does not keep its special token apart")
-            for chunk, end in zip(part, ends, strict=True):
-                out[chunk] = whole[4 * at : 4 * end]
-                at = end + 1
+            cuts = 4 * np.flatnonzero(ids == self.mark_id)
+            if len(cuts) != len(part) - 1:
+                out.extend(self._ids(c).tobytes() for c in part)
+                continue
+            whole = ids.tobytes()
+            out.extend(whole[a:b] for a, b in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(whole)], strict=True))
         return out
 
+    def _learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
+        words: dict[str, bytes | None] = {}
+        parts: dict[bytes, tuple[str, bytes]] = {}
+        others: list[bytes] = []
+        for chunk in chunks:
+            stop = chunk[-1:] if len(chunk) > 1 and chunk[-1:] in self.stops else b""
+            word = chunk[: len(chunk) - len(stop)].decode("utf-8", "surrogatepass").lower()
+            if word.isalpha() and max(word) < PLAIN:
+                words[word] = None
+                parts[chunk] = word, self.stops[stop] if stop else b""
+            else:
+                others.append(chunk)
+        encoded = dict(zip(words, self._encode_words(list(words)), strict=True))
+        new = {chunk: encoded[word] + stop for chunk, (word, stop) in parts.items()}
+        texts = [c.decode("utf-8", "surrogatepass") for c in others]
+        return new | dict(zip(others, self._encode_others(texts), strict=True))
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        new = self._encode_new(list({c for chunks in split for c in chunks if c not in self.known}))
-        short = {c: ids for c, ids in new.items() if len(c) <= CACHED_CHARS}
-        long = {c: ids for c, ids in new.items() if len(c) > CACHED_CHARS}
-        if len(self.known) + len(short) > CACHED:
-            known = {"": b""} | {c: self.known[c] for chunks in split for c in chunks if c in self.known}
-            self.known = known
-        self.known.update(short)
-        known = self.known
+        # Capitals can be folded before the look-up unless that could make a special token.
+        raw = (t.encode("utf-8", "surrogatepass").translate(_BLANKS) for t in texts)
+        split = [(b if b"<|" in b else b.lower()).split(b" ") for b in raw]
+        used = set().union(*split)
+        new = self._learn(used.difference(self.known))
+        if len(self.known) + len(new) > CACHED:
+            self.known = {c: self.known[c] for c in used if c in self.known}
+        self.known.update(new)
+        look_up = self.known.__getitem__
         for chunks in split:
-            if long:
-                yield b"".join([known[c] if c in known else long[c] for c in chunks])
-            else:
-                yield b"".join([known[c] for c in chunks])
-        if len(self.known) > 2 * CACHED:
-            self.known = {"": b""}
+            yield b"".join(map(look_up, chunks))
+        for chunk in new:
+            if len(chunk) > CACHED_BYTES:
+                del self.known[chunk]
 
 
 def encoder(path: str) -> ChunkEncoder:
