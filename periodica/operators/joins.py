@@ -82,10 +82,10 @@ def asof_join(
 
     The right side is a daily series. It is folded to one row per key and month:
     the observations of that month (31 at most) and the value carried in from
-    before, with the months up to the next observation filled in. The left side
-    then needs one equi-join on (key, month), and one on the key alone for days
-    after the last observation, so it is read once and never sorted by key. The
-    number of rows of a hot key on the left does not matter.
+    before, with the months up to the next observation filled in, and after the last
+    one up to the last month asked for. The left side then needs one equi-join on
+    (key, month), so it is read once and never sorted by key, and the rows of a hot
+    key are spread over its months. A key's months are bounded by the calendar.
     """
     by = list(by)
     day = F.col("_day")
@@ -102,27 +102,23 @@ def asof_join(
         .withColumn("_before", F.lag("_last").over(series))
         .withColumn("_next", F.lead("_month").over(series))
     )
+    at = F.col(left_time).cast("date")
+    horizon = F.trunc(left.agg(F.max(at).alias("d")).scalar(), "month")
+    until = F.coalesce(F.add_months("_next", -1), F.greatest(horizon, "_month"))
     filled = months.withColumn(
-        "_bucket",
-        F.explode(F.sequence("_month", F.coalesce(F.add_months("_next", -1), "_month"), F.expr("INTERVAL 1 MONTH"))),
+        "_bucket", F.explode(F.sequence("_month", until, F.expr("INTERVAL 1 MONTH")))
     ).select(
         *by,
         "_bucket",
         F.when(F.col("_bucket") == F.col("_month"), F.col("_obs")).otherwise(F.array("_last")).alias("_obs"),
         F.col("_before._value").alias("_carried"),
     )
-    tails = (
-        daily.groupBy(*by).agg(F.max(F.struct("_day", "_value")).alias("_end"))
-        .select(*by, F.col("_end._day").alias("_end_day"), F.col("_end._value").alias("_end_value"))
-    )
-    at = F.col(left_time).cast("date")
     known = F.filter("_obs", lambda o: o["_day"] <= at)
     within = F.coalesce(F.try_element_at(known, F.lit(-1))["_value"], F.col("_carried"))
     return (
         left.withColumn("_bucket", F.trunc(at, "month"))
         .join(filled, [*by, "_bucket"], "left")
-        .join(tails, by, "left")
-        .withColumn(value, F.when(at >= F.col("_end_day"), F.col("_end_value")).otherwise(within))
+        .withColumn(value, within)
         .select(*left.columns, value)
     )
 
@@ -138,13 +134,16 @@ def interval_join(
     """Points with every half-open interval that contains their day.
 
     Both sides get the calendar year as an equi-key: an interval appears once per
-    year it touches, an open one up to the last point. The exact test follows
-    within the year.
+    year that it touches and that some point lies in, an open one up to the last
+    point. The exact test follows within the year. Without ``by`` the year is the
+    only key, which suits points that are few enough to broadcast.
     """
     horizon = points.agg(F.max(F.col(day).cast("date")).alias("d")).scalar()
     until = F.least(F.coalesce(F.date_sub(end, 1), horizon), horizon)
+    # As many years as the calendar has, whatever the number of points.
+    years = points.agg(F.collect_set(F.year(day)).alias("y")).scalar()
     spread = intervals.where(F.col(start) <= until).withColumn(
-        "_year", F.explode(F.sequence(F.year(start), F.year(until)))
+        "_year", F.explode(F.array_intersect(F.sequence(F.year(start), F.year(until)), years))
     )
     marked = points.withColumn("_year", F.year(day))
     hit = contains_date(F.col(start), F.col(end), F.col(day))

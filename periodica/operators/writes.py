@@ -1,11 +1,13 @@
 """Writes with relational semantics over plain Parquet folders.
 
-A table is a folder with one sub-folder per version, ``v=1``, ``v=2`` and so on.
-A version counts once Spark's commit marker is in it, so a job that dies leaves
-the previous version in force and readers never see half a version.
-Insert-if-absent appends to the current version; everything that changes rows
-writes the next one. All results are functions of their inputs, so a repeated
-job gives the same table.
+A table is a folder with one sub-folder per version, ``v=1``, ``v=2`` and so on, and
+each version has one sub-folder per write, ``s=1``, ``s=2`` and so on. A write counts
+once Spark's commit marker is in its own folder, so a job that dies leaves the rows
+as they were and readers never see half of a write. Insert-if-absent appends a
+segment to the current version; everything that changes rows starts the next
+version. A writer claims its folder by creating a file that must not exist, so of
+two writers that pick the same one the second is refused. All results are functions
+of their inputs, so a repeated job gives the same table.
 
 The ``*_rows`` functions are the plain DataFrame part of each write.
 """
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,26 +58,49 @@ class ParquetTable:
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.partition_by, self.sort_by = list(partition_by), list(sort_by)
 
+    def on(self, spark: SparkSession) -> ParquetTable:
+        """The same table as seen by another session."""
+        return ParquetTable(spark, self.path, self.schema, self.partition_by, self.sort_by)
+
+    def _path(self, text: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(text)
+
+    def _files(self):
+        return self._path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _numbers(self, pattern: str, up: int) -> list[int]:
+        """Numbers in the names of what the pattern matches, or of folders above it."""
+        out = []
+        for status in self._files().globStatus(self._path(f"{self.path}/{pattern}")) or []:
+            found = status.getPath()
+            for _ in range(up):
+                found = found.getParent()
+            out.append(int(found.getName()[2:].split(".")[0]))
+        return sorted(set(out))
+
     def version(self) -> int:
-        """Number of the newest committed version, 0 when there is none."""
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        marks = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.path}/v=*/_SUCCESS"))
-        return max((int(m.getPath().getParent().getName()[2:]) for m in marks or []), default=0)
+        """Number of the newest version with a committed segment, 0 when there is none."""
+        return max(self._numbers("v=*/s=*/_SUCCESS", 2), default=0)
 
-    def folder(self, version: int | None = None) -> str:
-        return f"{self.path}/v={self.version() if version is None else version}"
+    def segments(self, version: int | None = None) -> list[str]:
+        """Folders of the committed writes of a version."""
+        version = self.version() if version is None else version
+        return [f"{self.path}/v={version}/s={s}" for s in self._numbers(f"v={version}/s=*/_SUCCESS", 1)]
 
     def read(self) -> DataFrame:
         """The current version; an empty frame before the first write."""
-        version = self.version()
-        if not version:
+        segments = self.segments()
+        if not segments:
             return self.spark.createDataFrame([], self.schema)
-        stored = self.spark.read.schema(self.schema).parquet(self.folder(version))
+        stored = self.spark.read.schema(self.schema).parquet(*segments)
         return stored.select(*self.schema.names)
 
-    def _save(self, df: DataFrame, mode: str, folder: str) -> int:
+    def _claim(self, folder: str) -> str:
+        """Reserve a folder; fails if another writer has taken it."""
+        self._files().create(self._path(f"{folder}.claim"), False).close()
+        return folder
+
+    def _save(self, df: DataFrame, folder: str) -> int:
         aligned = df.select(
             *[
                 (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -85,17 +111,24 @@ class ParquetTable:
             aligned = aligned.hint("rebalance", *[F.col(c) for c in self.partition_by])
             aligned = aligned.sortWithinPartitions(*self.partition_by, *self.sort_by)
         counted, seen = observe_counts(aligned, "written")
-        counted.write.mode(mode).partitionBy(*self.partition_by).parquet(folder)
+        counted.write.mode("errorifexists").partitionBy(*self.partition_by).parquet(self._claim(folder))
         return seen.get["rows"]
 
     def replace(self, df: DataFrame) -> int:
         """Write the next version; the one being read from stays untouched."""
-        return self._save(df, "overwrite", self.folder(self.version() + 1))
+        following = max(self._numbers("v=*", 0), default=0) + 1
+        return self._save(df, f"{self.path}/v={following}/s=1")
 
     def append(self, df: DataFrame) -> int:
-        """Add rows to the current version and return their number."""
+        """Add rows to the current version, as a segment of their own, and return their number."""
         version = self.version()
-        return self._save(df, "append", self.folder(version)) if version else self.replace(df)
+        if not version:
+            return self.replace(df)
+        taken = self._numbers(f"v={version}/s=*", 0)
+        added = self._save(df, f"{self.path}/v={version}/s={taken[-1] + 1}")
+        if self.version() != version:
+            raise RuntimeError(f"{self.path} was replaced while rows were appended to version {version}")
+        return added
 
 
 def _orderable(df: DataFrame, skip: Sequence[str]) -> list[str]:
@@ -155,6 +188,8 @@ def insert_new(
     are then read. The counters are taken in the writing stage, where lost and
     repeated tasks count once.
     """
+    if not set(prune) <= set(table.partition_by):
+        raise ValueError(f"{list(prune)} are not all partition columns of {table.path}")
     target = table.read()
     folded = first_per_key(batch, keys, order)
     if not table.partition_by:
@@ -163,11 +198,13 @@ def insert_new(
         inserted = table.append(counted.where(~F.col("_exists")))
         processed = seen.get["processed"] or 0
     else:
-        # Writing rearranges the rows, so the batch is kept: it is counted, read for
-        # its partitions and read for its rows.
-        scratch_dir(table.spark)
-        folded = folded.checkpoint()
-        processed = folded.agg(F.sum("_copies").alias("n")).first()["n"] or 0
+        # Writing rearranges the rows, so the batch is kept, by column: it is counted
+        # while it is written, and read again for its partitions and for its rows.
+        staging = f"{scratch_dir(table.spark)}/insert-{uuid4().hex}"
+        counted, seen = observe_counts(folded, "insert_new", processed=F.sum("_copies"))
+        counted.write.parquet(staging)
+        folded = table.spark.read.schema(folded.schema).parquet(staging)
+        processed = seen.get["processed"] or 0
         if prune:
             target = target.join(folded.select(*prune).distinct(), list(prune), "left_semi")
         inserted = table.append(flag_existing(folded, target, keys).where(~F.col("_exists")))

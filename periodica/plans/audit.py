@@ -12,7 +12,6 @@ from periodica import constants
 from periodica.operators.aggregates import coverage, distinct_list, duplicates, provenance_counters
 from periodica.operators.filters import is_stale
 from periodica.schemas import NATURAL_KEYS
-from periodica.session import scratch_dir
 
 Tables = Mapping[str, DataFrame]
 
@@ -161,27 +160,30 @@ def stub_companies(t: Tables, agent_min: int = 4) -> DataFrame:
     core = t["filings"].where(F.col("form").isin(*constants.CORE_FORMS)).select(
         F.col("id").alias("filing_id"), "company_id", F.left("accession_number", F.lit(10)).alias("prefix")
     )
-    # All steps below work on this small aggregate; kept once, the facts are read once.
-    scratch_dir(core.sparkSession)
-    prefixes = (
-        core.join(per_filing, "filing_id").groupBy("company_id", "prefix").agg(F.sum("facts").alias("facts")).checkpoint()
-    )
-    agents = prefixes.groupBy("prefix").agg(F.count("*").alias("n")).where(F.col("n") >= agent_min).select("prefix")
+    # One row per company and prefix; the facts are read once for it.
+    prefixes = core.join(per_filing, "filing_id").groupBy("company_id", "prefix").agg(F.sum("facts").alias("facts"))
     ciks = t["company_identifiers"].where("identifier_type = 'CIK'").select(
         "company_id", F.col("identifier_value").alias("company_cik")
     ).distinct()
-    own = ciks.join(
-        prefixes.select("company_id", F.col("prefix").alias("company_cik")), ["company_id", "company_cik"], "left_anti"
-    ).select("company_id")
-    served = prefixes.join(agents, "prefix", "left_semi").select("company_id")
-    suspects = prefixes.join(own, "company_id", "left_semi").join(served, "company_id", "left_anti")
-    # Few rows are left here, so the texts are put together last.
-    listed = distinct_list(suspects, ["company_id"], "prefix").withColumnRenamed("prefix", "filing_prefixes")
-    totals = suspects.groupBy("company_id").agg(F.sum("facts").alias("n_core_facts"))
+    owned = F.collect_set("company_cik").alias("_own")
+    # How many companies a prefix submits for is a window over the small aggregate.
+    flagged = (
+        prefixes.withColumn("_n", F.count("*").over(Window.partitionBy("prefix")))
+        .join(ciks.groupBy("company_id").agg(owned), "company_id")
+    )
+    # A company's prefixes are its submitters: itself, agents and few others.
+    suspects = flagged.groupBy("company_id").agg(
+        F.max(F.col("_n") >= agent_min).alias("_served"),
+        F.flatten(F.collect_set("_own")).alias("_own"),
+        F.collect_set("prefix").alias("_prefixes"), F.sum("facts").alias("n_core_facts"),
+    ).where("NOT _served").where(F.size(F.array_except("_own", "_prefixes")) > 0)
+    totals = suspects.select(
+        "company_id", "n_core_facts", F.array_join(F.array_sort("_prefixes"), ", ").alias("filing_prefixes")
+    )
     tickers = t["company_listings"].where("is_active").select("company_id", "ticker").distinct()
     names = t["companies"].select(F.col("id").alias("company_id"), "legal_name")
     return (
-        totals.join(listed, "company_id").join(names, "company_id").join(ciks, "company_id")
+        totals.join(names, "company_id").join(ciks, "company_id")
         .join(tickers, "company_id")
         .select("legal_name", "company_cik", "ticker", "n_core_facts", "filing_prefixes")
     )

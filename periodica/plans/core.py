@@ -55,9 +55,11 @@ def core_amounts(
     is_part = (F.col("field") == "revenue") & (F.col("combine") == "sum")
     others = {name: _best(field) for name, field in constants.CORE_FIELDS.items()}
     if component_versions == "latest":
-        # Repeated filings of one component collapse first; this level also folds
-        # the other fields, so the second level works on the reduced rows.
-        fact = [*YEAR_KEY, "field", "combine", "concept", "namespace", "unit", "period_start"]
+        # Repeated filings of one component collapse first. What tells components apart is
+        # blanked in all other rows, so those fold to one per field and unit before the shuffle.
+        apart = ["concept", "namespace", "period_start"]
+        rows = rows.withColumns({c: F.when(is_part, F.col(c)) for c in apart})
+        fact = [*YEAR_KEY, "field", "combine", *apart, "unit"]
         newest = F.max_by("value", F.struct("filing_date", "source_id", "value"))
         rows = rows.groupBy(*fact).agg(
             F.when(is_part, newest).otherwise(F.max("value")).alias("value")

@@ -15,15 +15,18 @@ from periodica.operators.writes import ParquetTable, replace_rows
 FACT_KEY = ("company_id", "fiscal_year", "concept")
 
 
-def version_intervals(facts: DataFrame, key: Sequence[str] = FACT_KEY) -> DataFrame:
+def version_intervals(
+    facts: DataFrame, key: Sequence[str] = FACT_KEY, columns: Sequence[str] | None = None
+) -> DataFrame:
     """Each fact version with the days ``[known_from, known_to)`` on which it is the one to read.
 
     A version can be read from the later of filing date and period end. Among
     those readable, the latest filing wins, so an older filing whose period ends
-    later never takes over. Versions that never win are absent.
+    later never takes over. Versions that never win are absent. ``columns`` names what
+    is wanted besides the key; only those and the order are read and sorted.
     """
     key = list(key)
-    rest = [c for c in facts.columns if c not in key]
+    rest = [c for c in (facts.columns if columns is None else columns) if c not in key]
     order = [F.col(c) for c in VERSION_ORDER]
     # NULL sorts first in a struct, which makes it lose against any date.
     version = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], F.struct(*rest).alias("_row"))
@@ -52,17 +55,22 @@ def _calendar(dates: DataFrame) -> DataFrame:
     return F.broadcast(dates.select(F.col("as_of").cast("date")).distinct())
 
 
-def facts_as_of(facts: DataFrame, as_of, key: Sequence[str] = FACT_KEY) -> DataFrame:
+def facts_as_of(
+    facts: DataFrame, as_of, key: Sequence[str] = FACT_KEY, columns: Sequence[str] | None = None
+) -> DataFrame:
     """Facts as they were public on one day, or on every day of a relation.
 
     With a DataFrame of days (column ``as_of``) the versions are turned into
     validity intervals once, and each day only meets the versions valid then.
+    ``columns`` names what is wanted besides the key.
     """
     if isinstance(as_of, DataFrame):
-        return interval_join(_calendar(as_of), version_intervals(facts, key), "as_of", "known_from", "known_to").drop(
-            "known_from", "known_to"
-        )
-    return latest_known(facts, as_of, key).withColumn("as_of", F.lit(as_of).cast("date"))
+        versions = version_intervals(facts, key, columns)
+        return interval_join(_calendar(as_of), versions, "as_of", "known_from", "known_to").drop("known_from", "known_to")
+    found = latest_known(facts, as_of, key)
+    if columns is not None:
+        found = found.select(*key, *[c for c in columns if c not in key])
+    return found.withColumn("as_of", F.lit(as_of).cast("date"))
 
 
 def members_at(intervals: DataFrame, dates: DataFrame) -> DataFrame:
@@ -127,11 +135,41 @@ def load_membership(
     return membership_stats(table.read().where(F.col("source") == source))
 
 
-def pit_universe(intervals: DataFrame, facts: DataFrame, dates: DataFrame) -> DataFrame:
+def joined_spans(intervals: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Intervals of one key that touch or overlap as one; open ends stay open."""
+    by = list(by)
+    far = F.lit("9999-12-31").cast("date")
+    line = Window.partitionBy(*by).orderBy("start_date", "_until")
+    spans = intervals.select(*by, "start_date", F.coalesce("end_date", far).alias("_until"))
+    reached = F.max("_until").over(line.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(F.col("start_date") <= reached, 0).otherwise(1)
+    numbered = spans.withColumn("_new", begins).withColumn("_run", F.sum("_new").over(line))
+    joined = numbered.groupBy(*by, "_run").agg(F.min("start_date").alias("start_date"), F.max("_until").alias("_until"))
+    return joined.select(*by, "start_date", F.when(F.col("_until") != far, F.col("_until")).alias("end_date"))
+
+
+def pit_universe(
+    intervals: DataFrame, facts: DataFrame, dates: DataFrame, columns: Sequence[str] | None = None
+) -> DataFrame:
     """For each day: the members then and their facts as public then.
 
-    Facts of companies that never were members are dropped before any sorting.
+    Per company, the days on which a fact version is the one to read are cut with the
+    days of membership; only what is left of both is expanded to days. ``columns``
+    names the wanted facts columns.
     """
-    members = members_at(intervals.where("company_id IS NOT NULL"), dates).select("as_of", "ticker", "company_id")
-    concerned = facts.join(intervals.select("company_id"), "company_id", "left_semi")
-    return members.join(facts_as_of(concerned, dates), ["as_of", "company_id"])
+    resolved = intervals.where("company_id IS NOT NULL")
+    spans = joined_spans(resolved.select("ticker", "company_id", "start_date", "end_date"), ["ticker", "company_id"])
+    concerned = facts.join(resolved.select("company_id"), "company_id", "left_semi")
+    versions = version_intervals(concerned, columns=columns)
+    both = spans.join(versions, "company_id").where(
+        (F.col("end_date").isNull() | (F.col("known_from") < F.col("end_date")))
+        & (F.col("known_to").isNull() | (F.col("start_date") < F.col("known_to")))
+    )
+    # Least and greatest skip NULL, which is an open end.
+    cut = both.withColumns(
+        {"known_from": F.greatest("known_from", "start_date"), "known_to": F.least("known_to", "end_date")}
+    ).drop("start_date", "end_date")
+    found = interval_join(_calendar(dates), cut, "as_of", "known_from", "known_to").drop("known_from", "known_to")
+    # A ticker that stands for two companies on a day counts for one, as in ``members_at``.
+    members = members_at(resolved, dates).select("as_of", "ticker", "company_id")
+    return found.join(members, ["as_of", "ticker", "company_id"], "left_semi")

@@ -16,7 +16,8 @@ from periodica.functions import facts as rules
 from periodica.functions import keys
 from periodica.operators.joins import absent_keys
 from periodica.operators.windows import latest_by, preferred
-from periodica.operators.writes import WriteStats, insert_guarded, insert_new, patch, patch_rows, upsert
+from periodica.operators.writes import WriteStats, insert_guarded, insert_new, mark, patch, patch_rows, upsert
+from periodica.plans import runs
 from periodica.plans.core import core_financials
 from periodica.schemas import NATURAL_KEYS
 from periodica.session import scratch_dir
@@ -103,18 +104,20 @@ def ingest_universe(catalog: Catalog, universe: DataFrame, provider_id: str) ->
     exchange_ids = catalog.table("exchanges").select(
         F.col("id").alias("exchange_id"), F.col("code").alias("exchange_code")
     )
-    listings = listed.join(exchange_ids, "exchange_code").select(
-        keys.row_id(F.lit("listing"), "company_id", "exchange_id", "ticker").alias("id"),
+    stored = catalog.table("company_listings")
+    open_key = ["company_id", "exchange_id", "ticker", "share_class"]
+    # A ticker that was closed and is listed again is a new listing, so earlier ones count in its id.
+    earlier = stored.groupBy("company_id", "exchange_id", "ticker").agg(F.count("*").alias("_earlier"))
+    listings = listed.join(exchange_ids, "exchange_code").join(
+        earlier, ["company_id", "exchange_id", "ticker"], "left"
+    ).select(
+        keys.row_id(F.lit("listing"), "company_id", "exchange_id", "ticker",
+                    F.coalesce("_earlier", F.lit(0)).cast("string")).alias("id"),
         "company_id", "exchange_id", "ticker", F.lit(None).cast("string").alias("share_class"),
         F.lit(None).cast("date").alias("listing_date"), F.lit(True).alias("is_primary"), F.lit(True).alias("is_active"),
     )
-    stored = catalog.table("company_listings")
-    open_key = ["company_id", "exchange_id", "ticker", "share_class"]
     unlisted = absent_keys(listings, stored.where("delisting_date IS NULL"), open_key)
-    # The listing key has no ticker, and its date is unknown here, so the ticker is added.
-    stats["listings"] = insert_new(
-        catalog.store("company_listings"), unlisted, [*NATURAL_KEYS["company_listings"], "ticker"]
-    )
+    stats["listings"] = insert_new(catalog.store("company_listings"), unlisted, ["id"])
     identifiers = explode_identifiers(parsed).select(
         keys.row_id(F.lit("identifier"), "company_id", "identifier_type", F.lit(provider_id), "identifier_value").alias("id"),
         "*", F.lit(provider_id).alias("provider_id"),
@@ -150,19 +153,22 @@ def filing_rows(submissions: DataFrame, identifiers: DataFrame, provider_id: str
             "filing_date", F.lit(None).cast("date").alias("period_start"), "period_end",
             F.col("fiscal_year").cast("int").alias("fiscal_year"),
             rules.fiscal_period(F.col("fiscal_period")).alias("fiscal_period"),
-            "filing_url", "is_amended",
+            "filing_url", "is_amended", "cik",
         )
     )
 
 
 def ingest_filings(catalog: Catalog, submissions: DataFrame, provider_id: str) -> WriteStats:
-    """Store new filings, linked to their raw document where there is one."""
+    """Store new filings, linked to the newest registered submissions document of their company."""
     rows = filing_rows(submissions, catalog.table("company_identifiers"), provider_id)
-    documents = catalog.table("raw_documents").where(F.col("provider_id") == provider_id).select(
-        F.col("source_identifier").alias("accession_number"), F.col("id").alias("raw_document_id")
-    )
+    documents = latest_by(
+        catalog.table("raw_documents").where(F.col("provider_id") == provider_id), ["source_identifier"],
+        ["retrieved_at", "id"],
+    ).select(F.col("source_identifier").alias("_document"), F.col("id").alias("raw_document_id"))
+    named = rows.withColumn("_document", F.concat(F.lit("submissions:"), "cik"))
     return insert_guarded(
-        catalog.store("filings"), rows.join(documents, "accession_number", "left"), NATURAL_KEYS["filings"]
+        catalog.store("filings"), named.join(documents, "_document", "left").drop("_document", "cik"),
+        NATURAL_KEYS["filings"],
     )
 
 
@@ -178,12 +184,12 @@ def link_filings(facts: DataFrame, filings: DataFrame) -> DataFrame:
 def normalize_facts(values: DataFrame) -> DataFrame:
     """Reported values as typed fact rows.
 
-    Values that are no number, or that belong to no year, are left out. A number
-    beyond the stored type becomes NULL and is rejected by validation.
+    Values that are no number, or that belong to no year, are left out. A missing
+    value, or a number beyond the stored type, is NULL and is rejected by validation.
     """
     start, end = F.col("start"), F.col("end")
     instant = rules.is_instant(start, end)
-    return values.where(F.col("val").try_cast("double").isNotNull()).select(
+    return values.where(F.col("val").isNull() | F.col("val").try_cast("double").isNotNull()).select(
         "cik",
         "namespace",
         "concept",
@@ -268,7 +274,10 @@ def ingest_prices(
     rows = price_rows(
         catalog.table("company_listings"), catalog.table("exchanges"), bars, provider_id, feed, label
     )
-    return insert_guarded(catalog.store("prices"), rows, NATURAL_KEYS["prices"])
+    return insert_guarded(
+        catalog.store("prices"), rows.withColumn("price_year", F.year("price_date")), NATURAL_KEYS["prices"],
+        prune=["price_year"],
+    )
 
 
 # --- currency rates -----------------------------------------------------------
@@ -353,15 +362,22 @@ def enrich_sector(catalog: Catalog, feed: DataFrame, attempted: DataFrame | None
 
 
 def register_documents(catalog: Catalog, scan: DataFrame, provider_id: str, now) -> WriteStats:
-    """Store registry rows of raw files that are not known yet."""
+    """Store registry rows of raw files, one per content: a changed file is a further version of it."""
     rows = scan.select(
-        keys.row_id(F.lit("document"), F.lit(provider_id), "source_identifier").alias("id"),
+        keys.row_id(F.lit("document"), F.lit(provider_id), "source_identifier", "checksum").alias("id"),
         F.lit(provider_id).alias("provider_id"), "source_identifier", "storage_path", "checksum", "content_type",
         F.lit(now).cast("timestamp").alias("retrieved_at"), F.lit(False).alias("is_processed"),
     )
     return insert_new(catalog.store("raw_documents"), rows, NATURAL_KEYS["raw_documents"])
 
 
+def mark_processed(catalog: Catalog, found: DataFrame) -> None:
+    """Flag the registered documents (column id) as processed."""
+    store = catalog.store("raw_documents")
+    if store.version():
+        store.replace(mark(store.read(), found, "id", "is_processed"))
+
+
 def mark_synced(catalog: Catalog, companies: DataFrame, now) -> None:
     """Stamp the companies (column company_id) as synchronised."""
     stamped = companies.select(F.col("company_id").alias("id")).distinct().withColumn(
@@ -377,15 +393,46 @@ def sync(
     values: DataFrame,
     provider_id: str,
     now,
+    raw: DataFrame | None = None,
+    rejected: DataFrame | None = None,
+    pipeline: str = "sync",
 ) -> Mapping[str, WriteStats]:
-    """Universe, then filings, then facts (which link to filings), for all companies at once."""
-    stats = dict(ingest_universe(catalog, universe, provider_id))
-    stats["filings"] = ingest_filings(catalog, submissions, provider_id)
-    stats["facts"], _ = ingest_facts(catalog, values, provider_id)
-    synced = company_ids(catalog.table("company_identifiers")).join(
-        parse_companies(universe).select("cik"), "cik", "left_semi"
-    )
-    mark_synced(catalog, synced, now)
+    """Universe, then filings, then facts (which link to filings), for all companies at once.
+
+    The run is recorded: opened before anything is written and closed with the sums
+    of all counters, as failed if a step raises. ``raw`` (a scan of the files) is
+    registered first and flagged as processed last; ``rejected`` documents count as
+    skipped.
+    """
+    trail, run_id = catalog.store("import_runs"), f"{pipeline}:{provider_id}:{now}"
+    runs.start_run(trail, run_id, provider_id, pipeline, now)
+    stats: dict[str, WriteStats] = {}
+    try:
+        if raw is not None:
+            stats["documents"] = register_documents(catalog, raw, provider_id, now)
+        if rejected is not None:
+            lost = rejected.count()
+            stats["rejected"] = WriteStats(processed=lost, skipped=lost)
+        stats |= ingest_universe(catalog, universe, provider_id)
+        stats["filings"] = ingest_filings(catalog, submissions, provider_id)
+        stats["facts"], _ = ingest_facts(catalog, values, provider_id)
+        synced = company_ids(catalog.table("company_identifiers")).join(
+            parse_companies(universe).select("cik"), "cik", "left_semi"
+        )
+        mark_synced(catalog, synced, now)
+        if raw is not None:
+            done = absent_keys(
+                catalog.table("raw_documents"),
+                rejected.select("source_identifier") if rejected is not None and "source_identifier" in rejected.columns
+                else catalog.table("raw_documents").limit(0),
+                ["source_identifier"],
+            )
+            mark_processed(catalog, done.where(F.col("provider_id") == provider_id).select("id"))
+    except Exception as error:
+        failed = sum(stats.values(), WriteStats(error=f"{type(error).__name__}: {error}"[:500]))
+        runs.finish_run(trail, run_id, failed, now, status="failed")
+        raise
+    runs.finish_run(trail, run_id, sum(stats.values(), WriteStats()), now)
     return stats
 
 

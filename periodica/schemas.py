@@ -35,7 +35,7 @@ TABLES = {
     "prices": (
         "id string, listing_id string, provider_id string, price_date date, open decimal(20,6), high decimal(20,6), "
         "low decimal(20,6), close decimal(20,6), adjusted_close decimal(20,6), volume bigint, currency string, "
-        "source_id string"
+        "source_id string, price_year int"
     ),
     "dividends": (
         "id string, listing_id string, provider_id string, ex_date date, record_date date, payment_date date, "
@@ -83,7 +83,7 @@ NATURAL_KEYS = {
     "prices": ["listing_id", "price_date", "provider_id"],
     "dividends": ["listing_id", "ex_date", "provider_id", "source_id"],
     "splits": ["listing_id", "execution_date", "provider_id", "source_id"],
-    "raw_documents": ["provider_id", "source_identifier"],
+    "raw_documents": ["provider_id", "source_identifier", "checksum"],
     "fx_rates": ["currency", "rate_date"],
     "index_constituents": ["ticker", "start_date"],
     "data_quality_issues": ["company_id", "fiscal_year", "field", "issue_type"],

@@ -42,13 +42,14 @@ def build_session(
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for written intermediates.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset, as
-    in local tests, a new folder on this machine is made and set.
+    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset and all
+    work is done in this one process, as in local tests, a new folder is made and set.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="periodica-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")

@@ -77,7 +77,7 @@ def parse_submissions(documents: DataFrame, column: str = "value") -> DataFrame:
         F.coalesce(f"{recent}.{n}", F.array().cast("array<int>" if n == "fy" else "array<string>")).alias(n) for n in names
     ]
     rows = (
-        documents.select(F.from_json(column, schemas.SUBMISSIONS).alias("doc"))
+        documents.select(F.explode(F.array(F.from_json(column, schemas.SUBMISSIONS))).alias("doc"))
         .select("doc.cik", F.explode_outer(F.arrays_zip(*arrays)).alias("f"))
         .select(keys.cik(F.col("cik")).alias("cik"), *[F.col(f"f.{n}").alias(n) for n in names])
         .where("accessionNumber IS NOT NULL")
@@ -105,32 +105,70 @@ def read_submissions(spark: SparkSession, path: str) -> DataFrame:
     return parse_submissions(_whole_files(spark, path))
 
 
+def _parts(text: Column) -> Column:
+    several = F.split(text, r"(?<=\})\s*\n\s*(?=\{)")
+    return F.explode_outer(F.when(F.contains(text, F.lit("\n")), several).otherwise(F.array(text)))
+
+
+def _quoted(text: Column) -> Column:
+    return F.regexp_replace(text, r'"val"\s*:\s*(-?[0-9][0-9.eE+-]*)', '"val":"$1"')
+
+
+# What a document of each kind must have for its rows to be read.
+_KINDS = {
+    "facts": (schemas.COMPANY_FACTS, ("cik", "facts")),
+    "submissions": (schemas.SUBMISSIONS, ("cik", "filings")),
+    "universe": ("map<string,string>", ()),
+}
+
+
+def rejected_documents(documents: DataFrame, kind: str, column: str = "value") -> DataFrame:
+    """Documents that give no rows because they cannot be read, with the ``reason``.
+
+    The other columns of ``documents`` (a path, an identifier) are kept, the text is
+    not. An empty or NULL document counts as unreadable.
+    """
+    declared, needed = _KINDS[kind]
+    kept = [c for c in documents.columns if c != column]
+    parts = documents.select(*kept, (_parts(F.col(column)) if kind == "facts" else F.col(column)).alias("_part"))
+    text = _quoted(F.col("_part")) if kind == "facts" else F.col("_part")
+    if kind == "universe":
+        checked = parts.withColumn("_doc", F.explode(F.array(F.from_json(text, declared))))
+        broken = F.col("_doc").isNull()
+    else:
+        marked = declared.replace("struct<", "struct<_broken:string,", 1)
+        parsed = F.from_json(text, marked, {"columnNameOfCorruptRecord": "_broken"})
+        checked = parts.withColumn("_doc", F.explode(F.array(parsed)))
+        broken = F.col("_doc").isNull() | F.col("_doc._broken").isNotNull()
+    reason = F.when(F.col("_part").isNull() | (F.trim("_part") == ""), "document is empty").when(broken, "not valid JSON")
+    for field in needed:
+        reason = reason.when(F.col(f"_doc.{field}").isNull(), f"{field} is missing")
+    return checked.withColumn("reason", reason).where("reason IS NOT NULL").select(*kept, "reason")
+
+
 def parse_company_facts(documents: DataFrame, column: str = "value") -> DataFrame:
     """Reported values of company-facts documents, one row each, numbers as text.
 
-    Numbers are quoted before parsing so that no digit is lost. Several documents
-    may follow each other in one file, separated by a line break, which JSON
-    strings cannot contain.
+    Numbers are quoted before parsing so that no digit is lost; a value that is null
+    or absent stays NULL and is for validation to reject. Several documents may
+    follow each other in one file, separated by a line break, which JSON strings
+    cannot contain.
     """
-    text = F.col(column)
-    several = F.split(text, r"(?<=\})\s*\n\s*(?=\{)")
-    parts = F.explode(F.when(F.contains(text, F.lit("\n")), several).otherwise(F.array(text)))
-    quoted = F.regexp_replace("part", r'"val"\s*:\s*(-?[0-9][0-9.eE+-]*)', '"val":"$1"')
 
     def typed(v: Column) -> Column:
         # Evaluated once per value, below the explode, where no later filter repeats it.
         return F.struct(
-            F.coalesce(v["val"], F.lit("0")).alias("val"),
+            v["val"].alias("val"),
             rules.date(v["start"]).alias("start"), rules.date(v["end"]).alias("end"), v["accn"].alias("accn"),
             v["fy"].alias("fy"), v["fp"].alias("fp"), v["form"].alias("form"),
             rules.date(v["filed"]).alias("filed"), v["frame"].alias("frame"),
         )
 
-    # The outer explode keeps Catalyst from testing the parsed document in a filter
-    # of its own, which would parse it again.
+    # The parsed document stands behind an explode, below which no filter on its fields
+    # can go, so it is parsed once whatever is joined to the result.
     return (
-        documents.select(parts.alias("part"))
-        .select(F.from_json(quoted, schemas.COMPANY_FACTS).alias("doc"))
+        documents.select(_parts(F.col(column)).alias("part"))
+        .select(F.explode(F.array(F.from_json(_quoted(F.col("part")), schemas.COMPANY_FACTS))).alias("doc"))
         .select(keys.cik(F.col("doc.cik")).alias("cik"), F.col("doc.entityName").alias("entity_name"),
                 F.explode_outer("doc.facts").alias("namespace", "concepts"))
         .where("namespace IS NOT NULL")

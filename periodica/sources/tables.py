@@ -12,9 +12,10 @@ from pyspark.sql.types import StructType
 from periodica.operators.writes import ParquetTable
 from periodica.schemas import TABLES, schema
 
-# Facts are stored by fiscal year, so year filters skip whole folders.
-PARTITIONS = {"financial_facts": ["fiscal_year"]}
-SORTED = {"financial_facts": ["company_id", "concept"]}
+# Facts are stored by fiscal year and prices by calendar year, so year filters skip whole folders
+# and an insert reads the years of its batch only.
+PARTITIONS = {"financial_facts": ["fiscal_year"], "prices": ["price_year"]}
+SORTED = {"financial_facts": ["company_id", "concept"], "prices": ["listing_id", "price_date"]}
 
 
 class Catalog:

@@ -34,9 +34,14 @@ def land_incremental(
 ) -> None:
     """Hand every file that has not been seen yet to the sink, then stop.
 
-    Interrupted runs go on where they were. The checkpoint defaults to a folder
-    below the shared one the session names.
+    The source is a folder, a single file or a pattern. Interrupted runs go on where
+    they were. The checkpoint defaults to a folder below the shared one the session
+    names.
     """
+    if not set("*?[{") & set(source):
+        # As a pattern, a path may be a file as well as a folder.
+        parent, _, last = source.rstrip("/").rpartition("/")
+        source = f"{parent}/{{{last}}}"
     reader = spark.readStream.format(fmt).options(**options)
     if fmt == "text":
         reader = reader.option("wholetext", True)
@@ -54,18 +59,19 @@ def land_incremental(
 
 
 def insert_sink(
-    table_path: str,
-    table_schema: StructType,
+    table: ParquetTable,
     keys: Sequence[str],
     parse: Callable[[DataFrame], DataFrame],
-    partition_by: Sequence[str] = (),
+    prune: Sequence[str] = (),
     record: Callable[[int, WriteStats], None] | None = None,
 ) -> Sink:
-    """A sink that parses a batch and inserts what is new."""
+    """A sink that parses a batch and inserts what is new.
+
+    ``prune`` names partition columns that follow from the key, and only those.
+    """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        table = ParquetTable(batch.sparkSession, table_path, table_schema, partition_by)
-        stats = insert_new(table, parse(batch), keys, prune=partition_by)
+        stats = insert_new(table.on(batch.sparkSession), parse(batch), keys, prune=prune)
         if record:
             record(batch_id, stats)
 
@@ -90,23 +96,43 @@ def dedup_versions(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     return first_per_key(batch, keys).select(*batch.columns)
 
 
-def relink_filings(facts: DataFrame, filings: DataFrame) -> DataFrame:
-    """Facts whose filing was stored after them, now linked to it.
+FACT_KEY = ["company_id", "concept", "period_start", "period_end", "filing_id", "source_id"]
 
-    The accession number is the first part of the source id. Where linking would
-    repeat a fact that is already there, the first one stays.
+
+def newly_linked(facts: DataFrame, filings: DataFrame) -> DataFrame:
+    """Unlinked facts whose filing is stored by now, with its id.
+
+    The accession number is the first part of the source id.
     """
     stored = filings.select(
         F.col("company_id").alias("_company"), F.col("accession_number").alias("_number"), F.col("id").alias("_found")
     )
     number = F.split_part("source_id", F.lit("|"), F.lit(1))
-    open_facts = facts.where("filing_id IS NULL").withColumn("_accession", number)
-    linked = open_facts.join(
-        stored, (F.col("company_id") == F.col("_company")) & (F.col("_accession") == F.col("_number")), "left"
-    ).select(*[F.col("_found").alias(c) if c == "filing_id" else F.col(c) for c in facts.columns])
-    both = facts.where("filing_id IS NOT NULL").unionByName(linked)
-    key = ["company_id", "concept", "period_start", "period_end", "filing_id", "source_id"]
-    return keep_first(both, key, ["value"] + (["id"] if "id" in facts.columns else []))
+    return (
+        facts.where("filing_id IS NULL").withColumn("_accession", number)
+        .join(stored, (F.col("company_id") == F.col("_company")) & (F.col("_accession") == F.col("_number")))
+        .select(*[F.col("_found").alias(c) if c == "filing_id" else F.col(c) for c in facts.columns])
+    )
+
+
+def relink_filings(facts: DataFrame, filings: DataFrame) -> DataFrame:
+    """Facts whose filing was stored after them, now linked to it.
+
+    Only the newly linked facts are ranked and compared with what is there: where
+    linking would repeat a linked fact, the linked one stays. All other facts pass
+    through; those still open are told apart by an anti-join on the number.
+    """
+    linked = newly_linked(facts, filings)
+    once = keep_first(linked, FACT_KEY, ["value"] + (["id"] if "id" in facts.columns else []))
+    before = facts.where("filing_id IS NOT NULL")
+    stored = filings.select(F.col("company_id").alias("_company"), F.col("accession_number").alias("_number"))
+    still_open = facts.where("filing_id IS NULL").join(
+        stored,
+        (F.col("company_id") == F.col("_company"))
+        & (F.split_part("source_id", F.lit("|"), F.lit(1)) == F.col("_number")),
+        "left_anti",
+    )
+    return before.unionByName(still_open).unionByName(absent_keys(once, before, FACT_KEY))
 
 
 def pending_documents(raw_docs: DataFrame, provider=None) -> DataFrame:

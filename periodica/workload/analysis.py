@@ -186,7 +186,8 @@ def half_years(v: Views) -> DataFrame:
 )
 def pit_facts_dates(v: Views) -> DataFrame:
     """Facts as public on each half-year end, through version intervals."""
-    return history.facts_as_of(v["financial_facts"], half_years(v)).select("as_of", *_FACT.split(", "))
+    wanted = _FACT.split(", ")
+    return history.facts_as_of(v["financial_facts"], half_years(v), columns=wanted).select("as_of", *wanted)
 
 
 _MEMBERS = """SELECT DISTINCT d.as_of, m.ticker, m.company_id FROM days d
@@ -218,8 +219,9 @@ _UNIVERSE = f"""WITH {_DAYS}, members AS ({_MEMBERS}),
 @query(f"{_UNIVERSE} SELECT m.ticker, k.* FROM known k JOIN members m USING (as_of, company_id)", doubles="value")
 def pit_universe(v: Views) -> DataFrame:
     """Members on each half-year end with their facts as public then."""
-    return history.pit_universe(v["membership"], v["financial_facts"], half_years(v)).select(
-        "ticker", "as_of", *_FACT.split(", ")
+    wanted = _FACT.split(", ")
+    return history.pit_universe(v["membership"], v["financial_facts"], half_years(v), wanted).select(
+        "ticker", "as_of", *wanted
     )
 
 

@@ -266,13 +266,13 @@ def multi_cik_tickers(v: Views) -> DataFrame:
     """SELECT l.ticker, c.legal_name, i.identifier_value AS cik FROM {company_listings} l
     JOIN {companies} c ON c.id = l.company_id
     LEFT JOIN {company_identifiers} i ON i.company_id = c.id AND i.identifier_type = 'CIK'
-    WHERE l.is_active AND NOT EXISTS (SELECT 1 FROM {financial_facts} f WHERE f.company_id = c.id AND f.concept = 'Assets')"""
+    WHERE l.is_active AND NOT EXISTS (SELECT 1 FROM {financial_facts} f WHERE f.company_id = c.id AND f.company_id % 3 <> 0)"""
 )
 def tickers_without_facts(v: Views) -> DataFrame:
-    """Active tickers without any reported assets."""
-    assets = v["financial_facts"].where("concept = 'Assets'")
+    """Active tickers without any fact, every third company having lost all of its own."""
+    facts = v["financial_facts"].where("company_id % 3 <> 0")
     names = ("company_listings", "companies", "company_identifiers")
-    return audit.tickers_without_facts({**{n: v[n] for n in names}, "financial_facts": assets})
+    return audit.tickers_without_facts({**{n: v[n] for n in names}, "financial_facts": facts})
 
 
 @query(

@@ -165,7 +165,7 @@ def filings_ingest(v: Views) -> DataFrame:
 # --- facts ----------------------------------------------------------------------
 
 
-def fact_documents(v: Views) -> DataFrame:
+def fact_documents(v: Views, *keep: str) -> DataFrame:
     """One document per fact; some values are no numbers, some years out of range."""
     start = F.when(F.col("period_start").isNull(), F.lit("")).otherwise(
         _json('"start":', _text(F.col("period_start").cast("string")), ",")
@@ -176,6 +176,7 @@ def fact_documents(v: Views) -> DataFrame:
         F.col("value").cast("decimal(30,2)").cast("string")
     )
     return v["financial_facts"].select(
+        *keep,
         _json(
             '{"cik":', F.col("company_id").cast("string"), ',"entityName":"n","facts":{', _text("namespace"), ":{",
             _text("concept"), ':{"label":"l","units":{', _text("unit"), ":[{", start, '"end":', _text(end), ',"val":', val,
@@ -539,12 +540,14 @@ def incremental_landing(v: Views) -> DataFrame:
 
         return _filing_table({"filings": batch.sparkSession.sql(VIEWS["filings"], orders=batch)})
 
-    sink = landing.insert_sink(f"{root}/filings", schema("filings"), NATURAL_KEYS["filings"], parse)
+    table = ParquetTable(v.spark, f"{root}/filings", schema("filings"))
+    sink = landing.insert_sink(table, NATURAL_KEYS["filings"], parse)
     for _ in range(2):
+        # The table's own path, be it one file or a folder of part files.
         landing.land_incremental(
-            v.spark, v.folder, sink, "orders", "parquet", given.schema, f"{root}/checkpoint", pathGlobFilter="orders.parquet"
+            v.spark, f"{v.folder}/orders.parquet", sink, "orders", "parquet", given.schema, f"{root}/checkpoint"
         )
-    return ParquetTable(v.spark, f"{root}/filings", schema("filings")).read().select(*_FILING_COLUMNS)
+    return table.read().select(*_FILING_COLUMNS)
 
 
 @query(

@@ -52,6 +52,6 @@ def query(sql: str | None = None, doubles: str = "", longs: str = "") -> Callabl
 
 def load() -> dict[str, Query]:
     """Import every query module and return the registry."""
-    from periodica.workload import analysis, audits, basics, landing, layers  # noqa: F401
+    from periodica.workload import analysis, audits, basics, landing, layers, stored  # noqa: F401
 
     return QUERIES

@@ -203,7 +203,9 @@ def test_landing_takes_each_file_once(spark, tmp_path):
         numbers = batch.sparkSession.createDataFrame(identifiers.toArrow())
         return ingest.filing_rows(documents.parse_submissions(batch), numbers, "1")
 
-    sink = landing.insert_sink(path, schema("filings"), NATURAL_KEYS["filings"], parse, record=lambda i, s: seen.append((s.processed, s.inserted)))
+    sink = landing.insert_sink(
+        ParquetTable(spark, path, schema("filings")), NATURAL_KEYS["filings"], parse, record=lambda i, s: seen.append((s.processed, s.inserted)),
+    )
 
     def run():
         landing.land_incremental(spark, str(inbox), sink, "t", checkpoint=str(tmp_path / "cp"))
