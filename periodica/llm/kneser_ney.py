@@ -76,6 +76,14 @@ def _mapped(path: str, kind: str) -> np.ndarray:
         return np.memmap(copy.name, kind, "r")
 
 
+def _absent(path: str, buckets: int) -> list[int]:
+    """Buckets that no key fell into, so that no task wrote them."""
+    system, place = fs.FileSystem.from_uri(path)
+    system.create_dir(place, recursive=True)
+    found = {info.base_name for info in system.get_file_info(fs.FileSelector(place))}
+    return [b for b in range(buckets) if str(b) not in found]
+
+
 def _pack(array: np.ndarray) -> bytes:
     """Bytes of equal weight side by side, compressed: small numbers take little room."""
     planes = np.ascontiguousarray(array.view(np.uint8).reshape(len(array), array.itemsize).T)
@@ -431,6 +439,9 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         .groupBy("bucket")
         .applyInPandas(lambda pdf: _merge_stats(pdf, folder, bases), "bucket long, sums array<long>").collect()
     )
+    for empty in _absent(f"{folder}/pairs", buckets):
+        _write(f"{folder}/pairs/{empty}", np.zeros(0, "<u8"))
+        _write(f"{folder}/pair-counts/{empty}", np.zeros(0, "<u4"))
     by_bucket = {r["bucket"]: r["sums"] for r in sums}
     pair_counts = by_bucket.pop(-1, [0] * 5)
     begin = by_bucket.pop(buckets, [0] * 4)

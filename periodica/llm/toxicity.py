@@ -198,13 +198,17 @@ def fit_label_model(
 ) -> LabelModel:
     """Expectation maximisation over (pattern, texts), and (pattern, label, texts) of labelled rows.
 
-    It begins with the texts that at least two voters call toxic.
+    It begins with the texts that at least two voters call toxic. Labelled rows weigh
+    as much as all others together, so that voters which merely agree with each
+    other do not become the class.
     """
     masks = [m for m, _ in patterns] + [m for m, _, _ in labelled]
     votes = _bits(masks, n_voters)
     count = np.asarray([float(n) for _, n in patterns] + [float(n) for _, _, n in labelled])
     fixed = np.asarray([np.nan] * len(patterns) + [float(y) for _, y, _ in labelled])
     given = ~np.isnan(fixed)
+    if given.any() and not given.all():
+        count[given] *= max(1.0, count[~given].sum() / count[given].sum())
     toxic = (votes.sum(axis=1) >= 2).astype(float)
     toxic[given] = np.where(fixed[given] == 1, TRUST, 1 - TRUST)
     model = None
@@ -223,7 +227,7 @@ def fit_label_model(
         before, toxic = toxic, model.posterior(votes)
         odds = np.where(fixed[given] == 1, TRUST / (1 - TRUST), (1 - TRUST) / TRUST)
         toxic[given] = toxic[given] * odds / (toxic[given] * odds + 1 - toxic[given])
-        if np.abs(before - toxic).max() < 1e-6:
+        if not len(toxic) or np.abs(before - toxic).max() < 1e-6:
             break
     return model
 
