@@ -8,8 +8,9 @@ not depend on the order of paragraphs, and paragraphs can be added or taken away
 The vector has two parts. Eight lanes modulo 2**32 are the paragraph's SHA-256: they
 tell multisets of paragraphs apart. ``2 * HALF`` lanes modulo 2**32 add up, over the
 distinct features of the paragraph, one bit of the feature's hash each, next to a lane
-that counts the features. Features are word pairs; a paragraph of fewer than ``SHORT``
-words has its runs of three characters as well. Centred at their mean those lanes are
+that counts the features. Features are runs of up to three words, begun anew at every
+mark of punctuation; a paragraph of fewer than ``SHORT`` characters has its runs of
+three characters as well. Centred at their mean those lanes are
 a random projection of the features' multiset, so the cosine of two fingerprints
 estimates that of the texts: halves in common give about a half, unrelated texts
 about nothing.
@@ -31,8 +32,10 @@ from periodica.llm.common import text_of
 
 #: Longs that hold two likeness lanes each.
 HALF = 64
-#: Words below which a paragraph's characters count as well.
-SHORT = 16
+#: Characters below which a paragraph's runs of three characters count as well.
+SHORT = 32
+#: Up to three words, ending at a mark of punctuation.
+_CHUNK = r"(?:[^\s.,;:!?|]+\s*){1,3}[.,;:!?|\s]*"
 _EQUAL = 8
 _LOW = 0xFFFFFFFF
 _NAMES = [f"e{i}" for i in range(_EQUAL)] + [f"s{i}" for i in range(HALF)] + ["features"]
@@ -43,13 +46,12 @@ def _paragraphs(text: Column) -> Column:
 
 
 def _features(paragraph: Column) -> Column:
-    """Hashes of the features of a paragraph, never none."""
-    words = F.filter(F.split(paragraph, "[\\x20\\x09\\x0B-\\x0D]+"), lambda w: w != "")
-    zipped = F.arrays_zip(words.alias("a"), F.slice(words, 2, 2147483647).alias("b"))
-    pairs = F.transform(zipped, lambda z: F.xxhash64(z["a"], z["b"]))
+    """The distinct features of a paragraph, never none."""
+    chunks = F.regexp_extract_all(paragraph, F.lit(_CHUNK), F.lit(0))
     starts = F.sequence(F.lit(1), F.greatest(F.length(paragraph) - 2, F.lit(1)))
-    runs = F.transform(starts, lambda i: F.xxhash64(F.substring(paragraph, i, F.lit(3))))
-    return F.array_distinct(F.when(F.size(pairs) < SHORT, F.concat(pairs, runs)).otherwise(pairs))
+    runs = F.transform(starts, lambda i: F.substring(paragraph, i, F.lit(3)))
+    found = F.when(F.length(paragraph) < SHORT, F.concat(chunks, runs)).when(F.size(chunks) > 0, chunks)
+    return F.array_distinct(F.coalesce(found, F.array(paragraph)))
 
 
 def fingerprint_lanes(texts: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
@@ -59,8 +61,11 @@ def fingerprint_lanes(texts: DataFrame, keys: Sequence[str], text: str) -> DataF
     """
     digest = F.sha2(F.col("p"), 256)
     parts = [F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("long").alias(f"e{i}") for i in range(_EQUAL)]
+    # Digest and features are made per paragraph, below the explode that takes the features apart.
     paragraphs = texts.select(*keys, F.explode_outer(_paragraphs(F.col(text))).alias("p")).select(
-        *keys, *parts, F.posexplode_outer(_features(F.col("p"))).alias("nth", "h")).withColumn("h2", F.xxhash64("h"))
+        *keys, *parts, _features(F.col("p")).alias("features"))
+    paragraphs = paragraphs.select(*keys, *(f"e{i}" for i in range(_EQUAL)), F.posexplode_outer("features").alias("nth", "feature"))
+    paragraphs = paragraphs.withColumns({"h": F.xxhash64("feature"), "h2": F.xxhash64("feature", F.lit(1))})
     once = F.col("nth") == 0
     pair = F.lit(0x0000000100000001)
     sums = [F.sum(F.when(once, F.col(f"e{i}"))) for i in range(_EQUAL)]
