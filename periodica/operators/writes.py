@@ -1,7 +1,7 @@
 """Writes with relational semantics over plain Parquet folders.
 
 A table is a folder with one sub-folder per version, ``v=1``, ``v=2`` and so on, and
-each version has one sub-folder per write, ``s=1``, ``s=2`` and so on. A write counts
+each version has one sub-folder per write, ``segment=1`` and so on. A write counts
 once Spark's commit marker is in its own folder, so a job that dies leaves the rows
 as they were and readers never see half of a write. Insert-if-absent appends a
 segment to the current version; everything that changes rows starts the next
@@ -75,24 +75,27 @@ class ParquetTable:
             found = status.getPath()
             for _ in range(up):
                 found = found.getParent()
-            out.append(int(found.getName()[2:].split(".")[0]))
+            out.append(int(found.getName().split("=")[1].split(".")[0]))
         return sorted(set(out))
 
     def version(self) -> int:
         """Number of the newest version with a committed segment, 0 when there is none."""
-        return max(self._numbers("v=*/s=*/_SUCCESS", 2), default=0)
+        return max(self._numbers("v=*/segment=*/_SUCCESS", 2), default=0)
 
     def segments(self, version: int | None = None) -> list[str]:
         """Folders of the committed writes of a version."""
         version = self.version() if version is None else version
-        return [f"{self.path}/v={version}/s={s}" for s in self._numbers(f"v={version}/s=*/_SUCCESS", 1)]
+        return [f"{self.path}/v={version}/segment={s}" for s in self._numbers(f"v={version}/segment=*/_SUCCESS", 1)]
 
     def read(self) -> DataFrame:
         """The current version; an empty frame before the first write."""
-        segments = self.segments()
+        version = self.version()
+        segments = self.segments(version)
         if not segments:
             return self.spark.createDataFrame([], self.schema)
-        stored = self.spark.read.schema(self.schema).parquet(*segments)
+        # Below the version's folder the segment is a partition column like the declared ones.
+        reader = self.spark.read.schema(self.schema).option("basePath", f"{self.path}/v={version}")
+        stored = reader.parquet(*segments)
         return stored.select(*self.schema.names)
 
     def _claim(self, folder: str) -> str:
@@ -117,15 +120,15 @@ class ParquetTable:
     def replace(self, df: DataFrame) -> int:
         """Write the next version; the one being read from stays untouched."""
         following = max(self._numbers("v=*", 0), default=0) + 1
-        return self._save(df, f"{self.path}/v={following}/s=1")
+        return self._save(df, f"{self.path}/v={following}/segment=1")
 
     def append(self, df: DataFrame) -> int:
         """Add rows to the current version, as a segment of their own, and return their number."""
         version = self.version()
         if not version:
             return self.replace(df)
-        taken = self._numbers(f"v={version}/s=*", 0)
-        added = self._save(df, f"{self.path}/v={version}/s={taken[-1] + 1}")
+        taken = self._numbers(f"v={version}/segment=*", 0)
+        added = self._save(df, f"{self.path}/v={version}/segment={taken[-1] + 1}")
         if self.version() != version:
             raise RuntimeError(f"{self.path} was replaced while rows were appended to version {version}")
         return added

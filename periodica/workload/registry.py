@@ -21,7 +21,11 @@ class Query:
     longs: Sequence[str]
 
     def run(self, spark: SparkSession, folder: str) -> DataFrame:
-        df = self.build(Views(spark, folder))
+        return self.over(Views(spark, folder))
+
+    def over(self, views: Views) -> DataFrame:
+        """The result over given views."""
+        df = self.build(views)
         casts = {c: F.round(F.col(c).cast("double"), 6) for c in self.doubles}
         return df.withColumns(casts | {c: F.col(c).cast("bigint") for c in self.longs})
 

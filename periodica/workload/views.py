@@ -175,6 +175,17 @@ class Views(Mapping[str, DataFrame]):
                 raise KeyError(name)
         return self._built[name]
 
+    def stored(self, root: str, partition_by: Mapping[str, str]) -> Views:
+        """The same views, each written below ``root`` as a table of its own and read from there."""
+        other = Views(self.spark, self.folder)
+        for name in VIEWS:
+            df, by = self[name], partition_by.get(name)
+            if by:
+                df = df.repartition(by)
+            df.write.partitionBy(*([by] if by else [])).parquet(f"{root}/{name}")
+            other._built[name] = self.spark.read.schema(df.schema).parquet(f"{root}/{name}").select(*df.columns)
+        return other
+
     def __iter__(self) -> Iterator[str]:
         return iter((*GIVEN, *VIEWS))
 

@@ -124,3 +124,26 @@ def test_raw_documents(spark, tmp_path):
     row = documents.scan_raw_documents(spark, str(tmp_path / "raw")).first()
     assert (row.source_identifier, row.content_type) == ("companyfacts:1", "application/json")
     assert row.checksum == hashlib.sha256(b'{"a": 1}').hexdigest()
+
+
+def test_rejected_documents(spark):
+    good = '{"cik":1,"entityName":"n","facts":{"us-gaap":{"Assets":{"units":{"USD":[{"end":"2023-12-31","val":1}]}}}}}'
+    rows = [("a", good), ("b", good[:60]), ("c", None), ("d", ""), ("e", '{"cik":1}'), ("f", good + "\n" + good[:50])]
+    docs = spark.createDataFrame(rows, "path string, value string")
+    got = {r.path: r.reason for r in documents.rejected_documents(docs, "facts").collect()}
+    assert got == {"b": "not valid JSON", "c": "document is empty", "d": "document is empty", "e": "facts is missing", "f": "not valid JSON"}
+    listing = spark.createDataFrame([("a", '{"data":[]}'), ("b", '{"data":[')], "path string, value string")
+    assert [r.path for r in documents.rejected_documents(listing, "universe").collect()] == ["b"]
+    subs = spark.createDataFrame([("a", '{"cik":"1","filings":{"recent":{}}}'), ("b", '{"cik":"1"}')], "path string, value string")
+    assert [tuple(r) for r in documents.rejected_documents(subs, "submissions").collect()] == [("b", "filings is missing")]
+
+
+def test_missing_values_are_rejected_not_zero(spark):
+    from periodica.plans import ingest
+
+    item = '{"end":"2023-12-31","accn":"1","fy":2023,"fp":"FY","form":"10-K","filed":"2024-02-01"%s}'
+    text = '{"cik":1,"facts":{"us-gaap":{"Assets":{"units":{"USD":[' + ",".join(item % v for v in (',"val":null', "", ',"val":0')) + "]}}}}}"
+    values = documents.parse_company_facts(spark.createDataFrame([(text,)], "value string"))
+    valid, rejects = ingest.validate_facts(ingest.normalize_facts(values))
+    assert [r.value for r in valid.collect()] == [0]
+    assert [list(r.errors) for r in rejects.collect()] == [["value is required"]] * 2

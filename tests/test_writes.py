@@ -237,3 +237,57 @@ def test_refresh_after_a_failed_load_changes_nothing(spark, tmp_path):
     with pytest.raises(RuntimeError):
         landing.refresh_after(fails, t, build)
     assert t.version() == 1
+
+
+def test_an_append_that_dies_leaves_the_rows_as_they_were(spark, tmp_path):
+    t = table(spark, tmp_path)
+    insert_new(t, literal_table(spark, [("a", 1, "x")], ROW), ["k"])
+    # Part files of a write that never committed.
+    folder = tmp_path / "t" / "v=1" / "segment=2"
+    literal_table(spark, [("b", 1, "y")], ROW).write.parquet(str(folder))
+    (folder / "_SUCCESS").unlink()
+    assert content(t) == [("a", 1, "x")]
+    insert_new(t, literal_table(spark, [("c", 1, "z")], ROW), ["k"])
+    assert content(t) == [("a", 1, "x"), ("c", 1, "z")] and [s[-1] for s in t.segments()] == ["1", "3"]
+
+
+def test_a_second_writer_is_refused(spark, tmp_path):
+    t = table(spark, tmp_path)
+    t.replace(literal_table(spark, [("a", 1, "x")], ROW))
+    (tmp_path / "t" / "v=2").mkdir()
+    (tmp_path / "t" / "v=2" / "segment=1.claim").touch()
+    with pytest.raises(Exception, match="exist"):
+        t._claim(f"{t.path}/v=2/segment=1")
+    assert t.version() == 1
+    t.replace(literal_table(spark, [("b", 1, "x")], ROW))
+    assert t.version() == 3 and content(t) == [("b", 1, "x")]
+
+
+def test_pruning_needs_partition_columns(spark, tmp_path):
+    with pytest.raises(ValueError, match="partition"):
+        insert_new(table(spark, tmp_path), literal_table(spark, [("a", 1, "x")], ROW), ["k"], prune=["n"])
+
+
+def test_landing_reads_a_file_and_a_folder_alike(spark, tmp_path):
+    rows = spark.range(30).select(F.col("id").cast("string").alias("k"), F.col("id").cast("int").alias("n"), F.lit("v").alias("v"))
+    rows.repartition(3).write.parquet(str(tmp_path / "many.parquet"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "one"))
+    next((tmp_path / "one").glob("part-*.parquet")).rename(tmp_path / "one.parquet")
+    for name in ("many", "one"):
+        t = table(spark, tmp_path, name=f"landed-{name}")
+        for _ in range(2):
+            landing.land_incremental(spark, str(tmp_path / f"{name}.parquet"), landing.insert_sink(t, ["k"], lambda b: b), name,
+                                     "parquet", rows.schema, str(tmp_path / f"cp-{name}"))
+        assert t.read().count() == 30
+
+
+def test_failed_sync_closes_its_run(spark, tmp_path):
+    catalog = Catalog(spark, str(tmp_path / "db"))
+    companies = universe(spark, ["1", "One", "one", "NYSE"])
+    broken = companies.withColumn("name", F.raise_error(F.lit("broken universe")).cast("string"))
+    nothing = documents.parse_submissions(spark.createDataFrame([], "value string"))
+    values = documents.parse_company_facts(spark.createDataFrame([], "value string"))
+    with pytest.raises(Exception, match="broken universe"):
+        ingest.sync(catalog, broken, nothing, values, "1", "2024-03-01")
+    run = runs.runs_state(catalog.table("import_runs")).first()
+    assert run.status == "failed" and "broken universe" in run.errors["error"]
