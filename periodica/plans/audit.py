@@ -96,25 +96,54 @@ def _unstack(counts: DataFrame, severity: str) -> DataFrame:
     )
 
 
-def _company_links(
-    child: DataFrame, companies: DataFrame, name: str, counters: Mapping[str, Column] | None = None
+def _company_links(child: DataFrame, companies: DataFrame, name: str) -> DataFrame:
+    """Orphaned child rows and companies without child; one aggregate serves both, so the child is read once."""
+    per_company = child.groupBy("company_id").agg(F.count("*").alias("_n"))
+    both = per_company.join(
+        companies.select(F.col("id").alias("company_id"), F.lit(True).alias("_known")), "company_id", "full"
+    )
+    return both.agg(
+        F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_n"))), F.lit(0)).alias(f"orphan_{name}"),
+        F.count_if(F.col("_n").isNull()).alias(f"companies_without_{name}"),
+    )
+
+
+def _fact_checks(
+    facts: DataFrame, companies: DataFrame, filings: DataFrame, counters: Mapping[str, Column]
 ) -> DataFrame:
-    """Orphaned child rows and companies without child, and further counts of child rows.
+    """Duplicate, orphaned and dangling facts, companies without facts, and further counts, in one row.
 
-    One aggregate per company serves all of them, so the child is read once.
+    The facts are read once: one aggregate counts them by natural key, by company and
+    by filing, a second one folds the keys, and what is left meets companies and
+    filings in one join.
     """
-    counters = counters or {}
-    per_company = child.groupBy("company_id").agg(
-        F.count("*").alias("_n"), *[F.count_if(c).alias(k) for k, c in counters.items()]
+    key = NATURAL_KEYS["financial_facts"]
+    grouped = facts.groupingSets([key, ["company_id"], ["filing_id"]], *key).agg(
+        F.count("*").alias("_n"), *[F.count_if(c).alias(k) for k, c in counters.items()],
+        F.grouping_id().alias("_set"), F.grouping("company_id").alias("_no_company"),
     )
-    both = per_company.join(
-        companies.select(F.col("id").alias("company_id"), F.lit(True).alias("_known")), "company_id", "full"
+    kind = F.when(F.col("_set") == 0, "key").when(F.col("_no_company") == 0, "company").otherwise("filing")
+    per_id = (
+        grouped.withColumn("_kind", kind)
+        .withColumn("_id", F.when(kind == "company", F.col("company_id").cast("string")).when(
+            kind == "filing", F.col("filing_id").cast("string")))
+        .groupBy("_kind", "_id")
+        .agg(F.sum("_n").alias("_n"), F.count_if(F.col("_n") >= 2).alias("_repeated"), *[F.sum(k).alias(k) for k in counters])
     )
-    zero = F.lit(0)
+
+    def ids(parent: DataFrame, name: str) -> DataFrame:
+        return parent.select(F.lit(name).alias("_kind"), F.col("id").cast("string").alias("_id")).distinct()
+
+    parents = ids(companies, "company").unionByName(ids(filings, "filing")).withColumn("_known", F.lit(True))
+    both = per_id.join(parents, ["_kind", "_id"], "full")
+    of_company, of_filing = F.col("_kind") == "company", (F.col("_kind") == "filing") & F.col("_id").isNotNull()
+    zero, unknown = F.lit(0), F.col("_known").isNull()
     return both.agg(
-        F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_n"))), zero).alias(f"orphan_{name}"),
-        F.count_if(F.col("_n").isNull()).alias(f"companies_without_{name}"),
-        *[F.coalesce(F.sum(k), zero).alias(k) for k in counters],
+        F.coalesce(F.sum(F.when(F.col("_kind") == "key", F.col("_repeated"))), zero).alias("dup_facts"),
+        F.coalesce(F.sum(F.when(of_company & unknown, F.col("_n"))), zero).alias("orphan_facts"),
+        F.count_if(of_company & F.col("_n").isNull()).alias("companies_without_facts"),
+        *[F.coalesce(F.sum(F.when(of_company, F.col(k))), zero).alias(k) for k in counters],
+        F.coalesce(F.sum(F.when(of_filing & unknown, F.col("_n"))), zero).alias("dangling_filings"),
     )
 
 
@@ -134,12 +163,10 @@ def integrity_audit(t: Tables) -> DataFrame:
         _count("dup_identifiers", "error", dup_identifiers(identifiers)),
         _count("dup_listings", "error", dup_listings(listings)),
         _count("dup_filings", "error", dup_filings(filings)),
-        _count("dup_facts", "error", dup_facts(facts)),
-        _unstack(_company_links(facts, companies, "facts", missing), "error"),
+        _unstack(_fact_checks(facts, companies, filings, missing), "error"),
         _unstack(_company_links(filings, companies, "filings"), "error"),
         _count("orphan_listings", "error", orphan_listings(listings, companies, t["exchanges"])),
         _count("companies_without_identifiers", "error", childless(companies, identifiers)),
-        _unstack(_dangling_count(facts, filings).toDF("dangling_filings"), "error"),
     ]
     expected = ("companies_without_facts", "companies_without_filings")
     return reduce(DataFrame.unionByName, parts).withColumn(

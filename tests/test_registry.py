@@ -98,3 +98,18 @@ def test_stub_companies_run_nothing_while_built(spark):
     before = len(tracker.getJobIdsForGroup())
     audit.stub_companies(views)
     assert len(tracker.getJobIdsForGroup()) == before
+
+
+def test_integrity_audit_reads_facts_once(spark):
+    from periodica.plans import audit
+    from periodica.sources.tables import Catalog
+
+    views = Views(spark, FOLDER)
+    names = ("financial_facts", "filings", "companies", "company_identifiers", "company_listings", "exchanges")
+    catalog = Catalog(spark, f"{scratch_dir(spark)}/audited-{uuid4().hex}")
+    tables = {}
+    for name in names:
+        catalog.store(name).replace(views[name])
+        tables[name] = catalog.table(name)
+    text = plan(audit.integrity_audit(tables))
+    assert len(re.findall(r"FileScan parquet \[[^\]]*source_id", text)) == 1
