@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from periodica.llm import decontaminate, line_dedup, minhash, packing, toxicity
-from periodica.llm.common import crc_remainder_column, staged, table, without
+from periodica.llm.common import crc_remainder_column, importable, staged, table, without
 
 MIN_SITES = 10
 SEQUENCE = 4096
@@ -43,6 +43,7 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component of near duplicates, by word pairs at 0.8."""
+    importable(spark)
     found = minhash.near_duplicates(docs, words=2, percent=80)
     return without(docs, found.where(~F.col("kept")))
 
@@ -55,6 +56,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The places of all remaining documents' pieces in sequences."""
+    importable(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=SEQUENCE)
 
 

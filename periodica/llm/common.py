@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import uuid
 import zlib
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +19,20 @@ _NO_WORD = bytes(b for b in range(128) if not chr(b).isalnum())
 ALNUM = bytes(32 if b in _NO_WORD else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers of this context find this package where the driver has it.
+
+    On a cluster that is given the package by other means this adds a path that may
+    be absent there, which does no harm.
+    """
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
