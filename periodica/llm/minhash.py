@@ -23,7 +23,6 @@ while any member has one. Empty tables give no rows. Other columns are not read.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -121,10 +120,11 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, root) of an undirected graph of long ids: alternating large and small stars.
 
     Each round links every node's larger, then its smaller neighbours to the smallest
-    one, until nothing changes; rounds grow with the logarithm of the longest path. Each round is written to the
-    shared folder. A node with many links meets its minimum in a partial aggregate
-    and a join of many rows with one, which adaptive execution splits.
+    one, until nothing changes; rounds grow with the logarithm of the longest path.
+    Each round is written to the shared folder. A node with many links meets its
+    minimum in a partial aggregate and a join of many rows with one.
     """
+
     def star(pairs: DataFrame) -> DataFrame:
         """(u, v) of every neighbour v of u, as (v, smallest neighbour of u or u)."""
         least = pairs.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
