@@ -38,9 +38,9 @@ def main() -> None:
     spark = build_session(
         "bench", f"local[{cpus}]", spark_sql_shuffle_partitions=cpus, spark_driver_memory="16g",
         spark_ui_enabled="false", spark_ui_showConsoleProgress="false",
+        spark_checkpoint_dir=tempfile.mkdtemp(prefix="periodica-bench-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
-    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="periodica-bench-"))
     times, facts = timed(spark, folder, names, repeats)
     smaller = os.path.join(os.path.dirname(folder.rstrip("/")), {"sf0.1": "sf0.01", "sf0.01": "sf0.001"}.get(
         os.path.basename(folder.rstrip("/")), "none"))
