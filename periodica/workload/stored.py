@@ -298,7 +298,7 @@ def literal_relation(v: Views) -> DataFrame:
 
 @query(_same("relink_filings"))
 def relink_filings_table(v: Views) -> DataFrame:
-    """Facts stored before their filings, linked in the table; years without a new link keep their files."""
+    """Facts stored before their filings, linked in the table, which is rewritten as a new version."""
     c = F.col
     source = F.concat_ws(
         "|", F.concat(F.lit("9"), c("filing_id").cast("string")), F.concat("namespace", F.lit(":"), "concept"),
