@@ -8,9 +8,9 @@ not depend on the order of paragraphs, and paragraphs can be added or taken away
 The vector has two parts. Eight lanes modulo 2**32 are the paragraph's SHA-256: they
 tell multisets of paragraphs apart. ``2 * HALF`` lanes modulo 2**32 add up, over the
 distinct features of the paragraph, one bit of the feature's hash each, next to a lane
-that counts the features. Features are runs of up to three words, begun anew at every
-mark of punctuation; a paragraph of fewer than ``SHORT`` characters has its runs of
-three characters as well. Centred at their mean those lanes are
+that counts the features. Features are the pairs of words that begin at every word, the
+last word standing alone, with one space between them; a paragraph of fewer than
+``SHORT`` words has its runs of three characters as well. Centred at their mean those lanes are
 a random projection of the features' multiset, so the cosine of two fingerprints
 estimates that of the texts: halves in common give about a half, unrelated texts
 about nothing.
@@ -32,10 +32,14 @@ from periodica.llm.common import text_of
 
 #: Longs that hold two likeness lanes each.
 HALF = 64
-#: Characters below which a paragraph's runs of three characters count as well.
-SHORT = 32
-#: Up to three words, ending at a mark of punctuation.
-_CHUNK = r"(?:[^\s.,;:!?|]+\s*){1,3}[.,;:!?|\s]*"
+#: Words below which a paragraph's runs of three characters count as well.
+SHORT = 16
+#: White space other than a single space between words.
+_WIDE = r"\s{2,}|[\t\x0B\f\r]"
+#: A word; the first group is the word with its successor.
+_PAIR = r"(?=(\S++(?:\s\S++)?))\S++"
+#: A character; the first group is the run of three that it begins.
+_RUN = r"(?s)(?=(.{3}))."
 _EQUAL = 8
 _LOW = 0xFFFFFFFF
 _NAMES = [f"e{i}" for i in range(_EQUAL)] + [f"s{i}" for i in range(HALF)] + ["features"]
@@ -45,13 +49,11 @@ def _paragraphs(text: Column) -> Column:
     return F.filter(F.split(text, "\n", -1), lambda p: p != "")
 
 
-def _features(paragraph: Column) -> Column:
-    """The distinct features of a paragraph, never none."""
-    chunks = F.regexp_extract_all(paragraph, F.lit(_CHUNK), F.lit(0))
-    starts = F.sequence(F.lit(1), F.greatest(F.length(paragraph) - 2, F.lit(1)))
-    runs = F.transform(starts, lambda i: F.substring(paragraph, i, F.lit(3)))
-    found = F.when(F.length(paragraph) < SHORT, F.concat(chunks, runs)).when(F.size(chunks) > 0, chunks)
-    return F.array_distinct(F.coalesce(found, F.array(paragraph)))
+def _features(paragraph: Column, pairs: Column) -> Column:
+    """The distinct features of a paragraph with the given word pairs, never none."""
+    runs = F.regexp_extract_all(paragraph, F.lit(_RUN), F.lit(1))
+    found = F.when(F.size(pairs) >= SHORT, pairs).when(F.size(pairs) > 0, F.concat(pairs, runs))
+    return F.array_distinct(found.otherwise(F.array(paragraph)))
 
 
 def fingerprint_lanes(texts: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
@@ -63,9 +65,14 @@ def fingerprint_lanes(texts: DataFrame, keys: Sequence[str], text: str) -> DataF
     parts = [F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("long").alias(f"e{i}") for i in range(_EQUAL)]
     # Digest and features are made per paragraph, below the explode that takes the features apart.
     paragraphs = texts.select(*keys, F.explode_outer(_paragraphs(F.col(text))).alias("p")).select(
-        *keys, *parts, _features(F.col("p")).alias("features"))
+        *keys, *parts, F.regexp_replace("p", _WIDE, " ").alias("p")).withColumn(
+        "pairs", F.regexp_extract_all("p", F.lit(_PAIR), F.lit(1))).select(
+        *keys, *(f"e{i}" for i in range(_EQUAL)), _features(F.col("p"), F.col("pairs")).alias("features"))
     paragraphs = paragraphs.select(*keys, *(f"e{i}" for i in range(_EQUAL)), F.posexplode_outer("features").alias("nth", "feature"))
-    paragraphs = paragraphs.withColumns({"h": F.xxhash64("feature"), "h2": F.xxhash64("feature", F.lit(1))})
+    # A text without paragraphs has one row without a feature, which adds nothing.
+    found = F.col("feature").isNotNull()
+    paragraphs = paragraphs.withColumn("h", F.when(found, F.xxhash64("feature")).otherwise(F.lit(0).cast("long")))
+    paragraphs = paragraphs.withColumn("h2", F.when(found, F.xxhash64("h")).otherwise(F.lit(0).cast("long")))
     once = F.col("nth") == 0
     pair = F.lit(0x0000000100000001)
     sums = [F.sum(F.when(once, F.col(f"e{i}"))) for i in range(_EQUAL)]

@@ -185,6 +185,25 @@ def test_fingerprints(spark):
     assert fingerprints.edited_fingerprints(documents(spark), 4).count() == documents(spark).count()
 
 
+def test_fingerprint_likeness_of_shifted_short_and_unspaced_texts(spark):
+    rng = random.Random(5)
+    plain = " ".join(f"w{rng.randrange(10**6)}" for _ in range(200))
+    short, other = "ten words are in this line and no more here", "nothing of that stands on such a row at all"
+    solid = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(640)) for _ in range(2)]
+    cases = {
+        "shifted": (plain, f"before {plain}", 0.9, 1.0), "spaces": (plain, plain.replace(" ", " \t "), 0.999, 1.0),
+        "short": (short, short[:22] + other[22:], 0.25, 0.8), "unspaced": (solid[0], solid[0][:320] + solid[1][320:], 0.25, 0.75),
+        "unlike": (*solid, 0.0, 0.35), "empty": ("", plain, 0.0, 0.0), "null": (None, short, 0.0, 0.0),
+    }
+    texts = spark.createDataFrame([(c, side, v[side]) for c, v in cases.items() for side in (0, 1)], "c string, side int, text string")
+    lanes = fingerprints.fingerprint_lanes(texts, ["c", "side"], "text").withColumn("lanes", F.struct(*fingerprints._NAMES))
+    got = lanes.groupBy("c").pivot("side", [0, 1]).agg(F.first("lanes")).select(
+        "c", fingerprints.likeness(F.col("0"), F.col("1")).alias("like"), fingerprints.fingerprint(F.col("0")).alias("own")).collect()
+    found = {r.c: r.like for r in got}
+    assert all(least <= found[c] <= most for c, (_, _, least, most) in cases.items()), found
+    assert all(set(r.own) == {"0"} for r in got if r.c in ("empty", "null"))
+
+
 def test_fingerprints_add_and_remove(spark):
     docs = spark.createDataFrame(
         [(1, "one line here\nanother line\nthird"), (2, "third\none line here\nanother line"), (3, "one line here"), (4, "third\nanother line")],
