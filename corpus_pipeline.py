@@ -42,9 +42,9 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of near duplicates, by word pairs at 0.8."""
+    """The document with the smallest id of each component of near duplicates, by runs of five words at 0.8."""
     importable(spark)
-    found = minhash.near_duplicates(docs, words=2, percent=80)
+    found = minhash.near_duplicates(docs, words=5, percent=80)
     return without(docs, found.where(~F.col("kept")))
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from periodica.llm import minhash
 from periodica.llm.queries import ORACLES, QUERIES
 from tests.llm.cases import words
 from tests.oracle import connect, table
@@ -74,6 +75,18 @@ def test_stages(spark, tmp_path):
     assert ids(corpus_pipeline.run(spark, folder)) == ids(clean)
 
 
+def test_near_dedup_takes_runs_of_five_words(spark):
+    base = [f"w{i}" for i in range(100)]
+    few = [f"other{i}" if i in (20, 40, 60, 80) else w for i, w in enumerate(base)]  # 91 of 107 pairs, 76 of 116 runs of five
+    one = ["other" if i == 50 else w for i, w in enumerate(base)]
+    rows = [(1, " ".join(base)), (2, " ".join(few)), (3, " ".join(one))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    pairs = minhash.near_duplicates(docs, words=2, percent=80)
+    assert {r.doc_id for r in pairs.where("kept").collect()} == {1}
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, FOLDER)
+    assert {r.doc_id for r in kept.collect()} == {1, 2}
+
+
 def test_stages_of_nothing(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where(F.lit(False))
     for _, stage in corpus_pipeline.STAGES:
