@@ -260,14 +260,32 @@ class Classifier:
         return float(1 / (1 + np.exp(-np.clip(logit, -30, 30))))
 
 
+def first_rows(found: DataFrame, rows: int) -> DataFrame:
+    """The first rows by hashes of ``labelled_id`` and then of ``text``, of which there are few distinct ids.
+
+    Ids are counted without their texts; only the id at the limit can be cut.
+    """
+    key = F.xxhash64("labelled_id")
+    counts = found.groupBy("labelled_id").agg(F.count("*").alias("n")).select("labelled_id", "n", key.alias("h"))
+    left = rows
+    for row in counts.orderBy("h", "labelled_id").collect():
+        if row["n"] > left:
+            last = F.lit(row["labelled_id"]).cast(found.schema["labelled_id"].dataType)
+            before = found.where((key < row["h"]) | ((key == row["h"]) & (F.col("labelled_id") < last)))
+            cut = found.where(F.col("labelled_id") == last).orderBy(F.xxhash64("text"), "text").limit(left)
+            return before.union(cut) if left else before
+        left -= row["n"]
+    return found
+
+
 def train(
     docs: DataFrame, labels: DataFrame, trainable: Column, doc_id: str = "doc_id", text: str = "text",
     toxic: str = "toxic", sample_rows: int = SAMPLE,
 ) -> Classifier:
     """A classifier learned from rows where ``trainable`` (a column of the id) holds.
 
-    At most ``sample_rows`` labelled rows, the first by a hash of their id, become
-    the sample; votes are taken from all training texts.
+    At most ``sample_rows`` labelled rows, the first by a hash of their id and then one
+    of their text, become the sample; votes are taken from all training texts.
     """
     kind = docs.schema[doc_id].dataType
     usable = docs.where(trainable)
@@ -281,11 +299,9 @@ def train(
         named.withColumn(doc_id, F.col("labelled_id")).where(trainable).select("labelled_id", "toxic")
         .orderBy(F.xxhash64("labelled_id"), "labelled_id").limit(sample_rows)
     )
-    sample = staged(
-        usable.select(F.col(doc_id).alias("sample_id"), F.col(text).cast("string").alias("text"))
-        .join(F.broadcast(drawn), F.col("sample_id") == F.col("labelled_id")).select("text", "toxic"),
-        "labelled-sample",
-    )
+    found = usable.select(F.col(doc_id).alias("sample_id"), F.col(text).cast("string").alias("text")).join(
+        F.broadcast(drawn), F.col("sample_id") == F.col("labelled_id"))
+    sample = staged(first_rows(found, sample_rows).select("text", "toxic"), "labelled-sample")
     lexicon = learn_lexicon(sample)
     patterns = vote_patterns(usable, lexicon, text)
 
@@ -301,7 +317,7 @@ def train(
                 [pa.array(found, pa.list_(pa.int32())), pa.array(votes, pa.int64()), batch.column(1)],
                 names=["found", "votes", "toxic"])
 
-    rows = sample.mapInArrow(describe, "found array<int>, votes long, toxic int").limit(2 * sample_rows).collect()
+    rows = sample.mapInArrow(describe, "found array<int>, votes long, toxic int").collect()
     labelled = [(m, y, n) for (m, y), n in Counter((r["votes"], r["toxic"]) for r in rows).items()]
     model = fit_label_model(patterns, labelled, lexicon.n_voters)
     n = len(lexicon.names)

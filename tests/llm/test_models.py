@@ -276,6 +276,19 @@ def test_toxicity(spark):
     assert again == pytest.approx({r.doc_id: r.score for r in rows})
 
 
+def test_toxicity_sample_is_bounded_by_rows(spark, monkeypatch):
+    rows = [(i, f"text {k} of {i}", i % 2) for i in range(30) for k in range(10)]
+    found = spark.createDataFrame(rows, "labelled_id long, text string, toxic int")
+    first = {tuple(r) for r in toxicity.first_rows(found, 95).collect()}
+    assert len(first) == 95 and {tuple(r) for r in toxicity.first_rows(found.repartition(7), 95).collect()} == first
+    assert toxicity.first_rows(found, 90).count() == 90 and toxicity.first_rows(found, 400).count() == 300
+    staged, sizes = toxicity.staged, []
+    monkeypatch.setattr(toxicity, "staged", lambda df, name: sizes.append((out := staged(df, name)).count()) or out)
+    toxicity.train(found.select(F.col("labelled_id").alias("doc_id"), "text"), found.select(
+        F.col("labelled_id").alias("doc_id"), "toxic"), F.lit(True), sample_rows=20)
+    assert sizes == [20]
+
+
 def test_toxicity_without_labels(spark):
     docs, labels, _ = toxic_corpus(spark, 30)
     model = toxicity.train(docs, labels.where("false"), F.lit(True))
