@@ -564,6 +564,17 @@ def batch_counters(v: Views) -> DataFrame:
     return v.spark.createDataFrame([row], "rows bigint, finished bigint, largest double")
 
 
+def filings_and_facts(v: Views) -> tuple[DataFrame, DataFrame]:
+    """The stored filings and the facts of all fact documents, as a sync takes them."""
+    filings = _stored_filings(v).select(
+        F.lpad(F.col("company_id").cast("string"), 10, "0").alias("cik"), "accession_number",
+        F.lit("10-K").alias("form"), F.lit(None).cast("date").alias("filing_date"), F.lit(None).cast("date").alias("period_end"),
+        F.lit(None).cast("int").alias("fiscal_year"), F.lit(None).cast("string").alias("fiscal_period"),
+        F.lit(None).cast("string").alias("filing_url"), F.lit(False).alias("is_amended"),
+    )
+    return filings, documents.parse_company_facts(fact_documents(v))
+
+
 @query(
     f"""SELECT lpad(CAST(f.company_id AS VARCHAR), 10, '0') AS cik, f.concept, f.value, f.unit, f.period_start, f.period_end,
            {_SOURCE} AS source_id, o.o_orderkey IS NOT NULL AS linked
@@ -577,15 +588,8 @@ def sync_companies(v: Views) -> DataFrame:
     """Universe, filings and facts of all companies loaded into empty tables, run twice, read back."""
     catalog = Catalog(v.spark, _fresh(v, "sync"))
     universe = documents.parse_universe(universe_documents(v))
-    values = documents.parse_company_facts(fact_documents(v))
-    filings = _stored_filings(v).select(
-        F.lpad(F.col("company_id").cast("string"), 10, "0").alias("cik"), "accession_number",
-        F.lit("10-K").alias("form"), F.lit(None).cast("date").alias("filing_date"), F.lit(None).cast("date").alias("period_end"),
-        F.lit(None).cast("int").alias("fiscal_year"), F.lit(None).cast("string").alias("fiscal_period"),
-        F.lit(None).cast("string").alias("filing_url"), F.lit(False).alias("is_amended"),
-    )
     for _ in range(2):
-        ingest.sync(catalog, universe, filings, values, "1", "2024-01-01")
+        ingest.sync(catalog, universe, *filings_and_facts(v), "1", "2024-01-01")
     numbers = ingest.company_ids(catalog.table("company_identifiers"))
     return catalog.table("financial_facts").join(numbers, "company_id").select(
         "cik", "concept", "value", "unit", "period_start", "period_end", "source_id",

@@ -18,7 +18,7 @@ from periodica.sources.tables import Catalog, literal_table
 from periodica.streaming import landing
 from periodica.workload import analysis, basics, layers
 from periodica.workload.landing import (
-    _TARGETS, _bars, _filing_table, _fresh, _stored_filings, fact_documents, universe_documents,
+    _TARGETS, _bars, _filing_table, _fresh, _stored_filings, fact_documents, filings_and_facts, universe_documents,
 )
 from periodica.workload.registry import QUERIES, query
 from periodica.workload.views import Views
@@ -252,12 +252,12 @@ def sync_runs(v: Views) -> DataFrame:
     longs="versions processed",
 )
 def sync_documents(v: Views) -> DataFrame:
-    """Documents registered by a sync, flagged unless rejected; changed ones come back as a second version."""
+    """Documents registered by a sync of filings and facts, flagged unless rejected; changed ones come back as a second version."""
     catalog = Catalog(v.spark, _fresh(v, "registry"))
     name = F.concat(F.lit("doc:"), F.col("doc_id").cast("string"))
     scan = documents.checksums(v["documents"], "text", name, F.concat("source", F.lit(".json")))
     lost = v["documents"].where("lang = 'de'").select(name.alias("source_identifier"))
-    ingest.sync(catalog, documents.parse_universe(universe_documents(v)), *_nothing(v), "1", "2024-01-01", raw=scan, rejected=lost)
+    ingest.sync(catalog, documents.parse_universe(universe_documents(v)), *filings_and_facts(v), "1", "2024-01-01", raw=scan, rejected=lost)
     edited = v["documents"].withColumn("text", F.when(F.col("lang") == "fr", F.concat("text", F.lit("!"))).otherwise(F.col("text")))
     again = documents.checksums(edited, "text", name, F.concat("source", F.lit(".json")))
     ingest.register_documents(catalog, again, "1", "2024-01-02")

@@ -6,6 +6,7 @@ from uuid import uuid4
 import pytest
 
 import __spark_entry__ as contract
+from periodica.plans import ingest
 from periodica.session import scratch_dir
 from periodica.workload.registry import load
 from periodica.workload.views import Views
@@ -27,6 +28,13 @@ def test_query_equals_oracle(spark, con, name):
     assert compare(spark, con, name, load()[name], FOLDER) in (None, "both empty")
 
 
+def test_sync_documents_loads_filings_and_facts(spark, monkeypatch):
+    seen, sync = [], ingest.sync
+    monkeypatch.setattr(ingest, "sync", lambda *args, **options: seen.append(out := sync(*args, **options)) or out)
+    load()["sync_documents"].build(Views(spark, FOLDER)).count()
+    assert len(seen) == 1 and seen[0]["filings"].inserted > 0 and seen[0]["facts"].inserted > 0
+
+
 def test_contract(spark):
     assert contract.entry(spark).count() > 0
     assert set(load()) <= set(contract.oracle_sql()) <= set(contract.queries())
