@@ -101,3 +101,54 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+ORACLES["op11_hard_negatives"] = """
+WITH kept AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) AS BIGINT) AS score
+  FROM kept a JOIN kept b ON a.vec_id <> b.vec_id
+  WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id AS negative_id, positive_score,
+  score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 5
+"""
+
+_ROUND = """, near{n} AS (
+  SELECT vec_id, point, arg_min(cluster, (distance, cluster)) AS cluster, min(distance) AS distance
+  FROM (
+    SELECT vec_id, point, cluster, CAST(list_sum(list_transform(range(1, 65), lambda i: (point[i] - centre[i]) * (point[i] - centre[i]))) AS BIGINT) AS distance
+    FROM points, centres{n}
+  ) GROUP BY vec_id, point
+), sums{n} AS (
+  SELECT cluster, place, sum(x) AS total, count(*) AS n
+  FROM (SELECT cluster, unnest(point) AS x, unnest(range(64)) AS place FROM near{n}) GROUP BY cluster, place
+), centres{m} AS (
+  SELECT cluster, list(CAST((total - ((total % n) + n) % n) / n AS BIGINT) ORDER BY place) AS centre FROM sums{n} GROUP BY cluster
+  UNION ALL SELECT * FROM centres{n} WHERE cluster NOT IN (SELECT cluster FROM sums{n})
+)"""
+ORACLES["op12_clusters"] = """
+WITH points AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS point
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), centres0 AS (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS INTEGER) AS cluster, point AS centre
+  FROM points QUALIFY cluster < 16
+)""" + "".join(_ROUND.format(n=n, m=n + 1) for n in range(4)) + """
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(centre, ',')) AS centroid_sha256
+FROM near3 JOIN centres3 USING (cluster)
+"""

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from periodica.llm import (
-    decontaminate, fingerprints, kneser_ney, line_dedup, minhash, packing, secrets, token_counts,
-    toxicity, warc,
+    byte_bpe, clustering, decontaminate, fingerprints, hard_negatives, kneser_ney, line_dedup, minhash, packing, secrets,
+    token_counts, toxicity, warc,
 )
 from periodica.llm.common import crc_remainder_column, new_folder, table
 from periodica.llm.oracles import ORACLES
@@ -89,10 +89,32 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector among all vectors."""
+    rows = hard_negatives.relabelled(hard_negatives.integer_rows(table(spark, folder, "embeddings")))
+    return hard_negatives.hard_negatives(rows)
+
+
+def op12_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """All vectors in 16 clusters after three rounds."""
+    return clustering.with_inertia(*clustering.cluster_vectors(table(spark, folder, "embeddings")))
+
+
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents encoded by a byte-level vocabulary and decoded again."""
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    coded = byte_bpe.decode(byte_bpe.encode(table(spark, folder, "documents"), ranks, pattern), ranks, pattern)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_warc, op2_secrets, op3_lm_score, op4_decontaminate, op5_toxicity, op6_token_counts, op7_line_dedup,
-        op8_fingerprints, op9_near_dedup, op10_packing,
+        op8_fingerprints, op9_near_dedup, op10_packing, op11_hard_negatives, op12_clusters, op13_byte_bpe,
     )
 }
 
