@@ -103,7 +103,7 @@ def op12_clusters(spark: SparkSession, folder: str) -> DataFrame:
 def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """All documents encoded by a byte-level vocabulary and decoded again."""
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    coded = byte_bpe.decode(byte_bpe.encode(table(spark, folder, "documents"), ranks, pattern), ranks, pattern)
+    coded = byte_bpe.decode(byte_bpe.encode(table(spark, folder, "documents"), ranks, pattern), ranks)
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
