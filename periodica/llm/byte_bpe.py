@@ -35,9 +35,9 @@ from pyspark.sql import functions as F
 from periodica.llm.common import text_of
 
 #: Pieces a worker remembers (twice as many at most), the longest that it does, and the pairs whose compatibility it remembers.
-CACHED, CACHED_CHARS, PAIRS = 350_000, 64, 500_000
-#: Characters split in one go, places of a piece matched in one go, and bytes of text or ids in one batch of results.
-STRETCH, BLOCK, BATCH = 1 << 20, 1 << 14, 1 << 22
+CACHED, CACHED_CHARS, PAIRS = 250_000, 64, 500_000
+#: Characters split in one go, places of a piece matched in one go, bytes of text and ids in one batch of results.
+STRETCH, BLOCK, TEXTS, IDS = 1 << 18, 1 << 14, 1 << 20, 1 << 18
 #: Characters that the pattern may look at beyond the end of a match, or more.
 AHEAD = 8
 #: Of two tokens that do not merge.
@@ -233,12 +233,12 @@ def decoder(path: str) -> Decoder:
     return _DECODERS[path]
 
 
-def _in_groups(sizes: list[int]) -> Iterator[tuple[int, int]]:
-    """Ranges of rows whose sizes add up to ``BATCH`` or a little more."""
+def _in_groups(sizes: list[int], enough: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows, each ended by the row with which their sizes reach ``enough``."""
     first = total = 0
     for i, size in enumerate(sizes):
         total += size
-        if total >= BATCH:
+        if total >= enough:
             yield first, i + 1
             first, total = i + 1, 0
     if first < len(sizes):
@@ -256,7 +256,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, doc_id: str = "doc_id", te
         encode_text = encoder(ranks, pattern).encode
         for batch in batches:
             names, values = batch.column(0), batch.column(1)
-            for first, last in _in_groups(pc.binary_length(values).to_pylist()):
+            for first, last in _in_groups(pc.binary_length(values).to_pylist(), TEXTS):
                 lists = [encode_text(t.as_py()) for t in values.slice(first, last - first)]
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(lists)))
@@ -273,7 +273,7 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
         decode_ids = decoder(ranks).decode
         for batch in batches:
             counts = pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_pylist()
-            for first, last in _in_groups(counts):
+            for first, last in _in_groups(counts, IDS):
                 part = batch.slice(first, last - first)
                 ids = part.column(1).flatten().to_numpy(zero_copy_only=False)
                 flat, sizes = decode_ids(ids)
