@@ -42,6 +42,10 @@ FEED_SUFFIXES = {
     "OTC": "otc", "OTCQB": "otcqb", "OTCQX": "otcqx", "PINK": "pink",
 }
 
+# Reasons noted on runs that are closed without having ended.
+STALE_RUN_REASON = "stale_running_closed_by_maintenance"
+INTERRUPTED_RUN_REASON = "interrupted: previous run left dangling"
+
 # Currencies with a published euro reference rate.
 EURO_REFERENCE_CURRENCIES = (
     "AUD", "BRL", "CAD", "CHF", "CNY", "CZK", "DKK", "GBP", "HKD", "HUF",

@@ -1,23 +1,34 @@
 """Writes with relational semantics over plain Parquet folders.
 
 A table is a folder with one sub-folder per version, ``v=1``, ``v=2`` and so on, and
-each version has one sub-folder per write, ``segment=1`` and so on. A write counts
-once Spark's commit marker is in its own folder, so a job that dies leaves the rows
-as they were and readers never see half of a write. Insert-if-absent appends a
-segment to the current version; everything that changes rows starts the next
-version. A writer claims its folder by creating a file that must not exist, so of
-two writers that pick the same one the second is refused. All results are functions
-of their inputs, so a repeated job gives the same table.
+each version has one sub-folder per write, ``segment=1`` and so on. Insert-if-absent
+appends a segment to the current version; what changes rows starts the next version,
+which may name partition folders of earlier versions that it leaves as they are.
+
+A write first stores its rows where nobody reads them. It then takes the turn after
+the last one that it had seen when it read the table, by creating a file that must
+not exist (``v=1/turn=4``), and only then marks its rows as committed. If the turn
+is taken, somebody else was faster: an insert looks through what has been stored
+since and leaves those keys out, any other change starts over from the new rows. So
+overlapping writers store a key once and lose no update, and a job that dies leaves
+the rows as they were. A writer that dies between its turn and its mark has decided;
+the next writer sets the mark for it. All results are functions of their inputs, so
+a repeated job gives the same table.
 
 The ``*_rows`` functions are the plain DataFrame part of each write.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass
+from functools import reduce
+from operator import and_, or_
+from urllib.parse import unquote
 from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StructType, VariantType
@@ -43,6 +54,23 @@ class WriteStats:
         return WriteStats(**sums, error=self.error or other.error)
 
 
+class Overlap(RuntimeError):
+    """Another writer changed the table after it was read."""
+
+
+@dataclass(frozen=True)
+class State:
+    """What a reader of a table saw: its version and the last turn taken in it."""
+
+    version: int = 0
+    turn: int = 0
+
+
+#: How often a write starts over before it gives up.
+ATTEMPTS = 20
+_MARK, _KEPT, _NULL = "_SUCCESS", "kept", "__HIVE_DEFAULT_PARTITION__"
+
+
 class ParquetTable:
     """A versioned Parquet folder with a declared schema.
 
@@ -62,48 +90,117 @@ class ParquetTable:
         """The same table as seen by another session."""
         return ParquetTable(spark, self.path, self.schema, self.partition_by, self.sort_by)
 
+    # --- files ---
+
     def _path(self, text: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(text)
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{text}" if text else self.path)
 
     def _files(self):
-        return self._path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return self._path("").getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _numbers(self, pattern: str, up: int) -> list[int]:
+    def _numbers(self, pattern: str, up: int = 0) -> list[int]:
         """Numbers in the names of what the pattern matches, or of folders above it."""
         out = []
-        for status in self._files().globStatus(self._path(f"{self.path}/{pattern}")) or []:
+        for status in self._files().globStatus(self._path(pattern)) or []:
             found = status.getPath()
             for _ in range(up):
                 found = found.getParent()
             out.append(int(found.getName().split("=")[1].split(".")[0]))
         return sorted(set(out))
 
+    def _exists(self, name: str) -> bool:
+        return self._files().exists(self._path(name))
+
+    def _create(self, name: str, content: str = "") -> bool:
+        """Create a file unless it exists; whether it was created."""
+        try:
+            stream = self._files().create(self._path(name), False)
+        except Py4JJavaError as error:
+            if not self._exists(name):
+                raise error
+            return False
+        stream.write(bytearray(content.encode()))
+        stream.close()
+        return True
+
+    def _lines(self, name: str) -> list[str]:
+        """Lines of a small file; one that is only just being written is waited for."""
+        for _ in range(100):
+            stream = self._files().open(self._path(name))
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            stream.close()
+            if text.endswith("\n"):
+                return text.split("\n")[:-1]
+            time.sleep(0.1)
+        raise RuntimeError(f"{self.path}/{name} was never finished; the write that began it is lost, remove the file")
+
+    # --- reading ---
+
     def version(self) -> int:
         """Number of the newest version with a committed segment, 0 when there is none."""
-        return max(self._numbers("v=*/segment=*/_SUCCESS", 2), default=0)
+        return max(self._numbers(f"v=*/segment=*/{_MARK}", 2), default=0)
+
+    def state(self) -> State:
+        """The current state, after marking what a writer decided and did not come to mark."""
+        while True:
+            version = self.version()
+            turn = max(self._numbers(f"v={version}/turn=*"), default=0)
+            if turn:
+                self._publish(self._lines(f"v={version}/turn={turn}"))
+            if self.version() == version:
+                return State(version, turn)
 
     def segments(self, version: int | None = None) -> list[str]:
         """Folders of the committed writes of a version."""
         version = self.version() if version is None else version
-        return [f"{self.path}/v={version}/segment={s}" for s in self._numbers(f"v={version}/segment=*/_SUCCESS", 1)]
+        return [f"{self.path}/v={version}/segment={s}" for s in self._numbers(f"v={version}/segment=*/{_MARK}", 1)]
 
-    def read(self) -> DataFrame:
-        """The current version; an empty frame before the first write."""
-        version = self.version()
-        segments = self.segments(version)
-        if not segments:
+    def kept(self, version: int | None = None) -> list[str]:
+        """Partition folders of earlier versions that a version goes on using."""
+        version = self.version() if version is None else version
+        name = f"v={version}/{_KEPT}"
+        return [f"{self.path}/{line}" for line in self._lines(name)] if self._exists(name) else []
+
+    def _frame(self, folders: Sequence[str]) -> DataFrame:
+        """The rows of segments or partition folders."""
+        by_version: dict[str, list[str]] = {}
+        for folder in folders:
+            by_version.setdefault(folder[len(self.path) + 1 :].split("/")[0], []).append(folder)
+        if not by_version:
             return self.spark.createDataFrame([], self.schema)
         # Below the version's folder the segment is a partition column like the declared ones.
-        reader = self.spark.read.schema(self.schema).option("basePath", f"{self.path}/v={version}")
-        stored = reader.parquet(*segments)
-        return stored.select(*self.schema.names)
+        parts = [
+            self.spark.read.schema(self.schema).option("basePath", f"{self.path}/{version}").parquet(*group)
+            .select(*self.schema.names)
+            for version, group in sorted(by_version.items())
+        ]
+        return reduce(DataFrame.unionByName, parts)
+
+    def read(self, state: State | None = None) -> DataFrame:
+        """The current version, or that of a state; an empty frame before the first write."""
+        version = self.version() if state is None else state.version
+        return self._frame([*self.segments(version), *self.kept(version)])
+
+    # --- writing ---
 
     def _claim(self, folder: str) -> str:
         """Reserve a folder; fails if another writer has taken it."""
-        self._files().create(self._path(f"{folder}.claim"), False).close()
+        if not self._create(f"{folder}.claim"):
+            raise Overlap(f"{self.path}/{folder} exists")
         return folder
 
-    def _save(self, df: DataFrame, folder: str) -> int:
+    def _store(self, df: DataFrame, version: int | None) -> tuple[str, int]:
+        """Write rows as a further segment of a version, or as a new one, not yet committed; its folder and their number."""
+        while True:
+            if version is None:
+                folder = f"v={max(self._numbers('v=*'), default=0) + 1}/segment=1"
+            else:
+                folder = f"v={version}/segment={max(self._numbers(f'v={version}/segment=*'), default=0) + 1}"
+            try:
+                self._claim(folder)
+                break
+            except Overlap:
+                continue  # taken between looking and claiming
         aligned = df.select(
             *[
                 (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -114,24 +211,137 @@ class ParquetTable:
             aligned = aligned.hint("rebalance", *[F.col(c) for c in self.partition_by])
             aligned = aligned.sortWithinPartitions(*self.partition_by, *self.sort_by)
         counted, seen = observe_counts(aligned, "written")
-        counted.write.mode("errorifexists").partitionBy(*self.partition_by).parquet(self._claim(folder))
-        return seen.get["rows"]
-
-    def replace(self, df: DataFrame) -> int:
-        """Write the next version; the one being read from stays untouched."""
-        following = max(self._numbers("v=*", 0), default=0) + 1
-        return self._save(df, f"{self.path}/v={following}/segment=1")
-
-    def append(self, df: DataFrame) -> int:
-        """Add rows to the current version, as a segment of their own, and return their number."""
-        version = self.version()
-        if not version:
-            return self.replace(df)
-        taken = self._numbers(f"v={version}/segment=*", 0)
-        added = self._save(df, f"{self.path}/v={version}/segment={taken[-1] + 1}")
-        if self.version() != version:
-            raise RuntimeError(f"{self.path} was replaced while rows were appended to version {version}")
-        return added
+        unmarked = counted.write.mode("errorifexists").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+        unmarked.partitionBy(*self.partition_by).parquet(f"{self.path}/{folder}")
+        return folder, seen.get["rows"]
+
+    def _publish(self, entry: Sequence[str]) -> None:
+        """Mark the segment of a turn as committed, and its batch as stored."""
+        self._create(f"{entry[0]}/{_MARK}")
+        for tag in entry[1:]:
+            self._create(f"tags/{tag}")
+
+    def _commit(self, folder: str, state: State, tag: str | None = None) -> bool:
+        """Take the turn after the state's; false if another writer has it."""
+        entry = [folder, *([tag] if tag else [])]
+        if not self._create(f"v={state.version}/turn={state.turn + 1}", "".join(f"{line}\n" for line in entry)):
+            return False
+        self._publish(entry)
+        return True
+
+    def stored(self, tag: str) -> bool:
+        """Whether a batch of this name was committed."""
+        self.state()
+        return self._exists(f"tags/{tag}")
+
+    def replace(self, df: DataFrame, read: State | None = None, tag: str | None = None, keep: Sequence[str] = ()) -> int:
+        """Write the next version; the one being read from stays untouched.
+
+        With ``read``, the state that ``df`` was computed from, the write is refused if
+        the table has changed since. ``keep`` names partition folders that the version
+        goes on using.
+        """
+        state = read or self.state()
+        folder, rows = self._store(df, None)
+        if keep:
+            self._create(f"{folder.split('/')[0]}/{_KEPT}", "".join(f"{f[len(self.path) + 1:]}\n" for f in keep))
+        while not self._commit(folder, state, tag):
+            if read is not None:
+                raise Overlap(f"{self.path} was changed after it was read at {read}")
+            state = self.state()
+            if state.version > int(folder.split("/")[0].split("=")[1]):
+                folder, rows = self._store(self._frame([f"{self.path}/{folder}"]), None)
+        return rows
+
+    def append(
+        self, df: DataFrame, read: State | None = None, keys: Sequence[str] = (), tag: str | None = None
+    ) -> int:
+        """Add rows to the current version, as a segment of their own, and return their number.
+
+        With ``keys``, rows whose key another writer has stored since ``read`` are left out.
+        """
+        state = read or self.state()
+        if not state.version:
+            return self.replace(df, state, tag)
+        folder, rows = self._store(df, state.version)
+        while not self._commit(folder, state, tag):
+            now = self.state()
+            if now.version != state.version:
+                raise Overlap(f"{self.path} was replaced while rows were appended to version {state.version}")
+            if keys:
+                turns = range(state.turn + 1, now.turn + 1)
+                since = [f"{self.path}/{self._lines(f'v={state.version}/turn={turn}')[0]}" for turn in turns]
+                mine = self._frame([f"{self.path}/{folder}"])
+                folder, rows = self._store(absent_keys(mine, self._frame(since), keys), state.version)
+            state = now
+        return rows
+
+    def replace_partitions(self, df: DataFrame, touched: Sequence[Sequence], read: State) -> int:
+        """Write the next version from ``df``, the rows of the touched partitions, and the folders of all others.
+
+        ``touched`` lists values of the partition columns. Refused if the table has
+        changed since ``read``.
+        """
+        gone = {tuple(_NULL if v is None else str(v) for v in values) for values in touched}
+        deep = "/".join(f"{c}=*" for c in self.partition_by)
+        folders = list(self.kept(read.version))
+        for segment in self.segments(read.version):
+            found = self._files().globStatus(self._path(f"{segment[len(self.path) + 1:]}/{deep}")) or []
+            folders += [f"{segment}/" + "/".join(s.getPath().toString().split("/")[-len(self.partition_by) :]) for s in found]
+        values = lambda f: tuple(unquote(part.split("=", 1)[1]) for part in f.split("/")[-len(self.partition_by) :])
+        return self.replace(df, read, keep=[f for f in folders if values(f) not in gone])
+
+
+def change(table: ParquetTable, build: Callable[[DataFrame], DataFrame]) -> int:
+    """Replace a table by a function of its rows, starting over when another writer was faster."""
+    for attempt in range(ATTEMPTS):
+        state = table.state()
+        try:
+            return table.replace(build(table.read(state)), state)
+        except Overlap:
+            if attempt == ATTEMPTS - 1:
+                raise
+    raise AssertionError
+
+
+def _partitions(rows: DataFrame, columns: Sequence[str]) -> list[tuple]:
+    """The partitions that rows fall into, at most as many as the table has or will have."""
+    return [tuple(r) for r in rows.select(*columns).distinct().collect()]
+
+
+def _within(columns: Sequence[str], found: Sequence[tuple]) -> Column:
+    """A filter on partition columns, NULL included, by which Spark skips all other folders."""
+    if len(columns) == 1:
+        values = [v for (v,) in found]
+        plain = F.col(columns[0]).isin([v for v in values if v is not None])
+        return plain | F.col(columns[0]).isNull() if None in values else plain
+    each = [reduce(and_, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, values, strict=True)]) for values in found]
+    return reduce(or_, each, F.lit(False))
+
+
+def change_partitions(
+    table: ParquetTable, touched: Callable[[DataFrame], DataFrame], build: Callable[[DataFrame], DataFrame]
+) -> int:
+    """As ``change`` for those partitions only that ``touched`` finds in the table; the files of others stay in use.
+
+    ``touched`` returns rows whose partition columns name them; there are as many
+    distinct ones as the table has partitions at most. ``build`` gets their rows and
+    must leave the partition columns as they are. Returns the rows written.
+    """
+    if not table.partition_by:
+        return change(table, build)
+    for attempt in range(ATTEMPTS):
+        state = table.state()
+        rows = table.read(state)
+        found = _partitions(touched(rows), table.partition_by)
+        if not found:
+            return 0
+        try:
+            return table.replace_partitions(build(rows.where(_within(table.partition_by, found))), found, state)
+        except Overlap:
+            if attempt == ATTEMPTS - 1:
+                raise
+    raise AssertionError
 
 
 def _orderable(df: DataFrame, skip: Sequence[str]) -> list[str]:
@@ -183,22 +393,37 @@ def insert_new(
     keys: Sequence[str],
     order: Sequence[str] = (),
     prune: Sequence[str] = (),
+    tag: str | None = None,
 ) -> WriteStats:
     """Append rows whose natural key is absent and count what happened.
 
-    Running the same batch again inserts nothing. ``prune`` names partition
-    columns that follow from the key: only the batch's partitions of the target
-    are then read. The counters are taken in the writing stage, where lost and
-    repeated tasks count once.
+    Running the same batch again inserts nothing, and of overlapping inserts of a key
+    one stores it. ``prune`` names partition columns that follow from the key: only the
+    batch's partitions of the target are then read. ``tag`` names the batch: if one of
+    that name was stored, nothing is read or written. The counters are taken in the
+    writing stage, where lost and repeated tasks count once.
     """
     if not set(prune) <= set(table.partition_by):
         raise ValueError(f"{list(prune)} are not all partition columns of {table.path}")
-    target = table.read()
+    if tag and table.stored(tag):
+        return WriteStats()
+    for attempt in range(ATTEMPTS):
+        try:
+            return _insert_once(table, batch, keys, order, prune, tag)
+        except Overlap:
+            if attempt == ATTEMPTS - 1:
+                raise
+    raise AssertionError
+
+
+def _insert_once(table, batch, keys, order, prune, tag) -> WriteStats:
+    state = table.state()
+    target = table.read(state)
     folded = first_per_key(batch, keys, order)
     if not table.partition_by:
         flagged = flag_existing(folded, target, keys)
         counted, seen = observe_counts(flagged, "insert_new", processed=F.sum("_copies"))
-        inserted = table.append(counted.where(~F.col("_exists")))
+        inserted = table.append(counted.where(~F.col("_exists")), state, keys, tag)
         processed = seen.get["processed"] or 0
     else:
         # Writing rearranges the rows, so the batch is kept, by column: it is counted
@@ -209,8 +434,8 @@ def insert_new(
         folded = table.spark.read.schema(folded.schema).parquet(staging)
         processed = seen.get["processed"] or 0
         if prune:
-            target = target.join(folded.select(*prune).distinct(), list(prune), "left_semi")
-        inserted = table.append(flag_existing(folded, target, keys).where(~F.col("_exists")))
+            target = target.where(_within(prune, _partitions(folded, prune)))
+        inserted = table.append(flag_existing(folded, target, keys).where(~F.col("_exists")), state, keys, tag)
     return WriteStats(processed=processed, inserted=inserted, skipped=processed - inserted)
 
 
@@ -239,7 +464,8 @@ def upsert_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], order_
 
 
 def upsert(table: ParquetTable, batch: DataFrame, keys: Sequence[str], order_col: str) -> None:
-    table.replace(upsert_rows(table.read(), batch, keys, order_col))
+    """Write a batch over a table; an update that overlaps another starts over and loses nothing."""
+    change(table, lambda rows: upsert_rows(rows, batch, keys, order_col))
 
 
 def replace_rows(target: DataFrame, predicate: Column, batch: DataFrame) -> DataFrame:
@@ -249,7 +475,7 @@ def replace_rows(target: DataFrame, predicate: Column, batch: DataFrame) -> Data
 
 
 def replace_where(table: ParquetTable, predicate: Column, batch: DataFrame) -> None:
-    table.replace(replace_rows(table.read(), predicate, batch))
+    change(table, lambda rows: replace_rows(rows, predicate, batch))
 
 
 def patch_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -262,7 +488,7 @@ def patch_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], columns
 
 
 def patch(table: ParquetTable, batch: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> None:
-    table.replace(patch_rows(table.read(), batch, keys, columns))
+    change(table, lambda rows: patch_rows(rows, batch, keys, columns))
 
 
 def overwrite(table: ParquetTable, df: DataFrame) -> None:
@@ -280,13 +506,21 @@ def refresh_snapshot(table: ParquetTable, df: DataFrame) -> int:
     return table.version()
 
 
+def _fillable() -> Column:
+    return F.col("currency").isNull() & (F.col("unit") != "USD") & is_currency(F.col("unit"))
+
+
 def backfill_currency(facts: DataFrame) -> DataFrame:
     """Facts whose missing currency is taken from a plain money unit.
 
     Per-share units and the dollar stay as they are, and so does every value.
     """
-    fill = F.col("currency").isNull() & (F.col("unit") != "USD") & is_currency(F.col("unit"))
-    return facts.withColumn("currency", F.when(fill, F.col("unit")).otherwise(F.col("currency")))
+    return facts.withColumn("currency", F.when(_fillable(), F.col("unit")).otherwise(F.col("currency")))
+
+
+def backfill_table(facts: ParquetTable) -> int:
+    """Fill missing currencies of stored facts; partitions without any keep their files. Returns the rows rewritten."""
+    return change_partitions(facts, lambda rows: rows.where(_fillable()), backfill_currency)
 
 
 def mark(df: DataFrame, keys_df: DataFrame, key: str, column: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from periodica import constants
 from periodica.operators.joins import interval_join, resolve_tickers
 from periodica.operators.windows import VERSION_ORDER, latest_known
-from periodica.operators.writes import ParquetTable, replace_rows
+from periodica.operators.writes import ParquetTable, change, replace_rows
 
 FACT_KEY = ("company_id", "fiscal_year", "concept")
 
@@ -128,10 +128,12 @@ def load_membership(
     from periodica.operators.joins import absent_keys
 
     rows = membership_rows(parsed, listings, source, loaded_at)
-    kept = table.read()
-    if replace:
-        kept = replace_rows(kept, F.col("source") == source, kept.limit(0))
-    table.replace(absent_keys(kept, rows, ["ticker", "start_date"]).unionByName(rows))
+
+    def loaded(stored: DataFrame) -> DataFrame:
+        kept = replace_rows(stored, F.col("source") == source, stored.limit(0)) if replace else stored
+        return absent_keys(kept, rows, ["ticker", "start_date"]).unionByName(rows)
+
+    change(table, loaded)
     return membership_stats(table.read().where(F.col("source") == source))
 
 

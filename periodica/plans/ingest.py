@@ -7,8 +7,9 @@ expressions followed by an insert-if-absent, so running it again adds nothing.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from periodica import constants
@@ -16,14 +17,21 @@ from periodica.functions import facts as rules
 from periodica.functions import keys
 from periodica.operators.joins import absent_keys
 from periodica.operators.windows import latest_by, preferred
-from periodica.operators.writes import WriteStats, insert_guarded, insert_new, mark, patch, patch_rows, upsert
+from periodica.operators.writes import WriteStats, change, insert_guarded, insert_new, mark, patch, patch_rows, upsert
 from periodica.plans import runs
 from periodica.plans.core import core_financials
-from periodica.schemas import NATURAL_KEYS
+from periodica.schemas import NATURAL_KEYS, schema
 from periodica.session import scratch_dir
 from periodica.sources.tables import Catalog
 
 
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """Rows stored in the shared folder and read back, so that several writes take them from one evaluation."""
+    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # --- universe -----------------------------------------------------------------
 
 
@@ -141,30 +149,48 @@ def company_ids(identifiers: DataFrame) -> DataFrame:
     )
 
 
+def _filing_columns(filings: DataFrame, provider_id: str) -> DataFrame:
+    return filings.select(
+        keys.row_id(F.lit("filing"), F.lit(provider_id), keys.accession(F.col("accession_number"))).alias("id"),
+        "company_id", F.lit(provider_id).alias("provider_id"), "form",
+        keys.accession(F.col("accession_number")).alias("accession_number"),
+        "filing_date", F.lit(None).cast("date").alias("period_start"), "period_end",
+        F.col("fiscal_year").cast("int").alias("fiscal_year"),
+        rules.fiscal_period(F.col("fiscal_period")).alias("fiscal_period"),
+        "filing_url", "is_amended", "cik",
+    )
+
+
 def filing_rows(submissions: DataFrame, identifiers: DataFrame, provider_id: str) -> DataFrame:
     """Financial filings of known companies, as stored."""
-    return (
-        financial_forms(submissions)
-        .join(company_ids(identifiers), "cik")
-        .select(
-            keys.row_id(F.lit("filing"), F.lit(provider_id), keys.accession(F.col("accession_number"))).alias("id"),
-            "company_id", F.lit(provider_id).alias("provider_id"), "form",
-            keys.accession(F.col("accession_number")).alias("accession_number"),
-            "filing_date", F.lit(None).cast("date").alias("period_start"), "period_end",
-            F.col("fiscal_year").cast("int").alias("fiscal_year"),
-            rules.fiscal_period(F.col("fiscal_period")).alias("fiscal_period"),
-            "filing_url", "is_amended", "cik",
-        )
+    return _filing_columns(financial_forms(submissions).join(company_ids(identifiers), "cik"), provider_id)
+
+
+def _document(rows: DataFrame, kind: str) -> Column:
+    """The document that a row comes from: the one it names, else that of its kind and company."""
+    return F.col("source_identifier") if "source_identifier" in rows.columns else F.concat(F.lit(f"{kind}:"), "cik")
+
+
+def stage_filings(catalog: Catalog, submissions: DataFrame) -> DataFrame:
+    """All filings of a delivery with their ``document`` and what is to become of them, written once.
+
+    ``status`` is ready, left out (no financial form) or waiting (company unknown).
+    """
+    known = submissions.withColumn("document", _document(submissions, "submissions")).join(
+        company_ids(catalog.table("company_identifiers")), "cik", "left"
     )
+    financial = F.coalesce(rules.is_financial_form(F.col("form")), F.lit(False))
+    status = F.when(~financial, "left out").when(F.col("company_id").isNull(), "waiting").otherwise("ready")
+    return written_once(known.withColumn("status", status), "filings")
 
 
-def ingest_filings(catalog: Catalog, submissions: DataFrame, provider_id: str) -> WriteStats:
-    """Store new filings, linked to the newest registered submissions document of their company."""
-    rows = filing_rows(submissions, catalog.table("company_identifiers"), provider_id)
+def store_filings(catalog: Catalog, staged: DataFrame, provider_id: str) -> WriteStats:
+    """Store the new ones of staged filings, linked to the newest registered document of their company."""
     documents = latest_by(
         catalog.table("raw_documents").where(F.col("provider_id") == provider_id), ["source_identifier"],
         ["retrieved_at", "id"],
     ).select(F.col("source_identifier").alias("_document"), F.col("id").alias("raw_document_id"))
+    rows = _filing_columns(staged.where("status = 'ready'"), provider_id)
     named = rows.withColumn("_document", F.concat(F.lit("submissions:"), "cik"))
     return insert_guarded(
         catalog.store("filings"), named.join(documents, "_document", "left").drop("_document", "cik"),
@@ -172,6 +198,11 @@ def ingest_filings(catalog: Catalog, submissions: DataFrame, provider_id: str) -
     )
 
 
+def ingest_filings(catalog: Catalog, submissions: DataFrame, provider_id: str) -> WriteStats:
+    """Store new filings, linked to the newest registered submissions document of their company."""
+    return store_filings(catalog, stage_filings(catalog, submissions), provider_id)
+
+
 # --- facts --------------------------------------------------------------------
 
 
@@ -181,31 +212,39 @@ def link_filings(facts: DataFrame, filings: DataFrame) -> DataFrame:
     return facts.join(stored, ["company_id", "accession_number"], "left")
 
 
-def normalize_facts(values: DataFrame) -> DataFrame:
-    """Reported values as typed fact rows.
-
-    Values that are no number, or that belong to no year, are left out. A missing
-    value, or a number beyond the stored type, is NULL and is rejected by validation.
-    """
+def _fact_columns(values: DataFrame) -> list[Column]:
     start, end = F.col("start"), F.col("end")
     instant = rules.is_instant(start, end)
-    return values.where(F.col("val").isNull() | F.col("val").try_cast("double").isNotNull()).select(
-        "cik",
-        "namespace",
-        "concept",
+    return [
+        F.col("cik"),
+        F.col("namespace"),
+        F.col("concept"),
         rules.value(F.col("val")).alias("value"),
         rules.unit(F.col("unit"), F.col("fact_unit")).alias("unit"),
         F.when(~instant, start).alias("period_start"),
         end.alias("period_end"),
         rules.fiscal_year(end, F.col("fy")).alias("fiscal_year"),
         rules.fiscal_period(F.col("fp")).alias("fiscal_period"),
-        "form",
+        F.col("form"),
         F.col("filed").alias("filing_date"),
         keys.accession(F.col("accn")).alias("accession_number"),
         rules.source_id(F.col("accn"), F.col("namespace"), F.col("concept"), start, end).alias("source_id"),
-        "frame",
+        F.col("frame"),
         instant.alias("is_instant"),
-    ).where("fiscal_year IS NOT NULL")
+    ]
+
+
+def _numeric() -> Column:
+    return F.col("val").isNull() | F.col("val").try_cast("double").isNotNull()
+
+
+def normalize_facts(values: DataFrame) -> DataFrame:
+    """Reported values as typed fact rows.
+
+    Values that are no number, or that belong to no year, are left out. A missing
+    value, or a number beyond the stored type, is NULL and is rejected by validation.
+    """
+    return values.where(_numeric()).select(*_fact_columns(values)).where("fiscal_year IS NOT NULL")
 
 
 def validate_facts(facts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -221,18 +260,45 @@ def fact_rows(values: DataFrame, identifiers: DataFrame, filings: DataFrame, pro
     return link_filings(known, filings).withColumn("provider_id", F.lit(provider_id))
 
 
-def ingest_facts(catalog: Catalog, values: DataFrame, provider_id: str) -> tuple[WriteStats, DataFrame]:
-    """Store new facts; returns the counters and the rejected rows."""
-    rows = fact_rows(values, catalog.table("company_identifiers"), catalog.table("filings"), provider_id)
-    valid, rejects = validate_facts(rows)
+def stage_facts(catalog: Catalog, values: DataFrame, provider_id: str) -> DataFrame:
+    """All reported values of a delivery with their ``document`` and what is to become of them, written once.
+
+    ``status`` is ready, rejected (with the ``errors``), left out (no number, or of no
+    year) or waiting (company unknown).
+    """
+    every = values.select(*_fact_columns(values), _numeric().alias("is_number"), _document(values, "facts").alias("document"))
+    known = every.join(company_ids(catalog.table("company_identifiers")), "cik", "left")
+    linked = link_filings(known, catalog.table("filings")).withColumns(
+        {"provider_id": F.lit(provider_id), "errors": F.array_join(rules.errors(F.col("is_instant")), "; ")}
+    )
+    usable = F.col("is_number") & F.col("fiscal_year").isNotNull()
+    status = (
+        F.when(~usable, "left out").when(F.col("company_id").isNull(), "waiting")
+        .when(F.col("errors") != "", "rejected").otherwise("ready")
+    )
+    return written_once(linked.withColumn("status", status), "facts")
+
+
+def store_facts(catalog: Catalog, staged: DataFrame, run_id: str | None = None) -> WriteStats:
+    """Store the new facts among staged ones, and the rejected ones with their messages.
+
+    Rejected rows count as processed and skipped.
+    """
     fact_id = keys.row_id(F.lit("fact"), *NATURAL_KEYS["financial_facts"])
+    ready = staged.where("status = 'ready'").withColumn("id", fact_id)
     stats = insert_guarded(
-        catalog.store("financial_facts"),
-        valid.withColumn("id", fact_id).drop("is_instant", "accession_number", "cik"),
-        NATURAL_KEYS["financial_facts"],
-        prune=["fiscal_year"],
+        catalog.store("financial_facts"), ready.select(*[c for c in schema("financial_facts").names if c in ready.columns]),
+        NATURAL_KEYS["financial_facts"], prune=["fiscal_year"],
     )
-    return stats, rejects
+    rejects = staged.where("status = 'rejected'").withColumn("run_id", F.lit(run_id).cast("string"))
+    lost = insert_new(catalog.store("fact_rejects"), rejects, NATURAL_KEYS["fact_rejects"]).processed
+    return stats + WriteStats(processed=lost, skipped=lost)
+
+
+def ingest_facts(catalog: Catalog, values: DataFrame, provider_id: str) -> tuple[WriteStats, DataFrame]:
+    """Store new facts and rejects; returns the counters and the rejected rows."""
+    staged = stage_facts(catalog, values, provider_id)
+    return store_facts(catalog, staged), staged.where("status = 'rejected'")
 
 
 # --- prices -------------------------------------------------------------------
@@ -353,20 +419,28 @@ def enriched_companies(companies: DataFrame, targets: DataFrame, feed: DataFrame
 
 
 def enrich_sector(catalog: Catalog, feed: DataFrame, attempted: DataFrame | None = None) -> None:
-    companies = catalog.table("companies")
-    targets = sector_targets(companies, catalog.table("company_listings"), catalog.table("exchanges"), attempted)
-    catalog.store("companies").replace(enriched_companies(companies, targets, feed))
+    def enriched(companies: DataFrame) -> DataFrame:
+        targets = sector_targets(companies, catalog.table("company_listings"), catalog.table("exchanges"), attempted)
+        return enriched_companies(companies, targets, feed)
+
+    change(catalog.store("companies"), enriched)
 
 
 # --- everything ---------------------------------------------------------------
 
 
-def register_documents(catalog: Catalog, scan: DataFrame, provider_id: str, now) -> WriteStats:
-    """Store registry rows of raw files, one per content: a changed file is a further version of it."""
-    rows = scan.select(
+def document_rows(scan: DataFrame, provider_id: str) -> DataFrame:
+    """Scanned files with their id: a changed file is a further version, with an id of its own."""
+    return scan.select(
         keys.row_id(F.lit("document"), F.lit(provider_id), "source_identifier", "checksum").alias("id"),
         F.lit(provider_id).alias("provider_id"), "source_identifier", "storage_path", "checksum", "content_type",
-        F.lit(now).cast("timestamp").alias("retrieved_at"), F.lit(False).alias("is_processed"),
+    )
+
+
+def register_documents(catalog: Catalog, scan: DataFrame, provider_id: str, now) -> WriteStats:
+    """Store registry rows of raw files, one per content: a changed file is a further version of it."""
+    rows = document_rows(scan, provider_id).withColumns(
+        {"retrieved_at": F.lit(now).cast("timestamp"), "is_processed": F.lit(False)}
     )
     return insert_new(catalog.store("raw_documents"), rows, NATURAL_KEYS["raw_documents"])
 
@@ -375,7 +449,7 @@ def mark_processed(catalog: Catalog, found: DataFrame) -> None:
     """Flag the registered documents (column id) as processed."""
     store = catalog.store("raw_documents")
     if store.version():
-        store.replace(mark(store.read(), found, "id", "is_processed"))
+        change(store, lambda rows: mark(rows, found, "id", "is_processed"))
 
 
 def mark_synced(catalog: Catalog, companies: DataFrame, now) -> None:
@@ -386,6 +460,29 @@ def mark_synced(catalog: Catalog, companies: DataFrame, now) -> None:
     patch(catalog.store("companies"), stamped, ["id"], ["last_synced_at"])
 
 
+def outcomes(staged: DataFrame, step: str, error: str | None = None) -> DataFrame:
+    """What became of each document's rows in a step; after an error none is stored."""
+    def count(status: str) -> Column:
+        return F.count_if(F.col("status") == status)
+
+    ready = F.lit(0).cast("bigint") if error else count("ready")
+    return staged.groupBy(F.col("document").alias("source_identifier")).agg(
+        F.count("*").alias("records_read"), ready.alias("records_stored"), count("rejected").alias("records_rejected"),
+        count("left out").alias("records_left_out"), count("waiting").alias("records_waiting"),
+    ).withColumns({"step": F.lit(step), "error": F.lit(error).cast("string")})
+
+
+def settled_documents(raw: DataFrame, found: DataFrame, failed: bool) -> DataFrame:
+    """Documents of a delivery that need not come again.
+
+    Of such a document every row was stored, rejected or left out. One that gave no
+    rows counts if no step failed, as a failed step may be the one it is for.
+    """
+    done = F.col("records_stored") + F.col("records_rejected") + F.col("records_left_out")
+    each = found.groupBy("source_identifier").agg(F.bool_and(F.col("records_read") == done).alias("_settled"))
+    return raw.join(each, "source_identifier", "left").where(F.coalesce("_settled", F.lit(not failed))).drop("_settled")
+
+
 def sync(
     catalog: Catalog,
     universe: DataFrame,
@@ -399,10 +496,15 @@ def sync(
 ) -> Mapping[str, WriteStats]:
     """Universe, then filings, then facts (which link to filings), for all companies at once.
 
-    The run is recorded: opened before anything is written and closed with the sums
-    of all counters, as failed if a step raises. ``raw`` (a scan of the files) is
-    registered first and flagged as processed last; ``rejected`` documents count as
-    skipped.
+    Facts wait when the filings could not be stored. The run is recorded: opened before
+    anything is written and closed with the sums of all counters, as partial if a step
+    reports an error and as failed if one raises. What became of the rows of each
+    document is noted in ``document_outcomes``, what validation rejects in
+    ``fact_rejects``. ``raw`` (a scan of the files) is registered first; of its
+    documents, by identifier and checksum, those are flagged as processed last whose
+    rows are all accounted for. ``rejected`` documents count as skipped and are not
+    flagged. Rows name their document in ``source_identifier``; where the column is
+    missing it is ``submissions:`` or ``facts:`` and the company's number.
     """
     trail, run_id = catalog.store("import_runs"), f"{pipeline}:{provider_id}:{now}"
     runs.start_run(trail, run_id, provider_id, pipeline, now)
@@ -414,23 +516,31 @@ def sync(
             lost = rejected.count()
             stats["rejected"] = WriteStats(processed=lost, skipped=lost)
         stats |= ingest_universe(catalog, universe, provider_id)
-        stats["filings"] = ingest_filings(catalog, submissions, provider_id)
-        stats["facts"], _ = ingest_facts(catalog, values, provider_id)
-        synced = company_ids(catalog.table("company_identifiers")).join(
-            parse_companies(universe).select("cik"), "cik", "left_semi"
-        )
-        mark_synced(catalog, synced, now)
-        if raw is not None:
-            done = absent_keys(
-                catalog.table("raw_documents"),
-                rejected.select("source_identifier") if rejected is not None and "source_identifier" in rejected.columns
-                else catalog.table("raw_documents").limit(0),
-                ["source_identifier"],
+        filings = stage_filings(catalog, submissions)
+        stats["filings"] = store_filings(catalog, filings, provider_id)
+        found = outcomes(filings, "filings", stats["filings"].error)
+        if stats["filings"].error:
+            stats["facts"] = WriteStats(error="facts wait for the filings")
+        else:
+            facts = stage_facts(catalog, values, provider_id)
+            stats["facts"] = store_facts(catalog, facts, run_id)
+            found = found.unionByName(outcomes(facts, "facts", stats["facts"].error))
+        failed = any(s.error for s in stats.values())
+        noted = written_once(found.withColumn("run_id", F.lit(run_id)), "outcomes")
+        insert_new(catalog.store("document_outcomes"), noted, NATURAL_KEYS["document_outcomes"])
+        if not failed:
+            synced = company_ids(catalog.table("company_identifiers")).join(
+                parse_companies(universe).select("cik"), "cik", "left_semi"
             )
-            mark_processed(catalog, done.where(F.col("provider_id") == provider_id).select("id"))
+            mark_synced(catalog, synced, now)
+        if raw is not None:
+            done = settled_documents(document_rows(raw, provider_id), noted, failed)
+            if rejected is not None and "source_identifier" in rejected.columns:
+                done = absent_keys(done, rejected.select("source_identifier"), ["source_identifier"])
+            mark_processed(catalog, done.select("id"))
     except Exception as error:
-        failed = sum(stats.values(), WriteStats(error=f"{type(error).__name__}: {error}"[:500]))
-        runs.finish_run(trail, run_id, failed, now, status="failed")
+        broken = sum(stats.values(), WriteStats(error=f"{type(error).__name__}: {error}"[:500]))
+        runs.finish_run(trail, run_id, broken, now, status="failed")
         raise
     runs.finish_run(trail, run_id, sum(stats.values(), WriteStats()), now)
     return stats

@@ -66,10 +66,24 @@ TABLES = {
 }
 
 
+# What loads note down about their input, beside the tables proper.
+RECORDS = {
+    "fact_rejects": (
+        "run_id string, provider_id string, company_id string, cik string, namespace string, concept string, "
+        "value decimal(30,10), unit string, period_start date, period_end date, fiscal_year int, source_id string, "
+        "errors string"
+    ),
+    "document_outcomes": (
+        "run_id string, source_identifier string, step string, records_read bigint, records_stored bigint, "
+        "records_rejected bigint, records_left_out bigint, records_waiting bigint, error string"
+    ),
+}
+
+
 @cache
 def schema(name: str) -> StructType:
     """Declared schema of a table (Spark parses it, so a session must run)."""
-    return StructType.fromDDL(TABLES[name])
+    return StructType.fromDDL((TABLES | RECORDS)[name])
 
 
 # Natural keys behind the insert-if-absent writes.
@@ -87,6 +101,8 @@ NATURAL_KEYS = {
     "fx_rates": ["currency", "rate_date"],
     "index_constituents": ["ticker", "start_date"],
     "data_quality_issues": ["company_id", "fiscal_year", "field", "issue_type"],
+    "fact_rejects": ["company_id", "namespace", "concept", "unit", "value", "period_start", "period_end", "source_id", "errors"],
+    "document_outcomes": ["run_id", "source_identifier", "step"],
 }
 
 FACT_VALUE = (

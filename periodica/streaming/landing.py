@@ -1,8 +1,9 @@
 """Landing of new files, each once, and the bookkeeping around it.
 
 The streaming checkpoint remembers which files were taken. A batch can be handed
-over twice after a failure; the sinks insert only absent keys, so that is
-harmless, and no operator state grows with the history.
+over twice after a failure. A sink that knows the name of its feed stores the batch's
+number with its rows, so a repeated batch is known before any row is read; any other
+inserts only absent keys. No operator state grows with the history.
 """
 
 from __future__ import annotations
@@ -15,7 +16,9 @@ from pyspark.sql.types import StructType
 
 from periodica.operators.joins import absent_keys
 from periodica.operators.windows import keep_first
-from periodica.operators.writes import ParquetTable, WriteStats, first_per_key, insert_new, refresh_snapshot
+from periodica.operators.writes import (
+    ParquetTable, WriteStats, change_partitions, first_per_key, insert_new, refresh_snapshot,
+)
 from periodica.session import scratch_dir
 
 Sink = Callable[[DataFrame, int], None]
@@ -64,14 +67,21 @@ def insert_sink(
     parse: Callable[[DataFrame], DataFrame],
     prune: Sequence[str] = (),
     record: Callable[[int, WriteStats], None] | None = None,
+    feed: str | None = None,
 ) -> Sink:
     """A sink that parses a batch and inserts what is new.
 
     ``prune`` names partition columns that follow from the key, and only those.
+    ``feed`` names the stream, one for each checkpoint: a batch of it that was stored
+    is not parsed again and reports nothing.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        stats = insert_new(table.on(batch.sparkSession), parse(batch), keys, prune=prune)
+        tag = f"{feed}-{batch_id}" if feed else None
+        target = table.on(batch.sparkSession)
+        if tag and target.stored(tag):
+            return
+        stats = insert_new(target, parse(batch), keys, prune=prune, tag=tag)
         if record:
             record(batch_id, stats)
 
@@ -135,6 +145,15 @@ def relink_filings(facts: DataFrame, filings: DataFrame) -> DataFrame:
     return before.unionByName(still_open).unionByName(absent_keys(once, before, FACT_KEY))
 
 
+def relink_table(facts: ParquetTable, filings: DataFrame) -> int:
+    """Link stored facts to filings that came later; years without such facts keep their files.
+
+    Returns the rows rewritten.
+    """
+    return change_partitions(
+        facts, lambda rows: newly_linked(rows, filings), lambda rows: relink_filings(rows, filings))
+
+
 def pending_documents(raw_docs: DataFrame, provider=None) -> DataFrame:
     """Registered documents that were not processed yet, oldest first."""
     found = raw_docs.where("NOT is_processed")

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from periodica import constants
 from periodica.operators.writes import (
-    ParquetTable, WriteStats, backfill_currency, insert_guarded, insert_new, mark, patch, refresh_snapshot, replace_where, upsert,
+    Overlap, ParquetTable, WriteStats, backfill_currency, backfill_table, insert_guarded, insert_new, mark, patch,
+    refresh_snapshot, replace_where, upsert,
 )
 from periodica.plans import history, ingest, runs
 from periodica.plans.core import core_financials
@@ -257,7 +258,7 @@ def test_a_second_writer_is_refused(spark, tmp_path):
     (tmp_path / "t" / "v=2").mkdir()
     (tmp_path / "t" / "v=2" / "segment=1.claim").touch()
     with pytest.raises(Exception, match="exist"):
-        t._claim(f"{t.path}/v=2/segment=1")
+        t._claim("v=2/segment=1")
     assert t.version() == 1
     t.replace(literal_table(spark, [("b", 1, "x")], ROW))
     assert t.version() == 3 and content(t) == [("b", 1, "x")]
@@ -291,3 +292,229 @@ def test_failed_sync_closes_its_run(spark, tmp_path):
         ingest.sync(catalog, broken, nothing, values, "1", "2024-03-01")
     run = runs.runs_state(catalog.table("import_runs")).first()
     assert run.status == "failed" and "broken universe" in run.errors["error"]
+
+
+class Interrupted(ParquetTable):
+    """A table whose writer is overtaken by another one just before it commits."""
+
+    def overtaken_by(self, *others):
+        self.others = list(others)
+        return self
+
+    def _commit(self, folder, state, tag=None):
+        if self.others:
+            self.others.pop(0)()
+        return super()._commit(folder, state, tag)
+
+
+def interrupted(t, *others):
+    return Interrupted(t.spark, t.path, t.schema, t.partition_by).overtaken_by(*others)
+
+
+@pytest.mark.parametrize("first", [False, True])
+@pytest.mark.parametrize("parts", [[], ["n"]])
+def test_overlapping_inserts_store_a_key_once(spark, tmp_path, first, parts):
+    t = table(spark, tmp_path)
+    t.partition_by = parts
+    prune = {"prune": parts} if parts else {}
+    if not first:
+        insert_new(t, literal_table(spark, [("z", 1, "z")], ROW), ["k", "n"])
+    ours = literal_table(spark, [("a", 1, "ours"), ("b", 1, "ours"), (None, None, "ours")], ROW)
+    theirs = literal_table(spark, [("b", 1, "theirs"), ("c", 2, "theirs"), (None, None, "theirs")], ROW)
+    more = literal_table(spark, [("a", 1, "more"), ("d", 1, "more")], ROW)
+    late = interrupted(t, lambda: insert_new(t, theirs, ["k", "n"]), lambda: insert_new(t, more, ["k", "n"]))
+    stats = insert_new(late, ours, ["k", "n"], **prune)
+    assert (stats.processed, stats.inserted, stats.skipped) == (3, 0, 3)
+    rows = {(r.k, r.n): r.v for r in t.read().collect()}
+    assert rows == {("a", 1): "more", ("b", 1): "theirs", ("c", 2): "theirs", ("d", 1): "more", (None, None): "theirs"} | (
+        {} if first else {("z", 1): "z"})
+    assert t.read().count() == len(rows)
+
+
+def test_an_insert_begun_before_a_replacement_starts_over(spark, tmp_path):
+    t = table(spark, tmp_path)
+    t.replace(literal_table(spark, [("a", 1, "old")], ROW))
+    batch = literal_table(spark, [("a", 9, "new"), ("b", 9, "new")], ROW)
+    late = interrupted(t, lambda: t.replace(literal_table(spark, [("b", 1, "old")], ROW)))
+    assert insert_new(late, batch, ["k"]).inserted == 1
+    assert content(t) == [("a", 9, "new"), ("b", 1, "old")]
+
+
+def test_overlapping_upserts_and_patches_lose_nothing(spark, tmp_path):
+    t = table(spark, tmp_path)
+    t.replace(literal_table(spark, [("a", 1, "x"), ("b", 1, "y")], ROW))
+    other = lambda: upsert(t, literal_table(spark, [("a", 2, "theirs")], ROW), ["k"], "n")
+    upsert(interrupted(t, other), literal_table(spark, [("b", 2, "ours")], ROW), ["k"], "n")
+    assert content(t) == [("a", 2, "theirs"), ("b", 2, "ours")]
+    other = lambda: patch(t, literal_table(spark, [("a", None, "patched")], ROW), ["k"], ["n", "v"])
+    patch(interrupted(t, other), literal_table(spark, [("a", 7, None), ("b", None, "too")], ROW), ["k"], ["n", "v"])
+    assert content(t) == [("a", 7, "patched"), ("b", 2, "too")]
+    # What was computed from rows that are no longer current is refused.
+    state, rows = t.state(), t.read()
+    t.append(literal_table(spark, [("c", 1, "z")], ROW))
+    with pytest.raises(Overlap):
+        t.replace(rows, state)
+    assert t.read().count() == 3
+
+
+def test_the_later_of_two_full_reloads_stays(spark, tmp_path):
+    t = table(spark, tmp_path)
+    t.replace(literal_table(spark, [("a", 1, "x")], ROW))
+    late = interrupted(t, lambda: t.replace(literal_table(spark, [("b", 1, "first")], ROW)))
+    late.replace(literal_table(spark, [("c", 1, "last")], ROW))
+    assert content(t) == [("c", 1, "last")]
+
+
+def test_writers_in_parallel(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    t = table(spark, tmp_path)
+
+    def load(i):
+        own = ParquetTable(spark, t.path, t.schema)
+        return insert_new(own, spark.range(i * 10, i * 10 + 30).selectExpr("CAST(id AS STRING) AS k", "1 AS n", f"'{i}' AS v"), ["k"])
+
+    with ThreadPoolExecutor(4) as pool:
+        stats = list(pool.map(load, range(4)))
+    assert sum(s.inserted for s in stats) == 60 and all(s.processed == 30 for s in stats)
+    assert t.read().count() == t.read().select("k").distinct().count() == 60
+
+
+def test_a_decided_write_is_finished_by_the_next_writer(spark, tmp_path):
+    t = table(spark, tmp_path)
+    insert_new(t, literal_table(spark, [("a", 1, "x")], ROW), ["k"])
+    insert_new(t, literal_table(spark, [("b", 1, "x")], ROW), ["k"])
+    # The writer died after it had taken its turn and before it marked its rows.
+    (tmp_path / "t" / "v=1" / "segment=2" / "_SUCCESS").unlink()
+    assert t.read().count() == 1
+    assert insert_new(t, literal_table(spark, [("b", 1, "y"), ("c", 1, "y")], ROW), ["k"]).inserted == 1
+    assert content(t) == [("a", 1, "x"), ("b", 1, "x"), ("c", 1, "y")]
+
+
+def test_a_named_batch_is_stored_once_and_reads_nothing_again(spark, tmp_path):
+    t = table(spark, tmp_path)
+    seen = []
+    sink = landing.insert_sink(t, ["k"], lambda b: (seen.append(1), b)[1], record=lambda i, s: seen.append((i, s.inserted)), feed="feed")
+    batch = literal_table(spark, [("a", 1, "x")], ROW)
+    sink(batch, 0)
+    sink(batch.withColumn("k", F.raise_error(F.lit("read again")).cast("string")), 0)
+    assert seen == [1, (0, 1)] and t.state().turn == 0 and t.version() == 1
+    assert insert_new(t, batch, ["k"], tag="feed-0") == WriteStats()
+    # The name outlives the version that the batch was stored in.
+    t.replace(literal_table(spark, [("z", 1, "x")], ROW))
+    sink(batch, 0)
+    assert content(t) == [("z", 1, "x")]
+    sink(batch, 1)
+    assert t.read().count() == 2
+
+
+def files(t):
+    return {f: open(f, "rb").read() for f in t.read().inputFiles() for f in [f.removeprefix("file://")]}
+
+
+def test_relinking_and_backfill_leave_other_years_alone(spark, tmp_path):
+    facts = ParquetTable(spark, str(tmp_path / "facts"), schema("financial_facts"), ["fiscal_year"])
+    rows = [(str(i), "c1", None, f"{i}|g:A|{2000 + i % 4}", "A", Decimal(i), "EUR" if i % 4 == 1 else "USD", 2000 + i % 4,
+             None, DAY(2000 + i % 4, 12, 31)) for i in range(12)]
+    ddl = ("id string, company_id string, filing_id string, source_id string, concept string, value decimal(30,10), unit string, "
+           "fiscal_year int, period_start date, period_end date")
+    half = literal_table(spark, rows[:6], ddl)
+    insert_new(facts, half, NATURAL_KEYS["financial_facts"], prune=["fiscal_year"])
+    insert_new(facts, literal_table(spark, rows, ddl), NATURAL_KEYS["financial_facts"], prune=["fiscal_year"])
+    before = files(facts)
+    filings = literal_table(spark, [("f2", "c1", "2"), ("f6", "c1", "6")], "id string, company_id string, accession_number string")
+    assert landing.relink_table(facts, filings) == 3, "the year 2002 alone"
+    after = files(facts)
+    assert {f for f in before if "fiscal_year=2002" not in f} == {f for f in after if "fiscal_year=2002" not in f}
+    assert not {f for f in before if "fiscal_year=2002" in f} & set(after)
+    assert {r.id: r.filing_id for r in facts.read().where("filing_id IS NOT NULL").collect()} == {"2": "f2", "6": "f6"}
+    assert landing.relink_table(facts, filings) == 0 and facts.version() == 2
+    assert backfill_table(facts) == 3 and facts.version() == 3
+    assert {r.currency for r in facts.read().where("fiscal_year = 2001").collect()} == {"EUR"}
+    assert files(facts).keys() & before.keys() == {f for f in before if "fiscal_year=2000" in f or "fiscal_year=2003" in f}
+    assert facts.read().count() == 12
+    # Rows come and go as in any other version.
+    extra = literal_table(spark, [("x", *rows[3][1:3], "x", "B", *rows[3][5:])], ddl)
+    assert insert_new(facts, extra, NATURAL_KEYS["financial_facts"], prune=["fiscal_year"]).inserted == 1
+    assert insert_new(facts, literal_table(spark, rows[:1], ddl), NATURAL_KEYS["financial_facts"], prune=["fiscal_year"]).inserted == 0
+    facts.replace(facts.read().where("fiscal_year = 2003"))
+    assert facts.read().count() == 4
+
+
+def scan(spark, *rows):
+    return literal_table(spark, [(i, f"{i}.json", c, "application/json") for i, c in rows],
+                         "source_identifier string, storage_path string, checksum string, content_type string")
+
+
+def delivery(spark):
+    companies = universe(spark, ["1", "One", "one", "NYSE"], ["2", "Two", "two", "nasdaq"])
+    filings = documents.parse_submissions(spark.createDataFrame([(submissions_document("1", "0-1"),), (submissions_document("9", "0-9"),)], "value string"))
+    texts = [facts_document(1, "0-1", 10), facts_document(1, "0-1", None), facts_document(2, "0-2", "n/a"), facts_document(9, "0-9", 30)]
+    values = documents.parse_company_facts(spark.createDataFrame([(x,) for x in texts], "value string"))
+    names = ["submissions:0000000001", "submissions:0000000009", "facts:0000000001", "facts:0000000002", "facts:0000000009", "universe:all"]
+    return companies, filings, values, scan(spark, *[(n, "sum") for n in names])
+
+
+def flagged(catalog):
+    return {(r.source_identifier, r.checksum) for r in catalog.table("raw_documents").where("is_processed").collect()}
+
+
+def test_sync_counts_rejects_and_flags_what_it_accounts_for(spark, tmp_path):
+    catalog = Catalog(spark, str(tmp_path / "db"))
+    companies, filings, values, raw = delivery(spark)
+    # Registered earlier and not part of this delivery; the one name has another content by now.
+    foreign = scan(spark, ("facts:0000000007", "sum"), ("facts:0000000001", "old"))
+    ingest.register_documents(catalog, foreign, "1", "2024-01-01")
+    stats = ingest.sync(catalog, companies, filings, values, "1", "2024-03-01", raw=raw)
+    assert stats["facts"] == WriteStats(processed=2, inserted=1, skipped=1)
+    run = runs.runs_state(catalog.table("import_runs")).first()
+    assert run.status == "success" and run.records_skipped == 1
+    rejects = catalog.table("fact_rejects").collect()
+    assert [(r.cik, r.concept, r.errors, r.run_id) for r in rejects] == [("0000000001", "Revenues", "value is required", run.id)]
+    found = {(r.source_identifier, r.step): (r.records_read, r.records_stored, r.records_rejected, r.records_left_out, r.records_waiting)
+             for r in catalog.table("document_outcomes").collect()}
+    assert found == {
+        ("submissions:0000000001", "filings"): (1, 1, 0, 0, 0), ("submissions:0000000009", "filings"): (1, 0, 0, 0, 1),
+        ("facts:0000000001", "facts"): (2, 1, 1, 0, 0), ("facts:0000000002", "facts"): (1, 0, 0, 1, 0),
+        ("facts:0000000009", "facts"): (1, 0, 0, 0, 1)}
+    assert flagged(catalog) == {(n, "sum") for n in ("submissions:0000000001", "facts:0000000001", "facts:0000000002", "universe:all")}
+    # The unknown company arrives; a repeated delivery completes it and adds no second reject.
+    more = universe(spark, ["9", "Nine", "nine", "NYSE"])
+    again = ingest.sync(catalog, companies.unionByName(more), filings, values, "1", "2024-03-02", raw=raw)
+    assert again["facts"].inserted == 1 and catalog.table("fact_rejects").count() == 1
+    assert len(flagged(catalog)) == 6
+
+
+def test_facts_wait_when_filings_fail(spark, tmp_path):
+    catalog = Catalog(spark, str(tmp_path / "db"))
+    companies, filings, values, raw = delivery(spark)
+    real = catalog.store
+
+    class Broken(ParquetTable):
+        def append(self, *args, **options):
+            raise RuntimeError("disk is full")
+
+    catalog.store = lambda name: (Broken if name == "filings" else ParquetTable)(
+        spark, real(name).path, schema(name), real(name).partition_by, real(name).sort_by)
+    stats = ingest.sync(catalog, companies, filings, values, "1", "2024-03-01", raw=raw)
+    assert "disk is full" in stats["filings"].error and stats["facts"] == WriteStats(error="facts wait for the filings")
+    assert catalog.table("financial_facts").count() == 0 and flagged(catalog) == set()
+    run = runs.runs_state(catalog.table("import_runs")).first()
+    assert run.status == "partial" and "disk is full" in run.errors["error"]
+    assert catalog.table("companies").where("last_synced_at IS NOT NULL").count() == 0
+    noted = {r.source_identifier: (r.records_stored, r.error is not None) for r in catalog.table("document_outcomes").collect()}
+    assert noted == {"submissions:0000000001": (0, True), "submissions:0000000009": (0, True)}
+    catalog.store = real
+    again = ingest.sync(catalog, companies, filings, values, "1", "2024-03-02", raw=raw)
+    assert again["facts"].inserted == 1 and catalog.table("financial_facts").where("filing_id IS NULL").count() == 0
+
+
+def test_failed_facts_leave_their_documents_open(spark, tmp_path, monkeypatch):
+    catalog = Catalog(spark, str(tmp_path / "db"))
+    companies, filings, values, raw = delivery(spark)
+    real = ingest.insert_guarded
+    monkeypatch.setattr(ingest, "insert_guarded", lambda t, batch, keys, **o: WriteStats(processed=1, skipped=1, error="lost")
+                        if t.path.endswith("financial_facts") else real(t, batch, keys, **o))
+    ingest.sync(catalog, companies, filings, values, "1", "2024-03-01", raw=raw)
+    # Of the facts only the document without anything to store is done; one that gave no rows stays open.
+    assert flagged(catalog) == {("submissions:0000000001", "sum"), ("facts:0000000002", "sum")}
