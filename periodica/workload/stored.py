@@ -20,6 +20,7 @@ from periodica.workload import analysis, basics, layers
 from periodica.workload.landing import (
     _TARGETS, _bars, _filing_table, _fresh, _stored_filings, fact_documents, filings_and_facts, universe_documents,
 )
+from periodica.workload.audits import with_shells
 from periodica.workload.registry import QUERIES, query
 from periodica.workload.views import Views
 
@@ -127,12 +128,12 @@ def patch_table(v: Views) -> DataFrame:
 
 @query(_same("currency_backfill"), doubles="value")
 def currency_backfill_table(v: Views) -> DataFrame:
-    """Missing currencies filled in the stored facts."""
-    facts = v["financial_facts"].select("company_id", "source_id", "value", "unit", "currency")
-    table = ParquetTable(v.spark, _fresh(v, "backfilled"), facts.schema)
+    """Missing currencies filled in those years of the stored facts that have any."""
+    facts = v["financial_facts"].select("company_id", "source_id", "value", "unit", "currency", "fiscal_year")
+    table = ParquetTable(v.spark, _fresh(v, "backfilled"), facts.schema, ["fiscal_year"])
     table.replace(facts)
-    table.replace(writes.backfill_currency(table.read()))
-    return table.read()
+    writes.backfill_table(table)
+    return table.read().drop("fiscal_year")
 
 
 @query(_same("fx_choice"), doubles="usd_per_unit")
@@ -199,12 +200,6 @@ def sector_table(v: Views) -> DataFrame:
 _KNOWN = "exchange_id IN ('NASDAQ', 'NYSE', 'NYSEARCA', 'OTC')"
 
 
-def _nothing(v: Views) -> tuple[DataFrame, DataFrame]:
-    filings = documents.parse_submissions(v["documents"].where("false").select(F.col("text").alias("value")))
-    values = documents.parse_company_facts(v["documents"].where("false").select(F.col("text").alias("value")))
-    return filings, values
-
-
 @query(
     f"""SELECT lpad(CAST(company_id AS VARCHAR), 10, '0') AS cik, ticker,
            CASE WHEN exchange_id = 'NYSE' THEN 2 ELSE 1 END AS listings, 1 AS open
@@ -228,24 +223,64 @@ def relisting(v: Views) -> DataFrame:
         F.count("*").alias("listings"), F.count_if(F.col("delisting_date").isNull()).alias("open"))
 
 
+_STORED_FACTS = """SELECT DISTINCT company_id, concept, period_start, period_end, filing_id, namespace FROM {financial_facts}
+      WHERE concept NOT IN ('GrossProfit', 'InterestIncomeOperating')"""
+
+
 @query(
     f"""WITH known AS (SELECT * FROM {{company_listings}} WHERE {_KNOWN}), sums AS (
       SELECT (SELECT count(*) FROM {{companies}}) AS companies, (SELECT count(DISTINCT exchange_id) FROM known) AS exchanges,
-             (SELECT count(*) FROM known) AS listings, 2 * (SELECT count(*) FROM {{company_listings}}) AS identifiers)
-    SELECT '2024-01-01' AS day, 'success' AS status, companies + exchanges + listings + identifiers AS records_inserted FROM sums
-    UNION ALL SELECT '2024-01-02', 'success', 0 FROM sums""",
+             (SELECT count(*) FROM known) AS listings, 2 * (SELECT count(*) FROM {{company_listings}}) AS identifiers,
+             (SELECT count(*) FROM {{orders}} WHERE o_orderstatus <> 'F') AS filings,
+             (SELECT count(*) FROM ({_STORED_FACTS}) f) AS facts)
+    SELECT '2024-01-01' AS day, 'success' AS status, companies + exchanges + listings + identifiers + filings + facts AS records_inserted
+    FROM sums UNION ALL SELECT '2024-01-02', 'success', 0 FROM sums""",
     longs="records_inserted",
 )
 def sync_runs(v: Views) -> DataFrame:
-    """The trail of two syncs of the same universe: each is one closed run with its sums."""
+    """The trail of two syncs of the same universe, filings and facts: each is one closed run with its sums."""
     catalog = Catalog(v.spark, _fresh(v, "runs"))
     companies = documents.parse_universe(universe_documents(v))
     for day in ("2024-01-01", "2024-01-02"):
-        ingest.sync(catalog, companies, *_nothing(v), "1", day)
+        ingest.sync(catalog, companies, *filings_and_facts(v), "1", day)
     return runs.runs_state(catalog.table("import_runs")).select(
         F.col("started_at").cast("date").cast("string").alias("day"), "status", "records_inserted")
 
 
+@query(
+    """SELECT lpad(CAST(company_id AS VARCHAR), 10, '0') AS cik, concept, errors, count(*) AS n FROM (
+      SELECT DISTINCT company_id, namespace, concept, unit, CAST(value AS DECIMAL(30,2)) AS value, period_start, filing_id,
+             'fiscal_year 1985 is outside valid range (1990-2030)' AS errors
+      FROM {financial_facts} WHERE concept = 'GrossProfit') r GROUP BY 1, 2, 3""",
+    longs="n",
+)
+def sync_rejects(v: Views) -> DataFrame:
+    """Facts that two syncs of the same documents rejected, as stored: each once, with the rules it breaks."""
+    catalog = Catalog(v.spark, _fresh(v, "rejects"))
+    companies = documents.parse_universe(universe_documents(v))
+    for day in ("2024-01-01", "2024-01-02"):
+        ingest.sync(catalog, companies, *filings_and_facts(v), "1", day)
+    return catalog.table("fact_rejects").groupBy("cik", "concept", "errors").agg(F.count("*").alias("n"))
+
+
+@query(
+    """SELECT 'facts:' || lpad(CAST(company_id AS VARCHAR), 10, '0') AS source_identifier, 'facts' AS step, count(*) AS records_read,
+           count(*) FILTER (WHERE concept NOT IN ('GrossProfit', 'InterestIncomeOperating')) AS records_stored,
+           count(*) FILTER (WHERE concept = 'GrossProfit') AS records_rejected,
+           count(*) FILTER (WHERE concept = 'InterestIncomeOperating') AS records_left_out, 0 AS records_waiting
+    FROM {financial_facts} GROUP BY company_id
+    UNION ALL SELECT 'submissions:' || lpad(CAST(o_custkey AS VARCHAR), 10, '0'), 'filings', count(*), count(*), 0, 0, 0
+    FROM {orders} WHERE o_orderstatus <> 'F' GROUP BY o_custkey""",
+    longs="records_read records_stored records_rejected records_left_out records_waiting",
+)
+def sync_outcomes(v: Views) -> DataFrame:
+    """What became of the rows of every document of a sync."""
+    catalog = Catalog(v.spark, _fresh(v, "outcomes"))
+    ingest.sync(catalog, documents.parse_universe(universe_documents(v)), *filings_and_facts(v), "1", "2024-01-01")
+    return catalog.table("document_outcomes").select(
+        "source_identifier", "step", "records_read", "records_stored", "records_rejected", "records_left_out", "records_waiting")
+
+
 @query(
     """SELECT 'doc:' || CAST(doc_id AS VARCHAR) AS source_identifier, CASE WHEN lang = 'fr' THEN 2 ELSE 1 END AS versions,
            CASE WHEN lang = 'de' THEN 0 ELSE 1 END AS processed FROM {documents}""",
@@ -298,17 +333,17 @@ def literal_relation(v: Views) -> DataFrame:
 
 @query(_same("relink_filings"))
 def relink_filings_table(v: Views) -> DataFrame:
-    """Facts stored before their filings, linked in the table, which is rewritten as a new version."""
+    """Facts stored before their filings, linked in the years that have any."""
     c = F.col
     source = F.concat_ws(
         "|", F.concat(F.lit("9"), c("filing_id").cast("string")), F.concat("namespace", F.lit(":"), "concept"),
         c("period_start").cast("string"), c("period_end").cast("string"))
     facts = v["financial_facts"].select(
         "company_id", F.concat("concept", F.lit(" "), "source_id").alias("concept"), "period_start", "period_end",
-        F.lit(None).cast("bigint").alias("filing_id"), "value", source.alias("source_id"))
-    table = ParquetTable(v.spark, _fresh(v, "relinked"), facts.schema)
+        F.lit(None).cast("bigint").alias("filing_id"), "value", source.alias("source_id"), "fiscal_year")
+    table = ParquetTable(v.spark, _fresh(v, "relinked"), facts.schema, ["fiscal_year"])
     table.replace(facts)
-    table.replace(landing.relink_filings(table.read(), _stored_filings(v)))
+    landing.relink_table(table, _stored_filings(v))
     return table.read().select("source_id", "filing_id")
 
 
@@ -316,10 +351,7 @@ def relink_filings_table(v: Views) -> DataFrame:
 def ticker_health(v: Views) -> DataFrame:
     """The check over stored tables."""
     catalog = Catalog(v.spark, _fresh(v, "health"))
-    for name in ("companies", "company_listings", "company_identifiers"):
-        ids = [c for c in ("id", "company_id") if c in v[name].columns]
-        catalog.store(name).replace(_strings(v[name], *ids))
-    facts = v["financial_facts"].where("company_id % 3 <> 0")
-    catalog.store("financial_facts").replace(_strings(facts, "company_id", "filing_id"))
+    for name, rows in with_shells(v).items():
+        catalog.store(name).replace(_strings(rows, *[c for c in ("id", "company_id", "filing_id") if c in rows.columns]))
     names = ("companies", "company_listings", "company_identifiers", "financial_facts")
     return audit.tickers_without_facts({n: catalog.table(n) for n in names})
