@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from periodica.operators.filters import contains_date
@@ -70,6 +70,36 @@ def prev_year_join(df: DataFrame, by: Sequence[str], year: str) -> DataFrame:
     return df.join(previous, [*by, year], "left")
 
 
+def asof_series(right: DataFrame, by: Sequence[str], time: str, value: str) -> DataFrame:
+    """A daily series as one row per key: its ``years`` from the ``first`` to the last with an observation.
+
+    A year has the value carried into it and its months with observations, each with
+    its first day (``since``) and its observations in order, so that a day is found by
+    looking at 12 and at 31 entries at most. Of several values of a day the greatest
+    counts. A row is bounded by the calendar; a year without observations takes one
+    entry, and there is none after the last.
+    """
+    day, ends = F.col("day"), F.struct("day", "value")
+    daily = (
+        right.where(F.col(value).isNotNull() & F.col(time).isNotNull())
+        .groupBy(*by, F.col(time).cast("date").alias("day")).agg(F.max(value).alias("value"))
+        .repartition(*by)  # what follows is grouped by the key and more, and stays where it is
+    )
+    months = daily.groupBy(*by, F.year(day).alias("year"), F.month(day).alias("month")).agg(
+        F.min(day).alias("since"), F.array_sort(F.collect_list(ends)).alias("obs"))
+    years = months.groupBy(*by, "year").agg(
+        F.array_sort(F.collect_list(F.struct("since", "obs"))).alias("months"), F.max_by(F.element_at("obs", -1)["value"], "since").alias("last"))
+    whole = years.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("year", "months", "last"))).alias("_found"))
+    first, last = F.get("_found", F.lit(0))["year"], F.element_at("_found", -1)["year"]
+
+    def entry(year: Column) -> Column:
+        earlier = F.filter("_found", lambda y: y["year"] < year)
+        own = F.filter("_found", lambda y: y["year"] == year)
+        return F.struct(F.get(own, F.lit(0))["months"].alias("months"), F.try_element_at(earlier, F.lit(-1))["last"].alias("carried"))
+
+    return whole.select(*by, F.struct(first.alias("first"), F.transform(F.sequence(first, last), entry).alias("years")).alias("_series"))
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -77,48 +107,25 @@ def asof_join(
     left_time: str,
     right_time: str,
     value: str,
+    bounded: bool = False,
 ) -> DataFrame:
     """Each left row with the right value of the latest day on or before its own day.
 
-    The right side is a daily series. It is folded to one row per key and month:
-    the observations of that month (31 at most) and the value carried in from
-    before, with the months up to the next observation filled in, and after the last
-    one up to the last month asked for. The left side then needs one equi-join on
-    (key, month), so it is read once and never sorted by key, and the rows of a hot
-    key are spread over its months. A key's months are bounded by the calendar.
+    The right side is a daily series and is folded to one row per key (``asof_series``).
+    The left side is read once and joined by plain equality on the key, in which
+    adaptive execution splits a hot one, and is neither sorted nor expanded; its day
+    picks an entry of the series. With ``bounded``, the caller vouches that the keys are
+    a fixed few, and the series are broadcast: the left side then is not shuffled.
     """
-    by = list(by)
-    day = F.col("_day")
-    daily = (
-        right.where(F.col(value).isNotNull())
-        .groupBy(*by, F.col(right_time).cast("date").alias("_day"))
-        .agg(F.max(value).alias("_value"))
-    )
-    series = Window.partitionBy(*by).orderBy("_month")
-    months = (
-        daily.groupBy(*by, F.trunc("_day", "month").alias("_month"))
-        .agg(F.array_sort(F.collect_list(F.struct("_day", "_value"))).alias("_obs"))
-        .withColumn("_last", F.element_at("_obs", -1))
-        .withColumn("_before", F.lag("_last").over(series))
-        .withColumn("_next", F.lead("_month").over(series))
-    )
-    at = F.col(left_time).cast("date")
-    horizon = F.trunc(left.agg(F.max(at).alias("d")).scalar(), "month")
-    until = F.coalesce(F.add_months("_next", -1), F.greatest(horizon, "_month"))
-    filled = months.withColumn(
-        "_bucket", F.explode(F.sequence("_month", until, F.expr("INTERVAL 1 MONTH")))
-    ).select(
-        *by,
-        "_bucket",
-        F.when(F.col("_bucket") == F.col("_month"), F.col("_obs")).otherwise(F.array("_last")).alias("_obs"),
-        F.col("_before._value").alias("_carried"),
-    )
-    known = F.filter("_obs", lambda o: o["_day"] <= at)
-    within = F.coalesce(F.try_element_at(known, F.lit(-1))["_value"], F.col("_carried"))
+    series = asof_series(right, list(by), right_time, value)
+    at, found = F.col(left_time).cast("date"), F.col("_series")
+    place = F.least(F.year(at), found["first"] + F.size(found["years"]) - 1) - found["first"]
+    year = F.get(found["years"], place)
+    month = F.try_element_at(F.filter(year["months"], lambda m: m["since"] <= at), F.lit(-1))
+    observed = F.try_element_at(F.filter(month["obs"], lambda o: o["day"] <= at), F.lit(-1))
     return (
-        left.withColumn("_bucket", F.trunc(at, "month"))
-        .join(filled, [*by, "_bucket"], "left")
-        .withColumn(value, within)
+        left.join(F.broadcast(series) if bounded else series, list(by), "left")
+        .withColumn(value, F.coalesce(observed["value"], year["carried"]))
         .select(*left.columns, value)
     )
 

@@ -78,10 +78,16 @@ def core_amounts(
 
 
 def add_usd(amounts: DataFrame, fx: DataFrame, metrics: Sequence[str] = constants.CORE_METRICS) -> DataFrame:
-    """Dollar columns next to the metrics, by the latest rate on or before period end."""
+    """Dollar columns next to the metrics, by the latest rate on or before period end.
+
+    The rates of the packaged currencies are one row each, bounded by the calendar (some
+    24 bytes a day), and go to the rows: amounts are not shuffled again, those in
+    dollars, which have no rate, included.
+    """
+    codes = [c for c in constants.currency_codes() if c != "USD"]
     rated = asof_join(
-        amounts, fx.select("currency", "rate_date", "usd_per_unit"),
-        ["currency"], "period_end", "rate_date", "usd_per_unit",
+        amounts, fx.select("currency", "rate_date", "usd_per_unit").where(F.col("currency").isin(*codes)),
+        ["currency"], "period_end", "rate_date", "usd_per_unit", bounded=True,
     )
     others = [c for c in amounts.columns if c not in metrics and c != "currency"]
     pairs = [

@@ -98,6 +98,23 @@ def test_asof_join_needs_one_join(spark):
     assert plan(add_usd(amounts, views["fx_rates"])).count("LeftOuter") == 1
 
 
+@pytest.mark.parametrize("versions", ["all", "latest"])
+def test_core_financials_scan_stored_facts_once(spark, versions):
+    from periodica.operators.writes import ParquetTable
+    from periodica.plans.core import core_financials
+
+    views = Views(spark, FOLDER)
+    facts = views["financial_facts"]
+    table = ParquetTable(spark, f"{scratch_dir(spark)}/core-scans-{uuid4().hex}", facts.schema)
+    table.replace(facts)
+    text = plan(core_financials(table.read(), views["fx_rates"], component_versions=versions))
+    assert text.count("core-scans") == len(re.findall(r"FileScan parquet \[[^\]]*concept", text)) == 1
+    assert "Subquery" not in text
+    # The rates come to the amounts, which are shuffled for the aggregates only.
+    assert text.count("LeftOuter") == 1 and text.count("BroadcastExchange") >= 1
+    assert not re.search(r"Exchange hashpartitioning\(currency#\d+, \d+\), ENSURE_REQUIREMENTS.*\n.*HashAggregate\(keys=\[company_id", text)
+
+
 def test_stub_companies_run_nothing_while_built(spark):
     from periodica.plans import audit
 
