@@ -6,7 +6,9 @@ its pieces. What a bucket keeps is written once, to the shared folder, as sorted
 arrays without a header, which scoring workers map into memory: the sorted word
 hashes with counts, continuation counts and context statistics in the same order
 (the place of a word is its id), and the sorted (context id, word id) keys with
-counts. No array passes through the driver; it sees sums per bucket only.
+counts. No array passes through the driver; it sees sums per bucket only. A worker
+opens the arrays that its texts need and holds a bounded number of them. Counts of
+words have 64 bits; a count of a pair beyond 32 bits is refused, not wrapped.
 
 Buckets are dealt by hashes, so a word that makes up a third of all tokens is spread
 over all buckets with its successors, and is one entry per task. Order two keeps the
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import itertools
 import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -42,6 +45,8 @@ END = xxhash.xxh3_64_intdigest(b" ")
 BUCKET_TOKENS, HELD = 3_000_000, 6_000_000
 #: Documents scored together.
 SCORED = 1000
+#: Arrays of a model that a worker holds open, or has read where they cannot be mapped.
+OPEN, READ = 256, 16
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _PIECE = "bucket long, keys binary, values binary"
@@ -60,20 +65,43 @@ def _write(path: str, array: np.ndarray) -> None:
     system.move(part, place)
 
 
-def _mapped(path: str, kind: str) -> np.ndarray:
-    """The array mapped into memory. A file in a store that cannot be mapped is copied and unlinked at once."""
-    system, place = fs.FileSystem.from_uri(path)
-    if system.get_file_info(place).size == 0:
-        return np.zeros(0, kind)
-    if isinstance(system, fs.LocalFileSystem):
-        return np.memmap(place, kind, "r")
-    import shutil
-    import tempfile
+class _Arrays:
+    """The arrays of a model, opened when they are asked for; at most ``OPEN`` are held.
+
+    A mapped array keeps a file handle and a map, of which a process has a limited
+    number, while a large model has an array of each kind for every few megabytes of
+    text. In a store that cannot be mapped an array is read whole; it has a bucket's
+    part of the entries, and ``READ`` are held.
+    """
 
-    with tempfile.NamedTemporaryFile() as copy, system.open_input_stream(place) as source:
-        shutil.copyfileobj(source, copy)
-        copy.flush()
-        return np.memmap(copy.name, kind, "r")
+    def __init__(self, folder: str):
+        self.system, self.place = fs.FileSystem.from_uri(folder)
+        self.local = isinstance(self.system, fs.LocalFileSystem)
+        self.held: OrderedDict[str, np.ndarray] = OrderedDict()
+
+    def get(self, name: str, bucket: int, kind: str) -> np.ndarray:
+        path = f"{self.place}/{name}/{bucket}"
+        if path in self.held:
+            self.held.move_to_end(path)
+            return self.held[path]
+        while len(self.held) >= (OPEN if self.local else READ):
+            self.held.popitem(last=False)
+        if self.system.get_file_info(path).size == 0:
+            found = np.zeros(0, kind)
+        elif self.local:
+            found = np.memmap(path, kind, "r")
+        else:
+            with self.system.open_input_stream(path) as source:
+                found = np.frombuffer(source.read(), kind)
+        self.held[path] = found
+        return found
+
+
+def _narrow(array: np.ndarray, kind: str) -> np.ndarray:
+    """The array in a smaller type, refused where a number does not fit."""
+    if len(array) and array.max() > np.iinfo(kind).max:
+        raise OverflowError(f"a count of {array.max()} does not fit {np.dtype(kind).name}")
+    return array.astype(kind)
 
 
 def _absent(path: str, buckets: int) -> list[int]:
@@ -189,7 +217,7 @@ class _Held:
         if self.keys:
             self.fold()
             keys, counts = self.keys[0], self.counts[0]
-            yield from _pieces(keys, counts.astype(np.uint32), self.bucket(keys))
+            yield from _pieces(keys, _narrow(counts, "<u4"), self.bucket(keys))
         self.keys, self.counts, self.size, self.folded = [], [], 0, 0
 
 
@@ -235,9 +263,8 @@ class Model:
 class _Words:
     """Ids of words, by the mapped hash arrays."""
 
-    def __init__(self, folder: str, buckets: int, bases: list[int]):
-        self.bases, self.buckets = bases, buckets
-        self.hashes = [_mapped(f"{folder}/words/{b}", "<u8") for b in range(buckets)]
+    def __init__(self, arrays: _Arrays, buckets: int, bases: list[int]):
+        self.arrays, self.bases, self.buckets = arrays, bases, buckets
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """The id of each hash, -1 where it is unknown."""
@@ -245,7 +272,7 @@ class _Words:
         out = np.full(len(distinct), -1, np.int64)
         bucket = _ranges(distinct, self.buckets)
         for b, low, high in _runs(bucket):
-            known = self.hashes[b]
+            known = self.arrays.get("words", b, "<u8")
             if len(known):
                 at = np.minimum(np.searchsorted(known, distinct[low:high]), len(known) - 1)
                 out[low:high] = np.where(known[at] == distinct[low:high], at + self.bases[b], -1)
@@ -263,12 +290,8 @@ class _Scorer:
 
     def __init__(self, model: Model):
         self.m = model
-        self.words = _Words(model.folder, model.word_buckets, model.bases)
-
-        self.counts, self.stats = (
-            [_mapped(f"{model.folder}/{name}/{b}", "<u4") for b in range(model.word_buckets)] for name in ("counts", "stats"))
-        self.pairs = [(_mapped(f"{model.folder}/pairs/{b}", "<u8"), _mapped(f"{model.folder}/pair-counts/{b}", "<u4"))
-                      for b in range(model.pair_buckets)]
+        self.arrays = _Arrays(model.folder)
+        self.words = _Words(self.arrays, model.word_buckets, model.bases)
 
     def of_words(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Counts, and (N1, N2, N3+, continuations), of known ids."""
@@ -277,8 +300,8 @@ class _Scorer:
         bucket = np.searchsorted(np.asarray(self.m.bases), distinct, side="right") - 1
         for b, low, high in _runs(bucket):
             at = distinct[low:high] - self.m.bases[b]
-            counts[low:high] = self.counts[b][at]
-            stats[low:high] = self.stats[b].reshape(-1, 4)[at]
+            counts[low:high] = self.arrays.get("counts", b, "<u8")[at]
+            stats[low:high] = self.arrays.get("stats", b, "<u4").reshape(-1, 4)[at]
         return counts[back], stats[back]
 
     def of_pairs(self, keys: np.ndarray) -> np.ndarray:
@@ -287,8 +310,9 @@ class _Scorer:
         order = np.argsort(bucket, kind="stable")
         out = np.zeros(len(distinct), np.int64)
         for b, low, high in _runs(bucket[order]):
-            known, counts = self.pairs[b]
+            known = self.arrays.get("pairs", b, "<u8")
             if len(known):
+                counts = self.arrays.get("pair-counts", b, "<u4")
                 mine = order[low:high]
                 at = np.minimum(np.searchsorted(known, distinct[mine]), len(known) - 1)
                 out[mine] = np.where(known[at] == distinct[mine], counts[at], 0)
@@ -352,12 +376,12 @@ def _merge_words(pdf: pd.DataFrame, folder: str) -> pd.DataFrame:
     bucket = int(pdf["bucket"].iloc[0])
     keys, counts = _merge(pdf, 1)
     _write(f"{folder}/words/{bucket}", keys.astype("<u8"))
-    _write(f"{folder}/counts/{bucket}", counts.ravel().astype("<u4"))
+    _write(f"{folder}/counts/{bucket}", counts.ravel().astype("<u8"))
     return pd.DataFrame({"bucket": [bucket], "types": [len(keys)], "tokens": [int(counts.sum())]})
 
 
 def _count_pairs(batches, folder: str, word_buckets: int, bases: list[int], buckets: int):
-    words, size = _Words(folder, word_buckets, bases), np.uint64(bases[-1] + 1)
+    words, size = _Words(_Arrays(folder), word_buckets, bases), np.uint64(bases[-1] + 1)
     held = _Held(partial(_spread, buckets=buckets))
     for _, texts in _slices(batches, 0):
         hashes, starts = _tokens(texts)
@@ -379,16 +403,16 @@ def _merge_pairs(pdf: pd.DataFrame, folder: str, bases: list[int]) -> pd.DataFra
     keys, counts = _merge(pdf, 1)
     counts = counts.ravel()
     _write(f"{folder}/pairs/{bucket}", keys.astype("<u8"))
-    _write(f"{folder}/pair-counts/{bucket}", counts.astype("<u4"))
+    _write(f"{folder}/pair-counts/{bucket}", _narrow(counts, "<u4"))
     first = np.stack([counts == 1, counts == 2, counts >= 3, np.zeros(len(counts), bool)], axis=1).astype(np.int64)
     second = np.zeros((len(counts), 4), np.int64)
     second[:, 3] = 1
     ids, stats = _fold([keys // size, keys % size], [first, second])
-    found = [b.to_pydict() for b in _pieces(ids, stats.astype(np.uint32), _bucket_of_id(ids, np.asarray(bases)))]
+    found = [b.to_pydict() for b in _pieces(ids, _narrow(stats, "<u4"), _bucket_of_id(ids, np.asarray(bases)))]
     out = pd.DataFrame({k: [f[k][0] for f in found] for k in ("bucket", "keys", "values")})
     # The numbers of pairs by count ride along, in a bucket before the first.
     sums = pd.DataFrame({"bucket": [-1], "keys": [_pack_keys(np.arange(5, dtype=np.uint64))],
-                         "values": [_pack(np.asarray(_count_counts(counts), np.uint32))]})
+                         "values": [_pack(_narrow(np.asarray(_count_counts(counts)), "<u4"))]})
     return pd.concat([sums, out], ignore_index=True)
 
 
@@ -402,7 +426,7 @@ def _merge_stats(pdf: pd.DataFrame, folder: str, bases: list[int]) -> pd.DataFra
     if bucket == len(bases) - 1:
         return pd.DataFrame({"bucket": [bucket], "sums": [stats[0].tolist()]})
     dense = np.zeros((bases[bucket + 1] - bases[bucket], 4), "<u4")
-    dense[ids.astype(np.int64) - bases[bucket]] = stats
+    dense[ids.astype(np.int64) - bases[bucket]] = _narrow(stats, "<u4")
     _write(f"{folder}/stats/{bucket}", dense)
     return pd.DataFrame({"bucket": [bucket], "sums": [[*_count_counts(dense[:, 3]), int(dense[:, 3].sum())]]})
 
@@ -415,7 +439,10 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     """
     spark = docs.sparkSession
     folder = new_folder(spark, "language-model")
-    folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+    # A folder without a scheme lies in the default file system, which workers have to name.
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    folder = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    folder = folder.replace("file:/", "file:///", 1) if not folder.startswith("file://") else folder
     texts = docs.select(text_of(F.col(text)).alias("text"))
     sizes = texts.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     # At most one token per two bytes; this only deals the work out.
@@ -427,8 +454,10 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     )
     types = {r["bucket"]: r["types"] for r in words}
     for missing in set(range(buckets)) - set(types):
-        for name, kind in (("words", "<u8"), ("counts", "<u4"), ("stats", "<u4")):
+        for name, kind in (("words", "<u8"), ("counts", "<u8"), ("stats", "<u4")):
             _write(f"{folder}/{name}/{missing}", np.zeros(0, kind))
+    if sum(types.values()) + 1 >= 1 << 32:
+        raise OverflowError("pairs of so many distinct words do not fit 64 bits")
     bases = [0, *np.cumsum([types.get(b, 0) for b in range(buckets)]).tolist()]
     tokens = sum(r["tokens"] for r in words)
 

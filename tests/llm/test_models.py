@@ -7,6 +7,7 @@ import struct
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -76,6 +77,48 @@ def test_language_model_without_rows(spark):
     assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score, row.score) == (3, 0, 0, 0.0, 0.0)
 
 
+def test_model_of_many_buckets_opens_few_files(spark, tmp_path, monkeypatch):
+    import os
+
+    monkeypatch.setattr(kneser_ney, "OPEN", 64)
+    buckets, rng = 2000, np.random.default_rng(4)
+    hashes = np.unique(rng.integers(0, 2**64, 20_000, dtype=np.uint64))
+    bucket = kneser_ney._ranges(hashes, buckets)
+    bases = [0]
+    for b in range(buckets):
+        mine = hashes[bucket == b]
+        kneser_ney._write(f"file://{tmp_path}/words/{b}", mine.astype("<u8"))
+        kneser_ney._write(f"file://{tmp_path}/counts/{b}", (np.arange(len(mine)) + 5_000_000_000).astype("<u8"))
+        kneser_ney._write(f"file://{tmp_path}/stats/{b}", np.ones((len(mine), 4), "<u4"))
+        bases.append(bases[-1] + len(mine))
+    model = kneser_ney.Model(f"file://{tmp_path}", buckets, buckets, bases, 1, 1, [0.5] * 3, [0.5] * 3, 1, (0, 0, 0), 1.0)
+    scorer, before = kneser_ney._Scorer(model), len(os.listdir("/proc/self/fd"))
+    asked = np.concatenate([hashes[rng.permutation(len(hashes))], hashes[:5] + np.uint64(1)])
+    ids = scorer.words.ids(asked)
+    assert (hashes[ids[:-5]] == asked[:-5]).all() and (ids[-5:] == -1).sum() >= 4
+    counts, _ = scorer.of_words(ids[:-5])
+    assert counts.min() == 5_000_000_000
+    assert len(os.listdir("/proc/self/fd")) - before <= 64
+
+
+def test_counts_beyond_32_bits(tmp_path):
+    most = 2**32 - 1
+    piece = {"bucket": 0, "keys": kneser_ney._pack_keys(np.array([7, 9], np.uint64)), "values": kneser_ney._pack(np.array([most, 1], np.uint32))}
+    pieces = pd.DataFrame([piece, piece])
+    out = kneser_ney._merge_words(pieces, f"file://{tmp_path}")
+    assert out["tokens"][0] == 2 * most + 2
+    assert kneser_ney._Arrays(f"file://{tmp_path}").get("counts", 0, "<u8").tolist() == [2 * most, 2]
+    with pytest.raises(OverflowError, match="8589934590"):
+        kneser_ney._merge_pairs(pieces, f"file://{tmp_path}", [0, 10])
+
+
+def test_arrays_of_a_store_that_cannot_be_mapped(tmp_path):
+    kneser_ney._write(f"file://{tmp_path}/words/0", np.arange(5, dtype="<u8"))
+    arrays = kneser_ney._Arrays(f"file://{tmp_path}")
+    arrays.local = False
+    assert arrays.get("words", 0, "<u8").tolist() == [0, 1, 2, 3, 4] and not isinstance(arrays.get("words", 0, "<u8"), np.memmap)
+
+
 def test_packed_arrays_come_back():
     rng = np.random.default_rng(1)
     keys = np.unique(rng.integers(0, 2**63, 1000, dtype=np.uint64))
