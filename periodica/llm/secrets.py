@@ -6,9 +6,10 @@ seen which content; ``findings`` holds the spans per content and rule version. A
 update scans only pairs of content and rule version that were never scanned, and
 findings are joined back to every path that holds the content.
 
-A null text is empty. Rows that repeat path and content count once in the ledger's
-content and once each in its versions. A null path is a path like any other. Empty
-tables give empty ledgers. Other columns are not read. Only column functions are used.
+A null text is empty. Rows that repeat path and content in one update count once in
+the ledger's content and once each in its versions; a later update that repeats them
+adds none. A null path is a path like any other, and paths may have any type that
+compares. Empty tables give empty ledgers. Other columns are not read. Only column functions are used.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from pyspark.sql.types import StructType
 
 from periodica.llm.common import text_of
 
+#: Matches whose spans are gathered in one go.
+STRETCH = 512
 _SPANS = "array<struct<start:int,stop:int>>"
 _FOUND = "array<struct<rule:string,spans:array<struct<start:int,stop:int>>>>"
 
@@ -55,7 +58,9 @@ def spans_of(text: Column, rule: Rule) -> Column:
     """The spans of a rule in code points, ends exclusive.
 
     The pieces between matches and the matches alternate, so their lengths add up to
-    the positions; each expression is evaluated once per text.
+    the positions. They are added up in stretches of ``STRETCH`` matches, as each step
+    copies the spans of its stretch: the work grows with the matches, not with their
+    square. Each expression is evaluated once per text.
     """
     pattern = F.lit(rule.pattern)
     parts = F.arrays_zip(
@@ -63,7 +68,7 @@ def spans_of(text: Column, rule: Rule) -> Column:
         F.regexp_extract_all(text, pattern, F.lit(0)).alias("hit"),
         F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("key"),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
+    none = F.array().cast(_SPANS)
 
     def step(state: Column, part: Column) -> Column:
         begin = state["at"] + F.length(part["gap"])
@@ -72,8 +77,19 @@ def spans_of(text: Column, rule: Rule) -> Column:
         keep = F.coalesce(F.length(part["key"]) >= rule.least, F.lit(False))
         return F.struct(end.alias("at"), F.when(keep, F.concat(state["out"], span)).otherwise(state["out"]).alias("out"))
 
-    found = F.aggregate(parts, start, step, lambda state: state["out"])
-    return F.when(text.rlike(rule.pattern), found).otherwise(F.array().cast(_SPANS))
+    def stretch(done: Column, first: Column, all_parts: Column) -> Column:
+        start = F.struct(F.element_at(done, -1)["at"].alias("at"), none.alias("out"))
+        return F.concat(done, F.array(F.aggregate(F.slice(all_parts, first, STRETCH), start, step)))
+
+    def fold(all_parts: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.size(all_parts), F.lit(STRETCH))
+        nothing = F.array(F.struct(F.lit(0).alias("at"), none.alias("out")))
+        stretches = F.aggregate(firsts, nothing, lambda done, first: stretch(done, first, all_parts))
+        return F.flatten(F.transform(stretches, lambda s: s["out"]))
+
+    # As the one element of an array, the parts are a variable and not worked out again for each stretch.
+    found = F.get(F.transform(F.array(parts), fold), F.lit(0))
+    return F.when(text.rlike(rule.pattern), found).otherwise(none)
 
 
 class Ledger:
@@ -82,10 +98,12 @@ class Ledger:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
+    def _has(self, name: str) -> bool:
+        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}/batch=*/_SUCCESS")
+        return bool(pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern))
+
     def _read(self, name: str, schema: str) -> DataFrame:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
-        system = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not system.exists(path):
+        if not self._has(name):
             fields = StructType.fromDDL(schema)
             return self.spark.range(0).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in fields))
         return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}/batch=*")
@@ -94,8 +112,11 @@ class Ledger:
         """Each batch is a folder of its own, which Spark commits as a whole."""
         df.write.option("compression", "zstd").parquet(f"{self.folder}/{name}/batch={batch}")
 
-    def versions(self, path_type: str = "bigint") -> DataFrame:
-        return self._read("versions", f"path {path_type}, digest binary")
+    def versions(self) -> DataFrame:
+        """(path, digest); paths have the type that they were recorded with."""
+        if self._has("versions"):
+            return self.spark.read.parquet(f"{self.folder}/versions/batch=*").select("path", "digest")
+        return self._read("versions", "path bigint, digest binary")
 
     def scans(self) -> DataFrame:
         return self._read("scans", "digest binary, rules array<string>")
@@ -122,12 +143,17 @@ class Ledger:
         """Record the versions of ``versions`` and scan what is new.
 
         The text moves once, by its digest, and copies meet in a partial aggregate
-        first. Scans are recorded after the findings, so a run that dies in between
-        is repeated by the next one; equal findings of two runs count once.
+        first. Versions that are on record are not recorded again, and scans are
+        recorded after the findings, so a run that dies in between is repeated by the
+        next one; equal findings of two runs count once.
         """
         batch = uuid.uuid4().hex
         digest = F.unhex(F.sha2(text_of(F.col(text)), 256))
-        self._append(versions.select(F.col(path).alias("path"), digest.alias("digest")), "versions", batch)
+        news = versions.select(F.col(path).alias("path"), digest.alias("digest"))
+        if self._has("versions"):
+            known = self.versions().select(F.struct("path", "digest").alias("known")).distinct()
+            news = news.join(known, F.struct("path", "digest") == F.col("known"), "left_anti")
+        self._append(news, "versions", batch)
         none = F.array().cast(_SPANS)
         found = F.array(*(
             F.struct(
@@ -153,7 +179,7 @@ class Ledger:
             .select("digest", "rule", "s.start", "s.stop").distinct()
         )
 
-    def by_path(self, rules: Sequence[Rule] = BASE_RULES, path_type: str = "bigint") -> DataFrame:
+    def by_path(self, rules: Sequence[Rule] = BASE_RULES) -> DataFrame:
         """One row per version of a path with its sorted findings: ``path``, ``digest``, ``spans``.
 
         Content is folded to one row before it meets the paths, so content that a
@@ -165,7 +191,7 @@ class Ledger:
             F.array_sort(F.collect_list(F.struct("start", F.array_position(order, F.col("rule")).alias("place"), "stop")))
             .alias("spans"))
         none = F.array().cast("array<struct<start:int,place:bigint,stop:int>>")
-        return self.versions(path_type).join(per, "digest", "left").select(
+        return self.versions().join(per, "digest", "left").select(
             "path", "digest", F.coalesce("spans", none).alias("spans"))
 
 

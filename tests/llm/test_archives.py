@@ -82,6 +82,42 @@ def test_ledger_matches_plain_regular_expressions(spark):
     assert found == {i: plain_spans(t) for i, t in enumerate(values)}
 
 
+def test_many_spans_in_one_text(spark):
+    """Some megabytes with 200,000 spans, and numbers of matches around the bounds of stretches."""
+    import time
+
+    many = "token=abcdef1 " * 200_000
+    values = [many, *["x" + "token=abcdef1 " * n + "password=ab " for n in (511, 512, 513, 1024, 1025)]]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, text string")
+    begun = time.time()
+    got = {r.i: r.s for r in df.select("i", secrets.spans_of(F.col("text"), secrets.BASE_RULES[0]).alias("s")).collect()}
+    assert time.time() - begun < 60
+    assert len(got[0]) == 200_000 and tuple(got[0][-1]) == (14 * 199_999, 14 * 200_000 - 1)
+    for i, n in zip(range(1, 6), (511, 512, 513, 1024, 1025), strict=True):
+        assert [tuple(s) for s in got[i]] == [(1 + 14 * k, 14 + 14 * k) for k in range(n)]
+
+
+def test_equal_updates_add_nothing(spark):
+    docs = spark.createDataFrame([("a", SECRETS[0]), ("a", SECRETS[0]), (None, None), ("b", SECRETS[2])], "doc_id string, text string")
+    ledger = secrets.Ledger(spark, new_folder(spark, "ledger-test"))
+
+    def state():
+        return sorted(((r.path or "", r.s) for r in ledger.by_path().select("path", secrets.span_text(F.col("spans")).alias("s")).collect()))
+
+    ledger.update(docs)
+    before = state()
+    assert [p for p, _ in before] == ["", "a", "a", "b"] and before[1][1] == plain_spans(SECRETS[0])
+    for _ in range(2):
+        ledger.update(docs)
+        assert state() == before
+    # A run that died after its versions is made good by the next.
+    late = secrets.Ledger(spark, new_folder(spark, "ledger-test"))
+    late._append(docs.select(F.col("doc_id").alias("path"), F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("digest")), "versions", "lost")
+    late.update(docs)
+    ledger = late
+    assert state() == before
+
+
 def test_ledger_scans_only_what_is_new(spark):
     ledger = secrets.Ledger(spark, new_folder(spark, "ledger-test"))
     first = documents(spark, SECRETS[:6], repeat=False)
