@@ -46,11 +46,13 @@ def main() -> None:
         os.path.basename(folder.rstrip("/")), "none"))
     fixed, rates = {}, {}
     if os.path.isdir(smaller):
-        before, fewer = timed(spark, smaller, names, 1)
+        before, fewer = timed(spark, smaller, names, repeats)
         for name in names:
-            slope = max(times[name] - before[name], 1e-3) / (facts - fewer)
-            fixed[name] = round(max(times[name] - slope * facts, 0.0), 3)
-            rates[name] = round(1 / slope)
+            slope = (times[name] - before[name]) / (facts - fewer)
+            fixed[name] = round(max(times[name] - max(slope, 0.0) * facts, 0.0), 3)
+            # Where the input hardly grows, the difference is noise and gives no rate.
+            if times[name] - before[name] > 0.1:
+                rates[name] = round(1 / slope)
     spark.stop()
     print(
         json.dumps(
