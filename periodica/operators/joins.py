@@ -130,6 +130,33 @@ def asof_join(
     )
 
 
+#: Days of the narrowest bin of an interval join; every next width is four times as many.
+BIN_DAYS = 32
+
+
+def _bin_level(days: Column) -> Column:
+    """The narrowest width that holds as many days: 0 for ``BIN_DAYS``, 1 for four times that."""
+    return F.greatest(F.lit(0), F.ceil(F.log(4.0, days / F.lit(float(BIN_DAYS))))).cast("int")
+
+
+def _bin(day: Column, level: Column) -> Column:
+    return F.floor(F.unix_date(day) / (BIN_DAYS * F.pow(F.lit(4.0), level)))
+
+
+def interval_bins(intervals: DataFrame, start: str, end: str, first: Column, last: Column) -> DataFrame:
+    """Intervals with the width (``_level``) and the bins (``_bin``) that they lie in between two days; two rows each at most."""
+    since, until = F.col(start).cast("date"), F.col(end).cast("date")
+    return (
+        intervals
+        # Least and greatest skip NULL: an open end reaches up to the last day.
+        .withColumns({"_from": F.greatest(since, first), "_to": F.least(until, last)})
+        .where(since.isNotNull() & (F.col("_from") <= F.col("_to")))
+        .withColumn("_level", _bin_level(F.date_diff("_to", "_from") + 1))
+        .withColumn("_bin", F.explode(F.sequence(_bin(F.col("_from"), F.col("_level")), _bin(F.col("_to"), F.col("_level")))))
+        .drop("_from", "_to")
+    )
+
+
 def interval_join(
     points: DataFrame,
     intervals: DataFrame,
@@ -140,21 +167,25 @@ def interval_join(
 ) -> DataFrame:
     """Points with every half-open interval that contains their day.
 
-    Both sides get the calendar year as an equi-key: an interval appears once per
-    year that it touches and that some point lies in, an open one up to the last
-    point. The exact test follows within the year. Without ``by`` the year is the
-    only key, which suits points that are few enough to broadcast.
+    The equi-key, next to ``by``, is a bin of days whose width follows from the length
+    of the interval, cut to the days that points lie on: the narrowest of 32, 128,
+    512 ... days that holds it. So an interval, long or open, takes two rows at most
+    and a point one row per width, 7 over four centuries. The exact test follows in the
+    bin. Beyond the narrowest width an interval fills an eighth of its bins or more, so
+    what is compared grows with the result and many points of a year are spread by bin.
     """
-    horizon = points.agg(F.max(F.col(day).cast("date")).alias("d")).scalar()
-    until = F.least(F.coalesce(F.date_sub(end, 1), horizon), horizon)
-    # As many years as the calendar has, whatever the number of points.
-    years = points.agg(F.collect_set(F.year(day)).alias("y")).scalar()
-    spread = intervals.where(F.col(start) <= until).withColumn(
-        "_year", F.explode(F.array_intersect(F.sequence(F.year(start), F.year(until)), years))
+    at = F.col(day).cast("date")
+    bounds = points.agg(F.struct(F.min(at).alias("first"), F.max(at).alias("last")).alias("b")).scalar()
+    first, last = F.col("_b")["first"], F.col("_b")["last"]
+    cut = interval_bins(intervals.withColumn("_b", bounds), start, end, first, last).drop("_b")
+    widest = _bin_level(F.date_diff(last, first) + 1)
+    marked = (
+        points.withColumn("_b", bounds).where(F.col(day).isNotNull())
+        .withColumn("_level", F.explode(F.sequence(F.lit(0), widest)))
+        .withColumn("_bin", _bin(at, F.col("_level"))).drop("_b")
     )
-    marked = points.withColumn("_year", F.year(day))
     hit = contains_date(F.col(start), F.col(end), F.col(day))
-    return marked.join(spread, [*by, "_year"], "inner").where(hit).drop("_year")
+    return marked.join(cut, [*by, "_level", "_bin"], "inner").where(hit).drop("_level", "_bin")
 
 
 def count_branches(base: DataFrame, branches: Mapping[str, DataFrame], key: str) -> DataFrame:

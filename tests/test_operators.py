@@ -6,7 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from periodica.operators.joins import asof_join, interval_join
+from periodica.operators.joins import asof_join, interval_bins, interval_join
 from periodica.operators.paging import stratified_pick
 from periodica.operators.windows import growth_exact, growth_lag, latest_known
 from periodica.plans.core import add_usd, core_amounts
@@ -60,6 +60,41 @@ def test_interval_join_equals_brute_force(spark):
     assert got == want
 
 
+def test_interval_join_without_a_key(spark):
+    """Lengths from a day to decades, empty and reversed intervals, NULLs, and points on bin borders."""
+    rng = random.Random(8)
+    starts = days(120, 9, 9000)
+    lengths = [rng.choice([-5, 0, 1, 31, 32, 33, 127, 128, 129, 512, 3000, 8000]) for _ in starts]
+    spans = [(i, a, a + datetime.timedelta(n) if rng.random() < 0.9 else None) for i, (a, n) in enumerate(zip(starts, lengths))]
+    left = literal_table(spark, [(i, d) for i, d in enumerate([*days(60, 10, 9000), None])], "i int, d date")
+    right = literal_table(spark, [*spans, (-1, None, DAY(2020, 1, 1)), (-2, None, None)], "k int, start_date date, end_date date")
+    got = sorted((r.i, r.k) for r in interval_join(left, right, "d").collect())
+    points = [(r.i, r.d) for r in left.collect() if r.d]
+    assert got == sorted((i, k) for i, d in points for k, a, b in spans if a <= d and (b is None or b > d))
+    assert interval_join(left.where("false"), right, "d").count() == 0
+    assert interval_join(left, right.where("false"), "d").count() == 0
+
+
+def test_an_interval_takes_two_rows_at_most(spark):
+    lengths = (0, 1, 31, 32, 33, 127, 128, 129, 400, 3649, 40_000)
+    right = literal_table(
+        spark, [(i, DAY(2000, 1, 1), DAY(2000, 1, 1) + datetime.timedelta(n)) for i, n in enumerate(lengths)]
+        + [(-1, DAY(1900, 1, 1), None), (-2, DAY(2031, 1, 1), None), (-3, None, None)], "k int, start_date date, end_date date")
+    bins = interval_bins(right, "start_date", "end_date", F.lit(DAY(1999, 5, 5)), F.lit(DAY(2030, 1, 1)))
+    found = {r.k: r["count"] for r in bins.groupBy("k").count().collect()}
+    assert set(found) == {*range(len(lengths)), -1} and max(found.values()) <= 2
+
+
+def test_many_points_of_a_year_are_spread_by_bin(spark):
+    left = spark.range(3650).select(F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
+    right = left.select(F.col("d").alias("start_date"), F.date_add("d", 20).alias("end_date"))
+    joined = interval_join(left, right, "d")
+    assert joined.count() == 3650 * 20 - 19 * 20 // 2
+    assert "NestedLoop" not in joined._jdf.queryExecution().executedPlan().toString()
+    bins = interval_bins(right, "start_date", "end_date", F.lit(DAY(2000, 1, 1)), F.lit(DAY(2009, 12, 31)))
+    assert bins.select("_level", "_bin").distinct().count() > 100
+
+
 FACTS = "company_id string, fiscal_year int, concept string, value decimal(30,10), filing_date date, period_end date, " \
         "period_start date, source_id string"
 
