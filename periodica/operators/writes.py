@@ -68,7 +68,7 @@ class State:
 
 #: How often a write starts over before it gives up.
 ATTEMPTS = 20
-_MARK, _KEPT, _NULL = "_SUCCESS", "kept", "__HIVE_DEFAULT_PARTITION__"
+_MARK, _KEPT, _ORIGIN, _NULL = "_SUCCESS", "kept", "origin", "__HIVE_DEFAULT_PARTITION__"
 
 
 class ParquetTable:
@@ -161,7 +161,28 @@ class ParquetTable:
         name = f"v={version}/{_KEPT}"
         return [f"{self.path}/{line}" for line in self._lines(name)] if self._exists(name) else []
 
-    def _frame(self, folders: Sequence[str]) -> DataFrame:
+    def partitions(self, version: int | None = None) -> list[str]:
+        """Partition folders of a version, those that it keeps included; its segments when it is not partitioned."""
+        version = self.version() if version is None else version
+        folders = list(self.kept(version))
+        for segment in self.segments(version):
+            if not self.partition_by:
+                folders.append(segment)
+                continue
+            deep = "/".join(f"{c}=*" for c in self.partition_by)
+            found = self._files().globStatus(self._path(f"{segment[len(self.path) + 1:]}/{deep}")) or []
+            folders += [f"{segment}/" + "/".join(s.getPath().toString().split("/")[-len(self.partition_by) :]) for s in found]
+        return folders
+
+    def origin(self, version: int | None = None) -> list[str] | None:
+        """What a version was made from, as its writer noted it; none if it did not."""
+        name = f"v={self.version() if version is None else version}/{_ORIGIN}"
+        return self._lines(name) if self._exists(name) else None
+
+    def folders_exist(self, folders: Sequence[str]) -> bool:
+        return all(self._exists(f[len(self.path) + 1 :]) for f in folders)
+
+    def rows_of(self, folders: Sequence[str]) -> DataFrame:
         """The rows of segments or partition folders."""
         by_version: dict[str, list[str]] = {}
         for folder in folders:
@@ -179,7 +200,7 @@ class ParquetTable:
     def read(self, state: State | None = None) -> DataFrame:
         """The current version, or that of a state; an empty frame before the first write."""
         version = self.version() if state is None else state.version
-        return self._frame([*self.segments(version), *self.kept(version)])
+        return self.rows_of([*self.segments(version), *self.kept(version)])
 
     # --- writing ---
 
@@ -234,23 +255,30 @@ class ParquetTable:
         self.state()
         return self._exists(f"tags/{tag}")
 
-    def replace(self, df: DataFrame, read: State | None = None, tag: str | None = None, keep: Sequence[str] = ()) -> int:
+    def replace(
+        self, df: DataFrame, read: State | None = None, tag: str | None = None, keep: Sequence[str] = (),
+        origin: Sequence[str] = (),
+    ) -> int:
         """Write the next version; the one being read from stays untouched.
 
         With ``read``, the state that ``df`` was computed from, the write is refused if
         the table has changed since. ``keep`` names partition folders that the version
-        goes on using.
+        goes on using, ``origin`` notes what it was made from; both need ``read``.
         """
+        if (keep or origin) and read is None:
+            raise ValueError("keep and origin hold for the state that was read")
         state = read or self.state()
         folder, rows = self._store(df, None)
         if keep:
             self._create(f"{folder.split('/')[0]}/{_KEPT}", "".join(f"{f[len(self.path) + 1:]}\n" for f in keep))
+        if origin:
+            self._create(f"{folder.split('/')[0]}/{_ORIGIN}", "".join(f"{line}\n" for line in origin))
         while not self._commit(folder, state, tag):
             if read is not None:
                 raise Overlap(f"{self.path} was changed after it was read at {read}")
             state = self.state()
             if state.version > int(folder.split("/")[0].split("=")[1]):
-                folder, rows = self._store(self._frame([f"{self.path}/{folder}"]), None)
+                folder, rows = self._store(self.rows_of([f"{self.path}/{folder}"]), None)
         return rows
 
     def append(
@@ -271,25 +299,22 @@ class ParquetTable:
             if keys:
                 turns = range(state.turn + 1, now.turn + 1)
                 since = [f"{self.path}/{self._lines(f'v={state.version}/turn={turn}')[0]}" for turn in turns]
-                mine = self._frame([f"{self.path}/{folder}"])
-                folder, rows = self._store(absent_keys(mine, self._frame(since), keys), state.version)
+                mine = self.rows_of([f"{self.path}/{folder}"])
+                folder, rows = self._store(absent_keys(mine, self.rows_of(since), keys), state.version)
             state = now
         return rows
 
-    def replace_partitions(self, df: DataFrame, touched: Sequence[Sequence], read: State) -> int:
+    def replace_partitions(
+        self, df: DataFrame, touched: Sequence[Sequence], read: State, origin: Sequence[str] = ()
+    ) -> int:
         """Write the next version from ``df``, the rows of the touched partitions, and the folders of all others.
 
         ``touched`` lists values of the partition columns. Refused if the table has
         changed since ``read``.
         """
         gone = {tuple(_NULL if v is None else str(v) for v in values) for values in touched}
-        deep = "/".join(f"{c}=*" for c in self.partition_by)
-        folders = list(self.kept(read.version))
-        for segment in self.segments(read.version):
-            found = self._files().globStatus(self._path(f"{segment[len(self.path) + 1:]}/{deep}")) or []
-            folders += [f"{segment}/" + "/".join(s.getPath().toString().split("/")[-len(self.partition_by) :]) for s in found]
         values = lambda f: tuple(unquote(part.split("=", 1)[1]) for part in f.split("/")[-len(self.partition_by) :])
-        return self.replace(df, read, keep=[f for f in folders if values(f) not in gone])
+        return self.replace(df, read, keep=[f for f in self.partitions(read.version) if values(f) not in gone], origin=origin)
 
 
 def change(table: ParquetTable, build: Callable[[DataFrame], DataFrame]) -> int:
@@ -304,12 +329,12 @@ def change(table: ParquetTable, build: Callable[[DataFrame], DataFrame]) -> int:
     raise AssertionError
 
 
-def _partitions(rows: DataFrame, columns: Sequence[str]) -> list[tuple]:
+def partitions_of(rows: DataFrame, columns: Sequence[str]) -> list[tuple]:
     """The partitions that rows fall into, at most as many as the table has or will have."""
     return [tuple(r) for r in rows.select(*columns).distinct().collect()]
 
 
-def _within(columns: Sequence[str], found: Sequence[tuple]) -> Column:
+def within_partitions(columns: Sequence[str], found: Sequence[tuple]) -> Column:
     """A filter on partition columns, NULL included, by which Spark skips all other folders."""
     if len(columns) == 1:
         values = [v for (v,) in found]
@@ -333,11 +358,11 @@ def change_partitions(
     for attempt in range(ATTEMPTS):
         state = table.state()
         rows = table.read(state)
-        found = _partitions(touched(rows), table.partition_by)
+        found = partitions_of(touched(rows), table.partition_by)
         if not found:
             return 0
         try:
-            return table.replace_partitions(build(rows.where(_within(table.partition_by, found))), found, state)
+            return table.replace_partitions(build(rows.where(within_partitions(table.partition_by, found))), found, state)
         except Overlap:
             if attempt == ATTEMPTS - 1:
                 raise
@@ -434,7 +459,7 @@ def _insert_once(table, batch, keys, order, prune, tag) -> WriteStats:
         folded = table.spark.read.schema(folded.schema).parquet(staging)
         processed = seen.get["processed"] or 0
         if prune:
-            target = target.where(_within(prune, _partitions(folded, prune)))
+            target = target.where(within_partitions(prune, partitions_of(folded, prune)))
         inserted = table.append(flag_existing(folded, target, keys).where(~F.col("_exists")), state, keys, tag)
     return WriteStats(processed=processed, inserted=inserted, skipped=processed - inserted)
 

@@ -25,7 +25,8 @@ def normalized_facts(facts: DataFrame, mapping: DataFrame | None = None) -> Data
     return wildcard_join(facts, tag_mapping(facts) if mapping is None else mapping)
 
 
-def _core_rows(facts: DataFrame, mapping: DataFrame | None) -> DataFrame:
+def core_rows(facts: DataFrame, mapping: DataFrame | None = None) -> DataFrame:
+    """Yearly facts that core financials are made from, with canonical field and combination rule."""
     fields = ("revenue", *constants.CORE_FIELDS.values())
     yearly = facts.where("fiscal_period = 'FY'")
     if mapping is None:
@@ -50,7 +51,7 @@ def core_amounts(
     filing that repeats it. The row currency is the greatest money unit of total
     revenue, else of total assets.
     """
-    rows = _core_rows(facts, mapping)
+    rows = core_rows(facts, mapping)
     is_total = (F.col("field") == "revenue") & F.col("combine").isNull()
     is_part = (F.col("field") == "revenue") & (F.col("combine") == "sum")
     others = {name: _best(field) for name, field in constants.CORE_FIELDS.items()}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from periodica.operators import writes
 from periodica.operators.writes import ParquetTable
-from periodica.plans import audit, history, ingest, runs
+from periodica.plans import audit, history, ingest, refresh, runs
 from periodica.plans.core import core_financials
 from periodica.schemas import NATURAL_KEYS, schema
 from periodica.sources import documents
@@ -320,6 +320,21 @@ def refresh_after_load(v: Views) -> DataFrame:
     return snapshot.read()
 
 
+@query(_same("core_financials_latest_parts"), doubles=layers.AMOUNTS)
+def refresh_changed_core(v: Views) -> DataFrame:
+    """Core financials brought up to date by what three loads of facts and rates changed, each company-year alone."""
+    facts = ParquetTable(v.spark, _fresh(v, "facts"), v["financial_facts"].schema, ["fiscal_year"], ["company_id"])
+    rates = ParquetTable(v.spark, _fresh(v, "rates"), v["fx_rates"].schema)
+    core = refresh.core_table(facts, rates, _fresh(v, "core"))
+    early, old = F.col("filing_date") < "1997-01-01", F.col("rate_date") < "1996-01-01"
+    loads = [(facts, v["financial_facts"], early), (rates, v["fx_rates"], old), (facts, v["financial_facts"], ~early | early.isNull()),
+             (rates, v["fx_rates"], ~old | old.isNull())]
+    for table, rows, part in loads:
+        table.append(rows.where(part))
+        refresh.refresh_core_table(core, facts, rates)
+    return core.read()
+
+
 @query(
     """SELECT c.id, c.legal_name, g.label FROM {companies} c
     JOIN (VALUES ('NATION_1', 'home'), ('NATION_2', 'abroad'), ('NATION_3', 'abroad')) g(country, label) ON g.country = c.country"""

@@ -2,6 +2,7 @@
 
 import datetime
 import json
+import re
 from decimal import Decimal
 
 import pytest
@@ -12,7 +13,7 @@ from periodica.operators.writes import (
     Overlap, ParquetTable, WriteStats, backfill_currency, backfill_table, insert_guarded, insert_new, mark, patch,
     refresh_snapshot, replace_where, upsert,
 )
-from periodica.plans import history, ingest, runs
+from periodica.plans import history, ingest, refresh, runs
 from periodica.plans.core import core_financials
 from periodica.schemas import NATURAL_KEYS, TABLES, schema
 from periodica.sources import documents
@@ -518,3 +519,138 @@ def test_failed_facts_leave_their_documents_open(spark, tmp_path, monkeypatch):
     ingest.sync(catalog, companies, filings, values, "1", "2024-03-01", raw=raw)
     # Of the facts only the document without anything to store is done; one that gave no rows stays open.
     assert flagged(catalog) == {("submissions:0000000001", "sum"), ("facts:0000000002", "sum")}
+
+
+# --- refresh of what changed ------------------------------------------------------
+
+
+def stored_core(spark, tmp_path):
+    from periodica.workload.views import Views
+
+    v = Views(spark, "/root/testdata/sf0.001")
+    facts = ParquetTable(spark, str(tmp_path / "facts"), v["financial_facts"].schema, ["fiscal_year"], ["company_id"])
+    rates = ParquetTable(spark, str(tmp_path / "rates"), v["fx_rates"].schema)
+    return v, facts, rates, refresh.core_table(facts, rates, str(tmp_path / "core"))
+
+
+def equals_full_build(core, facts, rates):
+    want = core_financials(facts.read(), rates.read()).select(*core.schema.names)
+    got = core.read()
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_refresh_of_changed_keys_equals_a_full_build(spark, tmp_path):
+    v, facts, rates, core = stored_core(spark, tmp_path)
+    rates.append(v["fx_rates"])
+    source = v["financial_facts"]
+    facts.append(source.where("company_id % 2 = 0 OR fiscal_year < 1995"))
+    assert refresh.refresh_core_table(core, facts, rates) > 0
+    equals_full_build(core, facts, rates)
+    assert refresh.refresh_core_table(core, facts, rates) == 0 and core.version() == 1, "nothing changed, nothing is written"
+
+    # A load of two years: rows of all others stay where they are.
+    before, years = core.partitions(), (1996, 1997)
+    facts.append(source.where("company_id % 2 = 1 AND fiscal_year IN (1996, 1997)"))
+    refresh.refresh_core_table(core, facts, rates)
+    equals_full_build(core, facts, rates)
+    after = core.partitions()
+    moved = {f.rsplit("=", 1)[1] for f in set(before) ^ set(after)}
+    assert moved == {str(y) for y in years} and len(set(before) & set(after)) == len(before) - len(years)
+    # Repeated and irrelevant facts change no result.
+    facts.append(source.where("fiscal_period = 'FY' AND fiscal_year = 1993").limit(5))
+    facts.append(source.where("fiscal_year = 1994").withColumn("fiscal_period", F.lit("Q1")))
+    refresh.refresh_core_table(core, facts, rates)
+    equals_full_build(core, facts, rates)
+
+
+def test_refresh_follows_rewritten_facts_and_new_rates(spark, tmp_path):
+    from periodica.operators.writes import change_partitions
+
+    v, facts, rates, core = stored_core(spark, tmp_path)
+    early = F.col("rate_date") < "1996-01-01"
+    rates.append(v["fx_rates"].where(early))
+    facts.append(v["financial_facts"])
+    refresh.refresh_core_table(core, facts, rates)
+    # One year is rewritten with rows changed and rows gone; then facts of a company go entirely.
+    change_partitions(
+        facts, lambda rows: rows.where("fiscal_year = 1996"),
+        lambda rows: rows.where("company_id % 5 <> 0").withColumn("value", (F.col("value") * 2).cast("decimal(30,10)")))
+    refresh.refresh_core_table(core, facts, rates)
+    equals_full_build(core, facts, rates)
+    kept = {f for f in core.partitions() if "fiscal_year=1994" in f}
+    rates.append(v["fx_rates"].where(~early))
+    refresh.refresh_core_table(core, facts, rates)
+    equals_full_build(core, facts, rates)
+    assert kept <= set(core.partitions()), "new rates leave earlier years alone"
+    facts.replace(facts.read().where("company_id % 3 <> 0"))
+    refresh.refresh_core_table(core, facts, rates)
+    equals_full_build(core, facts, rates)
+
+
+def test_refresh_builds_anew_when_it_must(spark, tmp_path, monkeypatch):
+    import shutil
+
+    v, facts, rates, core = stored_core(spark, tmp_path)
+    rates.append(v["fx_rates"])
+    facts.append(v["financial_facts"])
+    seen, some = [], refresh._refresh_some
+    monkeypatch.setattr(refresh, "_refresh_some", lambda *args: seen.append(1) or some(*args))
+    refresh.refresh_core_table(core, facts, rates)
+    # Another way of building.
+    refresh.refresh_core_table(core, facts, rates, component_versions="all")
+    assert core.version() == 2 and not seen
+    refresh.refresh_core_table(core, facts, rates)
+    # Facts of an earlier version that were removed cannot be compared.
+    facts.replace(facts.read().where("company_id % 4 <> 0"))
+    shutil.rmtree(tmp_path / "facts" / "v=1")
+    refresh.refresh_core_table(core, facts, rates)
+    assert not seen
+    equals_full_build(core, facts, rates)
+    # A failed build leaves the table as it was.
+    facts.append(v["financial_facts"].where("fiscal_year = 1996"))
+    monkeypatch.setattr(refresh, "core_financials", lambda *a, **k: core_financials(*a, **k).withColumn(
+        "revenue", F.raise_error(F.lit("broken")).cast("decimal(30,10)")))
+    version = core.version()
+    with pytest.raises(Exception, match="broken"):
+        refresh.refresh_core_table(core, facts, rates)
+    assert core.version() == version and seen == [1]
+
+
+def test_refresh_reads_the_touched_years_only(spark, tmp_path, monkeypatch):
+    v, facts, rates, core = stored_core(spark, tmp_path)
+    rates.append(v["fx_rates"])
+    facts.append(v["financial_facts"].where("fiscal_year < 1997"))
+    refresh.refresh_core_table(core, facts, rates)
+    facts.append(v["financial_facts"].where("fiscal_year = 1997"))
+    plans, keep = [], ParquetTable.replace_partitions
+
+    def spy(self, df, *rest):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(self, df, *rest)
+
+    monkeypatch.setattr(ParquetTable, "replace_partitions", spy)
+    refresh.refresh_core_table(core, facts, rates)
+    scans = [line for line in plans[0].split("\n") if "FileScan" in line and ("concept#" in line or "revenue#" in line)]
+    # What is stored, the facts of the touched year, and the keys of the new segment, which holds no other year.
+    narrow = [line for line in scans if re.search(r"PartitionFilters: \[[^]]*fiscal_year#\d+ (=|IN) [^]]*1997", line)]
+    assert len(narrow) >= 2 and len(scans) - len(narrow) <= 2, scans
+
+
+def test_refresh_with_an_overlapping_refresh(spark, tmp_path, monkeypatch):
+    v, facts, rates, core = stored_core(spark, tmp_path)
+    rates.append(v["fx_rates"])
+    facts.append(v["financial_facts"].where("fiscal_year < 1997"))
+    refresh.refresh_core_table(core, facts, rates)
+    facts.append(v["financial_facts"].where("fiscal_year = 1997"))
+    late, some = [v["financial_facts"].where("fiscal_year = 1998")], refresh._refresh_some
+
+    def overtaken(*args):
+        if late:
+            facts.append(late.pop())
+            refresh.refresh_core_table(core, facts, rates)
+        return some(*args)
+
+    monkeypatch.setattr(refresh, "_refresh_some", overtaken)
+    refresh.refresh_core_table(core, facts, rates)
+    equals_full_build(core, facts, rates)
