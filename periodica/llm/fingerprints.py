@@ -9,8 +9,10 @@ The vector has two parts. Eight lanes modulo 2**32 are the paragraph's SHA-256:
 tell multisets of paragraphs apart. ``2 * HALF`` lanes modulo 2**32 add up, over the
 distinct features of the paragraph, one bit of the feature's hash each, next to a lane
 that counts the features. Features are the pairs of words that begin at every word, the
-last word standing alone, with one space between them; a paragraph of fewer than
-``SHORT`` words has its runs of three characters as well. Centred at their mean those lanes are
+last word standing alone, with one space between them. A paragraph of up to
+``FEW`` words has its runs of three characters as well, one of more words a sixteenth
+fewer of them for every further word (those whose hash says so, so that texts with
+about as many words keep the same ones). Centred at their mean those lanes are
 a random projection of the features' multiset, so the cosine of two fingerprints
 estimates that of the texts: halves in common give about a half, unrelated texts
 about nothing.
@@ -32,8 +34,8 @@ from periodica.llm.common import text_of
 
 #: Longs that hold two likeness lanes each.
 HALF = 64
-#: Words below which a paragraph's runs of three characters count as well.
-SHORT = 16
+#: Words up to which all of a paragraph's runs of three characters count; with 16 more words none does.
+FEW = 8
 #: White space other than a single space between words.
 _WIDE = r"\s{2,}|[\t\x0B\f\r]"
 #: A word; the first group is the word with its successor.
@@ -52,7 +54,10 @@ def _paragraphs(text: Column) -> Column:
 def _features(paragraph: Column, pairs: Column) -> Column:
     """The distinct features of a paragraph with the given word pairs, never none."""
     runs = F.regexp_extract_all(paragraph, F.lit(_RUN), F.lit(1))
-    found = F.when(F.size(pairs) >= SHORT, pairs).when(F.size(pairs) > 0, F.concat(pairs, runs))
+    more = F.size(pairs) - FEW
+    # Not by the hash whose bits are added up.
+    some = F.filter(runs, lambda run: F.pmod(F.crc32(run.cast("binary")), F.lit(16)) >= more)
+    found = F.when(more >= 16, pairs).when(F.size(pairs) > 0, F.concat(pairs, some))
     return F.array_distinct(found.otherwise(F.array(paragraph)))
 
 

@@ -4,9 +4,11 @@ import base64
 import hashlib
 import random
 import re
+import zlib
 
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from periodica.llm import fingerprints, line_dedup, secrets, token_counts, warc
@@ -240,6 +242,58 @@ def test_fingerprint_likeness_of_shifted_short_and_unspaced_texts(spark):
     assert all(set(r.own) == {"0"} for r in got if r.c in ("empty", "null"))
 
 
+def plain_lanes(text):
+    """The summed lanes of a text, feature by feature."""
+    out = dict.fromkeys(fingerprints._NAMES, 0)
+    for line in filter(None, (text or "").split("\n")):
+        digest = hashlib.sha256(line.encode()).hexdigest()
+        for i in range(8):
+            out[f"e{i}"] += int(digest[8 * i : 8 * i + 8], 16)
+        line = re.sub(r"\s{2,}|[\t\x0B\f\r]", " ", line, flags=re.ASCII)
+        words = re.findall(r"\S+", line, flags=re.ASCII)
+        found = {" ".join(words[i : i + 2]) for i in range(len(words))} or {line}
+        if words:
+            runs = {line[i : i + 3] for i in range(len(line) - 2)}
+            found |= {r for r in runs if zlib.crc32(r.encode()) % 16 >= len(words) - 8}
+        out["features"] += len(found)
+        for feature in found:
+            h = xxhash.xxh64_intdigest(feature.encode(), 42)
+            h2 = xxhash.xxh64_intdigest(h.to_bytes(8, "little"), 42)
+            for i in range(64):
+                out[f"s{i}"] += ((h if i < 32 else h2) >> i % 32) & 0x0000000100000001
+    return out
+
+
+def test_fingerprint_lanes_equal_a_plain_version(spark):
+    rng = random.Random(3)
+    values = texts() + [" ".join(f"w{rng.randrange(999)}" for _ in range(n)) for n in range(5, 30)] + ["  lead\tand trail  ", "   "]
+    docs = spark.createDataFrame(list(enumerate(values)), "id long, text string")
+    for row in fingerprints.fingerprint_lanes(docs, ["id"], "text").collect():
+        assert {n: row[n] for n in fingerprints._NAMES} == plain_lanes(values[row.id]), values[row.id]
+
+
+def test_likeness_has_no_step_in_the_number_of_words(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 8)))
+    rows = []
+    for n in range(6, 34):
+        for _ in range(5):
+            words = [word() for _ in range(n)]
+            at = rng.randrange(n - 1)
+            rows.append((n, " ".join(words), " ".join(words[:at] + words[at + 2 :])))
+    both = spark.createDataFrame([(i, side, row[1 + side]) for i, row in enumerate(rows) for side in (0, 1)], "c int, side int, text string")
+    lanes = fingerprints.fingerprint_lanes(both, ["c", "side"], "text").withColumn("lanes", F.struct(*fingerprints._NAMES))
+    got = lanes.groupBy("c").pivot("side", [0, 1]).agg(F.first("lanes")).select(
+        "c", fingerprints.likeness(F.col("0"), F.col("1")).alias("like")).collect()
+    by_length = {}
+    for r in got:
+        by_length.setdefault(rows[r.c][0], []).append(r.like)
+    means = {n: sum(v) / len(v) for n, v in sorted(by_length.items())}
+    # Two words dropped leave about the same likeness on both sides of every length.
+    assert min(means.values()) > 0.55 and all(abs(means[n] - means[n + 1]) < 0.2 for n in list(means)[:-1]), means
+    assert min(v for n, m in by_length.items() if n >= 14 for v in m) > 0.6, by_length
+
+
 def test_fingerprints_add_and_remove(spark):
     docs = spark.createDataFrame(
         [(1, "one line here\nanother line\nthird"), (2, "third\none line here\nanother line"), (3, "one line here"), (4, "third\nanother line")],
