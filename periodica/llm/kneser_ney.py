@@ -1,18 +1,25 @@
-"""Interpolated modified Kneser-Ney language model of order two.
+"""Interpolated modified Kneser-Ney language model of order three.
 
 Counting runs in Spark: tasks fold the tokens they read to sorted arrays of distinct
 keys, the arrays are shuffled in pieces by a hash of the key, and each bucket merges
 its pieces. What a bucket keeps is written once, to the shared folder, as sorted
-arrays without a header, which scoring workers map into memory: the sorted word
-hashes with counts, continuation counts and context statistics in the same order
-(the place of a word is its id), and the sorted (context id, word id) keys with
-counts. No array passes through the driver; it sees sums per bucket only. A worker
-opens the arrays that its texts need and holds a bounded number of them. Counts of
-words have 64 bits; a count of a pair beyond 32 bits is refused, not wrapped.
+arrays, which scoring workers map into memory:
 
-Buckets are dealt by hashes, so a word that makes up a third of all tokens is spread
-over all buckets with its successors, and is one entry per task. Order two keeps the
-model near the size of the text; every token of every training text counts.
+* ``words``, ``counts``, ``stats``: the sorted word hashes (the place of a word is its
+  id), their counts, and what is known of each word as a context and as a continuation.
+* ``contexts``: the sorted keys (word id, word id) of all pairs, for each the sorted ids
+  of the words that follow it with their counts, and its sums.
+* ``pairs``: in the order of those keys, how many words each pair follows.
+
+A count takes one byte, and those of 255 or more are listed beside with 64 bits, so no
+count wraps. No array passes through the driver; it sees sums per bucket only. A worker
+opens the arrays that its texts need and holds a bounded number of them.
+
+Buckets are dealt by hashes of the two words before, so a word that makes up a third of
+all tokens is spread with its contexts, and a pair that does is one entry per task and
+following word. Pairs at the begin of a text have no word before; as is usual their own
+counts take the place of the number of words they follow. Every token of every training
+text counts.
 
 A null text is empty, and an empty text is its end token alone. Rows that repeat an
 id count each time. Without training rows every probability is one. An empty table
@@ -42,7 +49,7 @@ from periodica.llm.common import crc_remainder_column, new_folder, space_words,
 #: Hash of the end token, which holds white space and so is no word.
 END = xxhash.xxh3_64_intdigest(b" ")
 #: Training tokens per bucket, and distinct keys a task holds before it gives them out.
-BUCKET_TOKENS, HELD = 3_000_000, 6_000_000
+BUCKET_TOKENS, HELD = 3_000_000, 3_000_000
 #: Documents scored together.
 SCORED = 1000
 #: Arrays of a model that a worker holds open, or has read where they cannot be mapped.
@@ -50,18 +57,23 @@ OPEN, READ = 256, 16
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _PIECE = "bucket long, keys binary, values binary"
+_TRIPLES = "bucket long, keys binary, runs binary, words binary, values binary"
+#: Numbers of a word: followers seen once, twice, more often, their sum; words it follows.
+_STATS = 5
 
 
 # -- arrays in the shared folder -----------------------------------------------------
 
 
-def _write(path: str, array: np.ndarray) -> None:
-    """The array's bytes, under a name of its own first, so that a retried task does no harm."""
+def _write(path: str, *arrays: np.ndarray) -> None:
+    """The arrays' bytes, under a name of its own first, so that a retried task does no harm."""
     system, place = fs.FileSystem.from_uri(path)
     system.create_dir(place.rsplit("/", 1)[0], recursive=True)
     part = f"{place}.{uuid.uuid4().hex}"
     with system.open_output_stream(part) as out:
-        out.write(memoryview(np.ascontiguousarray(array)).cast("B"))
+        for array in arrays:
+            if array.size:
+                out.write(memoryview(np.ascontiguousarray(array)).cast("B"))
     system.move(part, place)
 
 
@@ -97,10 +109,46 @@ class _Arrays:
         return found
 
 
+def _write_parts(path: str, parts: list[np.ndarray]) -> None:
+    """Several arrays in one file: their number, their sizes, and each from a multiple of 8 bytes on."""
+    head = np.asarray([len(parts), *(a.nbytes for a in parts)], "<u8")
+    filled = ((a, np.zeros(-a.nbytes % 8, np.uint8)) for a in parts)
+    _write(path, head, *itertools.chain.from_iterable(filled))
+
+
+def _parts(raw: np.ndarray, kinds: list[str]) -> list[np.ndarray]:
+    """Views of the arrays in a file; empty ones of an empty file."""
+    if not len(raw):
+        return [np.zeros(0, kind) for kind in kinds]
+    raw = np.asarray(raw)
+    sizes = raw[8 : 8 + 8 * len(kinds)].view("<u8").astype(np.int64)
+    ends = 8 + 8 * len(kinds) + np.cumsum(sizes + -sizes % 8)
+    starts = ends - (sizes + -sizes % 8)
+    return [raw[a : a + n].view(kind) for a, n, kind in zip(starts, sizes, kinds, strict=True)]
+
+
+_SMALL = ["u1", "<u4", "<u8"]
+_CONTEXTS = ["<u8", "<u4", "<u4", *_SMALL * 4]
+
+
+def _small(values: np.ndarray) -> list[np.ndarray]:
+    """Counts as bytes; places and values of those that do not fit."""
+    large = np.flatnonzero(values >= 255)
+    return [np.minimum(values, 255).astype("u1"), _narrow(large, "<u4"), values[large].astype("<u8")]
+
+
+def _small_at(parts: list[np.ndarray], at: np.ndarray) -> np.ndarray:
+    small, places, values = parts
+    out = small[at].astype(np.int64)
+    large = np.flatnonzero(out == 255)
+    out[large] = values[np.searchsorted(places, at[large])]
+    return out
+
+
 def _narrow(array: np.ndarray, kind: str) -> np.ndarray:
     """The array in a smaller type, refused where a number does not fit."""
     if len(array) and array.max() > np.iinfo(kind).max:
-        raise OverflowError(f"a count of {array.max()} does not fit {np.dtype(kind).name}")
+        raise OverflowError(f"{array.max()} does not fit {np.dtype(kind).name}")
     return array.astype(kind)
 
 
@@ -115,7 +163,7 @@ def _absent(path: str, buckets: int) -> list[int]:
 def _pack(array: np.ndarray) -> bytes:
     """Bytes of equal weight side by side, compressed: small numbers take little room."""
     planes = np.ascontiguousarray(array.view(np.uint8).reshape(len(array), array.itemsize).T)
-    return zstandard.ZstdCompressor(level=1).compress(memoryview(planes).cast("B"))
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def _unpack(data: bytes, kind) -> np.ndarray:
@@ -160,20 +208,62 @@ def _pieces(keys: np.ndarray, values: np.ndarray, bucket: np.ndarray) -> Iterato
     order = np.argsort(bucket, kind="stable")
     keys, values, bucket = keys[order], values[order], bucket[order]
     cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(keys) else []
-    rows = [(int(bucket[a]), _pack_keys(keys[a:b]), _pack(values[a:b].ravel()))
-            for a, b in itertools.pairwise([*cuts, len(keys)])]
-    for row in rows:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([row[0]], pa.int64()), pa.array([row[1]], pa.binary()), pa.array([row[2]], pa.binary())],
-            names=["bucket", "keys", "values"])
+    for a, b in itertools.pairwise([*cuts, len(keys)]):
+        yield _piece(bucket[a], keys=_pack_keys(keys[a:b]), values=_pack(values[a:b].astype("<u8").ravel()))
+
+
+def _piece(bucket: int, **columns: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(
+        {"bucket": pa.array([int(bucket)], pa.int64()), **{k: pa.array([v], pa.binary()) for k, v in columns.items()}})
+
+
+def _frame(pieces: list[pa.RecordBatch]) -> pd.DataFrame:
+    return pd.concat([p.to_pandas() for p in pieces], ignore_index=True)
 
 
 def _merge(pdf: pd.DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     keys = [_unpack_keys(k) for k in pdf["keys"]]
-    values = [_unpack(v, np.uint32).reshape(-1, width).astype(np.int64) for v in pdf["values"]]
+    values = [_unpack(v, np.uint64).reshape(-1, width).astype(np.int64) for v in pdf["values"]]
     return _fold(keys, values)
 
 
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    """Where a run of equal values begins."""
+    return np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.zeros(0, np.int64)
+
+
+def _fold_triples(pairs: list[np.ndarray], words: list[np.ndarray], counts: list[np.ndarray]):
+    """Distinct (pair, word) in order, and the sums of their counts."""
+    pair, word, count = np.concatenate(pairs), np.concatenate(words), np.concatenate(counts)
+    order = np.argsort(pair, kind="stable")
+    pair = pair[order]
+    rank = np.zeros(len(pair), np.uint64)
+    rank[_starts(pair)[1:]] = 1
+    # The place of the pair and the word together fit 64 bits, and runs of a pair stay in place.
+    key = np.cumsum(rank, dtype=np.uint64) << np.uint64(32) | word[order].astype(np.uint64)
+    inner = np.argsort(key, kind="stable")
+    key = key[inner]
+    first = _starts(key)
+    return pair[first], key[first].astype(np.uint32), np.add.reduceat(count[order][inner], first) if len(first) else count
+
+
+def _triple_pieces(pair: np.ndarray, word: np.ndarray, count: np.ndarray, bucket: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One row per bucket: its pairs, how many words follow each, these words, and the counts."""
+    order = np.argsort(bucket, kind="stable")
+    pair, word, count, bucket = pair[order], word[order], count[order], bucket[order]
+    for a, b in itertools.pairwise([*_starts(bucket), len(bucket)]):
+        first = _starts(pair[a:b])
+        yield _piece(
+            bucket[a], keys=_pack_keys(pair[a:b][first]), runs=_pack(np.diff(first, append=b - a).astype("<u4")),
+            words=_pack(word[a:b]), values=_pack(count[a:b].astype("<u8")))
+
+
+def _merge_triples(pdf: pd.DataFrame):
+    pairs = [np.repeat(_unpack_keys(k), _unpack(r, np.uint32)) for k, r in zip(pdf["keys"], pdf["runs"], strict=True)]
+    return _fold_triples(
+        pairs, [_unpack(w, np.uint32) for w in pdf["words"]], [_unpack(v, np.uint64).astype(np.int64) for v in pdf["values"]])
+
+
 # -- tokens --------------------------------------------------------------------------
 
 
@@ -193,6 +283,15 @@ def _slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa
             yield part, part.column(column).to_pylist()
 
 
+def _history(ids: np.ndarray, starts: np.ndarray, begin: int) -> tuple[np.ndarray, np.ndarray]:
+    """The word before the one before, and the one before, of each token; ``begin`` where a text has none."""
+    one = np.concatenate((ids[:1], ids[:-1]))
+    one[starts] = begin
+    two = np.concatenate((one[:1], one[:-1]))
+    two[starts] = begin
+    return two, one
+
+
 class _Held:
     """Distinct keys with counts, folded now and then and given out when they are many."""
 
@@ -217,10 +316,35 @@ class _Held:
         if self.keys:
             self.fold()
             keys, counts = self.keys[0], self.counts[0]
-            yield from _pieces(keys, _narrow(counts, "<u4"), self.bucket(keys))
+            yield from _pieces(keys, counts, self.bucket(keys))
         self.keys, self.counts, self.size, self.folded = [], [], 0, 0
 
 
+class _HeldTriples:
+    """The same for triples."""
+
+    def __init__(self, buckets: int):
+        self.buckets, self.held, self.size, self.folded = buckets, [], 0, 0
+
+    def add(self, pairs: np.ndarray, words: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append(_fold_triples([pairs], [words], [np.ones(len(pairs), np.int64)]))
+        self.size += len(self.held[-1][0])
+        if self.size > max(HELD // 4, 2 * self.folded):
+            self.fold()
+        if self.folded > HELD:
+            yield from self.flush()
+
+    def fold(self) -> None:
+        self.held = [_fold_triples(*zip(*self.held, strict=True))]
+        self.size = self.folded = len(self.held[0][0])
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if self.held:
+            self.fold()
+            yield from _triple_pieces(*self.held[0], _spread(self.held[0][0], self.buckets))
+        self.held, self.size, self.folded = [], 0, 0
+
+
 # -- the stored model ----------------------------------------------------------------
 
 
@@ -249,10 +373,11 @@ class Model:
     bases: list[int]
     train_tokens: int
     train_docs: int
+    triple_discounts: list[float]
     pair_discounts: list[float]
     word_discounts: list[float]
     pair_types: int
-    begin: tuple[int, int, int]
+    begin: tuple[int, int, int, int]
     unseen_mass: float
 
     @property
@@ -294,64 +419,94 @@ class _Scorer:
         self.words = _Words(self.arrays, model.word_buckets, model.bases)
 
     def of_words(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Counts, and (N1, N2, N3+, continuations), of known ids."""
+        """Counts and the numbers of ``_STATS``, of known ids."""
         distinct, back = np.unique(ids, return_inverse=True)
-        counts, stats = np.zeros(len(distinct), np.int64), np.zeros((len(distinct), 4), np.int64)
+        counts, stats = np.zeros(len(distinct), np.int64), np.zeros((len(distinct), _STATS), np.int64)
         bucket = np.searchsorted(np.asarray(self.m.bases), distinct, side="right") - 1
         for b, low, high in _runs(bucket):
             at = distinct[low:high] - self.m.bases[b]
             counts[low:high] = self.arrays.get("counts", b, "<u8")[at]
-            stats[low:high] = self.arrays.get("stats", b, "<u4").reshape(-1, 4)[at]
+            stats[low:high] = self.arrays.get("stats", b, "<u8").reshape(-1, _STATS)[at]
         return counts[back], stats[back]
 
-    def of_pairs(self, keys: np.ndarray) -> np.ndarray:
-        distinct, back = np.unique(keys, return_inverse=True)
-        bucket = _spread(distinct, self.m.pair_buckets)
+    def _found(self, keys: np.ndarray) -> Iterator[tuple[int, list[np.ndarray], np.ndarray, np.ndarray]]:
+        """By bucket: its contexts, which of the asked keys are there, and their places."""
+        bucket = _spread(keys, self.m.pair_buckets)
         order = np.argsort(bucket, kind="stable")
-        out = np.zeros(len(distinct), np.int64)
         for b, low, high in _runs(bucket[order]):
-            known = self.arrays.get("pairs", b, "<u8")
+            parts = _parts(self.arrays.get("contexts", b, "u1"), _CONTEXTS)
+            known, mine = parts[0], order[low:high]
             if len(known):
-                counts = self.arrays.get("pair-counts", b, "<u4")
-                mine = order[low:high]
-                at = np.minimum(np.searchsorted(known, distinct[mine]), len(known) - 1)
-                out[mine] = np.where(known[at] == distinct[mine], counts[at], 0)
+                at = np.minimum(np.searchsorted(known, keys[mine]), len(known) - 1)
+                there = known[at] == keys[mine]
+                yield b, parts, mine[there], at[there]
+
+    def of_pairs(self, keys: np.ndarray) -> np.ndarray:
+        """How many words each pair follows; at the begin of a text, how often it occurs."""
+        distinct, back = np.unique(keys, return_inverse=True)
+        out = np.zeros(len(distinct), np.int64)
+        for b, _, mine, at in self._found(distinct):
+            out[mine] = _small_at(_parts(self.arrays.get("pairs", b, "u1"), _SMALL), at)
         return out[back]
 
+    def of_triples(self, keys: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The count of each word after its pair; the pair's (N1, N2, N3+, sum)."""
+        counts, stats = np.zeros(len(keys), np.int64), np.zeros((len(keys), 4), np.int64)
+        for _, parts, mine, at in self._found(keys):
+            starts, following = parts[1], parts[2]
+            low, end, wanted = starts[at].astype(np.int64), starts[at + 1].astype(np.int64), words[mine]
+            stats[mine, 0], stats[mine, 1] = _small_at(parts[9:12], at), _small_at(parts[12:15], at)
+            stats[mine, 2] = end - low - stats[mine, 0] - stats[mine, 1]
+            stats[mine, 3] = _small_at(parts[6:9], at)
+            high = end.copy()
+            while (open_ := low < high).any():
+                middle = (low + high) // 2
+                less = following[np.minimum(middle, len(following) - 1)] < wanted
+                low, high = np.where(open_ & less, middle + 1, low), np.where(open_ & ~less, middle, high)
+            there = low < end
+            there[there] = following[low[there]] == wanted[there]
+            counts[mine[there]] = _small_at(parts[3:6], low[there])
+        return counts, stats
+
     def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Token and known-token numbers, base score and score of each text."""
         m, (hashes, starts) = self.m, _tokens(texts)
-        ids = self.words.ids(hashes)
+        ids, size = self.words.ids(hashes), np.uint64(m.vocabulary + 1)
         known = ids >= 0
-        counts, stats = np.zeros(len(ids), np.int64), np.zeros((len(ids), 4), np.int64)
+        counts, stats = np.zeros(len(ids), np.int64), np.zeros((len(ids), _STATS), np.int64)
         if known.any():
             counts[known], stats[known] = self.of_words(ids[known])
         base = np.log10((counts + 0.1) / (m.train_tokens + 0.1 * (m.vocabulary + 1)))
 
-        low = np.asarray([0.0, *m.word_discounts])[np.minimum(stats[:, 3], 3)]
+        low = np.asarray([0.0, *m.word_discounts])[np.minimum(stats[:, 4], 3)]
         floor = m.unseen_mass / (m.vocabulary + 1)
-        probability = np.maximum(stats[:, 3] - low, 0.0) / max(m.pair_types, 1) + floor
-
-        before = np.concatenate(([0], ids[:-1])) if len(ids) else ids
-        context_count = np.concatenate(([0], counts[:-1]))
-        context_stats = np.concatenate((np.zeros((1, 4), np.int64), stats[:-1]))
-        before[starts], context_count[starts] = m.vocabulary, m.train_docs
-        context_stats[starts, :3] = m.begin
-        seen = (before >= 0) & (context_count > 0)
+        probability = np.maximum(stats[:, 4] - low, 0.0) / max(m.pair_types, 1) + floor
+
+        two, one = _history(ids, starts, m.vocabulary)
+        context = np.concatenate((np.zeros((1, 4), np.int64), stats[:-1, :4]))
+        context[starts] = m.begin
         pair = np.zeros(len(ids), np.int64)
-        both = seen & known
+        both = (one >= 0) & known
+        if both.any():
+            pair[both] = self.of_pairs(one[both].astype(np.uint64) * size + ids[both].astype(np.uint64))
+        probability = _interpolated(pair, context, m.pair_discounts, probability)
+
+        triple, context = np.zeros(len(ids), np.int64), np.zeros((len(ids), 4), np.int64)
+        both = (one >= 0) & (two >= 0)
         if both.any():
-            pair[both] = self.of_pairs(before[both].astype(np.uint64) * np.uint64(m.vocabulary + 1) + ids[both].astype(np.uint64))
-        discount = np.asarray([0.0, *m.pair_discounts])
-        total = np.maximum(context_count, 1)
-        own = np.maximum(pair - discount[np.minimum(pair, 3)], 0.0) / total
-        left = context_stats[:, :3] @ discount[1:] / total
-        probability = np.where(seen, own + left * probability, probability)
-        logs = np.log10(probability)
+            triple[both], context[both] = self.of_triples(two[both].astype(np.uint64) * size + one[both].astype(np.uint64), ids[both])
+        logs = np.log10(_interpolated(triple, context, m.triple_discounts, probability))
         sums = [np.add.reduceat(x, starts) for x in (np.ones(len(ids), np.int64), known.astype(np.int64), base, logs)]
         return tuple(sums)
 
 
+def _interpolated(counts: np.ndarray, context: np.ndarray, discounts: list[float], lower: np.ndarray) -> np.ndarray:
+    """The probability in contexts (N1, N2, N3+, sum); the lower order's where a context is unseen."""
+    discount, total = np.asarray([0.0, *discounts]), np.maximum(context[:, 3], 1)
+    own = np.maximum(counts - discount[np.minimum(counts, 3)], 0.0) / total
+    return np.where(context[:, 3] > 0, own + context[:, :3] @ discount[1:] / total * lower, lower)
+
+
 _SCORERS: dict = {}
 
 
@@ -380,15 +535,20 @@ def _merge_words(pdf: pd.DataFrame, folder: str) -> pd.DataFrame:
     return pd.DataFrame({"bucket": [bucket], "types": [len(keys)], "tokens": [int(counts.sum())]})
 
 
-def _count_pairs(batches, folder: str, word_buckets: int, bases: list[int], buckets: int):
-    words, size = _Words(_Arrays(folder), word_buckets, bases), np.uint64(bases[-1] + 1)
-    held = _Held(partial(_spread, buckets=buckets))
+def _count_triples(batches, folder: str, word_buckets: int, bases: list[int], buckets: int):
+    words, begin = _Words(_Arrays(folder), word_buckets, bases), bases[-1]
+    held, size = _HeldTriples(buckets), np.uint64(begin + 1)
     for _, texts in _slices(batches, 0):
         hashes, starts = _tokens(texts)
+        if not len(hashes):
+            continue
         ids = words.ids(hashes).astype(np.uint64)
-        before = np.concatenate((ids[:1], ids[:-1]))
-        before[starts] = bases[-1]
-        yield from held.add(before * size + ids)
+        two, one = _history(ids, starts, begin)
+        # The last pair of a text is followed by its begin, so that every pair is a context.
+        last = np.append(starts[1:], len(ids)) - 1
+        yield from held.add(
+            np.concatenate((two * size + one, one[last] * size + ids[last])),
+            np.concatenate((ids, np.full(len(last), begin, np.uint64))).astype(np.uint32))
     yield from held.flush()
 
 
@@ -397,23 +557,46 @@ def _bucket_of_id(ids: np.ndarray, bases: np.ndarray) -> np.ndarray:
     return np.searchsorted(bases, ids.astype(np.int64), side="right") - 1
 
 
+def _merge_triples_of(pdf: pd.DataFrame, folder: str, begin: int, buckets: int) -> pd.DataFrame:
+    """Keep the contexts of a bucket; give out its last two words: how many words they follow."""
+    bucket, size = int(pdf["bucket"].iloc[0]), np.uint64(begin + 1)
+    pair, word, count = _merge_triples(pdf)
+    first = _starts(pair)
+    sums = [np.add.reduceat(x, first) for x in (count, (count == 1).astype(np.int64), (count == 2).astype(np.int64))]
+    _write_parts(f"{folder}/contexts/{bucket}", [
+        pair[first].astype("<u8"), _narrow(np.append(first, len(pair)), "<u4"), word.astype("<u4"),
+        *itertools.chain.from_iterable(map(_small, (count, *sums)))])
+    real = word != begin
+    pair, word, count = pair[real], word[real].astype(np.uint64), count[real]
+    middle = pair % size
+    lower, follows = _fold([middle * size + word], [np.where(middle == begin, count, 1)])
+    # The numbers of triples by count ride along, in a bucket before the first. The own
+    # bucket is named in any case: its pairs have to be written.
+    out = [_sums_piece(-2, count), *_pieces(lower, follows, _spread(lower, buckets))]
+    out.append(_piece(bucket, keys=_pack_keys(lower[:0]), values=_pack(follows[:0].astype("<u8"))))
+    return _frame(out)
+
+
+def _sums_piece(bucket: int, counts: np.ndarray) -> pa.RecordBatch:
+    return _piece(bucket, keys=_pack_keys(np.arange(5, dtype=np.uint64)), values=_pack(np.asarray(_count_counts(counts), "<u8")))
+
+
 def _merge_pairs(pdf: pd.DataFrame, folder: str, bases: list[int]) -> pd.DataFrame:
-    """Keep the pairs of a bucket; give out what it adds to its words: (N1, N2, N3+, continuations)."""
+    """Keep what the pairs of a bucket follow; give out what this adds to their words (``_STATS``)."""
     bucket, size = int(pdf["bucket"].iloc[0]), np.uint64(bases[-1] + 1)
     keys, counts = _merge(pdf, 1)
     counts = counts.ravel()
-    _write(f"{folder}/pairs/{bucket}", keys.astype("<u8"))
-    _write(f"{folder}/pair-counts/{bucket}", _narrow(counts, "<u4"))
-    first = np.stack([counts == 1, counts == 2, counts >= 3, np.zeros(len(counts), bool)], axis=1).astype(np.int64)
-    second = np.zeros((len(counts), 4), np.int64)
-    second[:, 3] = 1
+    if bucket < 0:
+        return _frame([_piece(bucket, keys=_pack_keys(keys), values=_pack(counts.astype("<u8")))])
+    known = _parts(_Arrays(folder).get("contexts", bucket, "u1"), _CONTEXTS)[0]
+    follows = np.zeros(len(known), np.int64)
+    follows[np.searchsorted(known, keys)] = counts
+    _write_parts(f"{folder}/pairs/{bucket}", _small(follows))
+    zero = np.zeros(len(counts), np.int64)
+    first = np.stack([counts == 1, counts == 2, counts >= 3, counts, zero], axis=1).astype(np.int64)
+    second = np.stack([zero, zero, zero, zero, zero + 1], axis=1)
     ids, stats = _fold([keys // size, keys % size], [first, second])
-    found = [b.to_pydict() for b in _pieces(ids, _narrow(stats, "<u4"), _bucket_of_id(ids, np.asarray(bases)))]
-    out = pd.DataFrame({k: [f[k][0] for f in found] for k in ("bucket", "keys", "values")})
-    # The numbers of pairs by count ride along, in a bucket before the first.
-    sums = pd.DataFrame({"bucket": [-1], "keys": [_pack_keys(np.arange(5, dtype=np.uint64))],
-                         "values": [_pack(_narrow(np.asarray(_count_counts(counts)), "<u4"))]})
-    return pd.concat([sums, out], ignore_index=True)
+    return _frame([_sums_piece(-1, counts), *_pieces(ids, stats, _bucket_of_id(ids, np.asarray(bases)))])
 
 
 def _merge_stats(pdf: pd.DataFrame, folder: str, bases: list[int]) -> pd.DataFrame:
@@ -422,19 +605,19 @@ def _merge_stats(pdf: pd.DataFrame, folder: str, bases: list[int]) -> pd.DataFra
     if bucket < 0:
         keys, sums = _merge(pdf, 1)
         return pd.DataFrame({"bucket": [bucket], "sums": [sums.ravel().tolist()]})
-    ids, stats = _merge(pdf, 4)
+    ids, stats = _merge(pdf, _STATS)
     if bucket == len(bases) - 1:
         return pd.DataFrame({"bucket": [bucket], "sums": [stats[0].tolist()]})
-    dense = np.zeros((bases[bucket + 1] - bases[bucket], 4), "<u4")
-    dense[ids.astype(np.int64) - bases[bucket]] = _narrow(stats, "<u4")
+    dense = np.zeros((bases[bucket + 1] - bases[bucket], _STATS), "<u8")
+    dense[ids.astype(np.int64) - bases[bucket]] = stats
     _write(f"{folder}/stats/{bucket}", dense)
-    return pd.DataFrame({"bucket": [bucket], "sums": [[*_count_counts(dense[:, 3]), int(dense[:, 3].sum())]]})
+    return pd.DataFrame({"bucket": [bucket], "sums": [[*_count_counts(dense[:, 4]), int(dense[:, 4].sum())]]})
 
 
 def train(docs: DataFrame, text: str = "text") -> Model:
     """A model of all texts of ``docs``.
 
-    The texts are read twice, for words and for pairs. The driver receives one row of
+    The texts are read twice, for words and for triples. The driver receives one row of
     sums per bucket.
     """
     spark = docs.sparkSession
@@ -454,7 +637,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     )
     types = {r["bucket"]: r["types"] for r in words}
     for missing in set(range(buckets)) - set(types):
-        for name, kind in (("words", "<u8"), ("counts", "<u8"), ("stats", "<u4")):
+        for name, kind in (("words", "<u8"), ("counts", "<u8"), ("stats", "<u8")):
             _write(f"{folder}/{name}/{missing}", np.zeros(0, kind))
     if sum(types.values()) + 1 >= 1 << 32:
         raise OverflowError("pairs of so many distinct words do not fit 64 bits")
@@ -463,17 +646,18 @@ def train(docs: DataFrame, text: str = "text") -> Model:
 
     sums = (
         texts.mapInArrow(
-            partial(_count_pairs, folder=folder, word_buckets=buckets, bases=bases, buckets=buckets), _PIECE)
+            partial(_count_triples, folder=folder, word_buckets=buckets, bases=bases, buckets=buckets), _TRIPLES)
+        .groupBy("bucket").applyInPandas(lambda pdf: _merge_triples_of(pdf, folder, bases[-1], buckets), _PIECE)
         .groupBy("bucket").applyInPandas(lambda pdf: _merge_pairs(pdf, folder, bases), _PIECE)
         .groupBy("bucket")
         .applyInPandas(lambda pdf: _merge_stats(pdf, folder, bases), "bucket long, sums array<long>").collect()
     )
-    for empty in _absent(f"{folder}/pairs", buckets):
-        _write(f"{folder}/pairs/{empty}", np.zeros(0, "<u8"))
-        _write(f"{folder}/pair-counts/{empty}", np.zeros(0, "<u4"))
+    for name in ("contexts", "pairs"):
+        for empty in _absent(f"{folder}/{name}", buckets):
+            _write(f"{folder}/{name}/{empty}")
     by_bucket = {r["bucket"]: r["sums"] for r in sums}
-    pair_counts = by_bucket.pop(-1, [0] * 5)
-    begin = by_bucket.pop(buckets, [0] * 4)
+    triple_counts, pair_counts = by_bucket.pop(-2, [0] * 5), by_bucket.pop(-1, [0] * 5)
+    begin = by_bucket.pop(buckets, [0] * _STATS)
     for empty in range(buckets):
         if not types.get(empty):
             by_bucket.pop(empty, None)
@@ -481,8 +665,8 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     word_discounts = _discounts(totals[:4])
     mass = sum(d * n for d, n in zip(word_discounts, (totals[0], totals[1], totals[4]), strict=True))
     return Model(
-        folder, buckets, buckets, bases, tokens, int(sizes[0]), _discounts(pair_counts[:4]), word_discounts, totals[5],
-        tuple(begin[:3]), mass / totals[5] if totals[5] else 1.0,
+        folder, buckets, buckets, bases, tokens, int(sizes[0]), _discounts(triple_counts[:4]), _discounts(pair_counts[:4]),
+        word_discounts, totals[5], tuple(begin[:4]), mass / totals[5] if totals[5] else 1.0,
     )
 
 

@@ -20,31 +20,42 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def plain_model(train):
-    counts, pairs = collections.Counter(), collections.Counter()
+    counts, triples = collections.Counter(), collections.Counter()
     for text in train:
         tokens = [*plain_words(text), "end"]
         counts.update(tokens)
-        pairs.update(zip(["begin", *tokens], tokens, strict=False))
-    follow, context, kinds = collections.Counter(w for _, w in pairs), collections.Counter(), collections.defaultdict(lambda: [0] * 4)
-    for (u, _), n in pairs.items():
-        context[u] += n
-        kinds[u][min(n, 3)] += 1
+        padded = ["begin", "begin", *tokens]
+        triples.update(zip(padded, padded[1:], tokens, strict=False))
+    pairs = collections.Counter()
+    for (_, v, w), n in triples.items():
+        pairs[v, w] += n if v == "begin" else 1
+    follow = collections.Counter(w for _, w in pairs)
+
+    def contexts(table):
+        sums, kinds = collections.Counter(), collections.defaultdict(lambda: [0] * 4)
+        for key, n in table.items():
+            sums[key[:-1]] += n
+            kinds[key[:-1]][min(n, 3)] += 1
+        return sums, kinds
 
     def discounts(values):
         n = [sum(v == k for v in values) for k in (1, 2, 3, 4)]
-        y = n[0] / (n[0] + 2 * n[1])
-        return [0] + [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0), k) if n[k - 1] else 0.5 for k in (1, 2, 3)]
+        y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0
+        return [0] + [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0), k) if n[k - 1] and n[0] else 0.5 for k in (1, 2, 3)]
 
-    high, low = discounts(pairs.values()), discounts(follow.values())
+    orders = [(t, *contexts(t), discounts(t.values())) for t in (pairs, triples)]
+    low = discounts(follow.values())
     total, types = len(pairs), len(counts)
     mass = sum(low[min(v, 3)] for v in follow.values()) / total
 
-    def probability(u, w):
-        lower = max(follow[w] - low[min(follow[w], 3)], 0) / total + mass / (types + 1)
-        if not context[u]:
-            return lower
-        n = pairs[u, w]
-        return max(n - high[min(n, 3)], 0) / context[u] + sum(high[k] * kinds[u][k] for k in (1, 2, 3)) / context[u] * lower
+    def probability(u, v, w):
+        p = max(follow[w] - low[min(follow[w], 3)], 0) / total + mass / (types + 1)
+        for context, (table, sums, kinds, cut) in zip(((v,), (u, v)), orders, strict=True):
+            if sums[context]:
+                n = table[*context, w]
+                kept = sum(cut[k] * kinds[context][k] for k in (1, 2, 3)) / sums[context]
+                p = max(n - cut[min(n, 3)], 0) / sums[context] + kept * p
+        return p
 
     return counts, probability
 
@@ -63,11 +74,13 @@ def test_language_model(spark):
     for r in rows:
         tokens = [*plain_words(r.text), "end"]
         base = sum(math.log10((counts[w] + 0.1) / (total + 0.1 * (types + 1))) for w in tokens)
-        score = sum(math.log10(probability(u, w)) for u, w in zip(["begin", *tokens], tokens, strict=False))
+        padded = ["begin", "begin", *tokens]
+        score = sum(math.log10(probability(*t)) for t in zip(padded, padded[1:], tokens, strict=False))
         want[r.doc_id, len(tokens), sum(counts[w] > 0 for w in tokens), round(base, 6), round(score, 6)] += 1
     assert got == want
-    some = plain_words(rows[30].text)[0]
-    assert sum(probability(some, w) for w in [*counts, "never seen"]) == pytest.approx(1)
+    some = plain_words(rows[30].text)
+    for context in (("begin", "begin"), ("begin", some[0]), tuple(some[:2]), ("never seen", some[0]), ("no", "never seen")):
+        assert sum(probability(*context, w) for w in [*counts, "never seen"]) == pytest.approx(1)
 
 
 def test_language_model_without_rows(spark):
@@ -89,9 +102,9 @@ def test_model_of_many_buckets_opens_few_files(spark, tmp_path, monkeypatch):
         mine = hashes[bucket == b]
         kneser_ney._write(f"file://{tmp_path}/words/{b}", mine.astype("<u8"))
         kneser_ney._write(f"file://{tmp_path}/counts/{b}", (np.arange(len(mine)) + 5_000_000_000).astype("<u8"))
-        kneser_ney._write(f"file://{tmp_path}/stats/{b}", np.ones((len(mine), 4), "<u4"))
+        kneser_ney._write(f"file://{tmp_path}/stats/{b}", np.ones((len(mine), 5), "<u8"))
         bases.append(bases[-1] + len(mine))
-    model = kneser_ney.Model(f"file://{tmp_path}", buckets, buckets, bases, 1, 1, [0.5] * 3, [0.5] * 3, 1, (0, 0, 0), 1.0)
+    model = kneser_ney.Model(f"file://{tmp_path}", buckets, buckets, bases, 1, 1, [0.5] * 3, [0.5] * 3, [0.5] * 3, 1, (0,) * 4, 1.0)
     scorer, before = kneser_ney._Scorer(model), len(os.listdir("/proc/self/fd"))
     asked = np.concatenate([hashes[rng.permutation(len(hashes))], hashes[:5] + np.uint64(1)])
     ids = scorer.words.ids(asked)
@@ -103,13 +116,19 @@ def test_model_of_many_buckets_opens_few_files(spark, tmp_path, monkeypatch):
 
 def test_counts_beyond_32_bits(tmp_path):
     most = 2**32 - 1
-    piece = {"bucket": 0, "keys": kneser_ney._pack_keys(np.array([7, 9], np.uint64)), "values": kneser_ney._pack(np.array([most, 1], np.uint32))}
+    piece = {"bucket": 0, "keys": kneser_ney._pack_keys(np.array([7, 9], np.uint64)), "values": kneser_ney._pack(np.array([most, 1], np.uint64))}
     pieces = pd.DataFrame([piece, piece])
     out = kneser_ney._merge_words(pieces, f"file://{tmp_path}")
     assert out["tokens"][0] == 2 * most + 2
     assert kneser_ney._Arrays(f"file://{tmp_path}").get("counts", 0, "<u8").tolist() == [2 * most, 2]
-    with pytest.raises(OverflowError, match="8589934590"):
-        kneser_ney._merge_pairs(pieces, f"file://{tmp_path}", [0, 10])
+    pair, word, count = np.array([5, 5, 9], np.uint64), np.array([1, 2, 1], np.uint32), np.array([most, 254, 255])
+    rows = [p.to_pandas() for p in kneser_ney._triple_pieces(pair, word, count, np.zeros(3, np.int64))]
+    kneser_ney._merge_triples_of(pd.concat(rows * 2), f"file://{tmp_path}", 3, 1)
+    keys, starts, words_, *small = kneser_ney._parts(
+        kneser_ney._Arrays(f"file://{tmp_path}").get("contexts", 0, "u1"), kneser_ney._CONTEXTS)
+    assert keys.tolist() == [5, 9] and starts.tolist() == [0, 2, 3] and words_.tolist() == [1, 2, 1]
+    assert kneser_ney._small_at(small[:3], np.arange(3)).tolist() == [2 * most, 508, 510]
+    assert kneser_ney._small_at(small[3:6], np.arange(2)).tolist() == [2 * most + 508, 510]
 
 
 def test_arrays_of_a_store_that_cannot_be_mapped(tmp_path):
