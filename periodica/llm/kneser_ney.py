@@ -8,12 +8,12 @@ arrays, which scoring workers map into memory:
 * ``words``, ``counts``, ``stats``: the sorted word hashes (the place of a word is its
   id), their counts, and what is known of each word as a context and as a continuation.
 * ``contexts``: the sorted keys (word id, word id) of all pairs, for each the sorted ids
-  of the words that follow it with their counts, and its sums.
+  of the words that follow it with their counts, and the sums of those with many.
 * ``pairs``: in the order of those keys, how many words each pair follows.
 
-A count takes one byte, and those of 255 or more are listed beside with 64 bits, so no
+A count takes one byte, and those that do not fit are listed beside with 64 bits, so no
 count wraps. No array passes through the driver; it sees sums per bucket only. A worker
-opens the arrays that its texts need and holds a bounded number of them.
+opens the arrays that its texts need and holds a bounded number and size of them.
 
 Buckets are dealt by hashes of the two words before, so a word that makes up a third of
 all tokens is spread with its contexts, and a pair that does is one entry per task and
@@ -51,9 +51,9 @@ END = xxhash.xxh3_64_intdigest(b" ")
 #: Training tokens per bucket, and distinct keys a task holds before it gives them out.
 BUCKET_TOKENS, HELD = 3_000_000, 3_000_000
 #: Documents scored together.
-SCORED = 1000
-#: Arrays of a model that a worker holds open, or has read where they cannot be mapped.
-OPEN, READ = 256, 16
+SCORED = 500
+#: Files of a model that a worker holds open, or has read where they cannot be mapped, and their bytes.
+OPEN, READ, MAPPED = 256, 16, 256 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _PIECE = "bucket long, keys binary, values binary"
@@ -78,26 +78,27 @@ def _write(path: str, *arrays: np.ndarray) -> None:
 
 
 class _Arrays:
-    """The arrays of a model, opened when they are asked for; at most ``OPEN`` are held.
+    """The arrays of a model, opened when they are asked for; at most ``OPEN`` of ``MAPPED`` bytes are held.
 
     A mapped array keeps a file handle and a map, of which a process has a limited
     number, while a large model has an array of each kind for every few megabytes of
-    text. In a store that cannot be mapped an array is read whole; it has a bucket's
-    part of the entries, and ``READ`` are held.
+    text; and its pages count as memory of the worker. In a store that cannot be mapped
+    an array is read whole; it has a bucket's part of the entries, and ``READ`` are held.
     """
 
     def __init__(self, folder: str):
         self.system, self.place = fs.FileSystem.from_uri(folder)
         self.local = isinstance(self.system, fs.LocalFileSystem)
         self.held: OrderedDict[str, np.ndarray] = OrderedDict()
+        self.bytes = 0
 
     def get(self, name: str, bucket: int, kind: str) -> np.ndarray:
         path = f"{self.place}/{name}/{bucket}"
         if path in self.held:
             self.held.move_to_end(path)
             return self.held[path]
-        while len(self.held) >= (OPEN if self.local else READ):
-            self.held.popitem(last=False)
+        while self.held and (len(self.held) >= (OPEN if self.local else READ) or self.bytes > MAPPED):
+            self.bytes -= self.held.popitem(last=False)[1].nbytes
         if self.system.get_file_info(path).size == 0:
             found = np.zeros(0, kind)
         elif self.local:
@@ -106,6 +107,7 @@ class _Arrays:
             with self.system.open_input_stream(path) as source:
                 found = np.frombuffer(source.read(), kind)
         self.held[path] = found
+        self.bytes += found.nbytes
         return found
 
 
@@ -127,24 +129,81 @@ def _parts(raw: np.ndarray, kinds: list[str]) -> list[np.ndarray]:
     return [raw[a : a + n].view(kind) for a, n, kind in zip(starts, sizes, kinds, strict=True)]
 
 
+#: Contexts between two stored starts of their followers, and followers from which a context's sums are listed.
+_BLOCK, _LISTED = 64, 16
 _SMALL = ["u1", "<u4", "<u8"]
-_CONTEXTS = ["<u8", "<u4", "<u4", *_SMALL * 4]
+_CONTEXTS = ["<u8", "<u4", *_SMALL, "<u8", "<u2", "<u4", "<u8", "<u4", "<u8"]
+_WORDS = [*_SMALL * _STATS]
 
 
-def _small(values: np.ndarray) -> list[np.ndarray]:
-    """Counts as bytes; places and values of those that do not fit."""
-    large = np.flatnonzero(values >= 255)
-    return [np.minimum(values, 255).astype("u1"), _narrow(large, "<u4"), values[large].astype("<u8")]
+def _small(values: np.ndarray, kind: str = "u1") -> list[np.ndarray]:
+    """Numbers in a small type; places and values of those that do not fit."""
+    most = np.iinfo(kind).max
+    large = np.flatnonzero(values >= most)
+    return [np.minimum(values, most).astype(kind), _narrow(large, "<u4"), values[large].astype("<u8")]
 
 
 def _small_at(parts: list[np.ndarray], at: np.ndarray) -> np.ndarray:
     small, places, values = parts
     out = small[at].astype(np.int64)
-    large = np.flatnonzero(out == 255)
+    large = np.flatnonzero(out == np.iinfo(small.dtype).max)
     out[large] = values[np.searchsorted(places, at[large])]
     return out
 
 
+class _Contexts:
+    """The contexts of a bucket: sorted keys, and behind each the sorted words that follow it, with counts."""
+
+    def __init__(self, raw: np.ndarray):
+        parts = _parts(raw, _CONTEXTS)
+        self.keys, self.words, self.counts = parts[0], parts[1], parts[2:5]
+        self.blocks, self.offsets, self.listed, self.sums = parts[5], parts[6:9], parts[9], parts[10].reshape(-1, 3)
+
+    @staticmethod
+    def parts(pair: np.ndarray, word: np.ndarray, count: np.ndarray) -> list[np.ndarray]:
+        """What is stored of distinct (pair, word) in order."""
+        first = _starts(pair)
+        starts = np.append(first, len(pair))
+        blocks = starts[::_BLOCK]
+        listed = np.flatnonzero(np.diff(starts) >= _LISTED)
+        sums = [np.add.reduceat(x.astype(np.int64), first)[listed] if len(first) else first
+                for x in (count, count == 1, count == 2)]
+        return [
+            pair[first].astype("<u8"), word.astype("<u4"), *_small(count), blocks.astype("<u8"),
+            *_small(starts - np.repeat(blocks, _BLOCK)[: len(starts)], "<u2"), _narrow(listed, "<u4"),
+            np.stack(sums, axis=1).astype("<u8"),
+        ]
+
+    def start(self, at: np.ndarray) -> np.ndarray:
+        return self.blocks[at // _BLOCK].astype(np.int64) + _small_at(self.offsets, at)
+
+    def stats(self, at: np.ndarray, low: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """(N1, N2, N3+, sum) of contexts: listed where many words follow, else from their counts."""
+        size, out = end - low, np.zeros((len(at), 4), np.int64)
+        few = np.flatnonzero(size < _LISTED)
+        if len(few):
+            first = np.cumsum(size[few]) - size[few]
+            counts = _small_at(self.counts, np.repeat(low[few] - first, size[few]) + np.arange(size[few].sum()))
+            for column, x in ((3, counts), (0, counts == 1), (1, counts == 2)):
+                out[few, column] = np.add.reduceat(x.astype(np.int64), first)
+        many = np.flatnonzero(size >= _LISTED)
+        out[many[:, None], [3, 0, 1]] = self.sums[np.searchsorted(self.listed, at[many])]
+        out[:, 2] = size - out[:, 0] - out[:, 1]
+        return out
+
+    def count(self, low: np.ndarray, end: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """The count of each wanted word between ``low`` and ``end``, by halving."""
+        high, out = end, np.zeros(len(low), np.int64)
+        while (open_ := low < high).any():
+            middle = (low + high) // 2
+            less = self.words[np.minimum(middle, len(self.words) - 1)] < wanted
+            low, high = np.where(open_ & less, middle + 1, low), np.where(open_ & ~less, middle, high)
+        there = low < end
+        there[there] = self.words[low[there]] == wanted[there]
+        out[there] = _small_at(self.counts, low[there])
+        return out
+
+
 def _narrow(array: np.ndarray, kind: str) -> np.ndarray:
     """The array in a smaller type, refused where a number does not fit."""
     if len(array) and array.max() > np.iinfo(kind).max:
@@ -425,21 +484,22 @@ class _Scorer:
         bucket = np.searchsorted(np.asarray(self.m.bases), distinct, side="right") - 1
         for b, low, high in _runs(bucket):
             at = distinct[low:high] - self.m.bases[b]
-            counts[low:high] = self.arrays.get("counts", b, "<u8")[at]
-            stats[low:high] = self.arrays.get("stats", b, "<u8").reshape(-1, _STATS)[at]
+            counts[low:high] = _small_at(_parts(self.arrays.get("counts", b, "u1"), _SMALL), at)
+            parts = _parts(self.arrays.get("stats", b, "u1"), _WORDS)
+            for i in range(_STATS):
+                stats[low:high, i] = _small_at(parts[3 * i : 3 * i + 3], at)
         return counts[back], stats[back]
 
-    def _found(self, keys: np.ndarray) -> Iterator[tuple[int, list[np.ndarray], np.ndarray, np.ndarray]]:
+    def _found(self, keys: np.ndarray) -> Iterator[tuple[int, _Contexts, np.ndarray, np.ndarray]]:
         """By bucket: its contexts, which of the asked keys are there, and their places."""
         bucket = _spread(keys, self.m.pair_buckets)
         order = np.argsort(bucket, kind="stable")
         for b, low, high in _runs(bucket[order]):
-            parts = _parts(self.arrays.get("contexts", b, "u1"), _CONTEXTS)
-            known, mine = parts[0], order[low:high]
-            if len(known):
-                at = np.minimum(np.searchsorted(known, keys[mine]), len(known) - 1)
-                there = known[at] == keys[mine]
-                yield b, parts, mine[there], at[there]
+            contexts, mine = _Contexts(self.arrays.get("contexts", b, "u1")), order[low:high]
+            if len(contexts.keys):
+                at = np.minimum(np.searchsorted(contexts.keys, keys[mine]), len(contexts.keys) - 1)
+                there = contexts.keys[at] == keys[mine]
+                yield b, contexts, mine[there], at[there]
 
     def of_pairs(self, keys: np.ndarray) -> np.ndarray:
         """How many words each pair follows; at the begin of a text, how often it occurs."""
@@ -452,20 +512,10 @@ class _Scorer:
     def of_triples(self, keys: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The count of each word after its pair; the pair's (N1, N2, N3+, sum)."""
         counts, stats = np.zeros(len(keys), np.int64), np.zeros((len(keys), 4), np.int64)
-        for _, parts, mine, at in self._found(keys):
-            starts, following = parts[1], parts[2]
-            low, end, wanted = starts[at].astype(np.int64), starts[at + 1].astype(np.int64), words[mine]
-            stats[mine, 0], stats[mine, 1] = _small_at(parts[9:12], at), _small_at(parts[12:15], at)
-            stats[mine, 2] = end - low - stats[mine, 0] - stats[mine, 1]
-            stats[mine, 3] = _small_at(parts[6:9], at)
-            high = end.copy()
-            while (open_ := low < high).any():
-                middle = (low + high) // 2
-                less = following[np.minimum(middle, len(following) - 1)] < wanted
-                low, high = np.where(open_ & less, middle + 1, low), np.where(open_ & ~less, middle, high)
-            there = low < end
-            there[there] = following[low[there]] == wanted[there]
-            counts[mine[there]] = _small_at(parts[3:6], low[there])
+        for _, contexts, mine, at in self._found(keys):
+            low, end = contexts.start(at), contexts.start(at + 1)
+            stats[mine] = contexts.stats(at, low, end)
+            counts[mine] = contexts.count(low, end, words[mine])
         return counts, stats
 
     def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -531,7 +581,7 @@ def _merge_words(pdf: pd.DataFrame, folder: str) -> pd.DataFrame:
     bucket = int(pdf["bucket"].iloc[0])
     keys, counts = _merge(pdf, 1)
     _write(f"{folder}/words/{bucket}", keys.astype("<u8"))
-    _write(f"{folder}/counts/{bucket}", counts.ravel().astype("<u8"))
+    _write_parts(f"{folder}/counts/{bucket}", _small(counts.ravel()))
     return pd.DataFrame({"bucket": [bucket], "types": [len(keys)], "tokens": [int(counts.sum())]})
 
 
@@ -561,11 +611,7 @@ def _merge_triples_of(pdf: pd.DataFrame, folder: str, begin: int, buckets: int)
     """Keep the contexts of a bucket; give out its last two words: how many words they follow."""
     bucket, size = int(pdf["bucket"].iloc[0]), np.uint64(begin + 1)
     pair, word, count = _merge_triples(pdf)
-    first = _starts(pair)
-    sums = [np.add.reduceat(x, first) for x in (count, (count == 1).astype(np.int64), (count == 2).astype(np.int64))]
-    _write_parts(f"{folder}/contexts/{bucket}", [
-        pair[first].astype("<u8"), _narrow(np.append(first, len(pair)), "<u4"), word.astype("<u4"),
-        *itertools.chain.from_iterable(map(_small, (count, *sums)))])
+    _write_parts(f"{folder}/contexts/{bucket}", _Contexts.parts(pair, word, count))
     real = word != begin
     pair, word, count = pair[real], word[real].astype(np.uint64), count[real]
     middle = pair % size
@@ -588,7 +634,7 @@ def _merge_pairs(pdf: pd.DataFrame, folder: str, bases: list[int]) -> pd.DataFra
     counts = counts.ravel()
     if bucket < 0:
         return _frame([_piece(bucket, keys=_pack_keys(keys), values=_pack(counts.astype("<u8")))])
-    known = _parts(_Arrays(folder).get("contexts", bucket, "u1"), _CONTEXTS)[0]
+    known = _Contexts(_Arrays(folder).get("contexts", bucket, "u1")).keys
     follows = np.zeros(len(known), np.int64)
     follows[np.searchsorted(known, keys)] = counts
     _write_parts(f"{folder}/pairs/{bucket}", _small(follows))
@@ -608,9 +654,9 @@ def _merge_stats(pdf: pd.DataFrame, folder: str, bases: list[int]) -> pd.DataFra
     ids, stats = _merge(pdf, _STATS)
     if bucket == len(bases) - 1:
         return pd.DataFrame({"bucket": [bucket], "sums": [stats[0].tolist()]})
-    dense = np.zeros((bases[bucket + 1] - bases[bucket], _STATS), "<u8")
+    dense = np.zeros((bases[bucket + 1] - bases[bucket], _STATS), np.int64)
     dense[ids.astype(np.int64) - bases[bucket]] = stats
-    _write(f"{folder}/stats/{bucket}", dense)
+    _write_parts(f"{folder}/stats/{bucket}", [part for column in dense.T for part in _small(column)])
     return pd.DataFrame({"bucket": [bucket], "sums": [[*_count_counts(dense[:, 4]), int(dense[:, 4].sum())]]})
 
 
@@ -637,8 +683,8 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     )
     types = {r["bucket"]: r["types"] for r in words}
     for missing in set(range(buckets)) - set(types):
-        for name, kind in (("words", "<u8"), ("counts", "<u8"), ("stats", "<u8")):
-            _write(f"{folder}/{name}/{missing}", np.zeros(0, kind))
+        for name in ("words", "counts", "stats"):
+            _write(f"{folder}/{name}/{missing}")
     if sum(types.values()) + 1 >= 1 << 32:
         raise OverflowError("pairs of so many distinct words do not fit 64 bits")
     bases = [0, *np.cumsum([types.get(b, 0) for b in range(buckets)]).tolist()]

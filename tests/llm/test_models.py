@@ -101,8 +101,8 @@ def test_model_of_many_buckets_opens_few_files(spark, tmp_path, monkeypatch):
     for b in range(buckets):
         mine = hashes[bucket == b]
         kneser_ney._write(f"file://{tmp_path}/words/{b}", mine.astype("<u8"))
-        kneser_ney._write(f"file://{tmp_path}/counts/{b}", (np.arange(len(mine)) + 5_000_000_000).astype("<u8"))
-        kneser_ney._write(f"file://{tmp_path}/stats/{b}", np.ones((len(mine), 5), "<u8"))
+        kneser_ney._write_parts(f"file://{tmp_path}/counts/{b}", kneser_ney._small(np.arange(len(mine)) + 5_000_000_000))
+        kneser_ney._write_parts(f"file://{tmp_path}/stats/{b}", kneser_ney._small(np.ones(len(mine), np.int64)) * 5)
         bases.append(bases[-1] + len(mine))
     model = kneser_ney.Model(f"file://{tmp_path}", buckets, buckets, bases, 1, 1, [0.5] * 3, [0.5] * 3, [0.5] * 3, 1, (0,) * 4, 1.0)
     scorer, before = kneser_ney._Scorer(model), len(os.listdir("/proc/self/fd"))
@@ -120,15 +120,36 @@ def test_counts_beyond_32_bits(tmp_path):
     pieces = pd.DataFrame([piece, piece])
     out = kneser_ney._merge_words(pieces, f"file://{tmp_path}")
     assert out["tokens"][0] == 2 * most + 2
-    assert kneser_ney._Arrays(f"file://{tmp_path}").get("counts", 0, "<u8").tolist() == [2 * most, 2]
+    stored = kneser_ney._parts(kneser_ney._Arrays(f"file://{tmp_path}").get("counts", 0, "u1"), kneser_ney._SMALL)
+    assert kneser_ney._small_at(stored, np.arange(2)).tolist() == [2 * most, 2]
     pair, word, count = np.array([5, 5, 9], np.uint64), np.array([1, 2, 1], np.uint32), np.array([most, 254, 255])
     rows = [p.to_pandas() for p in kneser_ney._triple_pieces(pair, word, count, np.zeros(3, np.int64))]
     kneser_ney._merge_triples_of(pd.concat(rows * 2), f"file://{tmp_path}", 3, 1)
-    keys, starts, words_, *small = kneser_ney._parts(
-        kneser_ney._Arrays(f"file://{tmp_path}").get("contexts", 0, "u1"), kneser_ney._CONTEXTS)
-    assert keys.tolist() == [5, 9] and starts.tolist() == [0, 2, 3] and words_.tolist() == [1, 2, 1]
-    assert kneser_ney._small_at(small[:3], np.arange(3)).tolist() == [2 * most, 508, 510]
-    assert kneser_ney._small_at(small[3:6], np.arange(2)).tolist() == [2 * most + 508, 510]
+    contexts = kneser_ney._Contexts(kneser_ney._Arrays(f"file://{tmp_path}").get("contexts", 0, "u1"))
+    assert contexts.keys.tolist() == [5, 9] and contexts.words.tolist() == [1, 2, 1]
+    assert kneser_ney._small_at(contexts.counts, np.arange(3)).tolist() == [2 * most, 508, 510]
+
+
+def test_contexts_hold_what_follows_them():
+    rng = np.random.default_rng(6)
+    sizes = np.concatenate((rng.integers(1, 40, 500), [70_000, 1, 1, 16, 15], rng.integers(1, 3, 300)))
+    keys = np.unique(rng.integers(0, 2**63, len(sizes), dtype=np.uint64))
+    pair = np.repeat(keys, sizes)
+    word = np.concatenate([np.sort(rng.choice(200_000, n, replace=False)) for n in sizes]).astype(np.uint32)
+    count = rng.choice([1, 2, 3, 254, 255, 5_000_000_000], len(pair))
+    parts = kneser_ney._Contexts.parts(pair, word, count)
+    contexts = kneser_ney._Contexts(np.concatenate([
+        np.asarray([len(parts), *(p.nbytes for p in parts)], "<u8").view("u1"),
+        *(np.concatenate((p.ravel().view("u1"), np.zeros(-p.nbytes % 8, "u1"))) for p in parts)]))
+    at = rng.permutation(len(keys))
+    low, end = contexts.start(at), contexts.start(at + 1)
+    assert (end - low == sizes[at]).all()
+    for row, a, b in zip(contexts.stats(at, low, end), low, end, strict=True):
+        mine = count[a:b]
+        assert row.tolist() == [(mine == 1).sum(), (mine == 2).sum(), (mine > 2).sum(), mine.sum()]
+    pick = rng.integers(0, 2**16, len(at)) % (end - low) + low
+    assert (contexts.count(low, end, word[pick]) == count[pick]).all()
+    assert (contexts.count(low, end, np.full(len(at), 200_001)) == 0).all()
 
 
 def test_arrays_of_a_store_that_cannot_be_mapped(tmp_path):
