@@ -113,22 +113,21 @@ def _fact_checks(
 ) -> DataFrame:
     """Duplicate, orphaned and dangling facts, companies without facts, and further counts, in one row.
 
-    The facts are read once: one aggregate counts them by natural key, by company and
-    by filing, a second one folds the keys, and what is left meets companies and
-    filings in one join.
+    The facts are read once: one aggregate folds them by natural key, its rows are rolled
+    up to companies and filings, and those meet their tables in one join.
     """
-    key = NATURAL_KEYS["financial_facts"]
-    grouped = facts.groupingSets([key, ["company_id"], ["filing_id"]], *key).agg(
-        F.count("*").alias("_n"), *[F.count_if(c).alias(k) for k, c in counters.items()],
-        F.grouping_id().alias("_set"), F.grouping("company_id").alias("_no_company"),
+    by_key = facts.groupBy(*NATURAL_KEYS["financial_facts"]).agg(
+        F.count("*").alias("_n"), *[F.count_if(c).alias(k) for k, c in counters.items()]
     )
-    kind = F.when(F.col("_set") == 0, "key").when(F.col("_no_company") == 0, "company").otherwise("filing")
-    per_id = (
-        grouped.withColumn("_kind", kind)
-        .withColumn("_id", F.when(kind == "company", F.col("company_id").cast("string")).when(
-            kind == "filing", F.col("filing_id").cast("string")))
-        .groupBy("_kind", "_id")
-        .agg(F.sum("_n").alias("_n"), F.count_if(F.col("_n") >= 2).alias("_repeated"), *[F.sum(k).alias(k) for k in counters])
+    rolled = by_key.groupingSets([["company_id"], ["filing_id"]], "company_id", "filing_id").agg(
+        F.sum("_n").alias("_n"), F.count_if(F.col("_n") >= 2).alias("_repeated"),
+        *[F.sum(k).alias(k) for k in counters], F.grouping("company_id").alias("_no_company"),
+    )
+    company = F.col("_no_company") == 0
+    per_id = rolled.select(
+        F.when(company, "company").otherwise("filing").alias("_kind"),
+        F.when(company, F.col("company_id").cast("string")).otherwise(F.col("filing_id").cast("string")).alias("_id"),
+        "_n", "_repeated", *counters,
     )
 
     def ids(parent: DataFrame, name: str) -> DataFrame:
@@ -139,7 +138,7 @@ def _fact_checks(
     of_company, of_filing = F.col("_kind") == "company", (F.col("_kind") == "filing") & F.col("_id").isNotNull()
     zero, unknown = F.lit(0), F.col("_known").isNull()
     return both.agg(
-        F.coalesce(F.sum(F.when(F.col("_kind") == "key", F.col("_repeated"))), zero).alias("dup_facts"),
+        F.coalesce(F.sum(F.when(of_company, F.col("_repeated"))), zero).alias("dup_facts"),
         F.coalesce(F.sum(F.when(of_company & unknown, F.col("_n"))), zero).alias("orphan_facts"),
         F.count_if(of_company & F.col("_n").isNull()).alias("companies_without_facts"),
         *[F.coalesce(F.sum(F.when(of_company, F.col(k))), zero).alias(k) for k in counters],
