@@ -10,12 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from periodica.operators.joins import absent_keys
-from periodica.operators.windows import keep_first
 from periodica.operators.writes import (
     ParquetTable, WriteStats, change_partitions, first_per_key, insert_new, refresh_snapshot,
 )
@@ -128,21 +127,23 @@ def newly_linked(facts: DataFrame, filings: DataFrame) -> DataFrame:
 def relink_filings(facts: DataFrame, filings: DataFrame) -> DataFrame:
     """Facts whose filing was stored after them, now linked to it.
 
-    Only the newly linked facts are ranked and compared with what is there: where
-    linking would repeat a linked fact, the linked one stays. All other facts pass
-    through; those still open are told apart by an anti-join on the number.
+    Where linking would repeat a linked fact, the linked one stays; of several newly
+    linked ones the first by value. The facts are shuffled once, by company and number,
+    for the join: facts of one key share both, so they are told apart where they lie.
     """
-    linked = newly_linked(facts, filings)
-    once = keep_first(linked, FACT_KEY, ["value"] + (["id"] if "id" in facts.columns else []))
-    before = facts.where("filing_id IS NOT NULL")
-    stored = filings.select(F.col("company_id").alias("_company"), F.col("accession_number").alias("_number"))
-    still_open = facts.where("filing_id IS NULL").join(
-        stored,
-        (F.col("company_id") == F.col("_company"))
-        & (F.split_part("source_id", F.lit("|"), F.lit(1)) == F.col("_number")),
-        "left_anti",
+    stored = filings.select(
+        F.col("company_id").alias("_company"), F.col("accession_number").alias("_stored_number"),
+        F.col("id").alias("_found"), F.lit(True).alias("_hit"),
+    )
+    numbered = facts.withColumn("_number", F.split_part("source_id", F.lit("|"), F.lit(1)))
+    due = (F.col("company_id") == F.col("_company")) & (F.col("_number") == F.col("_stored_number")) & F.col("filing_id").isNull()
+    tried = numbered.join(stored, due, "left").withColumn("filing_id", F.coalesce("filing_id", "_found"))
+    own = [c for c in FACT_KEY if c != "company_id"]
+    line = Window.partitionBy("company_id", "_number", *own).orderBy(
+        F.col("_hit").isNotNull(), "value", *[c for c in ("id",) if c in facts.columns]
     )
-    return before.unionByName(still_open).unionByName(absent_keys(once, before, FACT_KEY))
+    ranked = tried.withColumn("_rank", F.row_number().over(line))
+    return ranked.where(F.col("_hit").isNull() | (F.col("_rank") == 1)).select(*facts.columns)
 
 
 def relink_table(facts: ParquetTable, filings: DataFrame) -> int:

@@ -303,11 +303,12 @@ def relink_filings(v: Views) -> DataFrame:
     # The row's own key keeps facts apart that differ in nothing but their value.
     facts = v["financial_facts"].select(
         "company_id", F.concat("concept", F.lit(" "), "source_id").alias("concept"), "period_start", "period_end",
-        F.when(c("fiscal_period") == "Q3", c("filing_id")).alias("_known"), "value", source.alias("source_id"),
+        "filing_id", (c("fiscal_period") == "Q3").alias("_late"), "value", source.alias("source_id"),
     )
-    known = _stored_filings(v).select(c("id").alias("_known"), F.lit(True).alias("_stored"))
-    partly = facts.join(known, "_known", "left").select(
-        *[x for x in facts.columns if x != "_known"], F.when(c("_stored"), c("_known")).alias("filing_id")
+    known = _stored_filings(v).select(c("id").alias("_known"))
+    # On the number by which the view has joined its lines, so that they stay where they are.
+    partly = facts.join(known, (c("filing_id") == c("_known")) & c("_late"), "left").select(
+        *[x for x in facts.columns if x not in ("filing_id", "_late")], c("_known").alias("filing_id")
     )
     return landing.relink_filings(partly, _stored_filings(v)).select("source_id", "filing_id")
 
