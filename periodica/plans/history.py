@@ -27,9 +27,8 @@ def version_intervals(
     """
     key = list(key)
     rest = [c for c in (facts.columns if columns is None else columns) if c not in key]
-    order = [F.col(c) for c in VERSION_ORDER]
-    # NULL sorts first in a struct, which makes it lose against any date.
-    version = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], F.struct(*rest).alias("_row"))
+    # NULL sorts first in a struct, which makes it lose against any date. Each column is in it once.
+    version = F.struct(*VERSION_ORDER, *[c for c in rest if c not in VERSION_ORDER])
     dated = facts.where("filing_date IS NOT NULL AND period_end IS NOT NULL").withColumn(
         "known_from", F.greatest("filing_date", "period_end")
     )
@@ -43,7 +42,7 @@ def version_intervals(
         .where(~F.col("_now").eqNullSafe(F.col("_was")))
         .withColumn("known_to", F.lead("known_from").over(timeline))
     )
-    return winners.select(*key, *[F.col(f"_now._row.{c}").alias(c) for c in rest], "known_from", "known_to")
+    return winners.select(*key, *[F.col(f"_now.{c}").alias(c) for c in rest], "known_from", "known_to")
 
 
 def _calendar(dates: DataFrame) -> DataFrame:
@@ -137,17 +136,21 @@ def load_membership(
     return membership_stats(table.read().where(F.col("source") == source))
 
 
-def joined_spans(intervals: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Intervals of one key that touch or overlap as one; open ends stay open."""
-    by = list(by)
-    far = F.lit("9999-12-31").cast("date")
-    line = Window.partitionBy(*by).orderBy("start_date", "_until")
-    spans = intervals.select(*by, "start_date", F.coalesce("end_date", far).alias("_until"))
-    reached = F.max("_until").over(line.rowsBetween(Window.unboundedPreceding, -1))
-    begins = F.when(F.col("start_date") <= reached, 0).otherwise(1)
-    numbered = spans.withColumn("_new", begins).withColumn("_run", F.sum("_new").over(line))
-    joined = numbered.groupBy(*by, "_run").agg(F.min("start_date").alias("start_date"), F.max("_until").alias("_until"))
-    return joined.select(*by, "start_date", F.when(F.col("_until") != far, F.col("_until")).alias("end_date"))
+def member_runs(intervals: DataFrame, dates: DataFrame) -> DataFrame:
+    """Per ticker and company, the runs of days of a relation on which the ticker stands for the company.
+
+    A run is a half-open interval from its first day to the one after its last. A ticker
+    that stands for two companies on a day counts for one, as in ``members_at``.
+    """
+    days = dates.select(F.col("as_of").cast("date")).where("as_of IS NOT NULL").distinct()
+    # The calendar bounds the days, so they can be numbered in one task and broadcast.
+    numbered = F.broadcast(days.withColumn("_n", F.row_number().over(Window.orderBy("as_of"))))
+    members = members_at(intervals.select("ticker", "company_id", "start_date", "end_date"), dates).where("ticker IS NOT NULL")
+    line = Window.partitionBy("ticker", "company_id").orderBy("as_of")
+    runs = members.join(numbered, "as_of").withColumn("_run", F.col("_n") - F.row_number().over(line))
+    return runs.groupBy("ticker", "company_id", "_run").agg(
+        F.min("as_of").alias("start_date"), F.date_add(F.max("as_of"), 1).alias("end_date")
+    ).drop("_run")
 
 
 def pit_universe(
@@ -156,22 +159,19 @@ def pit_universe(
     """For each day: the members then and their facts as public then.
 
     Per company, the days on which a fact version is the one to read are cut with the
-    days of membership; only what is left of both is expanded to days. ``columns``
-    names the wanted facts columns.
+    runs of days of membership; only what is left of both is expanded to days, and that
+    is the result, which is not shuffled again. ``columns`` names the wanted facts columns.
     """
     resolved = intervals.where("company_id IS NOT NULL")
-    spans = joined_spans(resolved.select("ticker", "company_id", "start_date", "end_date"), ["ticker", "company_id"])
+    spans = member_runs(resolved, dates)
     concerned = facts.join(resolved.select("company_id"), "company_id", "left_semi")
     versions = version_intervals(concerned, columns=columns)
     both = spans.join(versions, "company_id").where(
-        (F.col("end_date").isNull() | (F.col("known_from") < F.col("end_date")))
+        (F.col("known_from") < F.col("end_date"))
         & (F.col("known_to").isNull() | (F.col("start_date") < F.col("known_to")))
     )
     # Least and greatest skip NULL, which is an open end.
     cut = both.withColumns(
         {"known_from": F.greatest("known_from", "start_date"), "known_to": F.least("known_to", "end_date")}
     ).drop("start_date", "end_date")
-    found = interval_join(_calendar(dates), cut, "as_of", "known_from", "known_to").drop("known_from", "known_to")
-    # A ticker that stands for two companies on a day counts for one, as in ``members_at``.
-    members = members_at(resolved, dates).select("as_of", "ticker", "company_id")
-    return found.join(members, ["as_of", "ticker", "company_id"], "left_semi")
+    return interval_join(_calendar(dates), cut, "as_of", "known_from", "known_to").drop("known_from", "known_to")
