@@ -86,9 +86,11 @@ def _refresh_some(
     touched = partitions_of(changed, derived.partition_by)
     here = within_partitions(derived.partition_by, touched)
     known = changed.select(null_safe_key(keys).alias("_key"))
-    anew = rows.where(here).withColumn("_key", null_safe_key(keys)).join(known, "_key", "left_semi").drop("_key")
+    # Rows of a key are fewer once they are made, so those of other keys are left out then and not before.
+    made = build(rows.where(here), rates).withColumn("_key", null_safe_key(keys))
+    anew = made.join(known, "_key", "left_semi").drop("_key")
     kept = absent_keys(stored.where(here), changed, keys)
-    return derived.replace_partitions(kept.unionByName(build(anew, rates)), touched, state, lines)
+    return derived.replace_partitions(kept.unionByName(anew), touched, state, lines)
 
 
 def rated_since(core: DataFrame, rates: DataFrame) -> DataFrame:
