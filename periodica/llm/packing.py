@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 
 from periodica.llm.common import staged, text_of
 
-#: Chunks of text whose ids a worker remembers (some 200 MB), and the longest that it does.
-CACHED, CACHED_BYTES = 1_000_000, 64
-#: Chunks encoded in one call.
-CALL = 20_000
+#: Chunks of text whose ids a task remembers (some 100 MB), and the longest that it does.
+CACHED, CACHED_BYTES = 600_000, 64
+#: Chunks encoded in one call; what the tokenizer allocates for it is not all given back.
+CALL = 2_000
 #: Code points below which a letter is one in every version of Unicode, and no combining mark follows from it.
 PLAIN = "\u0250"
 
@@ -59,7 +59,12 @@ class ChunkEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(end)]] = True
         self.stops = {stop: self._ids(stop.decode()).tobytes() for stop in (b".", b",")}
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop what was remembered: a worker outlives the task, and its memory counts in whatever stage comes next."""
         self.known: dict[bytes, bytes] = {b"": b""}
+        self.older: dict[bytes, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
@@ -113,9 +118,13 @@ class ChunkEncoder:
         raw = (t.encode("utf-8", "surrogatepass").translate(_BLANKS) for t in texts)
         split = [(b if b"<|" in b else b.lower()).split(b" ") for b in raw]
         used = set().union(*split)
-        new = self._learn(used.difference(self.known))
-        if len(self.known) + len(new) > CACHED:
-            self.known = {c: self.known[c] for c in used if c in self.known}
+        missing = used.difference(self.known)
+        back = {c: self.older[c] for c in missing if c in self.older}
+        new = self._learn(missing.difference(back))
+        if len(self.known) + len(back) + len(new) > CACHED // 2:
+            # What is looked up again comes back from the older half, the rest of it goes.
+            self.older, self.known = self.known, {c: self.known[c] for c in used if c in self.known}
+        self.known.update(back)
         self.known.update(new)
         look_up = self.known.__getitem__
         for chunks in split:
@@ -144,12 +153,18 @@ def token_pieces(
         F.col(doc_id).alias("doc_id"), F.monotonically_increasing_id().alias("row"), text_of(F.col(text)).alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encoding = encoder(tokenizer)
+        try:
+            yield from pieces_of(batches, encoding)
+        finally:
+            encoding.forget()
+
+    def pieces_of(batches: Iterator[pa.RecordBatch], encoding: ChunkEncoder) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
                 part = batch.slice(low, 500)
                 take, starts, lengths, crcs, totals = [], [], [], [], []
-                for i, ids in enumerate(encode(part.column(2).to_pylist())):
+                for i, ids in enumerate(encoding.encode(part.column(2).to_pylist())):
                     ids += end
                     total = len(ids) // 4
                     for start in range(0, total, length):

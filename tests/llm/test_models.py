@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -299,6 +300,27 @@ def test_packing(spark):
     assert packing.pack_documents(nothing(spark), TOKENIZER, 2).count() == 0
 
 
+def test_packing_worker_remembers_within_a_task_only(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"word{i} some more words") for i in range(50)], "doc_id long, text string").coalesce(1)
+
+    def held(batches):
+        n = sum(len(e.known) for _ in batches for e in packing._ENCODERS.values())
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["held"])
+
+    assert packing.token_pieces(docs, TOKENIZER, 2).count() == 50
+    assert all(r.held <= 1 for r in spark.range(0, 8, 1, 8).mapInArrow(held, "held long").collect())
+
+    plain, small = packing.ChunkEncoder(TOKENIZER), packing.ChunkEncoder(TOKENIZER)
+    texts = [[f"w{k % 7} w{j} w{j * j}." for j in range(k, k + 10)] for k in range(60)]
+    want = [list(plain.encode(part)) for part in texts]
+    monkeypatch.setattr(packing, "CACHED", 60)
+    for part, ids in zip(texts, want, strict=True):
+        assert list(small.encode(part)) == ids
+        assert len(small.known) <= 60 and len(small.older) <= 60
+    small.forget()
+    assert len(small.known) == 1 and not small.older
+
+
 def test_chunks_encode_like_whole_texts():
     encoder = packing.ChunkEncoder(TOKENIZER)
     odd = ["", " ", "Hello, World. don't I'll 's,", "a<|startoftext|>b <|STARTOFTEXT|> x", "<|endoftext|>", "İstanbul, ΑΣ. ß., ... ,",
