@@ -15,7 +15,9 @@ read.
 from __future__ import annotations
 
 import itertools
+import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -23,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,57 +33,72 @@ from periodica.llm.common import staged, text_of
 
 #: Chunks of text whose ids a task remembers (some 100 MB), and the longest that it does.
 CACHED, CACHED_BYTES = 600_000, 64
-#: Chunks encoded in one call; what the tokenizer allocates for it is not all given back.
+#: Other chunks encoded in one call; what the tokenizer allocates for it is not all given back.
 CALL = 2_000
-#: Code points below which a letter is one in every version of Unicode, and no combining mark follows from it.
-PLAIN = "\u0250"
+#: Bytes of text whose chunks are told apart at once; a longer text is taken alone.
+SLICE = 8_000_000
+#: Letters that are ones in every version of Unicode, up to where the combining marks follow.
+LETTERS = "".join(chr(c) for c in range(0x250) if chr(c).isalpha())
 
 _ENCODERS: dict = {}
 _BLANKS = bytes.maketrans(b"\n\t\r", b"   ")
+#: What a tokenizer says of itself if ``_PIECES`` cuts a lower-case ``_PLAIN`` chunk as it does.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLIT = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": _PATTERN}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+_PLAIN = re.compile(f"[!-~{LETTERS}]+").fullmatch
+_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^0-9{LETTERS}]+").findall
+
+
+def byte_letters() -> dict[int, str]:
+    """The character by which a byte-level vocabulary writes each byte."""
+    own = [b for b in range(256) if 33 <= b <= 126 or b >= 161 and b != 173]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_BYTE_LETTERS = byte_letters()
 
 
 class ChunkEncoder:
     """Ids of texts under a tokenizer that lower-cases and drops white space, remembered per chunk between it.
 
-    No token of such a tokenizer spans white space, nor a letter and a comma or full
-    stop, so the ids of a text are those of its chunks in turn, and those of a word
-    with a stop are the word's and the stop's. New words of plain letters are encoded
-    together and told apart by the ids that end a word; all other new chunks with a
-    special token between them, or alone if they hold that token themselves.
+    No token of such a tokenizer spans white space, so the ids of a text are those of
+    its chunks in turn. Chunks of plain letters and printable ASCII are cut here by the
+    tokenizer's pattern, and each new piece goes straight to its vocabulary; all other
+    new chunks go through the whole tokenizer with a special token between them, or
+    alone if they hold that token themselves. So do all chunks if the tokenizer cuts
+    in another way.
     """
 
-    def __init__(self, path: str, mark: str = "<|startoftext|>", end: str = "</w>"):
+    def __init__(self, path: str, mark: str = "<|startoftext|>"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.mark, self.mark_id = mark, self.tokenizer.token_to_id(mark)
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith(end)]] = True
-        self.stops = {stop: self._ids(stop.decode()).tobytes() for stop in (b".", b",")}
+        self.model = self.tokenizer.model
+        parts = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        self.cuts_here = [json.loads(p.__getstate__()) for p in parts if p] == [_NORMALIZER, _SPLIT]
+        self.packed = [struct.pack("<I", i) for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
         self.forget()
 
     def forget(self) -> None:
         """Drop what was remembered: a worker outlives the task, and its memory counts in whatever stage comes next."""
         self.known: dict[bytes, bytes] = {b"": b""}
         self.older: dict[bytes, bytes] = {}
+        pa.default_memory_pool().release_unused()
 
     def _ids(self, text: str) -> np.ndarray:
         return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        """The ids of each word of plain letters."""
-        out: list[bytes] = []
-        for i in range(0, len(words), CALL):
-            part = words[i : i + CALL]
-            ids = self._ids(" ".join(part))
-            ends = 4 * (np.flatnonzero(self.ends[ids]) + 1)
-            if len(ends) != len(part) or ends[-1] != 4 * len(ids):
-                raise ValueError("the tokenizer does not end every word by a token of its own")
-            whole = ids.tobytes()
-            out.extend(whole[a:b] for a, b in itertools.pairwise([0, *ends.tolist()]))
-        return out
+    def _encode_piece(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        packed = self.packed
+        return b"".join([packed[token.id] for token in self.model.tokenize(shown)])
 
     def _encode_others(self, chunks: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -95,20 +113,20 @@ class ChunkEncoder:
             out.extend(whole[a:b] for a, b in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(whole)], strict=True))
         return out
 
-    def _learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
-        words: dict[str, bytes | None] = {}
-        parts: dict[bytes, tuple[str, bytes]] = {}
+    def _learn(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        encoded: dict[str, bytes] = {}
+        new: dict[bytes, bytes] = {}
         others: list[bytes] = []
         for chunk in chunks:
-            stop = chunk[-1:] if len(chunk) > 1 and chunk[-1:] in self.stops else b""
-            word = chunk[: len(chunk) - len(stop)].decode("utf-8", "surrogatepass").lower()
-            if word.isalpha() and max(word) < PLAIN:
-                words[word] = None
-                parts[chunk] = word, self.stops[stop] if stop else b""
-            else:
+            text = chunk.decode("utf-8", "surrogatepass").lower()
+            if not self.cuts_here or "<|" in text or not _PLAIN(text):
                 others.append(chunk)
-        encoded = dict(zip(words, self._encode_words(list(words)), strict=True))
-        new = {chunk: encoded[word] + stop for chunk, (word, stop) in parts.items()}
+                continue
+            pieces = _PIECES(text)
+            for piece in pieces:
+                if piece not in encoded:
+                    encoded[piece] = self._encode_piece(piece)
+            new[chunk] = encoded[pieces[0]] if len(pieces) == 1 else b"".join([encoded[p] for p in pieces])
         texts = [c.decode("utf-8", "surrogatepass") for c in others]
         return new | dict(zip(others, self._encode_others(texts), strict=True))
 
@@ -116,22 +134,25 @@ class ChunkEncoder:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         # Capitals can be folded before the look-up unless that could make a special token.
         raw = (t.encode("utf-8", "surrogatepass").translate(_BLANKS) for t in texts)
-        split = [(b if b"<|" in b else b.lower()).split(b" ") for b in raw]
-        used = set().union(*split)
-        missing = used.difference(self.known)
+        split = pc.split_pattern(pa.array([b if b"<|" in b else b.lower() for b in raw], pa.large_binary()), b" ")
+        chunks = split.flatten().dictionary_encode()
+        used = chunks.dictionary.to_pylist()
+        missing = [c for c in used if c not in self.known]
         back = {c: self.older[c] for c in missing if c in self.older}
-        new = self._learn(missing.difference(back))
+        new = self._learn([c for c in missing if c not in back])
         if len(self.known) + len(back) + len(new) > CACHED // 2:
             # What is looked up again comes back from the older half, the rest of it goes.
             self.older, self.known = self.known, {c: self.known[c] for c in used if c in self.known}
         self.known.update(back)
         self.known.update(new)
-        look_up = self.known.__getitem__
-        for chunks in split:
-            yield b"".join(map(look_up, chunks))
+        ids = pa.array([self.known[c] for c in used], pa.large_binary()).take(chunks.indices)
         for chunk in new:
             if len(chunk) > CACHED_BYTES:
                 del self.known[chunk]
+        ends = np.concatenate([[0], np.cumsum(pc.binary_length(ids).to_numpy())])[split.offsets.to_numpy()]
+        whole = memoryview(b"" if ids.buffers()[2] is None else ids.buffers()[2])
+        for start, end in itertools.pairwise(ends.tolist()):
+            yield bytes(whole[start:end])
 
 
 def encoder(path: str) -> ChunkEncoder:
@@ -140,6 +161,16 @@ def encoder(path: str) -> ChunkEncoder:
     return _ENCODERS[path]
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """``batch`` in parts whose texts, in column 2, have ``SLICE`` bytes at most or are single."""
+    ends = np.cumsum(pc.binary_length(batch.column(2)).to_numpy(), dtype=np.int64)
+    low, before = 0, 0
+    while low < batch.num_rows:
+        high = max(low + 1, int(np.searchsorted(ends, before + SLICE, "right")))
+        yield batch.slice(low, high - low)
+        low, before = high, ends[high - 1]
+
+
 def token_pieces(
     docs: DataFrame, tokenizer: str, end_id: int, length: int = 4096, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -161,8 +192,7 @@ def token_pieces(
 
     def pieces_of(batches: Iterator[pa.RecordBatch], encoding: ChunkEncoder) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 500):
-                part = batch.slice(low, 500)
+            for part in slices(batch):
                 take, starts, lengths, crcs, totals = [], [], [], [], []
                 for i, ids in enumerate(encoding.encode(part.column(2).to_pylist())):
                     ids += end

@@ -329,6 +329,43 @@ def test_chunks_encode_like_whole_texts():
     assert list(encoder.encode(odd)) == whole and list(encoder.encode(odd)) == whole
 
 
+def test_plain_chunks_skip_the_whole_tokenizer(monkeypatch):
+    encoder = packing.ChunkEncoder(TOKENIZER)
+    assert encoder.cuts_here
+    others: list[str] = []
+    through = encoder._encode_others
+    monkeypatch.setattr(encoder, "_encode_others", lambda chunks: through(others.extend(chunks) or chunks))
+
+    def whole(text):
+        return np.asarray(encoder.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    rng = random.Random(2)
+    letters = "".join(c for c in packing.LETTERS if packing._PLAIN(c.lower()))
+    plain = ["don't", "inheedin!!", "x's're'", "12.5,", '"b55e8a"', "'sé'll", "###", *letters, *(
+        "".join(rng.choices(letters + "abcst'" * 40 + "019.,!$~", k=rng.randint(1, 12))) for _ in range(1000))]
+    assert list(encoder.encode([f" {c}\n{c}" for c in plain])) == [whole(f" {c}\n{c}") for c in plain]
+    assert not others
+    odd = ["e\u0301", "a<|b", "x\x0by", "½", "\u0130", "кот", "a\u00a0b", "\x1c"]
+    assert list(encoder.encode(odd)) == [whole(c) for c in odd]
+    assert sorted(others) == sorted(odd)
+    # A tokenizer that cuts in another way takes every chunk itself.
+    encoder.forget()
+    encoder.cuts_here = False
+    assert list(encoder.encode(["one two."])) == [whole("one two.")]
+    assert sorted(others[len(odd):]) == ["one", "two."]
+    assert list(encoder.encode([])) == [] and list(encoder.encode([""])) == [b""]
+
+
+def test_packing_slices_hold_all_rows(monkeypatch):
+    monkeypatch.setattr(packing, "SLICE", 10)
+    texts = ["", "a" * 4, "é" * 3, "b", "c" * 25, "", "d", "e" * 10, "f"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(range(9)), pa.array(texts)], names=["doc_id", "row", "text"])
+    held = [p.column(2).to_pylist() for p in packing.slices(batch)]
+    assert [t for h in held for t in h] == texts and len(held) < len(texts)
+    assert all(len(h) == 1 or sum(len(t.encode()) for t in h) <= 10 for h in held)
+    assert list(packing.slices(batch.slice(0, 0))) == []
+
+
 def test_first_fit_decreasing():
     rng = random.Random(1)
     sizes = sorted((rng.randint(1, 100) for _ in range(300)), reverse=True)
