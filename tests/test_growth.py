@@ -4,12 +4,15 @@ import datetime
 import json
 import os
 import re
+import time
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from periodica import session
 from periodica.functions import keys
+from periodica.operators import writes
 from periodica.operators.writes import ParquetTable, insert_new
 from periodica.plans import history, ingest, refresh
 from periodica.schemas import NATURAL_KEYS, schema
@@ -161,3 +164,131 @@ def test_a_refresh_picks_keys_among_what_was_made(spark, tmp_path, monkeypatch):
     assert core.read().count() == refresh.core_financials(facts.read(), rates.read()).count()
     # Facts are folded before they meet the changed keys.
     assert "partial_max(" in plans[0].split("LeftSemi", 1)[1]
+
+
+def shuffled_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def left_behind(spark, before):
+    """Files shuffled since, once those that are being removed are gone."""
+    for _ in range(50):
+        if not (new := shuffled_files(spark) - before):
+            break
+        time.sleep(0.1)
+    return new
+
+
+def facts_of(spark, n, years=(2020,)):
+    rows = [(f"c{i % 7}", f"C{i % 3}", f"s{i}", years[i % len(years)]) for i in range(n)]
+    batch = literal_table(spark, rows, "company_id string, concept string, source_id string, fiscal_year int")
+    return batch.withColumn("filing_id", F.lit(None).cast("string")).withColumns(
+        {c: F.lit(None).cast("date") for c in ("period_start", "period_end")})
+
+
+def test_writes_remove_what_they_shuffled(spark, tmp_path, shuffled_joins):
+    before = shuffled_files(spark)
+    t = ParquetTable(spark, str(tmp_path / "t"), schema("financial_facts"), ["fiscal_year"], ["company_id"])
+    batch = facts_of(spark, 50)  # kept, as a plan that is still in use holds its shuffles
+    for _ in range(2):
+        insert_new(t, batch, NATURAL_KEYS["financial_facts"], prune=["fiscal_year"])
+    p = ParquetTable(spark, str(tmp_path / "p"), schema("filings"))
+    insert_new(p, batch.select(F.col("source_id").alias("accession_number")), ["accession_number"])
+    assert not left_behind(spark, before)
+    assert spark.conf.get(session._CLEANUP, None) is None and not session._INSIDE
+
+
+def test_releasing_ends_with_the_last_of_those_inside(spark):
+    first, second = session.releasing(spark), session.releasing(spark)
+    first.__enter__(), second.__enter__(), first.__exit__(None, None, None)
+    assert spark.conf.get(session._CLEANUP) == "true"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(session._CLEANUP, None) is None
+
+
+def test_rounds():
+    assert writes.rounds([]) == [[]] and writes.rounds([("a", 0)]) == [["a"]]
+    most = writes.ROUND_ROWS
+    assert writes.rounds([("a", most), ("b", 1), ("c", most - 1), ("d", 2 * most), ("e", 1)]) == [["a"], ["b", "c"], ["d"], ["e"]]
+
+
+@pytest.mark.parametrize("at_rest", [True, False])
+def test_an_insert_goes_through_years_in_rounds(spark, tmp_path, monkeypatch, at_rest):
+    monkeypatch.setattr(writes, "ROUND_ROWS", 4)
+    t = ParquetTable(spark, str(tmp_path / "t"), schema("financial_facts"), ["fiscal_year"], ["company_id"])
+    batch = facts_of(spark, 12, (2019, 2020, None))
+    twice, written, write = batch.unionByName(batch.where("fiscal_year = 2020")), [], ParquetTable._write
+    monkeypatch.setattr(ParquetTable, "_write", lambda self, df, *args: written.append(n := write(self, df, *args)) or n)
+    for new, each in ((12, [4, 4, 4]), (0, [0, 0, 0])):
+        stats = insert_new(t, twice, NATURAL_KEYS["financial_facts"], prune=["fiscal_year"], at_rest=at_rest)
+        assert (stats.processed, stats.inserted, stats.skipped) == (16, new, 16 - new)
+        assert written == each
+        written.clear()
+    assert len(t.segments()) == 2, "one for each insert"
+    assert sorted(r.source_id for r in t.read().collect()) == sorted(f"s{i}" for i in range(12))
+
+
+def test_a_failed_round_stores_nothing(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writes, "ROUND_ROWS", 1)
+    t = ParquetTable(spark, str(tmp_path / "t"), schema("financial_facts"), ["fiscal_year"])
+    batch = facts_of(spark, 6, (2019, 2020)).withColumn(
+        "unit", F.when(F.col("fiscal_year") == 2020, F.raise_error(F.lit("broken"))).cast("string"))
+    stats = writes.insert_guarded(t, batch, NATURAL_KEYS["financial_facts"], prune=["fiscal_year"], at_rest=True)
+    assert stats.error and stats.inserted == 0 and t.read().count() == 0 and t.version() == 0
+
+
+def test_keys_that_cannot_be_null_are_shuffled_no_further(spark, tmp_path, shuffled_joins):
+    t = ParquetTable(spark, str(tmp_path / "t"), schema("financial_facts"))
+    t.replace(facts_of(spark, 3))
+    batch = facts_of(spark, 9).withColumn("source_id", F.concat_ws("|", "source_id", "concept"))
+    keys_of = NATURAL_KEYS["financial_facts"]
+    fresh = writes.flag_existing(writes.first_per_key(batch, keys_of), t.read(), keys_of).where(~F.col("_exists")).select(*batch.columns)
+    assert len(re.findall(r"Exchange hashpartitioning", plan(fresh))) == 2
+    assert fresh.count() == 9
+
+
+def test_facts_of_a_company_share_a_file(spark, tmp_path):
+    t = ParquetTable(spark, str(tmp_path / "t"), schema("financial_facts"), ["fiscal_year"], ["company_id"])
+    rows = spark.range(0, 40000, 1, 8).select(
+        F.sha2((F.col("id") % 40).cast("string"), 256).alias("company_id"), F.sha2(F.col("id").cast("string"), 256).alias("source_id"),
+        F.lit(2020).alias("fiscal_year"))
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(name, "1m")
+    try:
+        t.replace(rows)
+    finally:
+        spark.conf.unset(name)
+    found = t.read().withColumn("file", F.input_file_name()).groupBy("company_id").agg(
+        F.count_distinct("file").alias("files"), F.max("file").alias("file")).collect()
+    assert len(found) == 40 and {r.files for r in found} == {1} and len({r.file for r in found}) > 1
+
+
+def test_a_large_delivery_is_synced_in_rounds(spark, tmp_path, monkeypatch):
+    def synced(name):
+        catalog = Catalog(spark, str(tmp_path / name))
+        listed = [[str(i), f"N{i}", f"t{i}", "NYSE"] for i in range(1, 12)]
+        companies = documents.parse_universe(spark.createDataFrame([(json.dumps({"data": listed}),)], "value string"))
+        texts = [(json.dumps({"cik": str(i), "filings": {"recent": {
+            "accessionNumber": [f"{i}-1"], "filingDate": ["2024-02-01"], "reportDate": ["2023-12-31"], "form": ["10-K"]}}}),) for i in range(1, 8)]
+        filings = documents.parse_submissions(spark.createDataFrame(texts, "value string"))
+        docs = []
+        for i in range(1, 14):  # two of them of unknown companies
+            items = [{"end": f"{year}-12-31", "start": start, "val": val, "accn": f"{i}-1", "fp": "FY", "form": "10-K"}
+                     for year, start, val in ((2020, "2020-01-01", 1), (2021, "2021-12-31", 2), (2021, None, "n/a"), (1985, None, 3), (2020, "2020-01-01", 1))]
+            docs.append((json.dumps({"cik": str(i), "facts": {"us-gaap": {"Assets": {"units": {"EUR": items}}}}}),))
+        values = documents.parse_company_facts(spark.createDataFrame(docs, "value string"))
+        for day in ("2024-03-01", "2024-03-02"):
+            stats = ingest.sync(catalog, companies, filings, values, "1", day)
+        assert (stats["facts"].processed, stats["facts"].inserted, stats["facts"].skipped) == (44, 0, 44)
+        return [sorted(map(str, catalog.table(t).drop("run_id").collect())) for t in ("financial_facts", "fact_rejects", "document_outcomes", "filings")]
+
+    whole = synced("whole")
+    assert len(whole[0]) == 22 and len(whole[1]) == 11
+    monkeypatch.setattr(writes, "ROUND_ROWS", 20)
+    staged, write = [], ingest.written
+    monkeypatch.setattr(ingest, "written", lambda df, path, *args: staged.append(re.sub(".*/|-.*", "", path)) or write(df, path, *args))
+    assert synced("in rounds") == whole
+    assert staged.count("values") == 2 and staged.count("facts") > 4
+    ids = [r.id for r in Catalog(spark, str(tmp_path / "whole")).table("financial_facts").collect()]
+    assert {len(i) for i in ids} == {32} and len(set(ids)) == len(ids)
