@@ -149,10 +149,12 @@ def relink_filings(facts: DataFrame, filings: DataFrame) -> DataFrame:
 def relink_table(facts: ParquetTable, filings: DataFrame) -> int:
     """Link stored facts to filings that came later; years without such facts keep their files.
 
-    Returns the rows rewritten.
+    Facts of one key end on one day. Where years are those of the period ends, they are
+    therefore rewritten in rounds. Returns the rows rewritten.
     """
+    by_end = F.year("period_end").eqNullSafe(F.col("fiscal_year")) if facts.partition_by == ["fiscal_year"] else None
     return change_partitions(
-        facts, lambda rows: newly_linked(rows, filings), lambda rows: relink_filings(rows, filings))
+        facts, lambda rows: newly_linked(rows, filings), lambda rows: relink_filings(rows, filings), by_end)
 
 
 def pending_documents(raw_docs: DataFrame, provider=None) -> DataFrame:

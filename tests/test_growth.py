@@ -292,3 +292,28 @@ def test_a_large_delivery_is_synced_in_rounds(spark, tmp_path, monkeypatch):
     assert staged.count("values") == 2 and staged.count("facts") > 4
     ids = [r.id for r in Catalog(spark, str(tmp_path / "whole")).table("financial_facts").collect()]
     assert {len(i) for i in ids} == {32} and len(set(ids)) == len(ids)
+
+
+def test_years_are_relinked_in_rounds_where_keys_stay_in_one(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writes, "ROUND_ROWS", 3)
+    ddl = ("id string, company_id string, concept string, period_start date, period_end date, filing_id string, "
+           "source_id string, value decimal(30,10), fiscal_year int")
+    rows = [(f"{y}{i}", "c", "A", None, DAY(y, 12, 31), None, f"{n}|A", Decimal(i), y)
+            for y in (2019, 2020, 2021, 2022) for i, n in enumerate("112" if y < 2022 else "223")]
+    rows.append(("open", "c", "A", None, None, None, "1|A", Decimal(1), None))
+    filings = literal_table(spark, [("f1", "c", "1")], "id string, company_id string, accession_number string")
+    written, write = [], ParquetTable._write
+    monkeypatch.setattr(ParquetTable, "_write", lambda self, df, *args: written.append(n := write(self, df, *args)) or n)
+
+    def relinked(name, rows):
+        facts = ParquetTable(spark, str(tmp_path / name), schema("financial_facts"), ["fiscal_year"], ["company_id"])
+        facts.replace(literal_table(spark, rows, ddl))
+        written.clear()
+        assert landing.relink_table(facts, filings) == sum(written)
+        return sorted((r.id, r.filing_id) for r in facts.read().collect() if r.filing_id)
+
+    first = [(f"{y}0", "f1") for y in (2019, 2020, 2021)]
+    assert relinked("apart", rows) == [*first, ("open", "f1")] and written == [1, 2, 2, 2]
+    # A fact of a year that is not its period's may repeat one of another year, so all years are looked at together.
+    strays = [*rows, ("stray", "c", "A", None, DAY(2019, 12, 31), None, "1|A", Decimal(-1), 2020)]
+    assert relinked("strays", strays) == [*first[1:], ("open", "f1"), ("stray", "f1")] and len(written) == 1
